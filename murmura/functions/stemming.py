@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import re
+import sys
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Executors need not have the package installed: the functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Suffixes, endings and exceptional forms of the published algorithm.
 _DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
 _STEP2 = {
