@@ -33,6 +33,18 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ.,':;"
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+# Word tokenizer: pattern and replacement, applied in turn.
+TREEBANK_STEPS = [
+    (r"(\p{L})([nN]'[tT])([^\p{L}\p{N}_]|$)", "$1 $2$3"),
+    (r"'([sS]|[mM]|[dD]|[lL][lL]|[rR][eE]|[vV][eE])([^\p{L}\p{N}_]|$)", " '$1$2"),
+    (r"([;:@#$%&?!()\[\]{}<>\"*|~`^=+/\\…«»“”„])", " $1 "),
+    (r"(--+)", " $1 "),
+    (r",([^0-9])", " , $1"),
+    (r",$", " ,"),
+    (r"\.(\s|$)", " . $1"),
+]
+
+
 # --- cleaning -----------------------------------------------------------------
 
 
@@ -62,16 +74,7 @@ def tokenize_words(c: Column) -> Column:
     Splits ``n't 's 'm 'd 'll 're 've``, brackets, quotes and the usual marks,
     commas outside numbers and a full stop at the end of a word.
     """
-    steps = [
-        (r"([\p{L}])([nN]'[tT])\b", "$1 $2"),
-        (r"'([sS]|[mM]|[dD]|[lL][lL]|[rR][eE]|[vV][eE])\b", " '$1"),
-        (r"([;:@#$%&?!()\[\]{}<>\"*|~`^=+/\\…«»“”„])", " $1 "),
-        (r"(--+)", " $1 "),
-        (r",([^0-9])", " , $1"),
-        (r",$", " ,"),
-        (r"\.(\s|$)", " . $1"),
-    ]
-    for pattern, replacement in steps:
+    for pattern, replacement in TREEBANK_STEPS:
         c = F.regexp_replace(c, pattern, replacement)
     return whitespace_tokens(c)
 

@@ -30,7 +30,9 @@ def write_comments_csv(df: DataFrame, path: str, mode: str = "errorifexists") ->
     flat = df.select(
         *[F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema]
     )
-    flat.write.mode(mode).options(header=True, quote='"', escape='"', emptyValue='""').csv(path)
+    options = {"header": "true", "quote": '"', "escape": '"', "emptyValue": '""'}
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    flat.write.mode(mode).options(**options, **kept).csv(path)
     return True
 
 
