@@ -249,7 +249,7 @@ def tag_topics(c: Column, topics: dict[str, Sequence[str]] | None = None) -> Col
 
 def is_opinionated(compound: Column, threshold: float = 0.25) -> Column:
     """Strictly beyond the threshold on either side."""
-    return (compound > threshold) | (compound < -threshold)
+    return F.abs(compound) > threshold
 
 
 def meaningful_tokens(tokens: Column, stopwords: Sequence[str] = W.STOPWORDS) -> Column:

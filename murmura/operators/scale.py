@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,12 +69,12 @@ def consecutive_ids(df: DataFrame, lead: str, order: Sequence[str], id_col: str
     the same rows each time it is evaluated.
     """
     bounds = sorted(set(df.approxQuantile(lead, [i / parts for i in range(1, parts)], 0.001)))
-    cuts = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    ranged = df.withColumn("_range", F.size(F.filter(cuts, lambda b: b < F.col(lead))))
+    splits = [float("-inf"), *bounds, float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="_lead", outputCol="_range").transform(df.withColumn("_lead", F.col(lead).cast("double")))
     counts = ranged.groupBy("_range").count()
     earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_range").orderBy(lead, *order)
     numbered = ranged.join(F.broadcast(offsets), "_range")  # at most ``parts`` rows
     numbered = numbered.withColumn(id_col, (F.row_number().over(inside) - 1 + F.col("_offset") + start).cast("bigint"))
-    return numbered.drop("_range", "_offset")
+    return numbered.drop("_lead", "_range", "_offset")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text
+from murmura.functions.once import once
 from murmura.operators.analysis import Analyzer, analyze_query
 from murmura.operators.scale import top_n_per_group
 
@@ -77,17 +78,17 @@ def build_index(
     filter_words: Sequence[str] = tuple(W.SEARCH_FILTER_WORDS),
 ) -> SearchIndex:
     """Index of one text field. ``docs.opinion`` marks documents that match one of ``filter_words``."""
-    analyzed = docs.select(F.col(id_col).alias("doc_id"), *attributes, analyzer.index_items(F.col(field)).alias("items"))
-    tokens = F.col("items.token")
-    opinion = F.exists(tokens, lambda t: reduce(lambda a, b: a | b, [t.contains(w) for w in filter_words]))
-    sized = analyzed.withColumns({"length": F.size("items"), "opinion": opinion if filter_words else F.lit(True)})
+    named = docs.select(F.col(id_col).alias("doc_id"), *attributes, F.col(field).alias("_text"))
+    analyzed = once(named, _tokens=analyzer.index_items(F.col("_text")).getField("token")).drop("_text")
+    opinion = F.exists("_tokens", lambda t: reduce(lambda a, b: a | b, [t.contains(w) for w in filter_words])) if filter_words else F.lit(True)
+    sized = once(analyzed, length=F.greatest(F.size("_tokens"), F.lit(0)), opinion=F.coalesce(opinion, F.lit(False)))
     postings = (
-        sized.select("doc_id", "length", F.explode("items.token").alias("token"))
+        sized.select("doc_id", "length", F.explode("_tokens").alias("token"))
         .groupBy("token", "doc_id")
         .agg(F.count("*").alias("tf"), F.max("length").alias("length"))
     )
     grams = vocabulary_grams(postings.select("token").distinct())
-    return SearchIndex(postings, grams, sized.drop("items"))
+    return SearchIndex(postings, grams, sized.drop("_tokens"))
 
 
 # --- matching ------------------------------------------------------------------

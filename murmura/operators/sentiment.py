@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text
+from murmura.functions.once import once
 
 # Fixed values of the published rule-based model.
 ALPHA = 15.0
@@ -104,10 +105,13 @@ def _punctuation(c: Column) -> Column:
     return marks + asked
 
 
-def _compound(total: Column, c: Column) -> Column:
-    emphasis = _punctuation(c)
-    raised = F.when(total > 0, total + emphasis).when(total < 0, total - emphasis).otherwise(total)
-    return F.coalesce(raised / F.sqrt(raised * raised + ALPHA), F.lit(0.0))
+def _squash(df: DataFrame, total: Column, c: Column, out: str) -> DataFrame:
+    """Add ``out``: the total raised by punctuation and squashed into [-1, 1]."""
+    emphasized = once(df, _total=total, _emphasis=_punctuation(c))
+    sign = F.signum("_total")
+    raised = once(emphasized, _raised=F.col("_total") + sign * F.col("_emphasis"))
+    value = F.col("_raised") / F.sqrt(F.col("_raised") * F.col("_raised") + ALPHA)
+    return once(raised, **{out: F.coalesce(value, F.lit(0.0))}).drop("_total", "_emphasis", "_raised")
 
 
 def lexicon_compound(
@@ -141,54 +145,33 @@ def lexicon_compound(
 
     if rows is not None:
         values = {r[0]: float(r[1]) for r in rows}
-        total = F.lit(0.0)
-        prepared = df.withColumns({"_tokens": tokens})
-        if values:
-            listed = list(values)
-            table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-            hits = F.filter(_neighbours(F.col("_tokens")), lambda h: h["word"].isin(*listed))
-            prepared = prepared.withColumns(
-                {
-                    "_hits": hits,
-                    "_mixed": mixed_caps,
-                    "_but": but,
-                }
-            )
-            # The row's flags travel in the accumulator, so that they are computed once per row.
-            state = F.struct(F.lit(0.0).alias("total"), F.col("_mixed").alias("mixed"), F.col("_but").alias("but"))
-            total = F.aggregate(
-                "_hits",
-                state,
-                lambda acc, h: F.struct(
-                    (
-                        acc["total"]
-                        + weighted(
-                            F.element_at(table, h["word"]), h["pos"], h["caps"], acc["mixed"], acc["but"], h["before"],
-                            F.transform(h["before"], lambda w: F.coalesce(w.isin(*listed), F.lit(False))),
-                        )
-                    ).alias("total"),
-                    acc["mixed"].alias("mixed"),
-                    acc["but"].alias("but"),
-                ),
-                lambda acc: acc["total"],
-            )
-        scored = prepared.withColumn(out, _compound(total, c))
-        return scored.drop("_tokens", "_hits", "_mixed", "_but")
+        if not values:
+            return _squash(df, F.lit(0.0), c, out)
+        listed = list(values)
+        table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+        prepared = once(df, _tokens=tokens)
+        hits = F.filter(_neighbours(F.col("_tokens")), lambda h: h["word"].isin(*listed))
+        prepared = once(prepared, _hits=hits, _mixed=mixed_caps, _but=but)
+
+        def add(acc: Column, h: Column) -> Column:
+            known = F.transform(h["before"], lambda w: F.coalesce(w.isin(*listed), F.lit(False)))
+            valence = F.element_at(table, h["word"])
+            return acc + weighted(valence, h["pos"], h["caps"], F.col("_mixed"), F.col("_but"), h["before"], known)
+
+        return _squash(prepared, F.aggregate("_hits", F.lit(0.0), add), c, out).drop("_tokens", "_hits", "_mixed", "_but")
 
     entries = lexicon.toDF("_word", "_valence")
-    prepared = df.select(F.col(id_col).alias("_id"), tokens.alias("_tokens"))
-    found = prepared.select(
-        "_id", mixed_caps.alias("_mixed"), but.alias("_but"),
-        F.inline(_neighbours(F.col("_tokens"))),
-    ).join(entries, F.col("word") == F.col("_word"))
+    prepared = once(df.select(F.col(id_col).alias("_id"), c.alias("_text")), _tokens=_sentiment_tokens(F.col("_text"))).drop("_text")
+    # The row's flags come before the words are exploded, or they would be computed once per word.
+    found = once(prepared, _mixed=mixed_caps, _but=but).select("_id", "_mixed", "_but", F.inline(_neighbours(F.col("_tokens")))).join(entries, F.col("word") == F.col("_word"))
     for k in (1, 2, 3):
         named = entries.select(F.col("_word").alias(f"_w{k}"))
         found = found.join(named, F.get("before", F.lit(k - 1)) == F.col(f"_w{k}"), "left")
     known = F.array(*[F.col(f"_w{k}").isNotNull() for k in (1, 2, 3)])
     value = weighted(F.col("_valence").cast("double"), F.col("pos"), F.col("caps"), F.col("_mixed"), F.col("_but"), F.col("before"), known)
-    sums = found.groupBy("_id").agg(F.sum(value).alias("_total"))
+    sums = found.groupBy("_id").agg(F.sum(value).alias("_sum"))
     joined = df.join(sums, df[id_col] == sums["_id"], "left")
-    return joined.withColumn(out, _compound(F.coalesce("_total", F.lit(0.0)), c)).drop("_id", "_total")
+    return _squash(joined, F.coalesce("_sum", F.lit(0.0)), c, out).drop("_id", "_sum")
 
 
 def lexicon_polarity(
@@ -226,7 +209,8 @@ def lexicon_polarity(
         values = {r[0]: (float(r[1]), float(r[2])) for r in rows}
         listed = list(values)
         table = F.create_map(*[x for w, (p, s) in values.items() for x in (F.lit(w), F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")))])
-        hits = F.filter(_neighbours(tokens), lambda h: h["word"].isin(*listed))
+        tokenized = once(df, _tokens=tokens)
+        hits = F.filter(_neighbours(F.col("_tokens")), lambda h: h["word"].isin(*listed))
         marks = F.transform(
             hits, lambda h: scored(F.element_at(table, h["word"])["p"], F.element_at(table, h["word"])["s"], h["before"])
         )
@@ -235,10 +219,12 @@ def lexicon_polarity(
             total = F.aggregate("_marks", F.lit(0.0), lambda a, m: a + m[name])
             return F.coalesce(F.try_divide(total, F.size("_marks")), F.lit(0.0))
 
-        return df.withColumn("_marks", marks).withColumns({"polarity": mean("p"), "subjectivity": mean("s")}).drop("_marks")
+        marked = once(tokenized, _marks=marks).drop("_tokens")
+        return once(marked, polarity=mean("p"), subjectivity=mean("s")).drop("_marks")
 
     entries = lexicon.toDF("_word", "_polarity", "_subjectivity")
-    found = df.select(F.col(id_col).alias("_id"), F.inline(_neighbours(tokens))).join(entries, F.col("word") == F.col("_word"))
+    tokenized = once(df.select(F.col(id_col).alias("_id"), F.col(column).alias("_text")), _tokens=_sentiment_tokens(F.col("_text")))
+    found = tokenized.select("_id", F.inline(_neighbours(F.col("_tokens")))).join(entries, F.col("word") == F.col("_word"))
     marks = found.select("_id", scored(F.col("_polarity"), F.col("_subjectivity"), F.col("before")).alias("m"))
     means = marks.groupBy("_id").agg(F.avg("m.p").alias("_p"), F.avg("m.s").alias("_s"))
     joined = df.join(means, df[id_col] == means["_id"], "left")

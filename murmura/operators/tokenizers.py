@@ -18,23 +18,24 @@ def text_tokens(df: DataFrame, column: str, id_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.posexplode(text.tokenize_words(F.lower(column))).alias("pos", "token"))
 
 
-def _with_specials(vocab: DataFrame) -> DataFrame:
-    """Append the unknown and padding entries after the last id."""
-    last = vocab.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("last"))
-    specials = last.select(F.inline(F.array(*[F.struct(F.lit(t).alias("token"), (F.col("last") + i).alias("id")) for i, t in ((1, UNK), (2, PAD))])))
-    return vocab.select("token", "id").unionByName(specials)
+def _with_specials(vocab: DataFrame, last: DataFrame) -> DataFrame:
+    """Append the unknown and padding entries after ``last``, a one-row table of the highest id."""
+    entries = [F.struct(F.lit(t).alias("token"), (F.col("last") + i).cast("bigint").alias("id")) for i, t in ((1, UNK), (2, PAD))]
+    return vocab.select("token", "id").unionByName(last.select(F.inline(F.array(*entries))))
 
 
 def build_vocab(tokens: DataFrame, order: str = "doc_id", start: int = 0) -> DataFrame:
     """``(token, id)`` in order of first appearance, then the two special entries. ``order`` is a numeric document order."""
     first = tokens.groupBy("token").agg(F.min(F.struct(F.col(order).alias("doc"), F.col("pos"))).alias("first"))
     placed = materialize(first.select("token", F.col("first.doc").alias("_doc"), F.col("first.pos").alias("_pos")))
-    return _with_specials(consecutive_ids(placed, "_doc", ["_pos"], "id", start))
+    last = placed.agg((F.count("*") + start - 1).alias("last"))
+    return _with_specials(consecutive_ids(placed, "_doc", ["_pos"], "id", start), last)
 
 
 def vocab_from_vectors(vectors: DataFrame) -> DataFrame:
     """Vocabulary of a pretrained table ``(token, id, ...)`` plus the two special entries."""
-    return _with_specials(vectors.select("token", F.col("id").cast("bigint").alias("id")))
+    last = vectors.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("last"))
+    return _with_specials(vectors.select("token", F.col("id").cast("bigint").alias("id")), last)
 
 
 def encode(df: DataFrame, column: str, id_col: str, vocab: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from murmura.suite.base import small, sql_list
 NEGATIVE = ["trash", "idiot", "clown", "scum", "worthless", "moron", "pathetic", "loser", "disgusting", "stupid"]
 POSITIVE = ["thatin", "inoran", "hehely", "orantion"]
 VALENCES = {**{w: -1.5 - 0.1 * i for i, w in enumerate(NEGATIVE)}, **{w: 1.2 + 0.3 * i for i, w in enumerate(POSITIVE)}, "the": 0.4, "der": -0.3, "les": 0.6}
-POLARITY = {w: (v / 4, 0.3 + 0.05 * i) for i, (w, v) in enumerate(VALENCES.items())}
+POLARITY = {w: (round(v / 4.3, 5), 0.3117 + 0.0471 * i) for i, (w, v) in enumerate(VALENCES.items())}
 # Frequent words stand in for degree adverbs and negations.
 BOOSTERS = {"of": 0.293, "und": 0.293, "that": -0.293, "de": -0.293}
 NEGATIONS = ("and", "nicht", "la")
