@@ -269,21 +269,21 @@ def keyword_candidates(c: Column, stopwords: Sequence[str] = W.STOPWORDS) -> Col
 # --- grams --------------------------------------------------------------------
 
 
-def ngrams(token: Column, low: int = 2, high: int = 15) -> Column:
-    """All substrings of length ``low`` to ``high``; shorter tokens yield none."""
-    sizes = F.when(
-        F.length(token) >= low, F.sequence(F.lit(low), F.least(F.lit(high), F.length(token)))
-    ).otherwise(F.array().cast("array<int>"))
+def grams_of_sizes(token: Column, sizes: Column) -> Column:
+    """All substrings whose length is in the array ``sizes``, repeats included."""
+    fitting = F.filter(sizes, lambda n: n <= F.length(token))
     return F.flatten(
         F.transform(
-            sizes,
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length(token) - n + 1), lambda i: F.substring(token, i, n)
-            ),
+            fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(token) - n + 1), lambda i: F.substring(token, i, n))
         )
     )
 
 
+def ngrams(token: Column, low: int = 2, high: int = 15) -> Column:
+    """All substrings of length ``low`` to ``high``; shorter tokens yield none."""
+    return grams_of_sizes(token, F.array(*[F.lit(n) for n in range(low, high + 1)]))
+
+
 def entity_names(c: Column, gazetteer: Sequence[str] = W.PLATFORMS) -> Column:
     """Distinct gazetteer names found in the text and capitalised spans of up to three words, sorted."""
     lowered = F.lower(c)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text
+from murmura.functions.once import once
 from murmura.functions.stemming import stem_tokens
 
 
@@ -22,35 +23,39 @@ class Analyzer:
     synonyms: Sequence[Sequence[str]] = field(default_factory=lambda: tuple(map(tuple, W.SYNONYMS)))
     stem: bool = True
 
-    def index_items(self, c: Column) -> Column:
-        """``array<struct<pos, token>>``: split on spaces, lower, stop, stem, synonyms. Punctuation stays on."""
-        return expand_synonyms(self._stemmed(self._split(c)), self.synonyms)
+    def index_items(self, df: DataFrame, column: str, out: str = "items") -> DataFrame:
+        """Add ``array<struct<pos, token>>``: split on spaces, lower, stop, stem, synonyms. Punctuation stays on."""
+        return self._expanded(self._stemmed(self._split(df, column, out), out), out)
 
-    def query_items(self, c: Column) -> Column:
+    def query_items(self, df: DataFrame, column: str, out: str = "items") -> DataFrame:
         """The query side meets synonyms before it stems."""
-        return self._stemmed(expand_synonyms(self._split(c), self.synonyms))
+        return self._stemmed(self._expanded(self._split(df, column, out), out), out)
 
-    def _split(self, c: Column) -> Column:
-        items = F.transform(
-            text.whitespace_tokens(F.lower(c)), lambda t, i: F.struct(i.alias("pos"), t.alias("token"))
-        )
-        return F.filter(items, lambda x: ~x["token"].isin(*self.stopwords)) if self.stopwords else items
+    def _split(self, df: DataFrame, column: str, out: str) -> DataFrame:
+        tokens = text.whitespace_tokens(F.lower(column))
+        items = F.transform(tokens, lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+        if self.stopwords:
+            items = F.filter(items, lambda x: ~x["token"].isin(*self.stopwords))
+        return once(df, **{out: items})
 
-    def _stemmed(self, items: Column) -> Column:
+    def _stemmed(self, df: DataFrame, out: str) -> DataFrame:
         if not self.stem:
-            return items
-        stems = stem_tokens(items.getField("token"))
-        return F.zip_with(items, stems, lambda x, s: F.struct(x["pos"].alias("pos"), s.alias("token")))
+            return df
+        stemmed = df.withColumn("_stems", stem_tokens(F.col(f"{out}.token")))
+        joined = F.zip_with(out, "_stems", lambda x, s: F.struct(x["pos"].alias("pos"), s.alias("token")))
+        return once(stemmed, **{out: joined}).drop("_stems")
+
+    def _expanded(self, df: DataFrame, out: str) -> DataFrame:
+        return expand_synonyms(df, out, self.synonyms) if self.synonyms else df
 
 
-def expand_synonyms(items: Column, synonyms: Sequence[Sequence[str]]) -> Column:
+def expand_synonyms(df: DataFrame, column: str, synonyms: Sequence[Sequence[str]]) -> DataFrame:
     """Append the other members of a set where one of its members occurs.
 
     Members may have several words; the longest match wins and matches do not
     overlap. A multi-word alternative occupies consecutive positions.
     """
-    if not synonyms:
-        return items
+    items = F.col(column)
     alternatives: dict[str, list[str]] = defaultdict(list)
     for group in synonyms:
         for member in group:
@@ -85,7 +90,7 @@ def expand_synonyms(items: Column, synonyms: Sequence[Sequence[str]]) -> Column:
     matches = F.filter(marked, lambda m: m["n"] > 0)
     kept = F.aggregate(
         matches,
-        F.struct(F.lit(0).alias("free"), F.filter(matches, lambda m: F.lit(False)).alias("out")),
+        F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<j:int,pos:int,n:int,phrase:string>>").alias("out")),
         lambda acc, m: F.when(
             m["j"] >= acc["free"],
             F.struct((m["j"] + m["n"]).alias("free"), F.concat(acc["out"], F.array(m)).alias("out")),
@@ -101,15 +106,16 @@ def expand_synonyms(items: Column, synonyms: Sequence[Sequence[str]]) -> Column:
             ),
         )
     )
-    return F.concat(items, extra)
+    return once(df, **{column: F.concat(items, extra)})
 
 
 def analyze_index(df: DataFrame, text_col: str, id_col: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
     """``(doc_id, pos, token)`` of the index chain, before n-grams."""
-    return df.select(F.col(id_col).alias("doc_id"), F.inline(analyzer.index_items(F.col(text_col))))
+    named = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    return analyzer.index_items(named, "_text").select("doc_id", F.inline("items"))
 
 
 def analyze_query(queries: DataFrame, text_col: str = "query", id_col: str = "query_id", analyzer: Analyzer = Analyzer()) -> DataFrame:
     """``(query_id, pos, token)`` of the query chain. Blank queries are rejected."""
-    asked = queries.filter(F.trim(text_col) != "")
-    return asked.select(F.col(id_col).alias("query_id"), F.inline(analyzer.query_items(F.col(text_col))))
+    asked = queries.filter(F.trim(text_col) != "").select(F.col(id_col).alias("query_id"), F.col(text_col).alias("_text"))
+    return analyzer.query_items(asked, "_text").select("query_id", F.inline("items"))

@@ -23,6 +23,7 @@ from murmura.operators.scale import top_n_per_group
 
 K1, B = 1.2, 0.75
 MIN_GRAM, MAX_GRAM = 2, 15
+FEW_TERMS = 100
 
 
 # --- index ---------------------------------------------------------------------
@@ -49,24 +50,52 @@ def build_postings(tokens: DataFrame, low: int = MIN_GRAM, high: int = MAX_GRAM)
 
 @dataclass
 class SearchIndex:
-    """``postings (token, doc_id, tf, length)``, ``grams (gram, token, n)``, ``docs (doc_id, length, attributes)``."""
+    """``postings (token, doc_id, tf, length)``, ``docs (doc_id, length, opinion, attributes)``, and once written ``grams (gram, token, n)``.
+
+    Without the gram table, a lookup expands the vocabulary into grams of the
+    lengths asked for only.
+    """
 
     postings: DataFrame
-    grams: DataFrame
     docs: DataFrame
+    grams: DataFrame | None = None
 
-    def write(self, path: str, mode: str = "errorifexists") -> None:
-        """Parquet sorted by lookup key, so that a term reads few row groups.
+    def write(self, path: str, mode: str = "errorifexists", grams: bool = True) -> SearchIndex:
+        """Parquet sorted by lookup key, so that a term reads few row groups. Returns the stored index.
 
         The second range key splits a token or gram that fills many files.
+        Without ``grams`` lookups expand the stored vocabulary, which suits a few large batches.
         """
+        spark = self.postings.sparkSession
         self.postings.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id").write.mode(mode).parquet(f"{path}/postings")
-        self.grams.repartitionByRange("gram", "token").sortWithinPartitions("gram", "token").write.mode(mode).parquet(f"{path}/grams")
         self.docs.write.mode(mode).parquet(f"{path}/docs")
+        stored = SearchIndex.read(spark, path, grams=False)
+        if not grams:
+            return stored
+        table = vocabulary_grams(stored.postings.select("token").distinct())
+        table.repartitionByRange("gram", "token").sortWithinPartitions("gram", "token").write.mode(mode).parquet(f"{path}/grams")
+        return SearchIndex.read(spark, path)
 
     @classmethod
-    def read(cls, spark: SparkSession, path: str) -> SearchIndex:
-        return cls(*[spark.read.parquet(f"{path}/{part}") for part in ("postings", "grams", "docs")])
+    def read(cls, spark: SparkSession, path: str, grams: bool = True) -> SearchIndex:
+        parts = ("postings", "docs", "grams") if grams else ("postings", "docs")
+        return cls(*[spark.read.parquet(f"{path}/{part}") for part in parts])
+
+    def holding_tokens(self, terms: DataFrame) -> DataFrame:
+        """``terms`` with each token that holds the term, and how often (``n``)."""
+        if self.grams is not None:
+            return terms.join(self.grams, terms["term"] == self.grams["gram"]).drop("gram")
+        asked = terms.filter(F.length("term").between(MIN_GRAM, MAX_GRAM)).select("term").distinct()
+        # A batch of few terms first drops the tokens that hold none of them.
+        few = F.when(F.count("*") <= FEW_TERMS, F.collect_set("term")).alias("few")
+        lookup = asked.agg(F.struct(few, F.collect_set(F.length("term")).alias("sizes"))).scalar()
+        vocabulary = self.postings.select("token").distinct().withColumn("_lookup", lookup)
+        holding = vocabulary.filter(
+            F.col("_lookup.few").isNull() | F.exists("_lookup.few", lambda t: F.col("token").contains(t))
+        )
+        grams = holding.select("token", F.explode(text.grams_of_sizes(F.col("token"), F.col("_lookup.sizes"))).alias("gram"))
+        held = grams.join(terms, terms["term"] == grams["gram"])
+        return held.groupBy(*terms.columns, "token").agg(F.count("*").alias("n"))
 
 
 def build_index(
@@ -79,7 +108,7 @@ def build_index(
 ) -> SearchIndex:
     """Index of one text field. ``docs.opinion`` marks documents that match one of ``filter_words``."""
     named = docs.select(F.col(id_col).alias("doc_id"), *attributes, F.col(field).alias("_text"))
-    analyzed = once(named, _tokens=analyzer.index_items(F.col("_text")).getField("token")).drop("_text")
+    analyzed = analyzer.index_items(named, "_text", "_items").select("doc_id", *attributes, F.col("_items.token").alias("_tokens"))
     opinion = F.exists("_tokens", lambda t: reduce(lambda a, b: a | b, [t.contains(w) for w in filter_words])) if filter_words else F.lit(True)
     sized = once(analyzed, length=F.greatest(F.size("_tokens"), F.lit(0)), opinion=F.coalesce(opinion, F.lit(False)))
     postings = (
@@ -87,8 +116,7 @@ def build_index(
         .groupBy("token", "doc_id")
         .agg(F.count("*").alias("tf"), F.max("length").alias("length"))
     )
-    grams = vocabulary_grams(postings.select("token").distinct())
-    return SearchIndex(postings, grams, sized.drop("_tokens"))
+    return SearchIndex(postings, sized.drop("_tokens"))
 
 
 # --- matching ------------------------------------------------------------------
@@ -101,8 +129,7 @@ def query_terms(queries: DataFrame, analyzer: Analyzer = Analyzer()) -> DataFram
 
 def match_term(index: SearchIndex, terms: DataFrame) -> DataFrame:
     """``(query_id, term, boost, doc_id, tf, length)`` for each term's documents."""
-    held = terms.join(index.grams, terms["term"] == index.grams["gram"]).drop("gram")
-    hits = held.join(index.postings, "token")
+    hits = index.holding_tokens(terms).join(index.postings, "token")
     return hits.groupBy("query_id", "term", "boost", "doc_id").agg(
         F.sum(F.col("n") * F.col("tf")).alias("tf"), F.max("length").alias("length")
     )
@@ -115,16 +142,18 @@ def token_match(tokens: Column, term: str) -> Column:
     return F.exists(tokens, lambda t: t.contains(term))
 
 
-def match_phrase(tokens: DataFrame, grams: DataFrame, phrases: DataFrame) -> DataFrame:
+def match_phrase(tokens: DataFrame, phrases: DataFrame, index: SearchIndex | None = None) -> DataFrame:
     """``(query_id, doc_id)`` where consecutive positions hold the phrase's terms.
 
-    ``phrases`` is ``(query_id, i, term)`` with ``i`` from 0. A document matches
-    when all terms point at the same start position.
+    ``tokens`` is ``(doc_id, pos, token)`` and ``phrases`` is ``(query_id, i,
+    term)`` with ``i`` from 0. A document matches when all terms point at the
+    same start position.
     """
+    lookup = index or SearchIndex(tokens, tokens)
+    held = lookup.holding_tokens(phrases.select("term").distinct()).select("term", "token")
     lengths = phrases.groupBy("query_id").agg(F.max("i").alias("last"))
-    wanted = phrases.join(lengths, "query_id")
-    held = wanted.join(grams, wanted["term"] == grams["gram"]).select("query_id", "i", "last", "token")
-    placed = held.join(tokens, "token").select("query_id", "last", "doc_id", "i", (F.col("pos") - F.col("i")).alias("start"))
+    wanted = phrases.join(lengths, "query_id").join(held, "term")
+    placed = wanted.join(tokens, "token").select("query_id", "last", "doc_id", "i", (F.col("pos") - F.col("i")).alias("start"))
     runs = placed.groupBy("query_id", "last", "doc_id", "start").agg(F.count_distinct("i").alias("found"))
     return runs.filter(F.col("found") == F.col("last") + 1).select("query_id", "doc_id").distinct()
 

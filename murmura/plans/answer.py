@@ -16,6 +16,7 @@ from murmura.operators.scale import top_n_per_group
 from murmura.operators.search import SearchIndex, search_page
 from murmura.operators.sentiment import lexicon_polarity, majority_sentiment
 from murmura.operators.vectors import semantic_keywords
+from murmura.session import materialize
 
 TOPICS, TERMS_PER_TOPIC = 5, 20
 
@@ -71,15 +72,17 @@ def answer(
     opinion_only: bool = True,
     topic_words: bool = True,
     filter_words: Sequence[str] = tuple(W.SEARCH_FILTER_WORDS),
+    scoring: dict | None = None,
 ) -> DataFrame:
     """One row per valid request: overall sentiment, comments, keywords, communities, record count.
 
-    ``lexicon`` is ``(word, polarity, subjectivity)``. A request without hits gets empty lists and count 0.
+    ``lexicon`` is ``(word, polarity, subjectivity)``; ``scoring`` holds further options of the polarity. A request without hits gets empty lists and count 0.
     """
     page = search_page(index, requests, rows, rank=rank, analyzer=analyzer, opinion_only=opinion_only)
-    found = page_documents(page, docs)
+    # A page holds few rows per request and feeds every part of the answer.
+    found = materialize(page_documents(page, docs))
     # Class 0 is negative; a neutral comment counts as positive.
-    labelled = lexicon_polarity(found, "text", lexicon, "doc_id").withColumn(
+    labelled = lexicon_polarity(found, "text", lexicon, "doc_id", **(scoring or {})).withColumn(
         "sentiment", F.when(F.col("polarity") < 0, "negative").otherwise("positive")
     )
     comments = labelled.groupBy("query_id").agg(

@@ -70,7 +70,7 @@ def sql_polarity(source: str, key: str, column: str) -> str:
     turned = " OR ".join(f"coalesce({b} IN {sql_list(NEGATIONS)} OR ends_with({b}, 'n''t'), FALSE)" for b in ("b1", "b2"))
     return f"""lex(word, p, s) AS (VALUES {_values((w, p, s) for w, (p, s) in POLARITY.items())}),
 {_tokens(source, key, column)},
-scored AS (SELECT k, greatest(-1.0, least(1.0, l.p * ({factor}) * CASE WHEN {turned} THEN {N.NEGATED_POLARITY} ELSE 1.0 END)) AS p,
+marked AS (SELECT k, greatest(-1.0, least(1.0, l.p * ({factor}) * CASE WHEN {turned} THEN {N.NEGATED_POLARITY} ELSE 1.0 END)) AS p,
   least(1.0, l.s * ({factor})) AS s FROM near JOIN lex l USING (word)),
-means AS (SELECT k, avg(p) AS p, avg(s) AS s FROM scored GROUP BY k),
+means AS (SELECT k, avg(p) AS p, avg(s) AS s FROM marked GROUP BY k),
 polarity AS (SELECT {key}, coalesce(p, 0.0) AS polarity, coalesce(s, 0.0) AS subjectivity FROM {source} LEFT JOIN means ON {key} = means.k)"""
