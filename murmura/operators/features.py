@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from murmura import wordlists as W
 from murmura.functions import text
 from murmura.operators.scale import top_n_per_group
+from murmura.session import materialize
 
 # Past this width PCA would build too large a covariance matrix on the driver.
 MAX_PCA_WIDTH = 4_000
@@ -111,9 +112,12 @@ def assemble(
     width: int = 1_500,
     out: str = "features",
 ) -> DataFrame:
-    """Community TF-IDF, text TF-IDF, numbers and entity marks in one vector, block by block on the same row."""
-    tokens = df.withColumns(
-        {"_text_tokens": feature_tokens(F.col(column)), "_community_tokens": feature_tokens(F.col(community), stopwords=("",))}
+    """Community TF-IDF, text TF-IDF, numbers and entity marks in one vector, block by block on the same row.
+
+    Tokens and result are written out once: every fit is another pass over them.
+    """
+    tokens = materialize(
+        df.withColumns({"_text_tokens": feature_tokens(F.col(column)), "_community_tokens": feature_tokens(F.col(community), stopwords=("",))})
     )
     staged = fit_tfidf(tokens, "_text_tokens", "_text", width).transform(tokens)
     staged = fit_tfidf(staged, "_community_tokens", "_community", 256).transform(staged)
@@ -123,7 +127,7 @@ def assemble(
         marks = HashingTF(inputCol=entities, outputCol="_entities", numFeatures=width, binary=True)
     staged = marks.transform(staged)
     assembler = VectorAssembler(inputCols=["_community", "_text", *numeric, "_entities"], outputCol=out, handleInvalid="keep")
-    return assembler.transform(staged).select(*df.columns, out)
+    return materialize(assembler.transform(staged).select(*df.columns, out))
 
 
 def reduce(df: DataFrame, k: int = 50, features: str = "features", out: str = "reduced") -> DataFrame:

@@ -201,11 +201,9 @@ def early_stop_epoch(
 
 def _mark_improvements(best: DataFrame, keys: Sequence[str], epoch: str, floor: Column) -> DataFrame:
     """Flag improving rows: the first row that reaches each new best above the floor."""
-    first = best.groupBy(*keys, F.col("_best").alias("_level")).agg(F.min(epoch).alias("_first"))
-    conditions = [best[k] == first[k] for k in keys]
-    joined = best.join(first.filter(F.col("_level") > floor), [*conditions, best["_best"] == first["_level"], best[epoch] == first["_first"]], "left")
-    improved = F.col("_first").isNotNull().alias("_improved")
-    return joined.select(*[best[c] for c in best.columns], improved)
+    reached = best.groupBy(*keys, "_best").agg(F.min(epoch).alias("_first")).filter(F.col("_best") > floor)
+    first = reached.select(*keys, F.col("_first").alias(epoch), F.lit(True).alias("_mark"))
+    return best.join(first, [*keys, epoch], "left").withColumn("_improved", F.coalesce("_mark", F.lit(False))).drop("_mark")
 
 
 def final_metrics(series: DataFrame, keys: Sequence[str] = ("run", "metric"), step: str = "step", value: str = "value") -> DataFrame:

@@ -138,8 +138,8 @@ def closest_word(oov: DataFrame, vocab: DataFrame, cutoff: float = 0.8, similari
     words of that length.
     """
     slack = 1 - cutoff
-    left = oov.select("token").distinct().withColumn("_n", F.length("token"))
-    right = vocab.select(F.col("token").alias("match")).distinct().withColumn("_m", F.length("match"))
+    left = oov.select("token").distinct().withColumn("_n", F.length("token")).filter("_n > 0")
+    right = vocab.select(F.col("token").alias("match")).distinct().withColumn("_m", F.length("match")).filter("_m > 0")
 
     def edits(n: Column, m: Column) -> Column:
         size = F.greatest(n, m) if similarity == "levenshtein" else n + m
@@ -184,12 +184,15 @@ def closest_word(oov: DataFrame, vocab: DataFrame, cutoff: float = 0.8, similari
         .select("token", F.struct("_m", "_n", "i", "piece").alias("_block"))
         .distinct()
     )
-    pairs = probed.join(indexed, "_block").select("token", "match").distinct().filter("token <> match")
+    edit_count = F.levenshtein("token", "match")
+    pairs = probed.join(indexed, "_block").select("token", "match").filter("token <> match")
+    # Close pairs are few; only they need to be told apart from their repeats.
+    close = pairs.filter(edit_count <= edits(F.length("token"), F.length("match"))).distinct()
     if similarity == "levenshtein":
-        score = 1 - F.levenshtein("token", "match") / F.greatest(F.length("token"), F.length("match"))
+        score = 1 - edit_count / F.greatest(F.length("token"), F.length("match"))
     else:
         score = matching_ratio(F.col("token"), F.col("match"))
-    scored = pairs.withColumn("similarity", score).filter(F.col("similarity") >= cutoff - 1e-9)
+    scored = close.withColumn("similarity", score).filter(F.col("similarity") >= cutoff - 1e-9)
     return top_n_per_group(scored, ["token"], [F.desc("similarity"), F.col("match")], 1).drop("rank")
 
 

@@ -70,28 +70,20 @@ def j3_count(spark, d):
     return oov_count(embed_vocab(counts.select("token", F.lit(0).alias("id")), vectors))
 
 
-_FUZZY = f"""WITH {_VOCAB}, rare AS (SELECT token FROM counts WHERE n = 1), common AS (SELECT token AS match FROM counts WHERE n >= 5),
+_FUZZY = f"""WITH {_VOCAB}, folded AS (SELECT regexp_replace(strip_accents(token), '[^A-Za-z.,;:'']', '', 'g') AS token, sum(n) AS n FROM counts GROUP BY 1),
+rare AS (SELECT token FROM folded WHERE n = 1), common AS (SELECT token AS match FROM folded WHERE n >= 5),
 pairs AS (SELECT token, match, 1 - levenshtein(token, match) / greatest(len(token), len(match)) AS similarity FROM rare JOIN common
   ON len(match) BETWEEN len(token) - 1 AND len(token) + 1)
 SELECT token, match, round(similarity, 6) AS similarity FROM pairs WHERE similarity >= 0.8 - 1e-9
 QUALIFY row_number() OVER (PARTITION BY token ORDER BY similarity DESC, match) = 1"""
 
 
-def _rare_and_common(spark, d):
-    counts = C.word_counts(bodies(spark, d)).withColumnRenamed("word", "token")
-    return counts.filter("n = 1").select("token"), counts.filter("n >= 5").select("token")
-
-
 @query("j4_closest_word", _FUZZY)
 def j4(spark, d):
-    rare, common = _rare_and_common(spark, d)
-    return closest_word(rare, common).withColumn("similarity", F.round("similarity", 6))
-
-
-@query("j4_closest_word_ratio")
-def j4_ratio(spark, d):
-    rare, common = _rare_and_common(spark, d)
-    return closest_word(rare, common, similarity="ratio")
+    """Words seen once against words seen five times or more, without accents."""
+    counts = C.word_counts(bodies(spark, d)).groupBy(tx.ascii_fold(F.col("word")).alias("token")).agg(F.sum("n").alias("n"))
+    found = closest_word(counts.filter("n = 1"), counts.filter("n >= 5"))
+    return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query(
