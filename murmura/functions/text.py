@@ -87,7 +87,6 @@ def lemma_rule(t: Column) -> Column:
     return (
         F.when(t.endswith("sses") | t.endswith("xes") | t.endswith("zes") | t.endswith("ches") | t.endswith("shes"), cut(2))
         .when(t.endswith("ies") & (F.length(t) > 4), cut(3, "y"))
-        .when(t.endswith("men") & (F.length(t) > 3), cut(2, "an"))
         .when(t.endswith("ss") | t.endswith("us") | t.endswith("is") | (F.length(t) < 3), t)
         .when(t.endswith("s"), cut(1))
         .otherwise(t)

@@ -65,14 +65,15 @@ def corpus_profile(df: DataFrame, column: str = "comment_body", stopwords: Seque
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """``(bin, low, n)`` for equal-width bins from minimum to maximum; the maximum falls in the last bin.
 
-    Bins without rows are left out.
+    Bins without rows are left out. A constant column gets a range of one around its value.
     """
     value = F.col(column)
-    bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("bounds")).scalar()
+    margin = F.when(F.min(value) == F.max(value), 0.5).otherwise(0.0)
+    bounds = df.agg(F.struct((F.min(value) - margin).alias("low"), (F.max(value) + margin).alias("high")).alias("bounds")).scalar()
     ranged = df.filter(value.isNotNull()).select(value.alias("x"), bounds.alias("b"))
     width = (F.col("b.high") - F.col("b.low")) / bins
     binned = ranged.select(
-        F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("b.low"), width)), F.lit(bins - 1)), F.lit(0)).cast("int").alias("bin"),
+        F.least(F.floor((F.col("x") - F.col("b.low")) / width), F.lit(bins - 1)).cast("int").alias("bin"),
         "b",
     )
     counted = binned.groupBy("bin").agg(F.count("*").alias("n"), F.first("b").alias("b"))

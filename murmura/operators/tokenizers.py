@@ -42,8 +42,8 @@ def encode(df: DataFrame, column: str, id_col: str, vocab: DataFrame) -> DataFra
     """``(doc_id, ids)``; tokens that are not in the vocabulary get the unknown id. Texts without tokens get an empty list."""
     unk = vocab.filter(F.col("token") == UNK).agg(F.max("id")).scalar()
     tokens = df.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(text.tokenize_words(F.lower(column))).alias("pos", "token"))
-    known = tokens.join(vocab, "token", "left")
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", unk).alias("id")))
+    known = tokens.join(vocab, "token", "left").withColumn("id", F.coalesce("id", unk))
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
     grouped = known.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return grouped.select("doc_id", F.col("entries.id").alias("ids"))
 

@@ -137,7 +137,6 @@ def sql_lemma(t: str) -> str:
     return (
         f"CASE {irregular} WHEN {ends('sses', 'xes', 'zes', 'ches', 'shes')} THEN {cut(2)} "
         f"WHEN ends_with({t}, 'ies') AND len({t}) > 4 THEN {cut(3, 'y')} "
-        f"WHEN ends_with({t}, 'men') AND len({t}) > 3 THEN {cut(2, 'an')} "
         f"WHEN {ends('ss', 'us', 'is')} OR len({t}) < 3 THEN {t} "
         f"WHEN ends_with({t}, 's') THEN {cut(1)} ELSE {t} END"
     )

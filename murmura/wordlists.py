@@ -147,6 +147,6 @@ STARTER_LEXICON = {
 
 # Irregular noun plurals of our own choice; regular ones follow suffix rules.
 IRREGULAR_PLURALS = {
-    "children": "child", "feet": "foot", "teeth": "tooth", "mice": "mouse", "geese": "goose", "people": "people",
+    "men": "man", "women": "woman", "children": "child", "feet": "foot", "teeth": "tooth", "mice": "mouse", "geese": "goose", "people": "people",
     "lives": "life", "wives": "wife", "knives": "knife", "leaves": "leaf", "indices": "index", "analyses": "analysis",
 }
