@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,8 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     kept = [c for c in df.columns if c not in columns]
     row = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(row)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from murmura import wordlists as W
+from murmura.functions.once import let
 
 # Code-point ranges removed as emoji. The last range is wide on
 # purpose: it also takes CJK, kana, Hangul and full-width forms.
@@ -226,24 +227,31 @@ def min_tokens(c: Column, n: int = 5) -> Column:
     return F.size(whitespace_tokens(c)) >= n
 
 
-def contains_any(c: Column, terms: Sequence[str]) -> Column:
-    """Case-insensitive substring test. Terms that hold another term are implied by it and skipped."""
-    lowered = sorted({t.lower() for t in terms}, key=lambda t: (len(t), t))
+def _holds_any(lowered: Column, terms: Sequence[str]) -> Column:
+    """Substring test on lower-cased text. Terms that hold another term are implied by it and skipped."""
     minimal: list[str] = []
-    for term in lowered:
+    for term in sorted({t.lower() for t in terms}, key=lambda t: (len(t), t)):
         if not any(shorter in term for shorter in minimal):
             minimal.append(term)
-    text = F.lower(c)
     out = F.lit(False)
     for term in minimal:
-        out = out | text.contains(term)
+        out = out | lowered.contains(term)
     return out
 
 
+def contains_any(c: Column, terms: Sequence[str]) -> Column:
+    """Case-insensitive substring test."""
+    return let(F.lower(c), lambda t: _holds_any(t, terms))
+
+
 def tag_topics(c: Column, topics: dict[str, Sequence[str]] | None = None) -> Column:
     """Names of the topics with at least one term in the text, in the order given."""
     topics = W.TOPICS if topics is None else topics
-    return F.array_compact(F.array(*[F.when(contains_any(c, terms), F.lit(name)) for name, terms in topics.items()]))
+
+    def names(t: Column) -> Column:
+        return F.array(*[F.when(_holds_any(t, terms), F.lit(name)) for name, terms in topics.items()])
+
+    return F.array_compact(let(F.lower(c), names))
 
 
 def is_opinionated(compound: Column, threshold: float = 0.25) -> Column:
@@ -285,7 +293,6 @@ def ngrams(token: Column, low: int = 2, high: int = 15) -> Column:
 
 def entity_names(c: Column, gazetteer: Sequence[str] = W.PLATFORMS) -> Column:
     """Distinct gazetteer names found in the text and capitalised spans of up to three words, sorted."""
-    lowered = F.lower(c)
-    known = F.array_compact(F.array(*[F.when(lowered.contains(name), F.lit(name)) for name in gazetteer]))
+    known = F.array_compact(let(F.lower(c), lambda t: F.array(*[F.when(t.contains(name), F.lit(name)) for name in gazetteer])))
     spans = F.regexp_extract_all(c, F.lit(r"(\p{Lu}\p{L}+(?: \p{Lu}\p{L}+){0,2})"), F.lit(1))
     return F.array_sort(F.array_distinct(F.concat(known, spans)))

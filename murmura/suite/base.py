@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions.text import TREEBANK_STEPS
+from murmura.operators.scale import spread
 from murmura.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +33,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df, "doc_id") if name == "documents" else df
 
 
 def scratch(spark: SparkSession) -> str:
