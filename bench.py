@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the local cores.
-Every query runs once to warm up and once for the clock; results go to a sink that keeps nothing.
+Every query warms up on the sibling sf0.001 tables where they exist, then runs once for the clock;
+results go to a sink that keeps nothing.
 """
 
 from __future__ import annotations
@@ -58,12 +59,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1].split(",") if len(sys.argv) > 1 else HEADLINES
     rows = spark.read.parquet(f"{folder}/documents.parquet").count()
+    sibling = os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001")
+    warm = sibling if os.path.isdir(sibling) else folder
+    search_suite.index(spark, warm)
     start = time.time()
     search_suite.index(spark, folder)
     seconds = {"index_build": round(time.time() - start, 3)}
     for name in names:
         query = CATALOG[name][0]
-        run(query(spark, folder))
+        run(query(spark, warm))
         start = time.time()
         run(query(spark, folder))
         seconds[name] = round(time.time() - start, 3)

@@ -12,6 +12,7 @@ from murmura.operators.analysis import Analyzer, analyze_index, analyze_query
 from murmura.operators.labels import fuse_keywords
 from murmura.operators.vectors import semantic_keywords
 from murmura.plans import answer as A
+from murmura.session import materialize
 from murmura.sources.files import to_search_docs
 from murmura.suite.base import BODIES, COMMENTS, STOP, bodies, comments, query, scratch, small, sql_array, sql_split, sql_words, table
 from murmura.suite.lexicon import INTENSIFIERS, NEGATIONS, polarity_table, sql_polarity
@@ -384,7 +385,7 @@ semantic AS (SELECT * FROM sims QUALIFY row_number() OVER (PARTITION BY query_id
 
 def _page_keywords(spark, d):
     docs = to_search_docs(comments(spark, d))
-    found = A.page_documents(S.search_page(index(spark, d), requests(spark), analyzer=PLAIN), docs)
+    found = materialize(A.page_documents(S.search_page(index(spark, d), requests(spark), analyzer=PLAIN), docs))
     asked = A.request_words(requests(spark))
     counts = A.page_words(found).select("query_id", "keyword", "count")
     tokens = counts.select(F.col("keyword").alias("token")).union(asked.select("word")).distinct()
