@@ -9,7 +9,7 @@ from murmura.functions import text as tx
 from murmura.operators import corpus as C
 from murmura.operators.sampling import page, sample_n, split_by_hash, train_val_test
 from murmura.operators.sentiment import lexicon_compound, lexicon_polarity, majority_sentiment
-from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, small, sql_list, sql_words, table
+from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, small, sql_words, table
 from murmura.suite.lexicon import BOOSTERS, INTENSIFIERS, NEGATIONS, polarity_table, sql_compound, sql_polarity, valence_table
 from murmura.suite.text import _MEANINGFUL
 

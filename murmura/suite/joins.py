@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from murmura.functions import text as tx
 from murmura.operators import corpus as C
 from murmura.operators import labels as L
+from murmura.operators.features import class_weights
 from murmura.operators.vectors import closest_word, embed_vocab, oov_count
 from murmura.plans.labelling import binary_sets, label_comments, size_report, with_manual_labels
 from murmura.operators.sampling import split_by_hash
-from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, small, sql_clean, sql_words, table
+from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, sql_clean, sql_words, table
 from murmura.suite.lexicon import INTENSIFIERS, NEGATIONS, polarity_table, sql_polarity
 from murmura.suite.search import sql_slot, token_vectors
 
@@ -186,8 +187,6 @@ def a16(spark, d):
 SELECT label, round((SELECT sum(n) FROM n) / ((SELECT count(*) FROM n) * n), 6) AS weight FROM n""",
 )
 def m13_weights(spark, d):
-    from murmura.operators.features import class_weights
-
     return class_weights(manual_labels(spark, d)).withColumn("weight", F.round("weight", 6))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,6 @@ REQUESTS = {
 
 
 def requests(spark):
-    import pyarrow as pa
-
     columns = dict(REQUESTS)
     lists = pa.array(columns.pop("subreddits"), pa.list_(pa.string()))
     return spark.createDataFrame(pa.table({**columns, "subreddits": lists}))
@@ -238,6 +237,12 @@ def q10(spark, d):
     return _term_docs(idx, spark, "thread").withColumnRenamed("doc_id", "comment_id")
 
 
+@query("f7_filter_words", f"WITH {_TOKENS} SELECT DISTINCT doc_id FROM tokens WHERE {' OR '.join(f"contains(token, '{w}')" for w in FILTER_WORDS)}")
+def f7(spark, d):
+    """Documents with a token that holds one of the opinion filter words."""
+    return index(spark, d).docs.filter("opinion").select("doc_id")
+
+
 # --- ranking and pages ---------------------------------------------------------------
 
 

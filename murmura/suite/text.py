@@ -14,11 +14,9 @@ from murmura.suite.base import (
     BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, small, sql_clean, sql_contains_any,
     sql_lemma, sql_lemmas, sql_list, sql_split, sql_tokens, sql_words, table,
 )
-from murmura.suite.lexicon import NEGATIVE, POSITIVE, VALENCES, sql_compound, BOOSTERS, NEGATIONS, valence_table
+from murmura.suite.lexicon import BOOSTERS, NEGATIONS, sql_compound, valence_table
 
-# Stand-ins for lists whose words do not occur in the invented text.
-PLATFORMS = ["ib", "tos", "public"]
-OPINIONS = ["best", "hate", "great"]
+# Stand-in topics whose words occur in the invented text.
 TOPIC_TERMS = {"places": ["land", "wald", "ville"], "people": ["idiot", "clown"], "links": ["http", "www"]}
 
 _MARKED = "text || ' see HTTP://x.y/z?q=1 now 😀漢 www.q.com'"
@@ -108,9 +106,6 @@ def p17(spark, d):
 @query(
     "p18_label_index",
     """WITH firsts AS (SELECT source, min(doc_id) AS f FROM documents GROUP BY source)
-SELECT doc_id, source, CAST(row_number() OVER (ORDER BY f, source) - 1 AS INTEGER) AS index
-FROM (SELECT source, f FROM firsts) JOIN documents USING (source) WHERE FALSE
-UNION ALL
 SELECT d.doc_id, d.source, i.index FROM documents d JOIN
   (SELECT source, CAST(row_number() OVER (ORDER BY f, source) - 1 AS INTEGER) AS index FROM firsts) i USING (source)""",
 )

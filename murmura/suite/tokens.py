@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from murmura.operators import labels as L
 from murmura.operators import tokenizers as T
 from murmura.operators.sampling import split_by_hash
-from murmura.suite.base import BODIES, bodies, query, scratch, sql_tokens, table
+from murmura.session import materialize
+from murmura.suite.base import query, sql_tokens, table
 from murmura.suite.sources import _VOCAB_SQL
 
 
@@ -29,10 +30,7 @@ ids AS (SELECT doc_id, pos, coalesce(id, (SELECT id FROM full_vocab WHERE token
 def _encoded(spark, d):
     """All texts in ids of the vocabulary of the training part."""
     docs = split_by_hash(table(spark, d, "documents"), "doc_id", {"train": 0.8, "val": 0.2})
-    vocab = T.build_vocab(T.text_tokens(docs.filter("split = 'train'"), "text", "doc_id"))
-    from murmura.session import materialize
-
-    vocab = materialize(vocab)
+    vocab = materialize(T.build_vocab(T.text_tokens(docs.filter("split = 'train'"), "text", "doc_id")))
     return docs.select("doc_id", "split").join(T.encode(docs, "text", "doc_id", vocab), "doc_id"), vocab
 
 
