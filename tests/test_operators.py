@@ -3,6 +3,7 @@
 import difflib
 import json
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,7 +342,7 @@ def test_stream_lands_each_document_once(spark, tmp_path, valences):
     bodies = ["my broker review : this is good and great", "my broker review : this is a plain sentence"]
     data = [{**row, "comment_id": f"c{i}", "comment_body": b} for i, b in enumerate(bodies)]
     files.write_comments_csv(spark.createDataFrame(data, schemas.COMMENTS), str(tmp_path / "in"))
-    name = f"test-{random.random()}"
+    name = f"test-{uuid.uuid4().hex}"
     stream_documents(spark, str(tmp_path / "in"), valences, str(tmp_path / "out"), name).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("id")) == [("c0",)]
 
