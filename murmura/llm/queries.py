@@ -1,6 +1,6 @@
 """Registered queries of this subpackage, with the SQL each must agree with where SQL can express it."""
 
-from murmura.llm import lines, mixing  # noqa: F401
+from murmura.llm import contamination, lines, mixing, quality  # noqa: F401
 from murmura.llm.base import CATALOG
 
 __all__ = ["CATALOG"]
