@@ -103,7 +103,7 @@ class Words:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         total = np.zeros(n, np.uint64)
         for j in range(width):
-            total += mix(self.hashes[j : j + n] + np.uint64(j + 1) * _BASE)
+            total += mix(self.hashes[j : j + n] + np.uint64((j + 1) * int(_BASE) % 2**64))
         owner = self.text_of_word()
         inside = np.flatnonzero(owner[:n] == owner[width - 1 :])
         return mix(total[inside]), inside
