@@ -49,10 +49,15 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE_CLASS}+"))
 
 
-def _repeated_words(words: Column, n: Column) -> Column:
-    """Words inside runs of five that occur again in the text."""
-    runs = F.transform(F.sequence(F.lit(0), n - RUN), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(RUN)]))
-    return F.when(n <= RUN, F.lit(0)).otherwise(_let(runs, lambda r: F.when(F.size(F.array_distinct(r)) == F.size(r), F.lit(0)).otherwise(_covered(r))))
+def _runs(words: Column, n: Column) -> Column:
+    """Hashes of all runs of five words."""
+    hashed = F.transform(F.sequence(F.lit(0), n - RUN), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(RUN)]))
+    return F.when(n > RUN, hashed).otherwise(F.array().cast("array<bigint>"))
+
+
+def _repeated_words(runs: Column) -> Column:
+    """Words inside runs that occur again in the text."""
+    return F.when(F.size(F.array_distinct(runs)) == F.size(runs), F.lit(0)).otherwise(_covered(runs))
 
 
 def _let(value: Column, body) -> Column:
@@ -136,8 +141,9 @@ def judged(
 ) -> DataFrame:
     """Rows of ``docs`` as a struct ``doc``, with their counts, distances and verdict."""
     refs = materialize(references(docs))
-    counts = once(with_words(docs), _n_repeated=_repeated_words(F.col("_words"), F.col("_n")), **{f"_{c}": v for c, v in class_counts().items()})
-    rows = counts.join(refs, "_lang", "left")
+    runs = once(with_words(docs), _runs=_runs(F.col("_words"), F.col("_n")))
+    counts = once(runs, _n_repeated=_repeated_words(F.col("_runs")), **{f"_{c}": v for c, v in class_counts().items()})
+    rows = counts.drop("_runs").join(refs, "_lang", "left")
     n_chars = F.length("_text")
     classes = F.array(*[F.col(f"_{c}") / n_chars for c in CLASS_NAMES])
     spaced = F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))
