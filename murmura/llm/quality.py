@@ -31,6 +31,8 @@ MAX_REPEATED_PERCENT = 20
 RUN = 5
 
 COMMON_WORDS = 32
+# Reference words of all languages that are held in the plan to thin a text before it is searched; with more, it is searched whole.
+INLINE_WORDS = 10_000
 MIN_CHARACTERS = 200
 MIN_JUDGED_WORDS = 40
 MIN_REFERENCE_WORDS = 2_000
@@ -146,7 +148,7 @@ def judged(
     rows = counts.drop("_runs").join(refs, "_lang", "left")
     n_chars = F.length("_text")
     classes = F.array(*[F.col(f"_{c}") / n_chars for c in CLASS_NAMES])
-    spaced = F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))
+    spaced = F.concat(F.lit(" "), F.array_join(_thinned(refs), "  "), F.lit(" "))
     hits = lambda line, w: (F.octet_length(line) - F.octet_length(F.replace(line, F.concat(F.lit(" "), w, F.lit(" "))))) / (F.octet_length(w) + 2)
     shares = _let(spaced, lambda line: F.transform("ref_words", lambda w: hits(line, w) / F.col("_n")))
     histogram = _let(shares, lambda s: F.concat(s, F.array(1 - _total(s))))
@@ -174,6 +176,13 @@ def judged(
     )
 
 
+def _thinned(refs: DataFrame) -> Column:
+    """The words of a text that are a reference word of any language, or all of them; either way counts agree."""
+    inline = refs.select(F.explode("ref_words").alias("word")).distinct().limit(INLINE_WORDS + 1).collect()
+    words = F.col("_words")
+    return words if len(inline) > INLINE_WORDS else F.filter(words, lambda w: w.isin([r["word"] for r in inline]))
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that the rules reject."""
     return judged(docs).filter("kept").select("doc.*")
