@@ -66,3 +66,12 @@ def numbered(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     inside = Window.partitionBy("_range").orderBy(*order)
     out = ranged.withColumn("_inside", F.row_number().over(inside)).join(offsets, "_range")
     return out.withColumn(rank, F.col("_offset") + F.col("_inside") - 1).drop("_range", "_inside", "_offset")
+
+
+# Rows of two or three numbers that may be broadcast: some tens of megabytes.
+_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """A materialised table of a few numbers a row, hinted for broadcast up to a counted size and left to a shuffle beyond it."""
+    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm.base import query, row_key, table
+from murmura.llm.base import broadcast_if_small, query, row_key, table
 from murmura.llm.bytescan import FOLD_BYTES, SPACED, mix, row_blocks, utf8, words
 from murmura.llm.components import components
 from murmura.session import materialize
@@ -324,25 +324,36 @@ def _verified(width: int, similarity: float) -> Callable[[Iterator[pa.RecordBatc
     return rows
 
 
-def near_copies(texts: DataFrame, similarity: float = STAGE_SIMILARITY, width: int = STAGE_WIDTH, budget: int = STAGE_BUDGET) -> DataFrame:
-    """Links (a, b) between the keys of distinct texts (row_key, text) whose word shingles are similar enough.
-
-    Candidates are linked fingerprints, each standing for the first of its
-    texts, and texts of one fingerprint with the first of them.
-    """
-    prints = materialize(word_fingerprints(texts))
-    candidates = None
+def near_candidates(prints: DataFrame, budget: int = STAGE_BUDGET) -> DataFrame:
+    """Pairs (a, b) of keys to compare, from (row_key, fingerprints): per fingerprint, its first key with each other
+    key of it, and the first keys of linked fingerprints."""
+    out = None
     for r in range(STAGE_FINGERPRINTS):
         one = prints.select("row_key", F.get("fingerprints", F.lit(r)).alias("fingerprint"))
         first = materialize(one.groupBy("fingerprint").agg(F.min("row_key").alias("first")))
-        same = one.join(first, "fingerprint").select(F.col("first").alias("a"), F.col("row_key").alias("b"))
-        links = near_links(first, budget)
-        named = links.join(first.select(F.col("fingerprint").alias("a"), F.col("first").alias("_a")), "a")
-        named = named.join(first.select(F.col("fingerprint").alias("b"), F.col("first").alias("_b")), "b")
-        both = same.unionAll(named.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).filter(F.col("a") != F.col("b"))
-        both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        candidates = both if candidates is None else candidates.unionAll(both)
-    candidates = materialize(candidates.distinct())
+        same = one.join(first, "fingerprint").select(F.col("first").alias("_a"), F.col("row_key").alias("_b"))
+        named = near_links(first, budget).join(first.select(F.col("fingerprint").alias("a"), F.col("first").alias("_a")), "a")
+        named = named.join(first.select(F.col("fingerprint").alias("b"), F.col("first").alias("_b")), "b").select("_a", "_b")
+        both = same.unionAll(named).filter(F.col("_a") != F.col("_b"))
+        both = both.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+        out = both if out is None else out.unionAll(both)
+    return out.distinct()
+
+
+def near_copies(
+    keyed: DataFrame, firsts: DataFrame, similarity: float = STAGE_SIMILARITY, width: int = STAGE_WIDTH, budget: int = STAGE_BUDGET
+) -> DataFrame:
+    """Links (a, b) between the keys of distinct texts whose word shingles are similar enough.
+
+    ``keyed`` has a row per document (row_key of its text, its own _row, text),
+    ``firsts`` names one document (row_key, _row) of each text. Only texts of
+    candidate pairs are moved, each once, and compared whole.
+    """
+    prints = materialize(word_fingerprints(keyed))
+    candidates = materialize(near_candidates(prints, budget))
+    keys = candidates.select(F.col("a").alias("row_key")).unionAll(candidates.select(F.col("b").alias("row_key"))).distinct()
+    wanted = broadcast_if_small(materialize(firsts.join(keys, "row_key").select("row_key", "_row")))
+    texts = materialize(keyed.join(wanted, ["row_key", "_row"], "left_semi").select("row_key", "text").dropDuplicates(["row_key"]))
     paired = candidates.join(texts.select(F.col("row_key").alias("a"), F.col("text").alias("text_a")), "a")
     paired = paired.join(texts.select(F.col("row_key").alias("b"), F.col("text").alias("text_b")), "b")
     return paired.select("a", "b", "text_a", "text_b").mapInArrow(_verified(width, similarity), "a bigint, b bigint")
@@ -350,14 +361,14 @@ def near_copies(texts: DataFrame, similarity: float = STAGE_SIMILARITY, width: i
 
 def drop_near_copies(docs: DataFrame, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """``docs`` with one document of each group of exact or near copies: the one of the least id."""
-    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text"), row_key().alias("_row"))
-    firsts = materialize(keyed.groupBy("_text").agg(F.min(F.struct("_id", "_row")).alias("first"), F.min("doc.text").alias("text")))
-    links = near_copies(firsts.select(F.col("_text").alias("row_key"), "text"), similarity)
-    roots = components(links).withColumnRenamed("node", "_text")
-    rooted = firsts.select("_text", "first").join(roots, "_text", "left").withColumn("root", F.coalesce("root", "_text"))
-    kept = materialize(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first._row").alias("_row")))
-    rows = keyed.join(kept, "_row", "left_semi")
-    again = materialize(keyed.groupBy("_row").count().filter("count > 1").select("_row"))
+    packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("row_key"), row_key().alias("_row"))
+    keyed = packed.withColumn("text", F.col("doc.text"))
+    firsts = materialize(packed.groupBy("row_key").agg(F.min(F.struct("_id", "_row")).alias("first")).select("row_key", "first._id", "first._row"))
+    roots = components(near_copies(keyed, firsts, similarity)).withColumnRenamed("node", "row_key")
+    rooted = firsts.join(roots, "row_key", "left").withColumn("root", F.coalesce("root", "row_key"))
+    kept = materialize(rooted.groupBy("root").agg(F.min(F.struct("_id", "_row")).alias("first")).select(F.col("first._row").alias("_row")))
+    rows = packed.join(broadcast_if_small(kept), "_row", "left_semi")
+    again = materialize(packed.groupBy("_row").count().filter("count > 1").select("_row"))
     once = rows.join(again, "_row", "left_anti").select("doc.*")
     return once.unionAll(rows.join(again, "_row", "left_semi").dropDuplicates(["_row"]).select("doc.*"))
 
