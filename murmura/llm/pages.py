@@ -42,6 +42,8 @@ BLOCK = frozenset(
 # Start tags that end an open element of these names.
 ENDS_OPEN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CONTENT_NODES = frozenset(["article", "main"])
+# Elements that hold a block each, so their parent is the container.
+SINGLE_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody blockquote pre caption figcaption summary legend option".split())
 
 # Our own choice: elements, roles and words of class and id that mark what is not the article.
 ASIDE_ELEMENTS = frozenset("nav footer aside form head button select menu dialog object".split())
@@ -196,7 +198,7 @@ def content_node(nodes: list[Node], blocks: list[Block], threshold: float = THRE
     articles = [n for n in weight if nodes[n].name in CONTENT_NODES]
     if articles:
         return max(articles, key=lambda n: (weight[n], n))
-    return max((n for n in weight if weight[n] >= held * weight[0]), default=0)
+    return max((n for n in weight if weight[n] >= held * weight[0] and nodes[n].name in BLOCK - SINGLE_BLOCK), default=0)
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD, held: float = HELD_SHARE) -> str:
