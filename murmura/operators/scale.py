@@ -13,20 +13,6 @@ from pyspark.sql import functions as F
 _GROUP_LIMIT = 1000
 
 
-# Default size of a scan split; an input of this much per core is parallel enough by itself.
-_SPLIT_BYTES = 128 << 20
-
-
-def _scan_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of fewer files than cores over all cores by ``key``; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores and _scan_bytes(df) < cores * _SPLIT_BYTES else df
-
-
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank", salts: int = 64
 ) -> DataFrame:

@@ -23,7 +23,6 @@ from murmura.operators.scale import top_n_per_group
 
 K1, B = 1.2, 0.75
 MIN_GRAM, MAX_GRAM = 2, 15
-FEW_TERMS = 100
 
 
 # --- index ---------------------------------------------------------------------
@@ -86,14 +85,10 @@ class SearchIndex:
         if self.grams is not None:
             return terms.join(self.grams, terms["term"] == self.grams["gram"]).drop("gram")
         asked = terms.filter(F.length("term").between(MIN_GRAM, MAX_GRAM)).select("term").distinct()
-        # A batch of few terms first drops the tokens that hold none of them.
-        few = F.when(F.count("*") <= FEW_TERMS, F.collect_set("term")).alias("few")
-        lookup = asked.agg(F.struct(few, F.collect_set(F.length("term")).alias("sizes"))).scalar()
-        vocabulary = self.postings.select("token").distinct().withColumn("_lookup", lookup)
-        holding = vocabulary.filter(
-            F.col("_lookup.few").isNull() | F.exists("_lookup.few", lambda t: F.col("token").contains(t))
-        )
-        grams = holding.select("token", F.explode(text.grams_of_sizes(F.col("token"), F.col("_lookup.sizes"))).alias("gram"))
+        # At most as many sizes as gram lengths: a few numbers, whatever the batch.
+        sizes = asked.agg(F.collect_set(F.length("term"))).scalar()
+        vocabulary = self.postings.select("token").distinct().withColumn("_sizes", sizes)
+        grams = vocabulary.select("token", F.explode(text.grams_of_sizes(F.col("token"), F.col("_sizes"))).alias("gram"))
         held = grams.join(terms, terms["term"] == grams["gram"])
         return held.groupBy(*terms.columns, "token").agg(F.count("*").alias("n"))
 
@@ -161,10 +156,9 @@ def match_phrase(tokens: DataFrame, phrases: DataFrame, index: SearchIndex | Non
 def match_bool(must: Sequence[DataFrame] = (), should: Sequence[DataFrame] = (), key: str = "doc_id") -> DataFrame:
     """Documents in every ``must`` clause and, when there is no ``must``, in at least one ``should`` clause."""
     clauses = [*must, *should]
-    tagged = [c.select(key, F.lit(1 << i).cast("bigint").alias("_clause")) for i, c in enumerate(clauses)]
-    seen = reduce(DataFrame.unionByName, tagged).groupBy(key).agg(F.bit_or("_clause").alias("_seen"))
-    needed = (1 << len(must)) - 1
-    return seen.filter(F.col("_seen").bitwiseAND(F.lit(needed).cast("bigint")) == needed).select(key)
+    tagged = [c.select(key, F.lit(i).alias("_clause")) for i, c in enumerate(clauses)]
+    seen = reduce(DataFrame.unionByName, tagged).distinct().groupBy(key).agg(F.count_if(F.col("_clause") < len(must)).alias("_seen"))
+    return seen.filter(F.col("_seen") == len(must)).select(key)
 
 
 def match_range(c: Column, low=None, high=None) -> Column:

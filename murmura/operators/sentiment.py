@@ -26,6 +26,12 @@ NEGATED_POLARITY = -0.5
 INLINE_LEXICON = 10_000
 
 
+def one_entry_per_word(lexicon: DataFrame) -> DataFrame:
+    """A lexicon with each word once: values of a word listed more often are averaged."""
+    word, *values = lexicon.columns
+    return lexicon.groupBy(word).agg(*[F.avg(v).alias(v) for v in values])
+
+
 def bounded_rows(lexicon: DataFrame, limit: int = INLINE_LEXICON) -> list | None:
     """The lexicon's rows when there are at most ``limit``, else None."""
     rows = lexicon.limit(limit + 1).collect()
@@ -77,17 +83,12 @@ def _adjusted(valence: Column, before: Column, known: Column, boosters: dict[str
 
     ``known`` flags which of those words are in the lexicon themselves; they do not modify.
     """
-    raise_words = [w for w, s in boosters.items() if s > 0]
-    lower_words = [w for w, s in boosters.items() if s < 0]
-    size = abs(next(iter(boosters.values()))) if boosters else 0.0
     damping = F.array(*[F.lit(DAMPING[k]) for k in (1, 2, 3)])
 
     def boost(word: Column) -> Column:
         out = F.lit(0.0)
-        if raise_words:
-            out = F.when(word.isin(*raise_words), size).otherwise(out)
-        if lower_words:
-            out = F.when(word.isin(*lower_words), -size).otherwise(out)
+        for size in sorted(set(boosters.values())):
+            out = F.when(word.isin(*[w for w, s in boosters.items() if s == size]), size).otherwise(out)
         return out
 
     def step(v: Column, k: Column) -> Column:
@@ -134,6 +135,7 @@ def lexicon_compound(
     """
     boosters = W.BOOSTERS if boosters is None else boosters
     c = F.col(column)
+    lexicon = one_entry_per_word(lexicon)
     rows = bounded_rows(lexicon, inline_limit)
     tokens = _sentiment_tokens(c)
     mixed_caps = F.exists("_tokens", _is_caps) & ~F.forall("_tokens", _is_caps)
@@ -162,17 +164,18 @@ def lexicon_compound(
         return _squash(prepared, F.aggregate("_hits", F.lit(0.0), add), c, out).drop("_tokens", "_hits", "_mixed", "_but")
 
     entries = lexicon.toDF("_word", "_valence")
-    prepared = once(df.select(F.col(id_col).alias("_id"), c.alias("_text")), _tokens=_sentiment_tokens(F.col("_text"))).drop("_text")
+    # Each id and text once: rows that share an id are scored by their own text.
+    prepared = once(df.select(F.col(id_col).alias("_id"), F.xxhash64(c).alias("_key"), c.alias("_text")).dropDuplicates(["_id", "_key"]), _tokens=_sentiment_tokens(F.col("_text"))).drop("_text")
     # The row's flags come before the words are exploded, or they would be computed once per word.
-    found = once(prepared, _mixed=mixed_caps, _but=but).select("_id", "_mixed", "_but", F.inline(_neighbours(F.col("_tokens")))).join(entries, F.col("word") == F.col("_word"))
+    found = once(prepared, _mixed=mixed_caps, _but=but).select("_id", "_key", "_mixed", "_but", F.inline(_neighbours(F.col("_tokens")))).join(entries, F.col("word") == F.col("_word"))
     for k in (1, 2, 3):
         named = entries.select(F.col("_word").alias(f"_w{k}"))
         found = found.join(named, F.get("before", F.lit(k - 1)) == F.col(f"_w{k}"), "left")
     known = F.array(*[F.col(f"_w{k}").isNotNull() for k in (1, 2, 3)])
     value = weighted(F.col("_valence").cast("double"), F.col("pos"), F.col("caps"), F.col("_mixed"), F.col("_but"), F.col("before"), known)
-    sums = found.groupBy("_id").agg(F.sum(value).alias("_sum"))
-    joined = df.join(sums, df[id_col] == sums["_id"], "left")
-    return _squash(joined, F.coalesce("_sum", F.lit(0.0)), c, out).drop("_id", "_sum")
+    sums = found.groupBy("_id", "_key").agg(F.sum(value).alias("_sum"))
+    joined = df.join(sums, df[id_col].eqNullSafe(sums["_id"]) & (F.xxhash64(df[column]) == sums["_key"]), "left")
+    return _squash(joined, F.coalesce("_sum", F.lit(0.0)), c, out).drop("_id", "_key", "_sum")
 
 
 def lexicon_polarity(
@@ -190,6 +193,7 @@ def lexicon_polarity(
     words before multiplies the polarity by -0.5. Values stay within bounds.
     """
     intensifiers = {w: 1.3 if s > 0 else 0.7 for w, s in W.BOOSTERS.items()} if intensifiers is None else intensifiers
+    lexicon = one_entry_per_word(lexicon)
     rows = bounded_rows(lexicon, inline_limit)
 
     def scored(p: Column, s: Column, before: Column) -> Column:
@@ -224,12 +228,13 @@ def lexicon_polarity(
         return once(marked, polarity=mean("p"), subjectivity=mean("s")).drop("_marks")
 
     entries = lexicon.toDF("_word", "_polarity", "_subjectivity")
-    tokenized = once(df.select(F.col(id_col).alias("_id"), F.col(column).alias("_text")), _tokens=_sentiment_tokens(F.col("_text")))
-    found = tokenized.select("_id", F.inline(_neighbours(F.col("_tokens")))).join(entries, F.col("word") == F.col("_word"))
-    marks = found.select("_id", scored(F.col("_polarity"), F.col("_subjectivity"), F.col("before")).alias("m"))
-    means = marks.groupBy("_id").agg(F.avg("m.p").alias("_p"), F.avg("m.s").alias("_s"))
-    joined = df.join(means, df[id_col] == means["_id"], "left")
-    return joined.withColumns({"polarity": F.coalesce("_p", F.lit(0.0)), "subjectivity": F.coalesce("_s", F.lit(0.0))}).drop("_id", "_p", "_s")
+    texts = df.select(F.col(id_col).alias("_id"), F.xxhash64(column).alias("_key"), F.col(column).alias("_text")).dropDuplicates(["_id", "_key"])
+    tokenized = once(texts, _tokens=_sentiment_tokens(F.col("_text")))
+    found = tokenized.select("_id", "_key", F.inline(_neighbours(F.col("_tokens")))).join(entries, F.col("word") == F.col("_word"))
+    marks = found.select("_id", "_key", scored(F.col("_polarity"), F.col("_subjectivity"), F.col("before")).alias("m"))
+    means = marks.groupBy("_id", "_key").agg(F.avg("m.p").alias("_p"), F.avg("m.s").alias("_s"))
+    joined = df.join(means, df[id_col].eqNullSafe(means["_id"]) & (F.xxhash64(df[column]) == means["_key"]), "left")
+    return joined.withColumns({"polarity": F.coalesce("_p", F.lit(0.0)), "subjectivity": F.coalesce("_s", F.lit(0.0))}).drop("_id", "_key", "_p", "_s")
 
 
 def majority_sentiment(df: DataFrame, key: str, column: str = "sentiment") -> DataFrame:

@@ -249,7 +249,7 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 20, block: int
         [T.StructField("query_id", kinds["query_id"]), T.StructField("id", kinds["id"]), T.StructField("cosine", T.DoubleType())]
     )
     source = vectors.filter(F.col("vector").isNotNull()).select("id", "vector")
-    asked = queries.filter(F.col("vector").isNotNull()).select("query_id", "vector")
+    asked = queries.filter(F.col("vector").isNotNull()).select("query_id", "vector").distinct()
     whole = bounded_rows(asked, block)
     blocks = [whole] if whole is not None else _query_blocks(asked, block)
     parts = [source.mapInPandas(_block_topk([(r[0], r[1]) for r in rows], k), schema) for rows in blocks if rows]
@@ -262,11 +262,12 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 20, block: int
 
 
 def _query_blocks(asked: DataFrame, block: int) -> Iterator[list]:
-    """Queries in blocks of at most ``block`` rows, by hash; a block that is too full is halved by the next hash bit."""
+    """Queries in blocks of at most ``block`` rows, by hash of id and vector; a block that is too full is halved by the next
+    hash bit. Queries are distinct, so rows that share an id part by their vectors."""
     pending = [(part, 1 << bits) for bits in [max(1, (2 * asked.count() // block).bit_length())] for part in range(1 << bits)]
     while pending:
         part, of = pending.pop()
-        rows = bounded_rows(asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(of)) == part), block)
+        rows = bounded_rows(asked.filter(F.pmod(F.xxhash64("query_id", "vector"), F.lit(of)) == part), block)
         if rows is None:
             pending += [(part, 2 * of), (part + of, 2 * of)]
         else:

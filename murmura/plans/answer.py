@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text
-from murmura.operators import features
 from murmura.operators.analysis import Analyzer
 from murmura.operators.labels import fuse_keywords
 from murmura.operators.scale import top_n_per_group
@@ -18,8 +17,6 @@ from murmura.operators.sentiment import lexicon_polarity, majority_sentiment
 from murmura.operators.vectors import semantic_keywords
 from murmura.session import materialize
 
-TOPICS, TERMS_PER_TOPIC = 5, 20
-
 
 def page_documents(page: DataFrame, docs: DataFrame, field: str = "comment_content", id_col: str = "id") -> DataFrame:
     """The page with its comment text."""
@@ -37,22 +34,13 @@ def page_words(found: DataFrame) -> DataFrame:
 def page_topic_keywords(found: DataFrame) -> DataFrame:
     """``(query_id, keyword, count)``: topic words of every page with more than two comments.
 
-    A page's vocabulary holds the words in two or more of its comments but not
-    in all. Up to 20 such words, every one of them is among each topic's
-    strongest 20, so the whole vocabulary is the answer. Larger vocabularies are
-    cut to the strongest words of topics fitted over all pages of the batch.
+    They are the page's words in two or more of its comments but not in nearly
+    all, which is what topic models of the page are fitted on. All are returned:
+    the fusion ranks them by count anyway, and no request's words depend on the
+    others of its batch.
     """
     words = page_words(found).filter((F.col("n") > 2) & (F.col("df") >= 2) & (F.col("df") <= 0.95 * F.col("n")))
-    sizes = words.groupBy("query_id").agg(F.count("*").alias("size"))
-    sized = words.join(sizes, "query_id")
-    small = sized.filter(F.col("size") <= TERMS_PER_TOPIC).select("query_id", "keyword", "count")
-    large = sized.filter(F.col("size") > TERMS_PER_TOPIC)
-    if large.isEmpty():
-        return small
-    joined = found.join(large.select("query_id").distinct(), "query_id", "left_semi")
-    texts = joined.select("doc_id", F.array_join(text.keyword_candidates(F.col("text")), " ").alias("words")).dropDuplicates(["doc_id"])
-    strongest = features.topics(texts, "words", TOPICS, TERMS_PER_TOPIC, min_df=1.0, max_df=1.0).select(F.col("term").alias("keyword")).distinct()
-    return small.unionByName(large.join(strongest, "keyword", "left_semi").select("query_id", "keyword", "count"))
+    return words.select("query_id", "keyword", "count")
 
 
 def request_words(requests: DataFrame, filter_words: Sequence[str] = tuple(W.SEARCH_FILTER_WORDS)) -> DataFrame:

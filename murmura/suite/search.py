@@ -157,13 +157,12 @@ v AS (SELECT DISTINCT token FROM tokens),
 g AS (SELECT token, gram, count(*) AS n FROM (SELECT token, unnest(list_transform(range(1, CAST(len(token) - n + 2 AS BIGINT)), lambda i: substr(token, i, n))) AS gram
   FROM v JOIN sizes ON len(token) >= n) GROUP BY ALL),
 full_postings AS (SELECT gram, doc_id, sum(n * tf) AS tf FROM g JOIN postings USING (token) GROUP BY ALL)
-SELECT gram, count(*) AS docs, CAST(sum(tf) AS BIGINT) AS occurrences, CAST(max(tf) AS BIGINT) AS most FROM full_postings WHERE len(gram) <= 3 GROUP BY gram""",
+SELECT gram, count(*) AS docs, CAST(sum(tf) AS BIGINT) AS occurrences, CAST(max(tf) AS BIGINT) AS most FROM full_postings GROUP BY gram""",
 )
 def q5(spark, d):
-    """Postings of all grams, reported per gram of up to three characters."""
+    """Postings of all grams, summed per gram."""
     postings = S.build_postings(analyze_index(bodies(spark, d), "comment_body", "comment_id", PLAIN))
-    per_gram = postings.groupBy("gram").agg(F.count("*").alias("docs"), F.sum("tf").alias("occurrences"), F.max("tf").alias("most"))
-    return per_gram.filter(F.length("gram") <= 3)
+    return postings.groupBy("gram").agg(F.count("*").alias("docs"), F.sum("tf").alias("occurrences"), F.max("tf").alias("most"))
 
 
 def _term_docs(idx: S.SearchIndex, spark, term: str) -> DataFrame:
@@ -291,26 +290,27 @@ def q13(spark, d):
 
 @query(
     "q14_query_batch",
-    f"""WITH {_TOKENS}, terms AS (SELECT DISTINCT role AS query_id, role AS term, 1 AS boost FROM conversations
-  UNION ALL SELECT DISTINCT event_type, event_type, 1 FROM events UNION ALL SELECT 'n' || n_nationkey, lower(n_name), 1 FROM nation
-  UNION ALL SELECT DISTINCT 'l' || lang, lang, 1 FROM documents),
+    f"""WITH {_TOKENS}, asked AS (SELECT DISTINCT role AS query_id, role AS query FROM conversations
+  UNION ALL SELECT DISTINCT event_type, event_type FROM events UNION ALL SELECT 'n' || n_nationkey, lower(n_name) FROM nation
+  UNION ALL SELECT DISTINCT 'l' || lang, lang FROM documents),
+terms AS (SELECT query_id, term, count(*) AS boost FROM (SELECT query_id, unnest({sql_split('lower(query)')}) AS term FROM asked) GROUP BY ALL),
 postings AS (SELECT token, doc_id, count(*) AS tf FROM tokens GROUP BY ALL), vocabulary AS (SELECT DISTINCT token FROM tokens),
-held AS (SELECT t.query_id, t.term, v.token, {_overlaps('v.token', 't.term')} AS n FROM terms t JOIN vocabulary v ON contains(v.token, t.term)
-  WHERE len(t.term) BETWEEN 2 AND 15 AND t.term NOT IN {STOP} AND NOT contains(t.term, ' ')),
-hits AS (SELECT query_id, doc_id, sum(n * tf) AS tf FROM held JOIN postings USING (token) GROUP BY ALL),
+held AS (SELECT t.query_id, t.term, t.boost, v.token, {_overlaps('v.token', 't.term')} AS n FROM terms t JOIN vocabulary v ON contains(v.token, t.term)
+  WHERE len(t.term) BETWEEN 2 AND 15 AND t.term NOT IN {STOP}),
+hits AS (SELECT query_id, term, boost, doc_id, sum(n * tf) AS tf FROM held JOIN postings USING (token) GROUP BY ALL),
 lengths AS (SELECT doc_id, count(*) AS length FROM tokens GROUP BY doc_id),
 corpus AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM tokens) / (SELECT count(*) FROM documents) AS mean),
-df AS (SELECT query_id, count(*) AS df FROM hits GROUP BY ALL),
-scored AS (SELECT query_id, doc_id, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * length / mean)) AS relevance
-  FROM hits JOIN df USING (query_id) JOIN lengths USING (doc_id), corpus)
+df AS (SELECT query_id, term, count(*) AS df FROM hits GROUP BY ALL),
+scored AS (SELECT query_id, doc_id, sum(boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS relevance
+  FROM hits JOIN df USING (query_id, term) JOIN lengths USING (doc_id), corpus GROUP BY query_id, doc_id)
 SELECT query_id, doc_id, CAST({_RANK} AS INTEGER) AS rank, count(*) OVER (PARTITION BY query_id) AS total FROM scored QUALIFY {_RANK} <= 5""",
 )
 def q14(spark, d):
-    """One-word requests taken from four tables, all against one index."""
+    """Requests of one or more words taken from four tables, all against one index."""
     parts = [
         table(spark, d, "conversations").select(F.col("role").alias("query_id"), F.col("role").alias("query")).distinct(),
         table(spark, d, "events").select(F.col("event_type").alias("query_id"), F.col("event_type").alias("query")).distinct(),
-        table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey")).alias("query_id"), F.lower("n_name").alias("query")).filter(~F.col("query").contains(" ")),
+        table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey")).alias("query_id"), F.lower("n_name").alias("query")),
         table(spark, d, "documents").select(F.concat(F.lit("l"), F.col("lang")).alias("query_id"), F.col("lang").alias("query")).distinct(),
     ]
     batch = reduce(DataFrame.unionByName, parts).withColumns({"subreddits": F.lit(None).cast("array<string>"), "start_date": F.lit(None).cast("string")})
@@ -403,27 +403,37 @@ def m4(spark, d):
     return semantic_keywords(asked, counts, vectors).select("query_id", "keyword", "count", F.round("similarity", 6).alias("similarity"))
 
 
-@query(
-    "j2_fuse_keywords",
-    f"""WITH {_SCORED}, {_PAGE}, {_SEMANTIC},
+_FUSED = f"""{_SEMANTIC},
 topical AS (SELECT w.* FROM word_counts w JOIN (SELECT query_id, count(*) AS n FROM page GROUP BY query_id) s USING (query_id)
   WHERE s.n > 2 AND w.df >= 2 AND w.df <= 0.95 * s.n),
 fused AS (SELECT coalesce(t.query_id, s.query_id) AS query_id, coalesce(t.keyword, s.keyword) AS keyword,
   CAST(CASE WHEN t.count IS NOT NULL AND s.count IS NOT NULL THEN t.count + 2 * s.count ELSE coalesce(t.count, s.count) END AS BIGINT) AS count
-  FROM topical t FULL OUTER JOIN semantic s ON t.query_id = s.query_id AND t.keyword = s.keyword)
-SELECT query_id, keyword, count, CAST(row_number() OVER w AS INTEGER) AS rank FROM fused
-WINDOW w AS (PARTITION BY query_id ORDER BY count DESC, keyword) QUALIFY row_number() OVER w <= 10""",
-)
+  FROM topical t FULL OUTER JOIN semantic s ON t.query_id = s.query_id AND t.keyword = s.keyword),
+best AS (SELECT query_id, keyword, count, CAST(row_number() OVER w AS INTEGER) AS rank FROM fused
+  WINDOW w AS (PARTITION BY query_id ORDER BY count DESC, keyword) QUALIFY row_number() OVER w <= 10)"""
+
+
+@query("j2_fuse_keywords", f"WITH {_SCORED}, {_PAGE}, {_FUSED} SELECT query_id, keyword, count, rank FROM best")
 def j2(spark, d):
     found, asked, counts, vectors = _page_keywords(spark, d)
-    words = A.page_words(found).filter((F.col("n") > 2) & (F.col("df") >= 2) & (F.col("df") <= 0.95 * F.col("n")))
     semantic = semantic_keywords(asked, counts, vectors).select("query_id", "keyword", "count")
-    return fuse_keywords(words.select("query_id", "keyword", "count"), semantic, keys=["query_id"])
+    return fuse_keywords(A.page_topic_keywords(found), semantic, keys=["query_id"])
 
 
-@query("q15_answers_with_topics")
+@query(
+    "q15_answers_with_topics",
+    f"""WITH {_SCORED}, {_PAGE}, {_FUSED}, page_texts AS (SELECT DISTINCT doc_id, text FROM page), {sql_polarity('page_texts', 'doc_id', 'text')}, {_LABELLED},
+asked_ids AS (SELECT query_id FROM requests WHERE trim(query) <> ''),
+lists AS (SELECT query_id, string_agg(keyword || ':' || count, ',' ORDER BY rank) AS keywords FROM best GROUP BY query_id)
+SELECT a.query_id, CASE WHEN count(*) FILTER (WHERE sentiment = 'negative') > count(*) FILTER (WHERE sentiment = 'positive') THEN 'negative' ELSE 'positive' END AS sentiment,
+  coalesce(max(total), 0) AS record_count, coalesce(max(keywords), '') AS keywords
+FROM asked_ids a LEFT JOIN labelled l USING (query_id) LEFT JOIN lists USING (query_id) GROUP BY a.query_id""",
+)
 def q15_topics(spark, d):
-    """The whole answer, with topic words fitted over the pages."""
+    """The whole answer, with topic words fused with semantic ones."""
     docs = to_search_docs(comments(spark, d))
     _, _, _, vectors = _page_keywords(spark, d)
-    return A.answer(index(spark, d), docs, requests(spark), polarity_table(spark), vectors, analyzer=PLAIN)
+    scoring = {"intensifiers": INTENSIFIERS, "negations": NEGATIONS}
+    full = A.answer(index(spark, d), docs, requests(spark), polarity_table(spark), vectors, analyzer=PLAIN, scoring=scoring)
+    listed = F.array_join(F.transform("keywords", lambda k: F.concat(k["keyword"], F.lit(":"), k["count"].cast("string"))), ",")
+    return full.select("query_id", "sentiment", "record_count", listed.alias("keywords"))

@@ -99,9 +99,9 @@ def test_stored_index_gives_the_same_hits(spark, docs, tmp_path):
     assert hits(index, asked) == hits(stored, asked) == hits(S.SearchIndex.read(spark, str(tmp_path / "index")), asked)
 
 
-def test_many_terms_skip_the_prefilter(spark, docs):
+def test_many_terms_without_hits(spark, docs):
     index = S.build_index(docs, analyzer=PLAIN)
-    asked = ask(spark, *[(f"zz{i}", [], None) for i in range(S.FEW_TERMS + 5)], ("app", [], None))
+    asked = ask(spark, *[(f"zz{i}", [], None) for i in range(105)], ("app", [], None))
     assert {d for _, d in hits(index, asked)} == {"d1", "d3"}
 
 
@@ -364,3 +364,52 @@ def test_smoothed_tfidf_vectors_match_rows(spark):
     exact = M.fit_tfidf(tokens, "tokens", "v", 10).transform(tokens).select("id", F.explode(V.vector_to_array("v")).alias("w")).filter("w > 0")
     by_row = M.tfidf(df, "t", "id").select("id", "weight")
     assert rows(exact.select("id", F.round("w", 9))) == rows(by_row.select("id", F.round("weight", 9)))
+
+
+def test_boosters_keep_their_own_size(spark):
+    lexicon = spark.createDataFrame([("good", 2.0)], "word string, valence double")
+    df = spark.createDataFrame([(1, "a very good day"), (2, "a super good day"), (3, "a hardly good day")], "id int, text string")
+    boosters = {"very": 0.1, "super": 0.9, "hardly": -0.4}
+    for limit in (10_000, 0):
+        got = {r["id"]: r["compound"] for r in N.lexicon_compound(df, "text", lexicon, "id", boosters, inline_limit=limit).collect()}
+        raised = {1: 2.0 + 0.1, 2: 2.0 + 0.9, 3: 2.0 - 0.4}
+        assert all(abs(got[k] - v / (v * v + 15) ** 0.5) < 1e-9 for k, v in raised.items())
+
+
+def test_lexicon_forms_agree_on_repeats(spark):
+    lexicon = spark.createDataFrame([("good", 1.0, 0.5), ("good", 3.0, 0.7), ("bad", -2.0, 0.9)], "word string, a double, b double")
+    df = spark.createDataFrame([(1, "good day"), (1, "bad good day"), (1, "bad good day"), (None, "bad"), (2, None)], "id int, text string")
+    valence = lexicon.select("word", "a")
+    inline, joined = [sorted(map(str, N.lexicon_compound(df, "text", valence, "id", inline_limit=n).collect())) for n in (10_000, 0)]
+    assert inline == joined
+    inline, joined = [sorted(map(str, N.lexicon_polarity(df, "text", lexicon, "id", inline_limit=n).collect())) for n in (10_000, 0)]
+    assert inline == joined
+
+
+def test_many_boolean_clauses(spark):
+    from murmura.operators.search import match_bool
+
+    clauses = [spark.range(5 + k % 2).withColumnRenamed("id", "doc_id") for k in range(70)]
+    assert sorted(r["doc_id"] for r in match_bool(must=clauses).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r["doc_id"] for r in match_bool(should=clauses).collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_queries_that_share_an_id(spark):
+    from murmura.operators.vectors import cosine_topk
+
+    vectors = spark.createDataFrame([(k, [1.0, float(k)]) for k in range(6)], "id int, vector array<double>")
+    queries = spark.createDataFrame([("q", [1.0, 0.0]), ("q", [0.0, 1.0]), ("q", [1.0, 1.0]), ("q", [1.0, 1.0])], "query_id string, vector array<double>")
+    whole, cut = [sorted((r["id"], round(r["cosine"], 6)) for r in cosine_topk(queries, vectors, 20, block=b).collect()) for b in (2_000, 2)]
+    assert whole == cut and len(whole) == 18
+
+
+def test_topic_words_of_a_page(spark):
+    from murmura.plans.answer import page_topic_keywords
+
+    words = [f"keyword{chr(97 + k // 26)}{chr(97 + k % 26)}x" for k in range(40)]
+    rows = [("a", k, " ".join(words)) for k in range(3)] + [("a", 3, "nothing here")] + [("b", 10 + k, "alone together " + words[k]) for k in range(4)]
+    found = spark.createDataFrame(rows, "query_id string, doc_id int, text string")
+    batch = {(r["query_id"], r["keyword"]) for r in page_topic_keywords(found).collect()}
+    assert {w for q, w in batch if q == "a"} == set(words)
+    alone = {(r["query_id"], r["keyword"]) for r in page_topic_keywords(found.filter("query_id = 'a'")).collect()}
+    assert alone == {x for x in batch if x[0] == "a"}
