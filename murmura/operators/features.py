@@ -12,26 +12,21 @@ from pyspark.ml.feature import (
     IDF,
     PCA,
     CountVectorizer,
-    ElementwiseProduct,
     HashingTF,
-    Normalizer,
     SQLTransformer,
     VectorAssembler,
     Word2Vec,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text
+from murmura.functions.once import once
 from murmura.operators.scale import top_n_per_group
 from murmura.session import materialize
 
-# Past this width PCA would build too large a covariance matrix on the driver.
-MAX_PCA_WIDTH = 4_000
-
 
 def feature_tokens(c: Column, stopwords: Sequence[str] = W.STOPWORDS) -> Column:
     """Lower-cased words of at least two characters without stop words."""
@@ -46,9 +41,14 @@ def bow(df: DataFrame, column: str, id_col: str, min_df: int = 2, max_df: float
 
     A corpus of one text keeps every term.
     """
-    n = df.agg(F.count("*").alias("n")).scalar()
     rows = df.select(F.col(id_col).alias("id"), F.explode(feature_tokens(F.col(column), stopwords)).alias("term"))
-    counts = rows.groupBy("id", "term").agg(F.count("*").alias("tf"))
+    return _kept_terms(rows, df, min_df, max_df)
+
+
+def _kept_terms(rows: DataFrame, df: DataFrame, min_df: int, max_df: float) -> DataFrame:
+    n = df.agg(F.count("*").alias("n")).scalar()
+    # Written once: the texts are parsed in one pass, and both uses read the counts.
+    counts = materialize(rows.groupBy("id", "term").agg(F.count("*").alias("tf")))
     kept = (
         counts.groupBy("term")
         .agg(F.count("*").alias("df"))
@@ -60,10 +60,15 @@ def bow(df: DataFrame, column: str, id_col: str, min_df: int = 2, max_df: float
 
 def tfidf(df: DataFrame, column: str, id_col: str, stopwords: Sequence[str] = W.STOPWORDS) -> DataFrame:
     """``(id, term, weight)``: ``tf * (ln((1 + n) / (1 + df)) + 1)``, scaled to unit length per text."""
-    counts = bow(df, column, id_col, min_df=1, max_df=1.0, stopwords=stopwords)
-    raw = counts.withColumn("raw", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
-    norms = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, "id").select("id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    return _unit_tfidf(bow(df, column, id_col, min_df=1, max_df=1.0, stopwords=stopwords))
+
+
+def _unit_tfidf(counts: DataFrame) -> DataFrame:
+    raw = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
+    # A text's terms meet once; its length is then taken in the row.
+    texts = counts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("term", raw.alias("raw")))).alias("terms"))
+    norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda s, t: s + t["raw"] * t["raw"]))
+    return once(texts, norm=norm).select("id", "norm", F.inline("terms")).select("id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
 
 
 def multi_hot(df: DataFrame, column: str, id_col: str) -> DataFrame:
@@ -80,27 +85,30 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 # --- vector features -------------------------------------------------------------
 
+# Dimensions of the projected blocks, and how many of them each term marks.
+TEXT_WIDTH, SET_WIDTH, MARKS_PER_TERM = 256, 64, 4
+
 
-def distinct_terms(df: DataFrame, tokens: str) -> int:
-    return df.select(F.explode(tokens).alias("t")).agg(F.count_distinct("t")).first()[0]
+def term_weights(df: DataFrame, tokens: str, id_col: str) -> DataFrame:
+    """``(id, term, weight)``: unit-length TF-IDF of a token array column."""
+    return _unit_tfidf(_kept_terms(df.select(F.col(id_col).alias("id"), F.explode(tokens).alias("term")), df, 1, 1.0))
 
 
-def fit_tfidf(df: DataFrame, tokens: str, out: str, width: int) -> PipelineModel:
-    """Fit unit-length smoothed TF-IDF on a token array column.
+def project(weights: DataFrame, width: int, seed: int = 42) -> DataFrame:
+    """``(id, projected)`` from ``(id, term, weight)``: a seeded sparse random projection.
 
-    Every term gets its own dimension while they fit in ``width``; a larger
-    vocabulary is hashed into ``width`` dimensions, so no term is dropped.
-    Spark's IDF lacks the ``+ 1``, which is added to the fitted weights.
+    Each term adds its weight to a few dimensions with random signs, all drawn
+    from its hash, so every term counts whatever the size of the vocabulary and
+    lengths and angles are kept on average.
     """
-    counts = f"{out}_counts"
-    if distinct_terms(df, tokens) <= width:
-        counter = CountVectorizer(inputCol=tokens, outputCol=counts, vocabSize=width).fit(df)
-    else:
-        counter = HashingTF(inputCol=tokens, outputCol=counts, numFeatures=width)
-    counted = counter.transform(df)
-    idf = IDF(inputCol=counts, outputCol=f"{out}_idf").fit(counted)
-    scale = ElementwiseProduct(inputCol=counts, outputCol=f"{out}_scaled", scalingVec=Vectors.dense([float(x) + 1.0 for x in idf.idf]))
-    return PipelineModel([counter, scale, Normalizer(inputCol=f"{out}_scaled", outputCol=out, p=2.0)])
+    marks = F.array(*[F.xxhash64("term", F.lit(seed), F.lit(k)) for k in range(MARKS_PER_TERM)])
+    drawn = weights.select("id", "weight", F.explode(marks).alias("h"))
+    sign = F.when(F.shiftrightunsigned("h", 63) == 1, -1.0).otherwise(1.0)
+    placed = drawn.select("id", F.pmod("h", F.lit(width)).cast("int").alias("slot"), (F.col("weight") * sign / MARKS_PER_TERM**0.5).alias("x"))
+    # Sums in a fixed order give the same doubles each time.
+    slots = placed.groupBy("id", "slot").agg(F.aggregate(F.array_sort(F.collect_list("x")), F.lit(0.0), lambda s, x: s + x).alias("x"))
+    filled = slots.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("slot", "x"))).alias("m"))
+    return filled.select("id", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.coalesce(F.element_at("m", k), F.lit(0.0))).alias("projected"))
 
 
 def assemble(
@@ -109,32 +117,41 @@ def assemble(
     community: str = "subreddit",
     entities: str = "entities",
     numeric: Sequence[str] = ("subjectivity", "polarity", "comment_score"),
-    width: int = 1_500,
     out: str = "features",
 ) -> DataFrame:
     """Community TF-IDF, text TF-IDF, numbers and entity marks in one vector, block by block on the same row.
 
-    Tokens and result are written out once: every fit is another pass over them.
+    The blocks of terms are projected to fixed widths. Rows are written out once: each block is another pass over them.
     """
     tokens = materialize(
-        df.withColumns({"_text_tokens": feature_tokens(F.col(column)), "_community_tokens": feature_tokens(F.col(community), stopwords=("",))})
+        df.withColumns(
+            {
+                "_row": F.monotonically_increasing_id(),
+                "_text": feature_tokens(F.col(column)),
+                "_community": feature_tokens(F.col(community), stopwords=("",)),
+                "_entities": F.array_distinct(entities),
+            }
+        )
     )
-    staged = fit_tfidf(tokens, "_text_tokens", "_text", width).transform(tokens)
-    staged = fit_tfidf(staged, "_community_tokens", "_community", 256).transform(staged)
-    if distinct_terms(staged, entities) <= width:
-        marks = CountVectorizer(inputCol=entities, outputCol="_entities", vocabSize=width, binary=True, minDF=1.0).fit(staged)
-    else:
-        marks = HashingTF(inputCol=entities, outputCol="_entities", numFeatures=width, binary=True)
-    staged = marks.transform(staged)
-    assembler = VectorAssembler(inputCols=["_community", "_text", *numeric, "_entities"], outputCol=out, handleInvalid="keep")
-    return materialize(assembler.transform(staged).select(*df.columns, out))
+    marks = tokens.select(F.col("_row").alias("id"), F.explode("_entities").alias("term"), F.lit(1.0).alias("weight"))
+    blocks = {
+        "_community": (term_weights(tokens, "_community", "_row"), SET_WIDTH),
+        "_text": (term_weights(tokens, "_text", "_row"), TEXT_WIDTH),
+        "_entities": (marks, SET_WIDTH),
+    }
+    staged = tokens.drop(*blocks)
+    for name, (weights, width) in blocks.items():
+        block = project(weights, width).select(F.col("id").alias("_row"), F.col("projected").alias(name))
+        empty = F.array_repeat(F.lit(0.0), width)
+        staged = staged.join(block, "_row", "left").withColumn(name, F.coalesce(name, empty))
+    numbers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric])
+    whole = F.concat("_community", "_text", numbers, "_entities")
+    return materialize(staged.select(*df.columns, array_to_vector(whole).alias(out)))
 
 
 def reduce(df: DataFrame, k: int = 50, features: str = "features", out: str = "reduced") -> DataFrame:
     """Principal components. Spark does not centre, which shifts all points alike: distances and clusters are unaffected."""
     width = df.schema[features].metadata.get("ml_attr", {}).get("num_attrs") or df.select(features).first()[0].size
-    if width > MAX_PCA_WIDTH:
-        raise ValueError(f"{width} features: hash them below {MAX_PCA_WIDTH} first, the covariance matrix lives on the driver")
     return PCA(k=min(k, width), inputCol=features, outputCol=out).fit(df).transform(df)
 
 
@@ -144,7 +161,8 @@ def cluster(df: DataFrame, k: int = 3, features: str = "reduced", out: str = "cl
 
 def embed(df: DataFrame, tokens: str, out: str = "vector", size: int = 64, min_count: int = 2, seed: int = 42) -> DataFrame:
     """Text vectors trained on the corpus: the mean of its word vectors."""
-    model = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens, outputCol="_w2v", numPartitions=8).fit(df)
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    model = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, inputCol=tokens, outputCol="_w2v", numPartitions=parts).fit(df)
     return model.transform(df).withColumn(out, vector_to_array("_w2v")).drop("_w2v")
 
 
@@ -160,7 +178,8 @@ def embedding_clusters(df: DataFrame, vector: str = "vector", dims: int = 50, k:
 def topics(df: DataFrame, column: str, k: int = 5, terms: int = 20, min_df: float = 2.0, max_df: float = 0.95, seed: int = 42, iterations: int = 10) -> DataFrame:
     """``(topic, rank, term, weight)``: the strongest terms of each topic."""
     tokens = df.select(feature_tokens(F.col(column)).alias("tokens"))
-    counter = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=min_df, maxDF=max_df).fit(tokens)
+    words = tokens.select(F.explode("tokens").alias("t")).agg(F.count_distinct("t")).first()[0]
+    counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=max(2, words), minDF=min_df, maxDF=max_df).fit(tokens)
     counted = counter.transform(tokens).select("counts")
     model = LDA(k=k, seed=seed, optimizer="online", maxIter=iterations, featuresCol="counts").fit(counted)
     described = model.describeTopics(terms).select(

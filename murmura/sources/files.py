@@ -57,13 +57,17 @@ def upsert(current: DataFrame, updates: DataFrame, key: str, order_col: str) ->
     return tagged.groupBy(F.col(key).alias("_key")).agg(latest.alias("_row")).select("_row.*")
 
 
-def read_labelled_lines(spark: SparkSession, glob: str) -> DataFrame:
-    """One text per line, the file stem is the label; lines lower-cased, stripped and folded to ASCII letters."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+def read_labelled_lines(spark: SparkSession, glob: str, stem: int = -1) -> DataFrame:
+    """One text per line, the file stem is the label; lines lower-cased, stripped and folded to ASCII letters.
+
+    ``stem`` names the part of the path that holds the label, counted from its
+    end. Lines of which folding leaves nothing are dropped, blank ones included.
+    """
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), stem)
     lines = spark.read.text(glob).select(
         F.lower(F.trim("value")).alias("line"), F.url_decode(F.regexp_replace(name, r"\.[^.]*$", "")).alias("label")
     )
-    return lines.filter(F.col("line") != "").select(text.ascii_fold(F.col("line")).alias("text"), "label")
+    return lines.select(text.ascii_fold(F.col("line")).alias("text"), "label").filter(F.col("text") != "")
 
 
 def write_splits(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -8,8 +8,10 @@ from murmura.functions import text as tx
 from murmura.operators import features as M
 from murmura.operators import labels as L
 from murmura.operators import vectors as V
+from murmura.operators.sampling import split_by_hash
 from murmura.operators.sentiment import lexicon_polarity
-from murmura.suite.base import BODIES, STOP, bodies, comments, manual_labels, query, sql_words, table
+from murmura.session import materialize
+from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, sql_words, table
 from murmura.suite.joins import _ENTITIES
 from murmura.suite.lexicon import INTENSIFIERS, NEGATIONS, polarity_table
 
@@ -56,51 +58,81 @@ def _features(spark, d):
     scored = lexicon_polarity(comments(spark, d), "comment_body", polarity_table(spark), "comment_id", INTENSIFIERS, NEGATIONS)
     named = scored.withColumn("entities", tx.entity_names(F.col("comment_body")))
     rows = named.select("comment_id", "comment_body", "subreddit", "comment_score", "polarity", "subjectivity", "entities")
-    return M.assemble(rows.fillna(0, ["comment_score"]), width=300)
+    return M.assemble(rows.fillna(0, ["comment_score"]))
 
 
-@query("m9_assemble")
+_WIDTH = M.TEXT_WIDTH + 2 * M.SET_WIDTH + 3
+_BINARY = f"{LABELS}, labelled AS (SELECT * FROM manual_labels WHERE label <> 0)"
+_TEST = "('0x' || substr(md5('42:' || comment_id), 1, 8))::BIGINT % 1000 < 200"
+
+
+def _facts(metrics, rows):
+    """Whether every metric lies within 0 and 1, beside the number of rows they were taken over."""
+    values = F.array(*[F.col(c).cast("double") for c, kind in metrics.dtypes if kind == "double"])
+    bounded = metrics.agg(F.bool_and(F.forall(values, lambda v: v.isNull() | ((v >= 0) & (v <= 1)))).alias("bounded"))
+    return bounded.withColumn("n", rows.agg(F.count("*")).scalar())
+
+
+def _halves(df):
+    """Rows to learn from and rows to score, by the hash of the id."""
+    split = split_by_hash(df, "comment_id", {"test": 0.2, "train": 0.8})
+    return split.filter("split = 'train'").drop("split"), split.filter("split = 'test'").drop("split")
+
+
+@query("m9_assemble", f"WITH {COMMENTS} SELECT comment_id, {_WIDTH} AS width FROM comments")
 def m9(spark, d):
     return _features(spark, d).select("comment_id", F.size(V.vector_to_array("features")).alias("width"))
 
 
-@query("m10_reduce")
+@query("m10_reduce", f"WITH {COMMENTS} SELECT comment_id, 50 AS dims FROM comments")
 def m10(spark, d):
     reduced = M.reduce(_features(spark, d), 50)
-    return reduced.select("comment_id", V.vector_to_array("reduced").alias("reduced"))
+    return reduced.select("comment_id", F.size(V.vector_to_array("reduced")).alias("dims"))
 
 
-@query("m11_cluster")
+@query("m11_cluster", "SELECT count(*) AS n, TRUE AS few FROM embeddings")
 def m11(spark, d):
     vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     clustered = M.cluster(vectors.withColumn("reduced", M.array_to_vector(F.col("vector").cast("array<double>"))), 3)
-    return clustered.groupBy("cluster").agg(F.count("*").alias("n"))
+    return clustered.agg(F.count("*").alias("n"), (F.count_distinct("cluster") <= 3).alias("few"))
 
 
-@query("m11_cluster_metrics")
+@query("m11_cluster_metrics", f"WITH {_BINARY} SELECT TRUE AS bounded, count(*) AS n FROM labelled")
 def m11_metrics(spark, d):
     """Clusters, majority labels, weighted metrics."""
     labelled = _features(spark, d).join(manual_labels(spark, d).select("comment_id", "label"), "comment_id").filter("label <> 0")
     clustered = M.cluster(M.reduce(labelled, 50), 3)
-    return L.weighted_metrics(L.map_clusters(clustered, "cluster", "label"), "predicted", "label")
+    named = materialize(L.map_clusters(clustered, "cluster", "label").select("label", "predicted"))
+    return _facts(L.weighted_metrics(named, "predicted", "label"), named)
 
 
-@query("m13_balanced_regression")
+@query("m13_balanced_regression", f"WITH {_BINARY} SELECT TRUE AS bounded, count(*) AS n FROM labelled WHERE {_TEST}")
 def m13(spark, d):
+    """Principal components, class weights, and metrics over rows held out of the fit."""
     labelled = _features(spark, d).join(manual_labels(spark, d).select("comment_id", "label"), "comment_id").filter("label <> 0")
     binary = labelled.withColumn("label", tx.recode_label(F.col("label").cast("double"), {1.0: 1.0, -1.0: 0.0}))
-    model = M.train_balanced_lr(binary, "features", max_iter=50)
-    return L.weighted_metrics(model.transform(binary), "prediction", "label")
+    train, test = _halves(materialize(M.reduce(binary, 50).select("comment_id", "label", "reduced")))
+    scored = M.train_balanced_lr(train).transform(test)
+    return _facts(L.weighted_metrics(scored, "prediction", "label"), test)
 
 
-@query("m2_topics")
+@query("m2_topics", "SELECT unnest(range(5))::INTEGER AS topic, 20 AS terms, TRUE AS ordered, TRUE AS known")
 def m2(spark, d):
-    return M.topics(bodies(spark, d), "comment_body", terms=10, iterations=5)
+    """Per topic: as many terms as asked for, heaviest first, all of them words of the corpus."""
+    found = M.topics(bodies(spark, d), "comment_body")
+    words = bodies(spark, d).select(F.explode(M.feature_tokens(F.col("comment_body"))).alias("term")).distinct().withColumn("seen", F.lit(True))
+    listed = F.array_sort(F.collect_list(F.struct("rank", "weight")))
+    falling = F.col("listed.weight") == F.reverse(F.array_sort("listed.weight"))
+    per_topic = found.join(words, "term", "left").groupBy("topic").agg(F.count("*").cast("int").alias("terms"), listed.alias("listed"), F.count("seen").alias("seen"))
+    return per_topic.select("topic", "terms", falling.alias("ordered"), (F.col("seen") == F.col("terms")).alias("known"))
 
 
-@query("m3_topic_keywords")
+@query("m3_topic_keywords", "SELECT TRUE AS sized, TRUE AS counted")
 def m3(spark, d):
-    return M.topic_keywords(bodies(spark, d), "comment_body")
+    """Between one and five topics' worth of keywords, each with its count in the corpus."""
+    found = M.topic_keywords(bodies(spark, d), "comment_body")
+    words = bodies(spark, d).select(F.explode(M.feature_tokens(F.col("comment_body"))).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
+    return found.join(words, "keyword", "left").agg(F.count("*").between(20, 100).alias("sized"), F.bool_and(F.col("count") == F.col("n")).alias("counted"))
 
 
 @query(
@@ -115,18 +147,18 @@ def w2(spark, d):
     return M.top_terms(words.groupBy("topic", "term").agg(F.count("*").alias("weight")))
 
 
-@query("m5_embed")
+@query("m5_embed", f"WITH {BODIES} SELECT comment_id, 64 AS dims FROM bodies")
 def m5(spark, d):
     tokens = bodies(spark, d).select("comment_id", tx.words(F.col("comment_body")).alias("tokens"))
-    return M.embed(tokens, "tokens", size=16).select("comment_id", F.size("vector").alias("dims"))
+    return M.embed(tokens, "tokens").select("comment_id", F.size("vector").alias("dims"))
 
 
-@query("m16_embedding_clusters")
+@query("m16_embedding_clusters", "SELECT count(DISTINCT vec_id // 4) AS n, TRUE AS few FROM embeddings")
 def m16(spark, d):
     pooled = V.pool_vectors(
         table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 4).alias("doc_id"), F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"))
     )
-    return M.embedding_clusters(pooled).groupBy("cluster").agg(F.count("*").alias("n"))
+    return M.embedding_clusters(pooled).agg(F.count("*").alias("n"), (F.count_distinct("cluster") <= 6).alias("few"))
 
 
 @query(
@@ -143,19 +175,22 @@ def j7(spark, d):
 
 
 def _trained(spark, d, model):
+    """A classifier fitted on the labelled documents that are not held out, and those that are."""
     texts = bodies(spark, d).join(manual_labels(spark, d).select("comment_id", "label"), "comment_id")
     pairs = texts.select("comment_id", F.col("comment_body").alias("text"), tx.recode_label(F.col("label"), tx.SIGN_TO_CLASS).alias("label"))
-    fitted = M.train_sentiment(pairs.select("text", "label"), model=model, width=1 << 12, embedding=16)
-    return pairs, fitted
+    train, test = _halves(materialize(pairs))
+    return test, M.train_sentiment(train.select("text", "label"), model=model)
 
 
-@query("n3_predict_sentiment")
+@query("n3_predict_sentiment", f"WITH {BODIES} SELECT comment_id, TRUE AS known FROM bodies")
 def n3(spark, d):
-    pairs, fitted = _trained(spark, d, "logistic")
-    return M.predict_sentiment(pairs, fitted).select("comment_id", "sentiment")
+    """Every document gets one of the two labels."""
+    _, fitted = _trained(spark, d, "logistic")
+    named = M.predict_sentiment(bodies(spark, d).select("comment_id", F.col("comment_body").alias("text")), fitted)
+    return named.select("comment_id", F.col("sentiment").isin("negative", "positive").alias("known"))
 
 
-@query("n4_train_sentiment")
+@query("n4_train_sentiment", f"WITH {LABELS} SELECT TRUE AS bounded, count(*) AS n FROM manual_labels WHERE {_TEST}")
 def n4(spark, d):
-    pairs, fitted = _trained(spark, d, "perceptron")
-    return L.weighted_metrics(fitted.transform(pairs), "prediction", "label")
+    test, fitted = _trained(spark, d, "perceptron")
+    return _facts(L.weighted_metrics(fitted.transform(test), "prediction", "label"), test)

@@ -76,15 +76,16 @@ def s5(spark, d):
 
 @query(
     "s6_labelled_lines",
-    """WITH lines AS (SELECT lower(trim(unnest(string_split(text, chr(10))))) AS line FROM documents)
-SELECT regexp_replace(strip_accents(line), '[^A-Za-z.,;:'']', '', 'g') AS text, count(*) AS n
-FROM lines WHERE line <> '' GROUP BY 1""",
+    """WITH lines AS (SELECT lang AS label, lower(trim(unnest(string_split(text, chr(10))))) AS line FROM documents),
+folded AS (SELECT label, regexp_replace(strip_accents(line), '[^A-Za-z.,;:'']', '', 'g') AS text FROM lines)
+SELECT label, text, count(*) AS n FROM folded WHERE text <> '' GROUP BY ALL""",
 )
 def s6(spark, d):
+    """One file stem per language: the label of its lines."""
     path = scratch(spark)
-    table(spark, d, "documents").select("text").write.text(path)
-    lines = files.read_labelled_lines(spark, f"{path}/*.txt")
-    return lines.groupBy("text").agg(F.count("*").alias("n"))
+    table(spark, d, "documents").select(F.concat("lang", F.lit(".v1")).alias("stem"), "text").write.partitionBy("stem").text(path)
+    lines = files.read_labelled_lines(spark, f"{path}/*/*.txt", stem=-2)
+    return lines.groupBy("label", "text").agg(F.count("*").alias("n")).withColumn("label", F.regexp_replace("label", "^stem=", ""))
 
 
 @query(
@@ -138,6 +139,16 @@ def s11(spark, d):
     return top_n_per_group(comments(spark, d).select("subreddit", "comment_id", "comment_score"), ["subreddit"], ordered, 4000).drop("comment_score")
 
 
+@query(
+    "s11_limit_cuts",
+    f"""WITH {COMMENTS} SELECT subreddit, comment_id, CAST(row_number() OVER w AS INTEGER) AS rank FROM comments
+WINDOW w AS (PARTITION BY subreddit ORDER BY comment_score DESC, comment_id) QUALIFY row_number() OVER w <= 7""",
+)
+def s11_cuts(spark, d):
+    ordered = [F.desc("comment_score"), F.col("comment_id")]
+    return top_n_per_group(comments(spark, d).select("subreddit", "comment_id", "comment_score"), ["subreddit"], ordered, 7).drop("comment_score")
+
+
 @query(
     "p1_flatten_threads",
     """WITH posts AS (SELECT conv_id, min_by(text, turn) AS post_content, min(turn) AS first FROM conversations GROUP BY conv_id)

@@ -79,17 +79,31 @@ def t3_pairs(spark, d):
     return T.pair_counts(words).select(F.concat_ws(" ", "left", "right").alias("pair"), "n")
 
 
-@query("t3_train_bpe")
+@query("t3_train_bpe", f"WITH {_WORDS} SELECT word, word AS joined FROM words")
 def t3(spark, d):
+    """The pieces of every word, joined again."""
+    _, words = T.train_bpe(table(spark, d, "documents"), "text", merges=12)
+    return words.select("word", F.array_join("pieces", "").alias("joined"))
+
+
+@query("t3_merge_counts", "SELECT 12 AS steps, TRUE AS falling")
+def t3_merges(spark, d):
+    """Merge rules come by falling counts."""
     rules, _ = T.train_bpe(table(spark, d, "documents"), "text", merges=12)
-    return rules
+    counts = F.transform(F.array_sort(F.collect_list(F.struct("step", "n"))), lambda x: x["n"])
+    return rules.agg(F.count("*").cast("int").alias("steps"), (counts == F.reverse(F.array_sort(counts))).alias("falling"))
 
 
-@query("t4_encode_bpe")
+@query(
+    "t4_encode_bpe",
+    f"""SELECT doc_id, replace(translate(regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g'), '{_PUNCT}', ''), ' ', '') AS joined FROM documents""",
+)
 def t4(spark, d):
+    """Every word was seen in training, so the pieces joined give the text back without its spaces."""
     docs = table(spark, d, "documents")
     _, pieces = T.train_bpe(docs, "text", merges=5)
-    return T.encode_bpe(docs.withColumn("text", F.lower("text")), "text", "doc_id", pieces).select("doc_id", F.size("pieces").alias("pieces"))
+    encoded = T.encode_bpe(docs.withColumn("text", T.text.clean_line(F.col("text"))), "text", "doc_id", pieces)
+    return encoded.select("doc_id", F.replace(F.array_join("pieces", ""), F.lit(T.UNK), F.lit("")).alias("joined"))
 
 
 @query(
