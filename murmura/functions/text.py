@@ -86,7 +86,7 @@ def lemma_rule(t: Column) -> Column:
         return F.concat(F.substring(t, F.lit(1), F.length(t) - n), F.lit(tail))
 
     return (
-        F.when(t.endswith("sses") | t.endswith("xes") | t.endswith("zes") | t.endswith("ches") | t.endswith("shes"), cut(2))
+        F.when(t.endswith("sses") | t.endswith("xes") | t.endswith("zzes") | t.endswith("ches") | t.endswith("shes"), cut(2))
         .when(t.endswith("ies") & (F.length(t) > 4), cut(3, "y"))
         .when(t.endswith("ss") | t.endswith("us") | t.endswith("is") | (F.length(t) < 3), t)
         .when(t.endswith("s"), cut(1))

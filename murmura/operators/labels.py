@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmura.operators.scale import running, top_n_per_group
+from murmura.session import materialize
 
 
 # --- labels --------------------------------------------------------------------
@@ -49,10 +50,9 @@ def majority_label(df: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def map_clusters(df: DataFrame, cluster: str, label: str, out: str = "predicted") -> DataFrame:
-    """Give every row the majority label of its cluster. The mapping (a row per cluster) rides along as one map."""
-    majority = majority_label(df, cluster, label)
-    table = majority.agg(F.map_from_entries(F.collect_list(F.struct(cluster, "majority")))).scalar()
-    return df.withColumn(out, F.element_at(table, F.col(cluster)))
+    """Give every row the majority label of its cluster, by a join; rows without a cluster get none."""
+    majority = majority_label(df, cluster, label).select(F.col(cluster).alias("_cluster"), F.col("majority").alias(out))
+    return df.join(majority, df[cluster] == majority["_cluster"], "left").drop("_cluster")
 
 
 def fuse_keywords(a: DataFrame, b: DataFrame, boost: float = 2, k: int = 10, keys: Sequence[str] = ()) -> DataFrame:
@@ -191,9 +191,11 @@ def early_stop_epoch(
     """
     signed = series.withColumn("_v", F.col(value) if greater_is_better else -F.col(value))
     floor = F.lit(0.0) if greater_is_better else F.lit(float("-inf"))
-    best = running(signed, keys, epoch, {"_best": ("max", F.col("_v"))})
-    flagged = _mark_improvements(best, keys, epoch, floor)
+    # Each stage reads its input twice, so its result is written once rather than computed 2, 4, 8 times.
+    best = materialize(running(signed, keys, epoch, {"_best": ("max", F.col("_v"))}))
+    flagged = materialize(_mark_improvements(best, keys, epoch, floor))
     worse = running(flagged, keys, epoch, {"_worse": ("sum", F.when(F.col("_v") < F.greatest(F.col("_best"), floor), 1).otherwise(0))})
+    worse = materialize(worse)
     since = running(worse, keys, epoch, {"_base": ("max", F.when(F.col("_improved"), F.col("_worse")).otherwise(0))})
     stopped = since.filter((F.col("_worse") - F.col("_base") >= patience) & (F.col("_v") < F.greatest(F.col("_best"), floor)))
     return stopped.groupBy(*keys).agg(F.min(epoch).alias("stop_epoch"))

@@ -153,6 +153,16 @@ def match_phrase(tokens: DataFrame, phrases: DataFrame, index: SearchIndex | Non
     return runs.filter(F.col("found") == F.col("last") + 1).select("query_id", "doc_id").distinct()
 
 
+def phrase_in_tokens(tokens: Column, terms: Sequence[str]) -> Column:
+    """Row-wise form for a literal phrase: do consecutive tokens hold its terms? Texts stay where they are."""
+    if not terms or not all(MIN_GRAM <= len(t) <= MAX_GRAM for t in terms):
+        return F.lit(False)
+    shifted = [F.slice(tokens, k + 1, F.size(tokens)).alias(f"t{k}") for k in range(len(terms))]
+    runs = F.arrays_zip(*shifted) if len(terms) > 1 else F.transform(tokens, lambda t: F.struct(t.alias("t0")))
+    held = lambda x: reduce(lambda a, b: a & b, [F.coalesce(x[f"t{k}"].contains(t), F.lit(False)) for k, t in enumerate(terms)])
+    return F.coalesce(F.exists(runs, held), F.lit(False))
+
+
 def match_bool(must: Sequence[DataFrame] = (), should: Sequence[DataFrame] = (), key: str = "doc_id") -> DataFrame:
     """Documents in every ``must`` clause and, when there is no ``must``, in at least one ``should`` clause."""
     clauses = [*must, *should]

@@ -10,7 +10,8 @@ from murmura.sources.files import flatten_struct
 
 
 def _run_name() -> Column:
-    return F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    """Folder above the document, which may be one file or a folder of parts."""
+    return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/(?:config|metrics)\.json(?:/[^/]+)?$", 1))
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:

@@ -135,7 +135,7 @@ def sql_lemma(t: str) -> str:
     ends = lambda *tails: " OR ".join(f"ends_with({t}, '{x}')" for x in tails)
     irregular = " ".join(f"WHEN {t} = '{a}' THEN '{b}'" for a, b in W.IRREGULAR_PLURALS.items())
     return (
-        f"CASE {irregular} WHEN {ends('sses', 'xes', 'zes', 'ches', 'shes')} THEN {cut(2)} "
+        f"CASE {irregular} WHEN {ends('sses', 'xes', 'zzes', 'ches', 'shes')} THEN {cut(2)} "
         f"WHEN ends_with({t}, 'ies') AND len({t}) > 4 THEN {cut(3, 'y')} "
         f"WHEN {ends('ss', 'us', 'is')} OR len({t}) < 3 THEN {t} "
         f"WHEN ends_with({t}, 's') THEN {cut(1)} ELSE {t} END"

@@ -186,16 +186,28 @@ def q6(spark, d):
     return both.select(F.lit("and").alias("kind"), "doc_id").unionByName(either.select(F.lit("or").alias("kind"), "doc_id"))
 
 
-@query(
-    "q7_match_phrase",
-    f"""WITH {_TOKENS}, p AS (SELECT doc_id, pos, token FROM all_tokens)
+_PHRASES = {"p1": ["of", "the"], "p2": ["en", "er", "an"]}
+_PHRASE_SQL = f"""WITH {_TOKENS}, p AS (SELECT doc_id, pos, token FROM all_tokens)
 SELECT 'p1' AS query_id, doc_id FROM (SELECT DISTINCT x.doc_id FROM p x JOIN p y ON x.doc_id = y.doc_id AND y.pos = x.pos + 1
   WHERE contains(x.token, 'of') AND contains(y.token, 'the'))
 UNION ALL SELECT 'p2', doc_id FROM (SELECT DISTINCT x.doc_id FROM p x JOIN p y ON x.doc_id = y.doc_id AND y.pos = x.pos + 1
-  JOIN p z ON z.doc_id = x.doc_id AND z.pos = x.pos + 2 WHERE contains(x.token, 'en') AND contains(y.token, 'er') AND contains(z.token, 'an'))""",
-)
+  JOIN p z ON z.doc_id = x.doc_id AND z.pos = x.pos + 2 WHERE contains(x.token, 'en') AND contains(y.token, 'er') AND contains(z.token, 'an'))"""
+WHOLE = Analyzer(stopwords=(), synonyms=(), stem=False)
+
+
+@query("q7_match_phrase", _PHRASE_SQL)
 def q7(spark, d):
-    tokens = analyze_index(bodies(spark, d), "comment_body", "comment_id", Analyzer(stopwords=(), synonyms=(), stem=False))
+    """Two phrases over the texts themselves, row by row."""
+    items = WHOLE.index_items(bodies(spark, d).select(F.col("comment_id").alias("doc_id"), "comment_body"), "comment_body", "_items")
+    tokens = F.col("_items.token")
+    hits = F.array(*[F.when(S.phrase_in_tokens(tokens, terms), F.lit(name)) for name, terms in _PHRASES.items()])
+    return items.select("doc_id", F.explode(F.array_compact(hits)).alias("query_id")).select("query_id", "doc_id")
+
+
+@query("q7_match_phrase_batch", _PHRASE_SQL)
+def q7_batch(spark, d):
+    """The same phrases as a batch of requests joined to token positions."""
+    tokens = analyze_index(bodies(spark, d), "comment_body", "comment_id", WHOLE)
     phrases = small(spark, query_id=["p1", "p1", "p2", "p2", "p2"], i=[0, 1, 0, 1, 2], term=["of", "the", "en", "er", "an"])
     return S.match_phrase(tokens, phrases)
 

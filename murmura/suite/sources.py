@@ -9,7 +9,7 @@ from murmura.functions import text as tx
 from murmura.operators.sampling import split_by_hash
 from murmura.operators.scale import top_n_per_group
 from murmura.operators.tokenizers import build_vocab, text_tokens
-from murmura.sources import files
+from murmura.sources import files, runs
 from murmura.suite.base import BODIES, COMMENTS, bodies, comments, query, scratch, small, sql_list, sql_tokens, table
 
 _CSV_COLUMNS = ["comment_id", "post_id", "subreddit", "title", "post_url", "post_content", "comment_body", "comment_author", "comment_score"]
@@ -139,6 +139,27 @@ def s11(spark, d):
     return top_n_per_group(comments(spark, d).select("subreddit", "comment_id", "comment_score"), ["subreddit"], ordered, 4000).drop("comment_score")
 
 
+@query(
+    "s8_read_runs",
+    """WITH picked AS (SELECT event_id % 3 AS k, event_id, value, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS place FROM events),
+sizes AS (SELECT event_id % 3 AS k, count(*) AS n FROM events GROUP BY 1)
+SELECT 'run ' || k AS run, n AS size, CAST(place - 1 AS INTEGER) AS step, value FROM picked JOIN sizes USING (k) WHERE place <= 5 AND k < 2""",
+)
+def s8(spark, d):
+    """Three run folders written from the events, the last without metrics, read back as series of losses."""
+    root, events = scratch(spark), table(spark, d, "events").withColumn("k", F.col("event_id") % 3)
+    for k in range(3):
+        own = events.filter(F.col("k") == k)
+        config = own.agg(F.to_json(F.struct(F.struct(F.count("*").alias("size")).alias("data_config"))).alias("value"))
+        config.write.text(f"{root}/run {k}/config.json")
+        if k < 2:
+            losses = own.orderBy("event_id").limit(5).agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("x"))
+            losses.select(F.to_json(F.struct(F.col("x.value").alias("train_loss"))).alias("value")).write.text(f"{root}/run {k}/metrics.json")
+    found = runs.read_runs(spark, root)
+    series = runs.metric_series(found).filter(F.col("metric") == "train_loss").join(found.select("run", F.col("`config.data_config.size`").alias("size")), "run")
+    return series.select("run", "size", "step", "value")
+
+
 @query(
     "s11_limit_cuts",
     f"""WITH {COMMENTS} SELECT subreddit, comment_id, CAST(row_number() OVER w AS INTEGER) AS rank FROM comments
