@@ -32,7 +32,7 @@ RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 MARKERS = ["adult", "ads", "bet", "bets", "casino", "pills", "poker", "porn", "spam", "xxx"]
 
 LONGEST_WORD = 20
-SMOOTHING = 1.0
+SMOOTHING = 0.1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SITE = "(?s)^.*?://([^/?#]*)([^?#]*)"
 
