@@ -20,6 +20,7 @@ from murmura.functions import text
 from murmura.functions.once import once
 from murmura.operators.analysis import Analyzer, analyze_query
 from murmura.operators.scale import top_n_per_group
+from murmura.session import materialize
 
 K1, B = 1.2, 0.75
 MIN_GRAM, MAX_GRAM = 2, 15
@@ -216,7 +217,8 @@ def bm25(hits: DataFrame, docs: DataFrame) -> DataFrame:
 
 def score_requests(index: SearchIndex, requests: DataFrame, analyzer: Analyzer = Analyzer(), opinion_only: bool = True) -> DataFrame:
     """Every allowed hit of every request with its relevance and attributes."""
-    hits = match_term(index, query_terms(requests, analyzer))
+    # Written once: document frequencies and scores both read the hits.
+    hits = materialize(match_term(index, query_terms(requests, analyzer)))
     return allowed(bm25(hits, index.docs), index.docs, requests, opinion_only)
 
 
@@ -234,7 +236,8 @@ def search_page(
     The total is an aggregate joined on, not a window, so that a request
     matching most of the corpus is not gathered into one task.
     """
-    scored = score_requests(index, requests, analyzer, opinion_only)
+    # Written once: the page and the total both read the scores.
+    scored = materialize(score_requests(index, requests, analyzer, opinion_only))
     column = {"relevance": "relevance", "votes": "score"}[rank]
     totals = scored.groupBy("query_id").agg(F.count("*").alias("total"))
     order = [F.round(column, 9).desc() if rank == "relevance" else F.col(column).desc(), F.col("doc_id")]

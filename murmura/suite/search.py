@@ -51,9 +51,9 @@ def index(spark, d) -> S.SearchIndex:
     key = (spark.sparkContext.applicationId, d)
     if key not in _BUILT:
         path = scratch(spark)
-        build(spark, d).write(path, grams=False)
+        build(spark, d).write(path)
         _BUILT[key] = path
-    return S.SearchIndex.read(spark, _BUILT[key], grams=False)
+    return S.SearchIndex.read(spark, _BUILT[key])
 
 
 _SQL_REQUESTS = f"""requests AS (SELECT unnest({sql_array(REQUESTS['query_id'])}) AS query_id, unnest({sql_array(REQUESTS['query'])}) AS query,
