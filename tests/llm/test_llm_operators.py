@@ -408,6 +408,28 @@ def test_near_copies_leave_one(spark, mixed, prose):
     assert simhash.drop_near_copies(documents(spark, [])).count() == 0
 
 
+def brute_near_keys(texts):
+    """Roots of texts connected by five-word shingles that are similar at 0.8."""
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    return roots_of(len(texts), [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+
+
+def kept_ids(spark, texts):
+    return {r["doc_id"] for r in simhash.drop_near_copies(documents(spark, [(k, t, "en", "a") for k, t in enumerate(texts)])).collect()}
+
+
+@pytest.mark.parametrize("edits", [3, 6])
+def test_near_copies_of_a_large_family(spark, prose, edits):
+    base, rng = prose(400, 77).split(), random.Random(edits)
+    texts = []
+    for k in range(200):
+        words = list(base)
+        for at in rng.sample(range(400), edits):
+            words[at] = f"v{k}x{at}"
+        texts.append(" ".join(words))
+    assert kept_ids(spark, texts) == set(brute_near_keys(texts))
+
+
 # --- language model ----------------------------------------------------------------
 
 
