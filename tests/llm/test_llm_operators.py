@@ -430,6 +430,16 @@ def test_near_copies_of_a_large_family(spark, prose, edits):
     assert kept_ids(spark, texts) == set(brute_near_keys(texts))
 
 
+def test_near_copies_cut_and_appended(spark, prose):
+    texts = []
+    for k in range(40):
+        words = prose([60, 300, 1_000, 3_000][k % 4], 5_000 + k).split()
+        texts += [" ".join(words), " ".join(words[: int(len(words) * 0.85)]), " ".join(words + prose(int(len(words) * 0.15), 6_000 + k).split())]
+    roots = brute_near_keys(texts)
+    assert len(set(roots)) == 40
+    assert kept_ids(spark, texts) == set(roots)
+
+
 # --- language model ----------------------------------------------------------------
 
 
