@@ -4,9 +4,10 @@ Text blocks of a page are grouped by their root-to-leaf tag path. A path's ratio
 is its text per node, fused with its punctuation per node: prose has long nodes
 with punctuation, menus have many short ones without. Ratios are smoothed over
 neighbouring blocks in page order, and blocks above a part of their standard
-deviation are content. The content node is the article (or, without one, the
-deepest element) that holds most of them; all of its blocks are the text,
-short ones included, except what stands in menus, adverts, forms and the like.
+deviation are content. All blocks of each article that holds some of them (or,
+without one, of the deepest element that holds most) are the text too, short
+ones included, except what stands in menus, adverts, forms and the like. A form
+around most of the page is no such part.
 
 One row per page, nothing moves. Nulls: a null or empty html has an empty text.
 Unclosed elements end with their parent, cut-off pages end where they are cut,
@@ -46,7 +47,7 @@ CONTENT_NODES = frozenset(["article", "main"])
 SINGLE_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody blockquote pre caption figcaption summary legend option".split())
 
 # Our own choice: elements, roles and words of class and id that mark what is not the article.
-ASIDE_ELEMENTS = frozenset("nav footer aside form head button select menu dialog object".split())
+ASIDE_ELEMENTS = frozenset("nav footer aside head button select menu dialog object".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 ASIDE_WORDS = frozenset(
     "ad ads adbox advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies discussion disqus footer "
@@ -54,6 +55,9 @@ ASIDE_WORDS = frozenset(
     "sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 
+# Inside an article these name its own head.
+HEADS = frozenset(["header", "masthead"])
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?=>|\Z)|[^>]*)(?:>|\Z)",
@@ -72,6 +76,7 @@ class Node:
     parent: int
     aside: bool
     article: bool
+    own: bool = False  # marked by itself as an aside, by more than being a form
 
 
 @dataclass(slots=True)
@@ -87,7 +92,9 @@ def _aside(name: str, attributes: str, in_article: bool) -> bool:
         return False
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
-        if key.lower() in ("class", "id") and name not in ("html", "body") and any(w.lower() in ASIDE_WORDS for w in _NAME_PART.findall(value)):
+        if key.lower() in ("class", "id") and name not in ("html", "body") and any(
+            w.lower() in ASIDE_WORDS and not (in_article and w.lower() in HEADS) for w in _NAME_PART.findall(value)
+        ):
             return True
         if key.lower() == "role" and value.lower() in ASIDE_ROLES:
             return True
@@ -152,8 +159,8 @@ def parse(page: str) -> tuple[list[Node], list[Block]]:
                 pop_to(ENDS_OPEN[name], frozenset(["ul", "ol", "dl", "table", "select"]))
         parent = nodes[stack[-1]]
         article = parent.article or name in CONTENT_NODES
-        aside = parent.aside or _aside(name, token["attributes"], article)
-        nodes.append(Node(name, f"{parent.path}/{name}", stack[-1], aside, article))
+        own = _aside(name, token["attributes"], article)
+        nodes.append(Node(name, f"{parent.path}/{name}", stack[-1], parent.aside or own or name == "form", article, own))
         if not token["attributes"].endswith("/"):
             stack.append(len(nodes) - 1)
     flush()
@@ -182,38 +189,63 @@ def path_ratios(nodes: list[Node], blocks: list[Block]) -> list[float]:
     return [ratio[(nodes[b.node].path, nodes[b.node].aside)] for b in blocks]
 
 
-def content_node(nodes: list[Node], blocks: list[Block], threshold: float = THRESHOLD, held: float = HELD_SHARE) -> int:
-    """The element that holds the blocks above the threshold: an article with most of them, or else the deepest with nearly all."""
+def content_nodes(nodes: list[Node], blocks: list[Block], threshold: float = THRESHOLD, held: float = HELD_SHARE) -> tuple[set[int], set[int]]:
+    """The elements whose blocks are content (every article that holds blocks above the threshold, or else the deepest
+    element with nearly all of them), and the indices of all blocks above the threshold."""
     values = _smoothed(path_ratios(nodes, blocks))
     mean = sum(values) / len(values)
     limit = threshold * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
-    weight = defaultdict(int)
-    for b, value in zip(blocks, values, strict=True):
+    weight, accepted = defaultdict(int), set()
+    for k, (b, value) in enumerate(zip(blocks, values, strict=True)):
         if value < limit or nodes[b.node].aside:
             continue
+        accepted.add(k)
         node = b.node
         while node >= 0:
             weight[node] += len(b.text)
             node = nodes[node].parent
-    articles = [n for n in weight if nodes[n].name in CONTENT_NODES]
+    articles = {n for n in weight if nodes[n].name in CONTENT_NODES}
     if articles:
-        return max(articles, key=lambda n: (weight[n], n))
-    return max((n for n in weight if weight[n] >= held * weight[0] and nodes[n].name in BLOCK - SINGLE_BLOCK), default=0)
+        return articles, accepted
+    return {max((n for n in weight if weight[n] >= held * weight[0] and nodes[n].name in BLOCK - SINGLE_BLOCK), default=0)}, accepted
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD, held: float = HELD_SHARE) -> str:
-    """The article's blocks, one a line."""
+    """The articles' blocks and all others above the threshold, one a line."""
     nodes, blocks = parse(page or "")
     if not blocks:
         return ""
-    chosen = content_node(nodes, blocks, threshold, held)
+    _open_forms(nodes, blocks)
+    chosen, accepted = content_nodes(nodes, blocks, threshold, held)
 
     def inside(node: int) -> bool:
-        while node > chosen:
+        while node > 0 and node not in chosen:
             node = nodes[node].parent
-        return node == chosen
+        return node in chosen
+
+    return "\n".join(b.text for k, b in enumerate(blocks) if not nodes[b.node].aside and (k in accepted or inside(b.node)))
 
-    return "\n".join(b.text for b in blocks if not nodes[b.node].aside and inside(b.node))
+
+def _open_forms(nodes: list[Node], blocks: list[Block]) -> None:
+    """A form around most of what is no aside by other marks is the page's frame: its own mark goes."""
+    forms = [n for n, node in enumerate(nodes) if node.name == "form" and node.aside]
+    if not forms:
+        return
+    marked = [False] * len(nodes)
+    for n, node in enumerate(nodes):
+        marked[n] = node.own or (n > 0 and marked[node.parent])
+    weight = defaultdict(int)
+    for b in blocks:
+        node = b.node if not marked[b.node] else -1
+        while node >= 0:
+            weight[node] += len(b.text)
+            node = nodes[node].parent
+    frames = {n for n in forms if 2 * weight[n] > weight[0]}
+    if not frames:
+        return
+    for n, node in enumerate(nodes):
+        if n:
+            node.aside = nodes[node.parent].aside or node.own or (node.name == "form" and n not in frames)
 
 
 def extracted(pages: DataFrame, threshold: float = THRESHOLD, held: float = HELD_SHARE) -> DataFrame:

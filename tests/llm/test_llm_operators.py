@@ -523,6 +523,17 @@ def test_main_text():
     assert pages.main_text("<div class=post><h2>T</h2><p>Long text, of a post, here.</p><p>b</p></div><div class=sidebar><p>Links, many.</p></div>") == "T\nLong text, of a post, here.\nb"
 
 
+def test_main_text_in_several_places():
+    prose = [f"Part {k} of a story, told at length, with marks: commas, and more of it. " * 4 for k in range(8)]
+    p = [f"<p>{t}</p>" for t in prose]
+    prose = [t.strip() for t in prose]
+    menu = "<nav><ul><li>One<li>Two</ul></nav>"
+    assert pages.main_text(f"{menu}<article>{p[0]}</article><article>{p[1]}</article>") == "\n".join(prose[:2])
+    assert pages.main_text(f"<body>{menu}<div>{''.join(p[:7])}</div><div>{p[7]}</div>") == "\n".join(prose)
+    assert pages.main_text(f"<body><form>{menu}<div>{p[0]}{p[1]}</div></form></body>") == "\n".join(prose[:2])
+    assert pages.main_text(f"<article><div class='entry-header'><h1>Head</h1></div>{p[0]}</article>") == "Head\n" + prose[0]
+
+
 def test_pages_rows(spark):
     table = spark.createDataFrame([(1, None, None, 5), (2, "u", "<p>é</p>", 6), (2, "u", "<p>é</p>", 6)], "page_id bigint, url string, html string, n_chars int")
     assert Counter(map(tuple, pages.extracted(table).collect())) == Counter([(1, None, "", 0), (2, "u", "é", 1), (2, "u", "é", 1)])
