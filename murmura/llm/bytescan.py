@@ -21,9 +21,10 @@ _DIGIT = (_ALL >= 0x30) & (_ALL <= 0x39)
 _LOWER = (_ALL >= 0x61) & (_ALL <= 0x7A)
 _UPPER = (_ALL >= 0x41) & (_ALL <= 0x5A)
 
-# Words between white space, and words of ASCII letters, digits and any other character beyond ASCII.
+# Words between white space; of ASCII letters, digits and any character beyond ASCII; and of the same without digits.
 SPACED = ~_SPACE
 ALPHANUMERIC = _DIGIT | _LOWER | _UPPER | (_ALL >= 0x80)
+LETTERS = _LOWER | _UPPER | (_ALL >= 0x80)
 
 _FOLD = np.where(_UPPER, _ALL + 32, _ALL).astype(np.uint8)
 FOLD_BYTES = _FOLD.tobytes()
@@ -96,6 +97,15 @@ class Words:
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
+    def spelled(self, at: np.ndarray) -> pa.Array:
+        """The folded words at the given indexes, as strings."""
+        lengths = self.ends[at] - self.starts[at]
+        ends = np.cumsum(lengths)
+        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - lengths), lengths)
+        body = self.raw[take].tobytes().translate(FOLD_BYTES)
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(body))
+
     def runs(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of ``width`` words inside a text, and the index of each run's first word."""
         n = len(self.hashes) - width + 1

@@ -193,17 +193,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_blocks(whole, "text", 16 << 20):
             found = words(batch.column("text"), SPACED)
             _, first, n = np.unique(found.hashes, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_spelled(found, first), pa.array(n.astype(np.int64))], names=["word", "n"])
-
-
-def _spelled(found: Words, at: np.ndarray) -> pa.Array:
-    """The folded words at the given indexes, as strings."""
-    lengths = found.ends[at] - found.starts[at]
-    ends = np.cumsum(lengths)
-    take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(found.starts[at] - (ends - lengths), lengths)
-    body = found.raw[take].tobytes().translate(FOLD_BYTES)
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
-    return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(body))
+            yield pa.RecordBatch.from_arrays([found.spelled(first), pa.array(n.astype(np.int64))], names=["word", "n"])
 
 
 def word_counts(train: DataFrame) -> DataFrame:
