@@ -9,9 +9,6 @@ follows the number of leaves under the fullest prefix, so no group outgrows a ta
 A fingerprint has at most 64 + 64 * 63 / 2 neighbours at two bits, and each
 group returns only links that join what it has not joined yet, closest first.
 
-The pipeline's near dedup uses no fingerprints: it finds every pair of texts with
-similar shingles by a prefix filter, and compares whole texts.
-
 Nulls: a null or empty text has no words and the fingerprint zero, which is
 linked like any other. Null ids are carried; a component of nulls only has a
 null id. Rows that repeat an id or a text share its component. Empty tables
@@ -21,17 +18,17 @@ give empty results; extra columns are carried through ``drop_near_copies``.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm.base import broadcast_if_small, query, row_key, table
-from murmura.llm.bytescan import FOLD_BYTES, SPACED, row_blocks, utf8, words
+from murmura.llm.base import broadcast_if_small, query, table
+from murmura.llm.bytescan import FOLD_BYTES, row_blocks, utf8
 from murmura.llm.components import components
 from murmura.session import materialize
 
@@ -45,15 +42,6 @@ _MIN_DEPTH, _MAX_DEPTH = 4, 20
 # Node pairs handled at once, and the pairs of leaves below which a node pair is compared directly.
 _CHUNK, _DIRECT = 1 << 16, 32
 
-# The pipeline's stage: words per shingle, and the similarity that decides.
-STAGE_WIDTH, STAGE_SIMILARITY = 5, 0.8
-# Texts of one shingle that are compared whole; of a larger bucket, the texts compared with all others in the first round.
-BUCKET, LEADERS = 32, 2
-# Pairs left in all large buckets that are compared at once rather than in further rounds.
-LAST_PAIRS = 1_000_000
-# One text in so many is sampled for common shingles; those seen so often, at most so many, are ordered last.
-SAMPLED, COMMON, COMMON_TOKENS = 8, 4, 1_000_000
-
 
 # --- fingerprints ------------------------------------------------------------------
 
@@ -76,8 +64,8 @@ def _majority(hashes: np.ndarray, weights: np.ndarray | None, bounds: np.ndarray
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    """(doc_id, fingerprint): majority bits of the XXH64 of all word shingles, repeats included."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, seed: int = SEED, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The numeric columns ``carry`` and the fingerprint: majority bits of the XXH64 of all word shingles, repeats included."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
@@ -99,9 +87,10 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataF
                     counts.append(max(n, 1) if own else 0)
                 bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
                 prints = _majority(np.array(hashes, np.uint64), None, bounds)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(prints.view(np.int64))], names=["doc_id", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(prints.view(np.int64))], names=[*carry, "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id bigint, fingerprint bigint")
+    numbers = [F.col(c).cast("bigint").alias(c) for c in carry]
+    return docs.select(*numbers, "text").mapInArrow(rows, ", ".join(f"{c} bigint" for c in [*carry, "fingerprint"]))
 
 
 # --- trie self-join ----------------------------------------------------------------
@@ -271,271 +260,45 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
 # --- queries -----------------------------------------------------------------------
 
 
+def component_roots(leaves: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """(fingerprint, root) of distinct fingerprints: the least one that links reach."""
+    leaves = materialize(leaves.select("fingerprint"))
+    roots = components(near_links(leaves, budget)).withColumnRenamed("node", "fingerprint")
+    return materialize(leaves.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")))
+
+
 def near_components(docs: DataFrame, budget: int = BUDGET, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """(doc_id, fingerprint, component_id): the smallest id that links of fingerprints reach."""
     prints = materialize(fingerprints(docs, width, seed))
     leaves = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
-    roots = components(near_links(leaves, budget))
-    rooted = leaves.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    rooted = materialize(rooted.withColumn("root", F.coalesce("root", "fingerprint")))
+    rooted = leaves.join(component_roots(leaves, budget), "fingerprint")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = materialize(rooted.join(named, "root").select("fingerprint", "component_id"))
     return prints.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def _similarity(a: np.ndarray, b: np.ndarray) -> float:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared / (len(a) + len(b) - shared) if len(a) + len(b) else 1.0
-
-
-def _shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, hash) of the runs of words of each text, by owner and repeats included: a shorter text is one run, an empty one has none."""
-    found = words(column, SPACED)
-    hashes, at = found.runs(width)
-    short = np.flatnonzero((found.counts > 0) & (found.counts < width))
-    whole = [xxhash.xxh64_intdigest(found.hashes[found.bounds[i] : found.bounds[i + 1]].tobytes()) for i in short]
-    owner = np.concatenate([found.text_of_word()[at], short])
-    order = np.argsort(owner, kind="stable")
-    return owner[order], np.concatenate([hashes, np.array(whole, np.uint64)])[order]
-
-
-def _verified(width: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        owner, hashes = _shingles(column, width)
-        bounds = np.searchsorted(owner, np.arange(len(column) + 1))
-        return [np.unique(hashes[lo:hi]) for lo, hi in zip(bounds, bounds[1:], strict=False)]
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in row_blocks(whole, "text_a"):
-                pairs = zip(sets(batch.column("text_a")), sets(batch.column("text_b")), strict=True)
-                keep = pa.array([_similarity(x, y) >= similarity for x, y in pairs], pa.bool_())
-                yield batch.select(["a", "b"]).filter(keep)
-
-    return rows
-
-
-def _common(keyed: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles seen often in a sample of texts, sorted, and their counts. They only set the order of shingles, never what is compared."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in row_blocks(whole, "text"):
-                owner, hashes = _shingles(batch.column("text"), width)
-                order = np.lexsort((hashes, owner))
-                owner, hashes = owner[order], hashes[order]
-                new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])])[: len(owner)]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64))], names=["token"])
-
-    sampled = keyed.filter(F.pmod("row_key", F.lit(SAMPLED)) == 0).select("text").mapInArrow(rows, "token bigint")
-    counted = materialize(sampled.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON))
-    least, total = None, 0
-    for row in counted.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toLocalIterator():
-        total += row["tokens"]
-        if total > COMMON_TOKENS:
-            break
-        least = row["n"]
-    if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found = counted.filter(F.col("n") >= least).toArrow()
-    tokens = found.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], found.column("n").to_numpy()[order]
-
-
-_POSTING = "token bigint, row_key bigint, before bigint, place int, size int, weight float"
+def drop_near_copies(docs: DataFrame, budget: int = BUDGET, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+    """``docs`` with one document of each component of near fingerprints: the one of the least id, and of the least hash among rows that share it.
 
-
-def prefixes(keyed: DataFrame, similarity: float, width: int) -> DataFrame:
-    """The first shingles of each text, uncommon ones first: as many as must hold one in common with any text similar enough.
-
-    ``before`` is the shingle one place earlier (null at the first), ``place``
-    counts from 0 among ``size`` distinct ones, ``weight`` is greatest for a text
-    made of what other texts hold too. Texts without words share one posting.
+    Rows are named by 128 bits of id and text. What goes is joined against the
+    documents, not what stays, so texts move only where very much goes.
     """
-    tokens, counts = _common(keyed, width)
-    shared = keyed.sparkSession.sparkContext.broadcast((tokens, counts))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = shared.value
-        for whole in batches:
-            for batch in row_blocks(whole, "text", 2 << 20):
-                owner, hashes = _shingles(batch.column("text"), width)
-                none = np.setdiff1d(np.arange(batch.num_rows), owner)
-                owner, hashes = np.concatenate([owner, none]), np.concatenate([hashes, np.zeros(len(none), np.uint64)])
-                seen = np.zeros(len(hashes), np.int64)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
-                    seen = np.where(tokens[at] == hashes, counts[at], 0)
-                order = np.lexsort((hashes, seen, owner))
-                owner, hashes, seen = owner[order], hashes[order], seen[order]
-                new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])])[: len(owner)]
-                owner, hashes, seen = owner[new], hashes[new], seen[new]
-                bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-                size = np.diff(bounds)[owner]
-                place = np.arange(len(owner)) - bounds[owner]
-                weight = np.bincount(owner, seen, batch.num_rows)[owner] / size
-                kept = np.flatnonzero(place <= size - np.ceil(similarity * size - 1e-6))
-                keys = batch.column("row_key").to_numpy()
-                before = np.concatenate([[np.uint64(0)], hashes[:-1]]).view(np.int64)
-                columns = [
-                    pa.array(hashes.view(np.int64)[kept]),
-                    pa.array(keys[owner[kept]]),
-                    pa.array(before[kept], mask=place[kept] == 0),
-                    pa.array(place[kept].astype(np.int32)),
-                    pa.array(size[kept].astype(np.int32)),
-                    pa.array(weight[kept].astype(np.float32)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["token", "row_key", "before", "place", "size", "weight"])
-
-    return keyed.select("row_key", "text").mapInArrow(rows, _POSTING)
-
-
-def _possible(a: str, b: str, similarity: float) -> Column:
-    """Whether two postings of one shingle may be the first that two texts similar enough have in common."""
-    size_a, size_b, left_a, left_b = (F.col(f"{x}.{c}") for c in ("size", "place") for x in (a, b))
-    rest = F.least(size_a - left_a, size_b - left_b)
-    new = F.col(f"{a}.before").isNull() | F.col(f"{b}.before").isNull() | (F.col(f"{a}.before") != F.col(f"{b}.before"))
-    return new & (rest >= (size_a + size_b) * (similarity / (1 + similarity)) - 1e-6)
-
-
-def _bucket_pairs(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of postings sorted by (token, row_key): all possible pairs (a, b) of small buckets, and the postings of large ones ranked by weight."""
-    names = ["token", "row_key", "before", "place", "size", "weight"]
-
-    def small(c: dict[str, np.ndarray], bucket: np.ndarray) -> pa.RecordBatch:
-        a, b = [], []
-        for step in range(1, BUCKET):
-            at = np.flatnonzero(bucket[step:] == bucket[:-step])
-            if not len(at):
-                break
-            i, j = at, at + step
-            rest = np.minimum(c["size"][i] - c["place"][i], c["size"][j] - c["place"][j])
-            new = (c["place"][i] == 0) | (c["place"][j] == 0) | (c["before"][i] != c["before"][j])
-            near = new & (rest >= (c["size"][i] + c["size"][j]) * (similarity / (1 + similarity)) - 1e-6)
-            a.append(c["row_key"][i[near]])
-            b.append(c["row_key"][j[near]])
-        none = np.zeros(0, np.int64)
-        a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return out({"a": pairs[:, 0], "b": pairs[:, 1]}, len(pairs))
-
-    def out(columns: dict[str, np.ndarray], n: int, first: np.ndarray | None = None) -> pa.RecordBatch:
-        arrays = []
-        for field in _BUCKETS:
-            if field.name not in columns:
-                arrays.append(pa.nulls(n, field.type))
-            elif field.name == "before":
-                arrays.append(pa.array(columns["before"], field.type, mask=first))
-            else:
-                arrays.append(pa.array(columns[field.name].astype(field.type.to_pandas_dtype())))
-        return pa.RecordBatch.from_arrays(arrays, schema=_BUCKETS)
-
-    def finished(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        new = np.concatenate([[True], (c["token"][1:] != c["token"][:-1]) | (c["row_key"][1:] != c["row_key"][:-1])])[: len(c["token"])]
-        c = {k: v[new] for k, v in c.items()}
-        bucket = np.cumsum(np.concatenate([[0], c["token"][1:] != c["token"][:-1]])[: len(c["token"])])
-        n = np.bincount(bucket)[bucket] if len(bucket) else bucket
-        few = (n > 1) & (n <= BUCKET)
-        if few.any():
-            yield small({k: v[few] for k, v in c.items()}, bucket[few])
-        many = n > BUCKET
-        if many.any():
-            c, bucket = {k: v[many] for k, v in c.items()}, bucket[many]
-            order = np.lexsort((c["row_key"], -c["weight"], bucket))
-            c = {k: v[order] for k, v in c.items()}
-            c["rank"] = np.arange(len(bucket)) - np.searchsorted(bucket, bucket)
-            yield out(c, len(bucket), c["place"] == 0)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[dict[str, np.ndarray]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            c = {k: (batch.column(k).fill_null(0) if k == "before" else batch.column(k)).to_numpy() for k in names}
-            cut = int(np.searchsorted(c["token"], c["token"][-1]))
-            parts.append({k: v[:cut] for k, v in c.items()} if cut else c)
-            if cut and sum(len(p["token"]) for p in parts) >= 1 << 16:
-                yield from finished({k: np.concatenate([p[k] for p in parts]) for k in names})
-                parts = []
-            if cut:
-                parts.append({k: v[cut:] for k, v in c.items()})
-        if parts:
-            yield from finished({k: np.concatenate([p[k] for p in parts]) for k in names})
-
-    return rows
-
-
-_BUCKETS = pa.schema(
-    [("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("row_key", pa.int64()), ("before", pa.int64())]
-    + [("place", pa.int32()), ("size", pa.int32()), ("rank", pa.int64())]
-)
-
-
-def near_copies(keyed: DataFrame, firsts: DataFrame, similarity: float = STAGE_SIMILARITY, width: int = STAGE_WIDTH) -> DataFrame:
-    """Links (a, b) between the keys of distinct texts whose word shingles are similar enough; what they connect is what
-    all pairs that similar connect.
-
-    ``keyed`` has a row per document (row_key of its text, its own _row, text),
-    ``firsts`` names one document (row_key, _row) of each text. Texts that may be
-    similar share a shingle of their prefixes. Small buckets of a shingle are
-    compared whole. In large ones some texts are compared with all others, twice
-    as many in each round, until the rest of the bucket is one component of
-    verified links or every pair of two components has been compared. Only texts
-    of candidate pairs are moved, and compared whole.
-    """
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs.distinct())
-        keys = pairs.select(F.col("a").alias("row_key")).unionAll(pairs.select(F.col("b").alias("row_key"))).distinct()
-        wanted = broadcast_if_small(materialize(firsts.join(keys, "row_key").select("row_key", "_row")))
-        texts = materialize(keyed.join(wanted, ["row_key", "_row"], "left_semi").select("row_key", "text").dropDuplicates(["row_key"]))
-        paired = pairs.join(texts.select(F.col("row_key").alias("a"), F.col("text").alias("text_a")), "a")
-        paired = paired.join(texts.select(F.col("row_key").alias("b"), F.col("text").alias("text_b")), "b")
-        return materialize(paired.select("a", "b", "text_a", "text_b").mapInArrow(_verified(width, similarity), "a bigint, b bigint"))
-
-    dealt = prefixes(keyed, similarity, width).repartition("token").sortWithinPartitions("token", "row_key")
-    found = materialize(dealt.mapInArrow(_bucket_pairs(similarity), "a bigint, b bigint, token bigint, row_key bigint, before bigint, place int, size int, rank bigint"))
-    links = checked(found.filter(F.col("a").isNotNull()).select("a", "b"))
-    open_rows = found.filter(F.col("token").isNotNull()).drop("a", "b")
-    lo, hi, fresh, roots = 0, LEADERS, True, None
-    while True:
-        if fresh:
-            roots = broadcast_if_small(materialize(components(links))).withColumnRenamed("node", "row_key")
-        named = open_rows.filter(F.col("rank") >= lo).drop("root").join(roots, "row_key", "left")
-        named = materialize(named.withColumn("root", F.coalesce("root", "row_key")))
-        sizes = named.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
-        mixed = materialize(sizes.filter("least <> most").select("token", "n"))
-        left = mixed.agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2)).first()[0]
-        if left is None:
-            return links
-        if left <= LAST_PAIRS:
-            hi = 2**62
-        open_rows = named.join(mixed.select("token"), "token", "left_semi")
-        leaders = open_rows.filter(F.col("rank") < hi)
-        pairs = leaders.alias("x").join(open_rows.alias("y"), F.col("x.token") == F.col("y.token"))
-        pairs = pairs.filter((F.col("x.rank") < F.col("y.rank")) & (F.col("x.root") != F.col("y.root")) & _possible("x", "y", similarity))
-        pairs = pairs.select(F.least("x.row_key", "y.row_key").alias("a"), F.greatest("x.row_key", "y.row_key").alias("b"))
-        more = checked(pairs)
-        fresh = not more.isEmpty()
-        links = links.unionAll(more)
-        if hi == 2**62:
-            return links
-        lo, hi = hi, 4 * hi
-
-
-def drop_near_copies(docs: DataFrame, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each group of exact or near copies: the one of the least id."""
-    packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("row_key"), row_key().alias("_row"))
-    keyed = packed.withColumn("text", F.col("doc.text"))
-    firsts = materialize(packed.groupBy("row_key").agg(F.min(F.struct("_id", "_row")).alias("first")).select("row_key", "first._id", "first._row"))
-    roots = components(near_copies(keyed, firsts, similarity)).withColumnRenamed("node", "row_key")
-    rooted = firsts.join(roots, "row_key", "left").withColumn("root", F.coalesce("root", "row_key"))
-    kept = materialize(rooted.groupBy("root").agg(F.min(F.struct("_id", "_row")).alias("first")).select(F.col("first._row").alias("_row")))
-    rows = packed.join(broadcast_if_small(kept), "_row", "left_semi")
-    again = materialize(packed.groupBy("_row").count().filter("count > 1").select("_row"))
-    once = rows.join(again, "_row", "left_anti").select("doc.*")
-    return once.unionAll(rows.join(again, "_row", "left_semi").dropDuplicates(["_row"]).select("doc.*"))
+    text = F.coalesce("text", F.lit(""))
+    key = [F.xxhash64("doc_id", text).alias("_high"), F.xxhash64(F.lit(seed), text, "doc_id").alias("_low")]
+    keyed = docs.withColumns({"_high": key[0], "_low": key[1]})
+    prints = materialize(fingerprints(keyed.select("doc_id", "_high", "_low", "text"), width, seed, ("doc_id", "_high", "_low")))
+    labels = component_roots(prints.select("fingerprint").distinct(), budget)
+    rows = materialize(prints.join(labels, "fingerprint").groupBy("root", "doc_id", "_high", "_low").agg(F.count("*").alias("copies")))
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "_high", "_low")).alias("first"))
+    kept = materialize(first.select("root", "first._high", "first._low"))
+    dropped = materialize(rows.join(kept, ["root", "_high", "_low"], "left_anti").select("_high", "_low").distinct())
+    left = keyed.join(broadcast_if_small(dropped), ["_high", "_low"], "left_anti")
+    again = materialize(rows.filter("copies > 1").join(kept, ["root", "_high", "_low"]).select("_high", "_low"))
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    again = broadcast_if_small(again)
+    once = left.join(again, ["_high", "_low"], "left_anti")
+    return once.unionAll(left.join(again, ["_high", "_low"], "left_semi").dropDuplicates(["_high", "_low"]).select(once.columns)).select(*docs.columns)
 
 
 @query("op7_simhash_near_dedup", None)

@@ -11,7 +11,7 @@ import pytest
 import corpus_pipeline
 from murmura.llm.queries import CATALOG
 from murmura.session import materialize
-from test_llm_operators import FOLD, SPACED, brute_contained, roots_of
+from test_llm_operators import FOLD, SPACED, brute_contained, brute_fingerprint, roots_of
 
 _spec = importlib.util.spec_from_file_location("verify_llm", Path(__file__).resolve().parents[2] / "tools" / "verify.py")
 verify = importlib.util.module_from_spec(_spec)
@@ -91,13 +91,9 @@ def test_pipeline_against_brute_force(spark, data):
     assert {i: r["text"] for i, r in rewritten.items()} == want
 
     apart, single = after("near dedup", lined)
-    sets = {}
-    for i, text in want.items():
-        w = SPACED.findall(text.translate(FOLD))
-        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
     ids = sorted(want)
-    near = [(m, n) for m, i in enumerate(ids) for n, j in enumerate(ids[:m]) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    roots = roots_of(len(ids), near)
+    prints = [brute_fingerprint(want[i]) for i in ids]
+    roots = roots_of(len(ids), [(m, n) for m in range(len(ids)) for n in range(m) if (prints[m] ^ prints[n]).bit_count() <= 2])
     assert set(single) == {ids[k] for k, root in enumerate(roots) if k == root}
 
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
