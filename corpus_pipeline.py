@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a table with the columns of
 its input; the last repeats rows. Stages work on all rows they are given:
 quality rules drop what they reject, line dedup rewrites texts without shared
-lines, near dedup keeps one document of each group of exact or near copies,
+lines, near dedup keeps one document of each group of near fingerprints,
 decontamination drops documents that hold a benchmark item, and mixing repeats
 documents to their source's target. Null, empty and repeated rows are treated as
 the operators' modules state.
@@ -31,9 +31,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group whose five-word shingles are similar at 0.8 or more."""
+    """One document, that of the least id, of each group whose fingerprints of three-word shingles link at two differing bits or fewer."""
     settle(spark)
-    return simhash.drop_near_copies(docs)
+    return simhash.drop_near_copies(docs, budget=2, width=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ STAGES = [
     ("mix sources", mix_sources),
 ]
 
-# Near copies are no SQL; tests hold the stages against brute force.
+# Fingerprints are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
