@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 _GROUP_LIMIT = 1000
 
 
+# Rows of a few columns that may be broadcast: some tens of megabytes.
+_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """A materialised table of few columns, hinted for broadcast up to a counted size and left to a shuffle beyond it."""
+    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
+
+
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank", salts: int = 64
 ) -> DataFrame:

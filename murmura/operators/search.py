@@ -2,8 +2,8 @@
 
 A query term matches a document when it is a substring (2 to 15 characters) of
 one of the document's tokens. The index keeps this in two tables: which tokens
-hold a gram, and which documents hold a token. Expanding every document into
-its grams would repeat each token's grams once per document.
+hold a gram, and which documents hold a token, at which positions. Expanding
+every document into its grams would repeat each token's grams once per document.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from murmura import wordlists as W
 from murmura.functions import text
 from murmura.functions.once import once
 from murmura.operators.analysis import Analyzer, analyze_query
-from murmura.operators.scale import top_n_per_group
+from murmura.operators.scale import broadcast_if_small, top_n_per_group
 from murmura.session import materialize
 
 K1, B = 1.2, 0.75
@@ -36,8 +36,9 @@ def vocabulary_grams(vocabulary: DataFrame, low: int = MIN_GRAM, high: int = MAX
 
 
 def token_postings(tokens: DataFrame) -> DataFrame:
-    """``(token, doc_id, tf)`` from ``(doc_id, pos, token)``."""
-    return tokens.groupBy("token", "doc_id").agg(F.count("*").alias("tf"))
+    """``(token, doc_id, tf, length, positions)`` from ``(doc_id, pos, token)``, which may have the document's length."""
+    length = F.max("length") if "length" in tokens.columns else F.lit(None).cast("int")
+    return tokens.groupBy("token", "doc_id").agg(F.count("*").alias("tf"), length.alias("length"), F.sort_array(F.collect_list("pos")).alias("positions"))
 
 
 def build_postings(tokens: DataFrame, low: int = MIN_GRAM, high: int = MAX_GRAM) -> DataFrame:
@@ -50,50 +51,70 @@ def build_postings(tokens: DataFrame, low: int = MIN_GRAM, high: int = MAX_GRAM)
 
 @dataclass
 class SearchIndex:
-    """``postings (token, doc_id, tf, length)``, ``docs (doc_id, length, opinion, attributes)``, and once written ``grams (gram, token, n)``.
+    """``postings (token, doc_id, tf, length, positions)`` and ``docs (doc_id, length, opinion, attributes)``.
 
-    Without the gram table, a lookup expands the vocabulary into grams of the
-    lengths asked for only.
+    Once written there are also ``grams (gram, token, n)``, ``vocabulary (token, docs)`` and the one row ``corpus (n, total)``.
+    Without the gram table, a lookup expands the vocabulary into grams of the lengths asked for only. ``segmented`` says
+    that the grams of a token may be listed by several segments.
     """
 
     postings: DataFrame
     docs: DataFrame
     grams: DataFrame | None = None
+    vocabulary: DataFrame | None = None
+    corpus: DataFrame | None = None
+    segmented: bool = False
 
-    def write(self, path: str, mode: str = "errorifexists", grams: bool = True) -> SearchIndex:
+    def write(self, path: str, mode: str = "errorifexists", grams: bool = True, suffix: str = "") -> SearchIndex:
         """Parquet sorted by lookup key, so that a term reads few row groups. Returns the stored index.
 
         The second range key splits a token or gram that fills many files.
         Without ``grams`` lookups expand the stored vocabulary, which suits a few large batches.
         """
         spark = self.postings.sparkSession
-        self.postings.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id").write.mode(mode).parquet(f"{path}/postings")
-        self.docs.write.mode(mode).parquet(f"{path}/docs")
-        stored = SearchIndex.read(spark, path, grams=False)
-        if not grams:
-            return stored
-        table = vocabulary_grams(stored.postings.select("token").distinct())
-        table.repartitionByRange("gram", "token").sortWithinPartitions("gram", "token").write.mode(mode).parquet(f"{path}/grams")
-        return SearchIndex.read(spark, path)
+        at = lambda part: f"{path}/{part}{suffix}"
+        self.postings.repartitionByRange("token", "doc_id").sortWithinPartitions("token", "doc_id").write.mode(mode).parquet(at("postings"))
+        self.docs.write.mode(mode).parquet(at("docs"))
+        postings, docs = spark.read.parquet(at("postings")), spark.read.parquet(at("docs"))
+        token_docs(postings).write.mode(mode).parquet(at("vocabulary"))
+        docs.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("total")).write.mode(mode).parquet(at("corpus"))
+        if grams:
+            vocabulary_grams(spark.read.parquet(at("vocabulary"))).repartition("gram").sortWithinPartitions("gram", "token").write.mode(mode).parquet(at("grams"))
+        return SearchIndex.read(spark, path, grams, suffix)
 
     @classmethod
-    def read(cls, spark: SparkSession, path: str, grams: bool = True) -> SearchIndex:
-        parts = ("postings", "docs", "grams") if grams else ("postings", "docs")
-        return cls(*[spark.read.parquet(f"{path}/{part}") for part in parts])
+    def read(cls, spark: SparkSession, path: str, grams: bool = True, suffix: str = "") -> SearchIndex:
+        part = lambda name: spark.read.parquet(f"{path}/{name}{suffix}")
+        return cls(part("postings"), part("docs"), part("grams") if grams else None, part("vocabulary"), part("corpus"))
+
+    def tokens(self) -> DataFrame:
+        """``(token, docs)``: in how many documents a token is; of segments, replaced documents included."""
+        return self.vocabulary if self.vocabulary is not None else token_docs(self.postings)
+
+    def size(self) -> DataFrame:
+        """One row ``(n, total)``: documents, and tokens in them."""
+        if self.corpus is not None:
+            return self.corpus
+        return self.docs.agg(F.count("*").alias("n"), F.sum("length").alias("total"))
 
     def holding_tokens(self, terms: DataFrame) -> DataFrame:
         """``terms`` with each token that holds the term, and how often (``n``)."""
         if self.grams is not None:
-            return terms.join(self.grams, terms["term"] == self.grams["gram"]).drop("gram")
+            found = terms.join(self.grams, terms["term"] == self.grams["gram"]).select(*terms.columns, "token", "n")
+            return found.groupBy(*terms.columns, "token").agg(F.max("n").alias("n")) if self.segmented else found
         asked = terms.filter(F.length("term").between(MIN_GRAM, MAX_GRAM)).select("term").distinct()
         # At most as many sizes as gram lengths: a few numbers, whatever the batch.
         sizes = asked.agg(F.collect_set(F.length("term"))).scalar()
-        vocabulary = self.postings.select("token").distinct().withColumn("_sizes", sizes)
+        vocabulary = self.tokens().select("token").distinct().withColumn("_sizes", sizes)
         grams = vocabulary.select("token", F.explode(text.grams_of_sizes(F.col("token"), F.col("_sizes"))).alias("gram"))
         held = grams.join(terms, terms["term"] == grams["gram"])
         return held.groupBy(*terms.columns, "token").agg(F.count("*").alias("n"))
 
 
+def token_docs(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("token").agg(F.count("*").alias("docs"))
+
+
 def build_index(
     docs: DataFrame,
     field: str = "comment_content",
@@ -104,15 +125,11 @@ def build_index(
 ) -> SearchIndex:
     """Index of one text field. ``docs.opinion`` marks documents that match one of ``filter_words``."""
     named = docs.select(F.col(id_col).alias("doc_id"), *attributes, F.col(field).alias("_text"))
-    analyzed = analyzer.index_items(named, "_text", "_items").select("doc_id", *attributes, F.col("_items.token").alias("_tokens"))
+    analyzed = analyzer.index_items(named, "_text", "_items").select("doc_id", *attributes, "_items", F.col("_items.token").alias("_tokens"))
     opinion = F.exists("_tokens", lambda t: reduce(lambda a, b: a | b, [t.contains(w) for w in filter_words])) if filter_words else F.lit(True)
     sized = once(analyzed, length=F.greatest(F.size("_tokens"), F.lit(0)), opinion=F.coalesce(opinion, F.lit(False)))
-    postings = (
-        sized.select("doc_id", "length", F.explode("_tokens").alias("token"))
-        .groupBy("token", "doc_id")
-        .agg(F.count("*").alias("tf"), F.max("length").alias("length"))
-    )
-    return SearchIndex(postings, sized.drop("_tokens"))
+    postings = token_postings(sized.select("doc_id", "length", F.inline("_items")))
+    return SearchIndex(postings, sized.drop("_tokens", "_items"))
 
 
 # --- matching ------------------------------------------------------------------
@@ -138,20 +155,46 @@ def token_match(tokens: Column, term: str) -> Column:
     return F.exists(tokens, lambda t: t.contains(term))
 
 
-def match_phrase(tokens: DataFrame, phrases: DataFrame, index: SearchIndex | None = None) -> DataFrame:
-    """``(query_id, doc_id)`` where consecutive positions hold the phrase's terms.
+def phrase_hits(index: SearchIndex, phrases: DataFrame) -> DataFrame:
+    """``(query_id, doc_id, tf, length)``: how often consecutive positions of a document hold the phrase's terms.
 
-    ``tokens`` is ``(doc_id, pos, token)`` and ``phrases`` is ``(query_id, i,
-    term)`` with ``i`` from 0. A document matches when all terms point at the
-    same start position.
+    ``phrases`` is ``(query_id, i, term)`` with the term's place ``i`` from 0; terms of the same place are alternatives.
+    The place with the fewest documents gives the candidates, the other places keep those that hold them too, and only
+    then positions are moved: those of whole candidates, checked in the row.
     """
-    lookup = index or SearchIndex(tokens, tokens)
-    held = lookup.holding_tokens(phrases.select("term").distinct()).select("term", "token")
-    lengths = phrases.groupBy("query_id").agg(F.max("i").alias("last"))
-    wanted = phrases.join(lengths, "query_id").join(held, "term")
-    placed = wanted.join(tokens, "token").select("query_id", "last", "doc_id", "i", (F.col("pos") - F.col("i")).alias("start"))
-    runs = placed.groupBy("query_id", "last", "doc_id", "start").agg(F.count_distinct("i").alias("found"))
-    return runs.filter(F.col("found") == F.col("last") + 1).select("query_id", "doc_id").distinct()
+    held = index.holding_tokens(phrases.select("term").distinct()).select("term", "token")
+    wanted = materialize(phrases.join(held, "term").select("query_id", F.col("i").cast("int").alias("i"), "token").distinct())
+    places = phrases.groupBy("query_id").agg(F.count_distinct("i").alias("places"))
+    costs = wanted.join(index.tokens(), "token").groupBy("query_id", "i").agg(F.sum("docs").alias("docs"))
+    plan = costs.groupBy("query_id").agg(F.min_by("i", F.struct("docs", "i")).alias("rarest"), F.count("*").alias("found")).join(places, "query_id")
+    plan = materialize(plan.filter("found = places").select("query_id", "rarest", "places"))
+    narrow = index.postings.select("token", "doc_id")
+    planned = wanted.join(plan, "query_id")
+    rare = planned.filter("i = rarest").join(narrow, "token").select("query_id", "doc_id").distinct()
+    rest = planned.filter("i <> rarest").join(narrow, "token").join(broadcast_if_small(materialize(rare)), ["query_id", "doc_id"])
+    others = rest.groupBy("query_id", "doc_id").agg(F.count_distinct("i").alias("others"))
+    whole = others.join(plan, "query_id").filter("others = places - 1").select("query_id", "doc_id")
+    whole = whole.unionByName(rare.join(plan.filter("places = 1"), "query_id").select("query_id", "doc_id"))
+    placed = wanted.join(index.postings, "token").join(broadcast_if_small(materialize(whole)), ["query_id", "doc_id"])
+    starts = placed.select("query_id", "doc_id", "length", "i", F.transform("positions", lambda p: p - F.col("i")).alias("starts"))
+    by_place = starts.groupBy("query_id", "doc_id", "i").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.max("length").alias("length"))
+    by_doc = by_place.groupBy("query_id", "doc_id").agg(F.collect_list("starts").alias("lists"), F.max("length").alias("length"))
+    common = F.aggregate("lists", F.array_distinct(F.element_at("lists", 1)), F.array_intersect)
+    return by_doc.select("query_id", "doc_id", F.size(common).cast("bigint").alias("tf"), "length").filter("tf > 0")
+
+
+def match_phrase(index: SearchIndex | DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(query_id, doc_id)`` where consecutive positions hold the phrase's terms; instead of an index, ``(doc_id, pos, token)`` will do."""
+    if isinstance(index, DataFrame):
+        index = SearchIndex(token_postings(index), index)
+    return phrase_hits(index, phrases).select("query_id", "doc_id")
+
+
+def query_phrases(queries: DataFrame, analyzer: Analyzer = Analyzer()) -> DataFrame:
+    """``(query_id, i, term)``: the analyzed words of each phrase by their distance from the first; dropped words leave gaps."""
+    terms = analyze_query(queries, analyzer=analyzer)
+    first = terms.groupBy("query_id").agg(F.min("pos").alias("_first"))
+    return terms.join(first, "query_id").select("query_id", (F.col("pos") - F.col("_first")).alias("i"), F.col("token").alias("term")).distinct()
 
 
 def phrase_in_tokens(tokens: Column, terms: Sequence[str]) -> Column:
@@ -204,22 +247,33 @@ def allowed(hits: DataFrame, docs: DataFrame, requests: DataFrame, opinion_only:
 # --- ranking -------------------------------------------------------------------
 
 
-def bm25(hits: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, relevance)`` by the published formula; statistics come from the whole corpus."""
-    corpus = docs.agg(F.struct(F.count("*").alias("n"), F.avg("length").alias("mean")).alias("corpus")).scalar()
-    df = hits.groupBy("query_id", "term").agg(F.count("*").alias("df"))
-    scored = hits.join(df, ["query_id", "term"]).withColumn("corpus", corpus)
+def weighted(hits: DataFrame, size: DataFrame, df: DataFrame | None = None) -> DataFrame:
+    """Hits with the ``weight`` of each by the published BM25 formula; ``size`` is the corpus' one row, ``df`` counts the
+    documents of each (query_id, term) where ``hits`` are not all of them."""
+    corpus = size.agg(F.struct(F.max("n").alias("n"), (F.max("total") / F.max("n")).alias("mean")).alias("corpus")).scalar()
+    scored = hits.join(document_counts(hits) if df is None else df, ["query_id", "term"]).withColumn("corpus", corpus)
     idf = F.log(1 + (F.col("corpus.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     damp = K1 * (1 - B + B * F.col("length") / F.col("corpus.mean"))
-    weight = F.col("boost") * idf * F.col("tf") / (F.col("tf") + damp)
-    return scored.groupBy("query_id", "doc_id").agg(F.sum(weight).alias("relevance"))
+    return scored.withColumn("weight", F.col("boost") * idf * F.col("tf") / (F.col("tf") + damp)).drop("corpus", "df")
+
+
+def document_counts(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("query_id", "term").agg(F.count("*").alias("df"))
+
+
+def bm25(hits: DataFrame, size: DataFrame) -> DataFrame:
+    """``(query_id, doc_id, relevance)``; statistics come from the whole corpus."""
+    return weighted(hits, size).groupBy("query_id", "doc_id").agg(F.sum("weight").alias("relevance"))
 
 
 def score_requests(index: SearchIndex, requests: DataFrame, analyzer: Analyzer = Analyzer(), opinion_only: bool = True) -> DataFrame:
-    """Every allowed hit of every request with its relevance and attributes."""
-    # Written once: document frequencies and scores both read the hits.
+    """Every allowed hit of every request with its relevance and attributes; what a filter rejects is never scored."""
+    # Written once: document frequencies, which count rejected hits too, and scores both read the hits.
     hits = materialize(match_term(index, query_terms(requests, analyzer)))
-    return allowed(bm25(hits, index.docs), index.docs, requests, opinion_only)
+    kept = allowed(hits, index.docs, requests, opinion_only)
+    attributes = [c for c in kept.columns if c not in (*hits.columns, "opinion")]
+    scored = weighted(kept, index.size(), document_counts(hits)).groupBy("query_id", "doc_id")
+    return scored.agg(F.sum("weight").alias("relevance"), F.any_value("opinion").alias("opinion"), *[F.any_value(c).alias(c) for c in attributes])
 
 
 def search_page(
@@ -238,9 +292,13 @@ def search_page(
     """
     # Written once: the page and the total both read the scores.
     scored = materialize(score_requests(index, requests, analyzer, opinion_only))
-    column = {"relevance": "relevance", "votes": "score"}[rank]
+    return ranked_page(scored, {"relevance": "relevance", "votes": "score"}[rank], rows, start)
+
+
+def ranked_page(scored: DataFrame, column: str, rows: int, start: int = 0) -> DataFrame:
+    """Rows ``start`` to ``start + rows`` of each request by a column, falling, with ``rank`` and the request's ``total``."""
     totals = scored.groupBy("query_id").agg(F.count("*").alias("total"))
-    order = [F.round(column, 9).desc() if rank == "relevance" else F.col(column).desc(), F.col("doc_id")]
+    order = [F.round(column, 9).desc() if column == "relevance" else F.col(column).desc(), F.col("doc_id")]
     best = top_n_per_group(scored, ["query_id"], order, start + rows)
     return best.filter(F.col("rank") > start).join(totals, "query_id")
 
@@ -253,3 +311,13 @@ def search(index: SearchIndex, requests: DataFrame, k: int = 5, rank: str = "rel
 def facet_counts(df: DataFrame, column: str) -> DataFrame:
     """Values of a multi-valued column with their number of rows."""
     return df.select(F.explode(column).alias("value")).groupBy("value").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value")
+
+
+def request_facets(hits: DataFrame, docs: DataFrame, column: str, key: str = "doc_id") -> DataFrame:
+    """``(query_id, value, n)``: how many of a request's hits have each value of a column, single or multi-valued.
+
+    Values are counted per task before the shuffle, so a request that hits most of the corpus is no task's alone.
+    """
+    values = F.explode(F.array_distinct(column)) if docs.schema[column].dataType.typeName() == "array" else F.col(column)
+    valued = docs.select(key, values.alias("value")).filter(F.col("value").isNotNull())
+    return hits.select("query_id", key).join(valued, key).groupBy("query_id", "value").agg(F.count("*").alias("n"))

@@ -1,4 +1,4 @@
-"""From landed comments to an index: filter, clean, upsert, write."""
+"""From landed comments to an index: filter, clean, add a segment."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from murmura import schemas
 from murmura import wordlists as W
 from murmura.functions import text
-from murmura.operators.analysis import Analyzer
-from murmura.operators.search import build_index
+from murmura.operators.segments import SegmentStore
 from murmura.operators.sentiment import lexicon_compound
 from murmura.sources import files
 
@@ -42,21 +41,11 @@ def search_documents(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     return files.enforce_schema(files.to_search_docs(strip_emojis(comments)), schemas.SEARCH_DOCS)
 
 
-def ingest(
-    comments: DataFrame,
-    lexicon: DataFrame,
-    current: DataFrame | None,
-    docs_path: str,
-    index_path: str | None = None,
-    analyzer: Analyzer = Analyzer(),
-    **filters,
-) -> None:
-    """Filter and clean new comments, merge them into the documents, write documents and index."""
+def ingest(comments: DataFrame, lexicon: DataFrame, store: SegmentStore, name: str, **filters) -> int | None:
+    """Filter and clean new comments and add them to the stored documents and their index.
+
+    Writes the batch's own rows only; the number of its segment, or None where ``name`` was ingested before.
+    """
     kept = opinion_filter(files.with_dates(files.fill_defaults(comments)), lexicon, **filters)
     docs, _ = search_documents(kept)
-    if current is not None:
-        docs = files.upsert(current, docs, "id", "datetime")
-    files.write_search_docs(docs, docs_path, "parquet")
-    if index_path is not None:
-        stored = docs.sparkSession.read.parquet(docs_path)
-        build_index(stored, analyzer=analyzer).write(index_path)
+    return store.add(docs, name)

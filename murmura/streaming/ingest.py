@@ -6,21 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from murmura import schemas
-from murmura.plans.ingest import opinion_filter, search_documents
+from murmura.operators.segments import SegmentStore
+from murmura.plans.ingest import ingest
 from murmura.session import shared_folder
-from murmura.sources import files
 
 
-def stream_documents(spark: SparkSession, landing: str, lexicon: DataFrame, out: str, name: str = "ingest", **filters) -> StreamingQuery:
-    """Append the search documents of newly landed CSV files to a Parquet folder; ends when the backlog is done.
+def stream_documents(spark: SparkSession, landing: str, lexicon: DataFrame, store: SegmentStore, name: str = "ingest", **filters) -> StreamingQuery:
+    """Add newly landed CSV files to the stored documents and their index; ends when the backlog is done.
 
-    A replayed batch overwrites its own folder, so each document arrives once.
+    A comment that arrives again replaces its older version, and a replayed batch counts once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = opinion_filter(files.with_dates(files.fill_defaults(batch)), lexicon, **filters)
-        docs, _ = search_documents(kept)
-        docs.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        ingest(batch, lexicon, store, f"{name}-{batch_id}", **filters)
 
     landed = spark.readStream.schema(schemas.COMMENTS).options(header="true", multiLine="true", quote='"', escape='"').csv(landing)
     return (

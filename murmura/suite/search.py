@@ -8,9 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmura.operators import requests as R
 from murmura.operators import search as S
 from murmura.operators.analysis import Analyzer, analyze_index, analyze_query
 from murmura.operators.labels import fuse_keywords
+from murmura.operators.segments import SegmentStore
 from murmura.operators.vectors import semantic_keywords
 from murmura.plans import answer as A
 from murmura.session import materialize
@@ -22,6 +24,7 @@ from murmura.suite.text import CANDIDATES
 # Stand-in synonym sets over frequent words of the text.
 SYNONYMS = (("idiot", "fool"), ("trash", "rubbish", "junk"), ("wald", "forest"))
 PLAIN = Analyzer(synonyms=(), stem=False)
+WHOLE = Analyzer(stopwords=(), synonyms=(), stem=False)
 WITH_SYNONYMS = Analyzer(synonyms=SYNONYMS, stem=False)
 FILTER_WORDS = ("the", "der", "les", "los")
 
@@ -39,21 +42,26 @@ def requests(spark):
     return spark.createDataFrame(pa.table({**columns, "subreddits": lists}))
 
 
-_BUILT: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, str, str], str] = {}
 
 
-def build(spark, d) -> S.SearchIndex:
-    return S.build_index(to_search_docs(comments(spark, d)), analyzer=PLAIN, filter_words=FILTER_WORDS)
+def build(spark, d, kind: str = "body") -> S.SearchIndex:
+    docs = to_search_docs(comments(spark, d))
+    if kind == "whole":
+        return S.build_index(docs, analyzer=WHOLE, attributes=(), filter_words=())
+    if kind == "post":
+        return S.build_index(docs, "post_content", analyzer=PLAIN, attributes=(), filter_words=())
+    return S.build_index(docs, analyzer=PLAIN, filter_words=FILTER_WORDS)
 
 
-def index(spark, d) -> S.SearchIndex:
-    """The stored index of the folder's comments: built once per session, then read by every search."""
-    key = (spark.sparkContext.applicationId, d)
+def index(spark, d, kind: str = "body") -> S.SearchIndex:
+    """A stored index of the folder's comments, with its grams: built once per session, then read by every search."""
+    key = (spark.sparkContext.applicationId, d, kind)
     if key not in _BUILT:
         path = scratch(spark)
-        build(spark, d).write(path, grams=False)
+        build(spark, d, kind).write(path)
         _BUILT[key] = path
-    return S.SearchIndex.read(spark, _BUILT[key], grams=False)
+    return S.SearchIndex.read(spark, _BUILT[key])
 
 
 _SQL_REQUESTS = f"""requests AS (SELECT unnest({sql_array(REQUESTS['query_id'])}) AS query_id, unnest({sql_array(REQUESTS['query'])}) AS query,
@@ -110,10 +118,10 @@ def q1(spark, d):
     return analyze_index(bodies(spark, d), "comment_body", "comment_id", WITH_SYNONYMS)
 
 
-@query("q1_index_analysis_stemmed", f"WITH {_TOKENS} SELECT doc_id, CAST(pos AS INTEGER) AS pos FROM tokens")
+@query("q1_index_analysis_stemmed", None)
 def q1_stemmed(spark, d):
-    """Stems stand where their words stood."""
-    return analyze_index(bodies(spark, d), "comment_body", "comment_id", Analyzer(synonyms=())).select("doc_id", "pos")
+    """Stems at the places of their words; the stemmer is no SQL, a test holds it against the words one by one."""
+    return analyze_index(bodies(spark, d), "comment_body", "comment_id", Analyzer(synonyms=()))
 
 
 @query(
@@ -192,7 +200,6 @@ SELECT 'p1' AS query_id, doc_id FROM (SELECT DISTINCT x.doc_id FROM p x JOIN p y
   WHERE contains(x.token, 'of') AND contains(y.token, 'the'))
 UNION ALL SELECT 'p2', doc_id FROM (SELECT DISTINCT x.doc_id FROM p x JOIN p y ON x.doc_id = y.doc_id AND y.pos = x.pos + 1
   JOIN p z ON z.doc_id = x.doc_id AND z.pos = x.pos + 2 WHERE contains(x.token, 'en') AND contains(y.token, 'er') AND contains(z.token, 'an'))"""
-WHOLE = Analyzer(stopwords=(), synonyms=(), stem=False)
 
 
 @query("q7_match_phrase", _PHRASE_SQL)
@@ -206,10 +213,9 @@ def q7(spark, d):
 
 @query("q7_match_phrase_batch", _PHRASE_SQL)
 def q7_batch(spark, d):
-    """The same phrases as a batch of requests joined to token positions."""
-    tokens = analyze_index(bodies(spark, d), "comment_body", "comment_id", WHOLE)
+    """The same phrases as a batch of requests, answered by the positions of a stored index that keeps all words."""
     phrases = small(spark, query_id=["p1", "p1", "p2", "p2", "p2"], i=[0, 1, 0, 1, 2], term=["of", "the", "en", "er", "an"])
-    return S.match_phrase(tokens, phrases)
+    return S.match_phrase(index(spark, d, "whole"), phrases)
 
 
 @query(
@@ -331,6 +337,110 @@ def q14(spark, d):
     return found.select("query_id", "doc_id", "rank", "total")
 
 
+# Phrase and exact field, range, exact field, an OR of two phrases, match-all with a word, words of another field.
+_CLAUSES = [
+    ("s1", 0, True, "phrase", "comment_content", "idiot", None, None),
+    ("s2", 0, True, "phrase", "comment_content", "en er", None, None),
+    ("s2", 1, True, "exact", "subreddit", "src3", None, None),
+    ("s3", 0, True, "range", "score", None, "30", None),
+    ("s4", 0, True, "exact", "subreddit", "src1", None, None),
+    ("s5", 0, False, "phrase", "comment_content", "trash", None, None),
+    ("s5", 1, False, "phrase", "comment_content", "tion en", None, None),
+    ("s6", 0, True, "all", None, None, None, None),
+    ("s6", 1, False, "words", "comment_content", "worth disgust", None, None),
+    ("s7", 0, True, "words", "comment_content", "tion", None, None),
+    ("s7", 1, True, "range", "score", None, "5", "10"),
+    ("s7", 2, True, "words", "post_content", "thread", None, None),
+]
+
+
+def _phrase_starts(name: str, group: int, words: str) -> str:
+    """Hits of one phrase over the tokens left by the stop words: its occurrences per document."""
+    first, *rest = words.split()
+    joins = " ".join(f"JOIN tokens t{k} ON t{k}.doc_id = t0.doc_id AND t{k}.pos = t0.pos + {k} AND contains(t{k}.token, '{w}')" for k, w in enumerate(rest, 1))
+    return f"SELECT '{name}' AS query_id, {group} AS grp, '' AS term, t0.doc_id, count(*) AS tf, 1 AS boost FROM tokens t0 {joins} WHERE contains(t0.token, '{first}') GROUP BY t0.doc_id"
+
+
+def _word_hits(name: str, group: int, words: str, tokens: str = "tokens") -> str:
+    parts = [
+        f"SELECT '{name}' AS query_id, {group} AS grp, '{w}' AS term, doc_id, sum({_overlaps('token', repr(w))}) AS tf, 1 AS boost FROM {tokens} WHERE contains(token, '{w}') GROUP BY doc_id"
+        for w in words.split()
+    ]
+    return " UNION ALL ".join(parts)
+
+
+_TEXT_HITS = " UNION ALL ".join(
+    [_phrase_starts(q, g, v) for q, g, _, kind, _, v, _, _ in _CLAUSES if kind == "phrase"]
+    + [_word_hits(q, g, v) for q, g, _, kind, f, v, _, _ in _CLAUSES if kind == "words" and f == "comment_content"]
+)
+
+
+@query(
+    "q14_sanity_requests",
+    f"""WITH {COMMENTS}, {_TOKENS},
+post_split AS (SELECT comment_id AS doc_id, {sql_split("lower(coalesce(post_content, '[No content written by the author]'))")} AS ts FROM bodies),
+post_tokens AS (SELECT * FROM (SELECT doc_id, unnest(ts) AS token FROM post_split) WHERE token NOT IN {STOP}),
+sizes AS (SELECT 'body' AS f, (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM tokens) / (SELECT count(*) FROM documents) AS mean
+  UNION ALL SELECT 'post', (SELECT count(*) FROM documents), (SELECT count(*) FROM post_tokens) / (SELECT count(*) FROM documents)),
+body_hits AS (SELECT *, 'body' AS f FROM ({_TEXT_HITS})), post_hits AS (SELECT *, 'post' AS f FROM ({_word_hits('s7', 2, 'thread', 'post_tokens')})),
+hits AS (SELECT * FROM body_hits UNION ALL SELECT * FROM post_hits),
+lengths AS (SELECT 'body' AS f, doc_id, count(*) AS length FROM tokens GROUP BY doc_id UNION ALL SELECT 'post', doc_id, count(*) FROM post_tokens GROUP BY doc_id),
+df AS (SELECT query_id, grp, term, f, count(*) AS df FROM hits GROUP BY ALL),
+text_scores AS (SELECT query_id, grp, doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS relevance
+  FROM hits JOIN df USING (query_id, grp, term, f) JOIN lengths USING (f, doc_id) JOIN sizes USING (f) GROUP BY ALL),
+others AS (SELECT 's2' AS query_id, 1 AS grp, comment_id AS doc_id FROM comments WHERE subreddit = 'src3'
+  UNION ALL SELECT 's3', 0, comment_id FROM comments WHERE comment_score >= 30 UNION ALL SELECT 's4', 0, comment_id FROM comments WHERE subreddit = 'src1'
+  UNION ALL SELECT 's6', 0, comment_id FROM comments UNION ALL SELECT 's7', 1, comment_id FROM comments WHERE comment_score BETWEEN 5 AND 10),
+held AS (SELECT query_id, grp, doc_id, relevance FROM text_scores UNION ALL SELECT query_id, grp, doc_id, 0 FROM others),
+needs(query_id, needed) AS (VALUES ('s1', 1), ('s2', 2), ('s3', 1), ('s4', 1), ('s5', 0), ('s6', 1), ('s7', 3)),
+must(query_id, grp) AS (VALUES ('s1', 0), ('s2', 0), ('s2', 1), ('s3', 0), ('s4', 0), ('s6', 0), ('s7', 0), ('s7', 1), ('s7', 2)),
+scored AS (SELECT h.query_id, h.doc_id, sum(relevance) AS relevance FROM held h JOIN needs USING (query_id) LEFT JOIN must m ON m.query_id = h.query_id AND m.grp = h.grp
+  GROUP BY h.query_id, h.doc_id, needed HAVING count(DISTINCT m.grp) = needed)
+SELECT query_id, doc_id, CAST({_RANK} AS INTEGER) AS rank, count(*) OVER (PARTITION BY query_id) AS total, round(relevance, 6) AS relevance FROM scored QUALIFY {_RANK} <= 5""",
+)
+def q14_sanity(spark, d):
+    """Requests of clauses over two text fields and the attributes."""
+    body = index(spark, d)
+    clauses = spark.createDataFrame(_CLAUSES, R.CLAUSES)
+    found = R.clause_page({"comment_content": body, "post_content": index(spark, d, "post")}, body.docs, clauses, analyzer=PLAIN)
+    return found.select("query_id", "doc_id", "rank", "total", F.round("relevance", 6).alias("relevance"))
+
+
+@query(
+    "q13_request_facets",
+    f"WITH {_SCORED} SELECT query_id, subreddit AS value, count(*) AS n FROM scored GROUP BY ALL",
+)
+def q13_requests(spark, d):
+    """Communities of all hits of each request, with their counts."""
+    idx = index(spark, d)
+    return S.request_facets(S.score_requests(idx, requests(spark), PLAIN), idx.docs, "subreddit")
+
+
+@query(
+    "q14_incremental_index",
+    f"""WITH {_SQL_REQUESTS}, split_docs AS (SELECT 'c' || doc_id AS doc_id, {sql_split("lower(CASE WHEN lang = 'en' THEN text ELSE 'trash ' || lang END)")} AS ts FROM documents),
+tokens AS (SELECT * FROM (SELECT doc_id, unnest(ts) AS token FROM split_docs) WHERE token NOT IN {STOP}),
+{_HITS[len(_TOKENS) + 2 :]},
+corpus AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM tokens) / (SELECT count(*) FROM documents) AS mean),
+df AS (SELECT query_id, term, count(*) AS df FROM hits GROUP BY ALL),
+scored AS (SELECT query_id, doc_id, sum(boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS relevance
+  FROM hits JOIN df USING (query_id, term) JOIN lengths USING (doc_id), corpus GROUP BY query_id, doc_id)
+SELECT query_id, doc_id, CAST({_RANK} AS INTEGER) AS rank, count(*) OVER (PARTITION BY query_id) AS total, round(relevance, 6) AS relevance FROM scored QUALIFY {_RANK} <= 5""",
+)
+def q14_incremental(spark, d):
+    """Two batches of documents, the second with newer versions of the English ones, searched over both segments."""
+    docs = to_search_docs(comments(spark, d)).withColumn("datetime", F.coalesce("datetime", F.timestamp_seconds(F.lit(0))))
+    english = bodies(spark, d).select(F.col("comment_id").alias("id"), "lang")
+    named = docs.join(english, "id")
+    older = named.withColumns({"datetime": F.expr("datetime - interval 1 day"), "comment_content": F.concat(F.lit("trash "), "lang")}).drop("lang")
+    store = SegmentStore(spark, scratch(spark), analyzer=PLAIN, filter_words=FILTER_WORDS)
+    store.add(older, "first")
+    store.add(named.filter("lang = 'en'").drop("lang"), "second")
+    unfiltered = requests(spark).withColumns({"subreddits": F.lit(None).cast("array<string>"), "start_date": F.lit(None).cast("string")})
+    found = S.search_page(store.index(), unfiltered, analyzer=PLAIN, opinion_only=False)
+    return found.select("query_id", "doc_id", "rank", "total", F.round("relevance", 6).alias("relevance"))
+
+
 # --- answers -------------------------------------------------------------------------
 
 

@@ -335,6 +335,7 @@ def test_runs_need_both_files(spark, tmp_path):
 
 
 def test_stream_lands_each_document_once(spark, tmp_path, valences):
+    from murmura.operators.segments import SegmentStore
     from murmura.streaming.ingest import stream_documents
 
     columns = {f.name: None for f in schemas.COMMENTS}
@@ -343,8 +344,98 @@ def test_stream_lands_each_document_once(spark, tmp_path, valences):
     data = [{**row, "comment_id": f"c{i}", "comment_body": b} for i, b in enumerate(bodies)]
     files.write_comments_csv(spark.createDataFrame(data, schemas.COMMENTS), str(tmp_path / "in"))
     name = f"test-{uuid.uuid4().hex}"
-    stream_documents(spark, str(tmp_path / "in"), valences, str(tmp_path / "out"), name).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "out")).select("id")) == [("c0",)]
+    store = SegmentStore(spark, str(tmp_path / "out"), analyzer=PLAIN)
+    stream_documents(spark, str(tmp_path / "in"), valences, store, name).awaitTermination()
+    assert rows(store.documents().select("id")) == [("c0",)]
+    again = [{**data[0], "comment_body": "my broker review : this is great and good"}, {**data[0], "comment_id": "c2"}]
+    spark.createDataFrame(again, schemas.COMMENTS).write.mode("append").options(header="true", quote='"', escape='"').csv(str(tmp_path / "in"))
+    stream_documents(spark, str(tmp_path / "in"), valences, store, name).awaitTermination()
+    assert rows(store.documents().select("id", "comment_content")) == [("c0", again[0]["comment_body"]), ("c2", bodies[0])]
+    assert store.segments() == [0, 1] and store.add(store.documents(), f"{name}-1") is None
+
+
+def test_segments_search_like_one_index(spark, docs, tmp_path):
+    from murmura.operators.segments import SegmentStore
+
+    older = docs.withColumn("datetime", F.expr("datetime - interval 1 day"))
+    first = older.withColumn("comment_content", F.concat(F.lit("app "), "comment_content"))
+    stale = docs.filter("id = 'd4'").withColumns({"datetime": F.to_timestamp(F.lit("2020-01-01")), "comment_content": F.lit("stale app app")})
+    store = SegmentStore(spark, str(tmp_path / "store"), analyzer=PLAIN)
+    store.add(first, "a")
+    store.add(docs.filter("id in ('d1', 'd2')").unionByName(stale), "b")
+    state = first.filter("id in ('d3', 'd4')").unionByName(docs.filter("id in ('d1', 'd2')"))
+    whole = S.build_index(state, analyzer=PLAIN)
+    asked = ask(spark, ("app", [], None), ("good thing", [], None), ("stale", [], None), ("very", ["webull"], None))
+    found = lambda index: rows(S.search(index, asked, analyzer=PLAIN, opinion_only=False).select("query_id", "doc_id", "rank", F.round("relevance", 9)))
+    phrases = spark.createDataFrame([("p", 0, "app"), ("p", 1, "grea")], "query_id string, i int, term string")
+    assert found(store.index()) == found(whole) and len(found(whole)) > 4
+    assert rows(S.match_phrase(store.index(), phrases)) == rows(S.match_phrase(whole, phrases)) == [("p", "d3")]
+    kept = sum(1 for _ in (tmp_path / "store/postings/segment=0").glob("*.parquet"))
+    assert store.merge() == 2 and store.segments() == [2] and store.merge() is None
+    assert found(store.index()) == found(whole) and store.documents().count() == 4
+    assert kept == sum(1 for _ in (tmp_path / "store/postings/segment=0").glob("*.parquet"))
+    store.add(docs.filter("id = 'd3'"), "c")
+    after = S.build_index(state.filter("id <> 'd3'").unionByName(docs.filter("id = 'd3'")), analyzer=PLAIN)
+    assert found(store.index()) == found(after)
+
+
+def test_clauses(spark, docs):
+    from murmura.operators.requests import CLAUSES, answer_clauses
+
+    titled = docs.withColumn("title", F.concat(F.lit("about "), "subreddit"))
+    indexes = {"comment_content": S.build_index(titled, analyzer=PLAIN), "title": S.build_index(titled, "title", analyzer=PLAIN)}
+    attributes = titled.select(F.col("id").alias("doc_id"), "subreddit", "score", "datetime")
+    clauses = [
+        ("phrase and exact", 0, True, "phrase", "comment_content", "bad app", None, None),
+        ("phrase and exact", 1, True, "exact", "subreddit", "webull", None, None),
+        ("wrong case", 0, True, "words", "comment_content", "app", None, None),
+        ("wrong case", 1, True, "exact", "subreddit", "WEBULL", None, None),
+        ("range", 0, True, "range", "score", None, "9", None),
+        ("all", 0, True, "all", None, None, None, None),
+        ("either", 0, False, "phrase", "comment_content", "worthless thing", None, None),
+        ("either", 1, False, "phrase", "comment_content", "app words", None, None),
+        ("either", 1, False, "phrase", "comment_content", "app words", None, None),
+        ("mixed", 0, True, "words", "comment_content", "great", None, None),
+        ("mixed", 0, True, "range", "score", None, None, "1"),
+        ("mixed", 1, True, "words", "title", "about", None, None),
+        ("mixed", 2, False, "words", "comment_content", "neutral", None, None),
+        ("dates", 0, True, "range", "datetime", None, "2024-02-01 00:00:00", "2024-03-01 00:00:00"),
+        ("dates", 1, True, "words", "comment_content", "app", None, None),
+        ("gap", 0, True, "phrase", "comment_content", "very app", None, None),
+        ("unreadable", 0, True, "range", "score", None, "x", None),
+        ("unknown", 0, True, "exact", "nowhere", "x", None, None),
+    ]
+    found = answer_clauses(indexes, attributes, spark.createDataFrame(clauses, CLAUSES), PLAIN)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query_id"], {})[r["doc_id"]] = r["relevance"]
+    assert {q: sorted(d) for q, d in got.items()} == {
+        "phrase and exact": ["d1"], "range": ["d2", "d3"], "all": ["d1", "d2", "d3", "d4"], "either": ["d2", "d4"], "mixed": ["d3", "d4"], "dates": ["d3", "d4"],
+    }
+    assert got["all"]["d1"] == 0 and got["phrase and exact"]["d1"] > 0 and got["mixed"]["d3"] != got["mixed"]["d4"]
+    assert answer_clauses(indexes, attributes, spark.createDataFrame([], CLAUSES), PLAIN).count() == 0
+
+
+def test_phrases_check_positions_of_whole_candidates(spark):
+    texts = [("a", "xx alpha beta y alpha beta"), ("b", "beta alpha"), ("c", "alpha xx beta"), ("d", "alphabeta beta"), ("e", None)]
+    index = S.build_index(spark.createDataFrame(texts, "id string, comment_content string"), analyzer=PLAIN, attributes=())
+    phrases = [("p", 0, "alpha"), ("p", 1, "beta"), ("one", 0, "beta"), ("or", 0, "xx"), ("or", 0, "beta"), ("or", 1, "beta"), ("or", 1, "alpha"), ("none", 0, "alpha"), ("none", 1, "zz")]
+    got = S.phrase_hits(index, spark.createDataFrame(phrases, "query_id string, i int, term string"))
+    want = [("one", "a", 2), ("one", "b", 1), ("one", "c", 1), ("one", "d", 2), ("or", "a", 1), ("or", "b", 1), ("or", "c", 1), ("or", "d", 1), ("p", "a", 2), ("p", "d", 1)]
+    assert rows(got.select("query_id", "doc_id", "tf")) == want
+
+
+def test_filters_come_before_scores(spark, docs):
+    index = S.build_index(docs, analyzer=PLAIN)
+    plan = S.score_requests(index, ask(spark, ("app", ["webull"], None)), PLAIN)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sum(weight") < plan.index("array_contains")  # the filter lies below the aggregation
+
+
+def test_request_facets(spark):
+    docs = spark.createDataFrame([("a", "x", ["k", "k", "l"]), ("b", "x", []), ("c", None, ["l"])], "doc_id string, sub string, tags array<string>")
+    found = spark.createDataFrame([("q", "a"), ("q", "b"), ("r", "c"), ("r", "a")], "query_id string, doc_id string")
+    assert rows(S.request_facets(found, docs, "sub")) == [("q", "x", 2), ("r", "x", 1)]
+    assert rows(S.request_facets(found, docs, "tags")) == [("q", "k", 1), ("q", "l", 1), ("r", "k", 1), ("r", "l", 2)]
 
 
 def test_histogram_maximum_falls_in_last_bin(spark):
