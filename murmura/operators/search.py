@@ -79,7 +79,10 @@ class SearchIndex:
         token_docs(postings).write.mode(mode).parquet(at("vocabulary"))
         docs.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("total")).write.mode(mode).parquet(at("corpus"))
         if grams:
-            vocabulary_grams(spark.read.parquet(at("vocabulary"))).repartition("gram").sortWithinPartitions("gram", "token").write.mode(mode).parquet(at("grams"))
+            # A vocabulary is small on disk and grows a hundredfold here: it is dealt to the session's tasks first.
+            parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+            table = vocabulary_grams(spark.read.parquet(at("vocabulary")).select("token").repartition(parts, "token"))
+            table.repartition(parts, "gram").sortWithinPartitions("gram", "token").write.mode(mode).parquet(at("grams"))
         return SearchIndex.read(spark, path, grams, suffix)
 
     @classmethod

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator, Mapping, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmura.functions import text
@@ -10,7 +13,8 @@ from murmura.operators.scale import consecutive_ids
 from murmura.session import materialize
 
 UNK, PAD = "<UNK>", "<PAD>"
-MERGES_PER_WRITE = 10
+# Most frequent pairs that a training pass looks at.
+PAIRS_PER_PASS = 4096
 
 
 def text_tokens(df: DataFrame, column: str, id_col: str) -> DataFrame:
@@ -86,35 +90,140 @@ def pair_counts(words: DataFrame) -> DataFrame:
     return parts.select("freq", F.inline(zipped)).groupBy("left", "right").agg(F.sum("freq").alias("n"))
 
 
-def train_bpe(df: DataFrame, column: str, merges: int) -> tuple[DataFrame, DataFrame]:
-    """``(merges, words)``: merge rules ``(step, left, right, n)`` and the pieces of every seen word.
+def independent_pairs(best: Sequence[tuple[str, str, int]], most: int, spread: float = 1.0) -> list[tuple[str, str, int]]:
+    """The pairs of one pass, out of the most frequent ones by falling count and then by the pair.
+
+    A merge of (a, b) touches no other pair than those that end with a or begin with b, and a pair it creates is no more
+    frequent than one of these. So with ``spread`` 1 pairs are taken until one meets an earlier one in that way, which
+    gives the rules of merging one pair at a time. With less, pairs that meet an earlier one are passed over, down to
+    that share of the greatest count.
+    """
+    taken: list[tuple[str, str, int]] = []
+    lefts: set[str] = set()
+    rights: set[str] = set()
+
+    def meets(left: str, right: str) -> bool:
+        return right in lefts or left in rights
+
+    for k, (left, right, n) in enumerate(best):
+        if len(taken) >= most or n < spread * best[0][2] and spread < 1:
+            break
+        if taken and spread >= 1:
+            # Equally frequent pairs count as earlier ones: a created pair might come before them.
+            level = [p for p in best[k:] if p[2] == n]
+            if any(meets(x, y) for x, y, _ in level) or taken[-1][0] == taken[-1][1]:
+                break
+        if meets(left, right) or (left == right and (left in lefts or left in rights)):
+            continue
+        taken.append((left, right, n))
+        lefts.add(left)
+        rights.add(right)
+    return taken
+
+
+def _merged(parts: list[str], rules: Mapping[tuple[str, str], str]) -> list[str]:
+    out, k = [], 0
+    while k < len(parts):
+        joined = rules.get((parts[k], parts[k + 1])) if k + 1 < len(parts) else None
+        out.append(joined or parts[k])
+        k += 2 if joined else 1
+    return out
+
+
+_WORDS = "word string, freq bigint, p array<string>, old array<string>"
+
+
+def _merge_words(words: DataFrame, rules: Mapping[tuple[str, str], str]) -> DataFrame:
+    """Words with pairs merged; ``old`` keeps the former pieces of those that changed."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("p").to_pylist()
+            new = [_merged(p, rules) for p in parts]
+            old = [p if len(p) != len(q) else None for p, q in zip(parts, new, strict=True)]
+            kind = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("freq"), pa.array(new, kind), pa.array(old, kind)], names=["word", "freq", "p", "old"])
+
+    return words.select("word", "freq", "p").mapInArrow(rows, _WORDS)
+
 
-    Published rule: merge the most frequent adjacent pair; ties go to the
-    smaller pair. Only the winning pair of each step reaches the driver. The
-    word table is written out every few steps to cut its lineage.
+def _adjacent(words: DataFrame, column: str, sign: int = 1) -> DataFrame:
+    """``(left, right, n)``, a row per adjacent pair of a word."""
+    p = F.col(column)
+    parts = words.filter(F.size(p) > 1).select((F.col("freq") * sign).alias("n"), p.alias("p"))
+    zipped = F.arrays_zip(F.slice("p", F.lit(1), F.size("p") - 1).alias("left"), F.slice("p", F.lit(2), F.size("p") - 1).alias("right"))
+    return parts.select("n", F.inline(zipped)).select("left", "right", "n")
+
+
+def train_bpe(df: DataFrame, column: str, merges: int | None = None, vocabulary: int | None = None, spread: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """``(rules, words)``: merge rules ``(step, left, right, n)`` and the pieces of every seen word.
+
+    Published rule: merge the most frequent adjacent pair; ties go to the smaller pair. Training ends after ``merges``
+    rules, or when characters and merged pieces reach ``vocabulary``, or when no pair is left. A pass merges all pairs
+    that do not depend on each other (``independent_pairs``) and updates the pair counts from the words it changed only.
+    The most frequent pairs of each pass reach the driver, and the rules.
     """
-    words = materialize(word_frequencies(df, column).withColumn("spelled", _spell(F.col("word"))))
+    spark = df.sparkSession
+    words = word_frequencies(df, column).select("word", "freq", pieces(_spell(F.col("word"))).alias("p"))
+    words = materialize(words.withColumn("old", F.lit(None).cast("array<string>")))
+    pairs = materialize(_adjacent(words, "p").groupBy("left", "right").agg(F.sum("n").alias("n")))
+    left_over = merges if merges is not None else 2**31
+    if vocabulary is not None:
+        left_over = min(left_over, vocabulary - words.select(F.explode("p").alias("c")).distinct().count())
     steps: list[tuple[int, str, str, int]] = []
-    for step in range(merges):
-        best = pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(1).collect()
-        if not best:
+    while len(steps) < left_over:
+        best = [tuple(r) for r in pairs.orderBy(F.desc("n"), "left", "right").limit(PAIRS_PER_PASS).collect()]
+        taken = independent_pairs(best, left_over - len(steps), spread)
+        if not taken:
             break
-        left, right, n = best[0]["left"], best[0]["right"], best[0]["n"]
-        steps.append((step, left, right, n))
-        words = words.withColumn("spelled", F.replace("spelled", F.lit(f" {left}  {right} "), F.lit(f" {left}{right} ")))
-        if (step + 1) % MERGES_PER_WRITE == 0:
-            words = materialize(words)
-    rules = df.sparkSession.createDataFrame(steps, "step int, left string, right string, n bigint")
-    return rules, words.select("word", pieces(F.col("spelled")).alias("pieces"))
+        steps += [(len(steps) + k, *pair) for k, pair in enumerate(taken)]
+        words = materialize(_merge_words(words, {(a, b): a + b for a, b, _ in taken}))
+        changed = words.filter(F.col("old").isNotNull())
+        update = _adjacent(changed, "old", -1).unionByName(_adjacent(changed, "p"))
+        counts = pairs.unionByName(update).groupBy("left", "right").agg(F.sum("n").alias("n"))
+        pairs = materialize(counts.filter("n > 0"))
+    rules = spark.createDataFrame(steps, "step int, left string, right string, n bigint")
+    return rules, words.select("word", F.col("p").alias("pieces"))
+
+
+def piece_ids(rules: DataFrame, words: DataFrame) -> DataFrame:
+    """``(token, id)`` of a trained tokenizer: characters by code point, merged pieces by step, then the two special entries.
+
+    The characters are those of the words; a piece that two rules make keeps its first id.
+    """
+    characters = words.select(F.explode(pieces(_spell(F.col("word")))).alias("token")).distinct().select(F.lit(-1).alias("step"), "token")
+    merged = rules.groupBy(F.concat("left", "right").alias("token")).agg(F.min("step").alias("step")).select("step", "token")
+    # As many rows as the vocabulary was allowed: one task numbers them.
+    order = Window.partitionBy(F.lit(0)).orderBy("step", "token")
+    vocab = characters.unionByName(merged).withColumn("id", (F.row_number().over(order) - 1).cast("bigint"))
+    return _with_specials(vocab, vocab.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("last")))
+
+
+def encode_bpe_ids(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(doc_id, ids)``: the ids of the pieces of each word; a word not seen in training is the unknown id.
+
+    Every distinct word is numbered once, before it meets the texts.
+    """
+    spelled = word_pieces.select("word", F.posexplode("pieces").alias("k", "token")).join(F.broadcast(vocab), "token")
+    numbered = spelled.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("k", "id"))).alias("e")).select("word", F.col("e.id").alias("pieces"))
+    unknown = vocab.filter(F.col("token") == UNK).agg(F.max("id")).scalar()
+    return _word_lists(df, column, id_col, numbered, F.array(unknown)).withColumnRenamed("pieces", "ids")
+
+
+def _word_lists(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame, unknown: Column) -> DataFrame:
+    """``(doc_id, pieces)``: the lists of a text's words, joined in order. A word that repeats in a text is looked up once."""
+    words = F.split(column, " ")
+    split = df.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(words).alias("pos", "word"))
+    once = split.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at"))
+    known = once.join(word_pieces, "word", "left").withColumn("pieces", F.coalesce("pieces", unknown))
+    entries = F.transform("at", lambda p: F.struct(p.alias("pos"), F.col("pieces").alias("pieces")))
+    grouped = known.groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list(entries))).alias("entries"))
+    return grouped.select("doc_id", F.flatten("entries.pieces").alias("pieces"))
 
 
 def encode_bpe(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame) -> DataFrame:
     """``(doc_id, pieces)``; a word that was not seen in training is one unknown token."""
-    split = df.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(F.split(column, " ")).alias("pos", "word"))
-    known = split.join(word_pieces, "word", "left")
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("pieces", F.array(F.lit(UNK))).alias("pieces")))
-    grouped = known.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return grouped.select("doc_id", F.flatten("entries.pieces").alias("pieces"))
+    return _word_lists(df, column, id_col, word_pieces, F.array(F.lit(UNK)))
 
 
 TOKENIZERS = {"bpe": encode_bpe, "word2vec": encode, "nltk": encode}

@@ -79,31 +79,41 @@ def t3_pairs(spark, d):
     return T.pair_counts(words).select(F.concat_ws(" ", "left", "right").alias("pair"), "n")
 
 
-@query("t3_train_bpe", f"WITH {_WORDS} SELECT word, word AS joined FROM words")
+# Pieces to train to, and the share of the greatest count down to which a pass merges.
+PIECES, SPREAD = 2_000, 0.5
+_TRAINED: dict[tuple[str, str], tuple] = {}
+
+
+def trained(spark, d):
+    """Rules and pieces of the folder's texts: trained once per session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TRAINED:
+        rules, words = T.train_bpe(table(spark, d, "documents"), "text", vocabulary=PIECES, spread=SPREAD)
+        _TRAINED[key] = (materialize(rules), words)
+    return _TRAINED[key]
+
+
+@query("t3_train_bpe", None)
 def t3(spark, d):
-    """The pieces of every word, joined again."""
-    _, words = T.train_bpe(table(spark, d, "documents"), "text", merges=12)
-    return words.select("word", F.array_join("pieces", "").alias("joined"))
+    """The pieces of every word."""
+    _, words = trained(spark, d)
+    return words.select("word", F.array_join("pieces", " ").alias("pieces"))
 
 
-@query("t3_merge_counts", "SELECT 12 AS steps, TRUE AS falling")
+@query("t3_merge_rules", None)
 def t3_merges(spark, d):
-    """Merge rules come by falling counts."""
-    rules, _ = T.train_bpe(table(spark, d, "documents"), "text", merges=12)
-    counts = F.transform(F.array_sort(F.collect_list(F.struct("step", "n"))), lambda x: x["n"])
-    return rules.agg(F.count("*").cast("int").alias("steps"), (counts == F.reverse(F.array_sort(counts))).alias("falling"))
+    """The merge rules in order, with the count each pair had."""
+    rules, _ = trained(spark, d)
+    return rules
 
 
-@query(
-    "t4_encode_bpe",
-    f"""SELECT doc_id, replace(translate(regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g'), '{_PUNCT}', ''), ' ', '') AS joined FROM documents""",
-)
+@query("t4_encode_bpe", None)
 def t4(spark, d):
-    """Every word was seen in training, so the pieces joined give the text back without its spaces."""
+    """Ids of every text's pieces."""
     docs = table(spark, d, "documents")
-    _, pieces = T.train_bpe(docs, "text", merges=5)
-    encoded = T.encode_bpe(docs.withColumn("text", T.text.clean_line(F.col("text"))), "text", "doc_id", pieces)
-    return encoded.select("doc_id", F.replace(F.array_join("pieces", ""), F.lit(T.UNK), F.lit("")).alias("joined"))
+    rules, words = trained(spark, d)
+    encoded = T.encode_bpe_ids(docs.withColumn("text", T.text.clean_line(F.col("text"))), "text", "doc_id", words, T.piece_ids(rules, words))
+    return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
 
 @query(

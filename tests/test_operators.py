@@ -4,6 +4,7 @@ import difflib
 import json
 import random
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -278,6 +279,54 @@ def test_pair_merges_follow_a_plain_run(spark):
     assert {r["word"]: r["pieces"] for r in pieces.collect()} == spelled
 
 
+def brute_bpe(words, merges):
+    """One pair at a time, the most frequent one, the smaller of equals."""
+    parts, rules = {w: list(w) for w in words}, []
+    for _ in range(merges):
+        counts = Counter()
+        for w, p in parts.items():
+            for pair in zip(p, p[1:], strict=False):
+                counts[pair] += words[w]
+        if not counts:
+            break
+        (a, b), n = min(counts.items(), key=lambda x: (-x[1], x[0]))
+        rules.append((a, b, n))
+        for w, p in parts.items():
+            out, k = [], 0
+            while k < len(p):
+                both = p[k : k + 2] == [a, b]
+                out.append(a + b if both else p[k])
+                k += 1 + both
+            parts[w] = out
+    return rules, parts
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_merges_of_a_pass_are_those_of_one_at_a_time(spark, seed):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdefgh", weights=[8, 7, 6, 5, 4, 3, 2, 1], k=rng.randint(1, 9))) for _ in range(120)] + ["aaaaa", "abab", "bbb"]
+    lines = [" ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(len(words))], k=40)) for _ in range(12)]
+    counts = Counter(w for line in lines for w in line.split())
+    rules, parts = brute_bpe(counts, 60)
+    df = spark.createDataFrame([(x,) for x in lines], "t string")
+    got, found = T.train_bpe(df, "t", 60)
+    assert [(r["left"], r["right"], r["n"]) for r in got.orderBy("step").collect()] == rules
+    assert {r["word"]: r["pieces"] for r in found.collect()} == parts
+    loose, pieces = T.train_bpe(df, "t", vocabulary=60, spread=0.5)
+    made = loose.orderBy("step").collect()
+    assert len(made) == 60 - 8
+    replay = {w: list(w) for w in counts}
+    for r in made:
+        replay = {w: T._merged(p, {(r["left"], r["right"]): r["left"] + r["right"]}) for w, p in replay.items()}
+    assert {r["word"]: r["pieces"] for r in pieces.collect()} == replay
+    vocab = {r["token"]: r["id"] for r in T.piece_ids(loose, pieces).collect()}
+    assert sorted(vocab.values()) == list(range(len(vocab))) and vocab["a"] == 0 and vocab[T.PAD] == vocab[T.UNK] + 1 == len(vocab) - 1
+    asked = spark.createDataFrame([(1, "abab zebra abab aaaaa"), (2, ""), (3, None)], "id int, t string")
+    ids = {r["doc_id"]: r["ids"] for r in T.encode_bpe_ids(asked, "t", "id", pieces, vocab=T.piece_ids(loose, pieces)).collect()}
+    want = [x for w in ("abab", "zebra", "abab", "aaaaa") for x in ([vocab[p] for p in replay[w]] if w in replay else [vocab[T.UNK]])]
+    assert ids[1] == want and ids[2] == [vocab[T.UNK]]
+
+
 def test_unseen_words_are_one_unknown_piece(spark):
     _, pieces = T.train_bpe(spark.createDataFrame([("low lower",)], "t string"), "t", 2)
     encoded = T.encode_bpe(spark.createDataFrame([(1, "low zebra")], "id int, t string"), "t", "id", pieces).first()
