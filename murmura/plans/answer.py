@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text
 from murmura.operators.analysis import Analyzer
+from murmura.operators.features import predict_sentiment
 from murmura.operators.labels import fuse_keywords
 from murmura.operators.scale import top_n_per_group
 from murmura.operators.search import SearchIndex, search_page
@@ -52,7 +54,7 @@ def answer(
     index: SearchIndex,
     docs: DataFrame,
     requests: DataFrame,
-    lexicon: DataFrame,
+    lexicon: DataFrame | None,
     vectors: DataFrame | None = None,
     rows: int = 5,
     rank: str = "relevance",
@@ -61,18 +63,22 @@ def answer(
     topic_words: bool = True,
     filter_words: Sequence[str] = tuple(W.SEARCH_FILTER_WORDS),
     scoring: dict | None = None,
+    model: PipelineModel | None = None,
 ) -> DataFrame:
     """One row per valid request: overall sentiment, comments, keywords, communities, record count.
 
-    ``lexicon`` is ``(word, polarity, subjectivity)``; ``scoring`` holds further options of the polarity. A request without hits gets empty lists and count 0.
+    Sentiment comes from ``model``, a fitted text classifier, or else from ``lexicon``, ``(word, polarity, subjectivity)``,
+    whose further options are in ``scoring``. A request without hits gets empty lists and count 0.
     """
     page = search_page(index, requests, rows, rank=rank, analyzer=analyzer, opinion_only=opinion_only)
     # A page holds few rows per request and feeds every part of the answer.
     found = materialize(page_documents(page, docs))
     # Class 0 is negative; a neutral comment counts as positive.
-    labelled = lexicon_polarity(found, "text", lexicon, "doc_id", **(scoring or {})).withColumn(
-        "sentiment", F.when(F.col("polarity") < 0, "negative").otherwise("positive")
-    )
+    if model is not None:
+        labelled = predict_sentiment(found, model)
+    else:
+        scored = lexicon_polarity(found, "text", lexicon, "doc_id", **(scoring or {}))
+        labelled = scored.withColumn("sentiment", F.when(F.col("polarity") < 0, "negative").otherwise("positive"))
     comments = labelled.groupBy("query_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rank", "text", "sentiment"))), lambda c: F.struct(c["text"].alias("text"), c["sentiment"].alias("sentiment"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,18 +11,17 @@ from murmura import schemas
 from murmura.sources.files import flatten_struct
 
 
-def _run_name() -> Column:
+def _run_name(document: str) -> Column:
     """Folder above the document, which may be one file or a folder of parts."""
-    return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/(?:config|metrics)\.json(?:/[^/]+)?$", 1))
+    return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), rf"/([^/]+)/{re.escape(document)}(?:/[^/]+)?$", 1))
 
 
-def read_runs(spark: SparkSession, root: str) -> DataFrame:
+def read_runs(spark: SparkSession, root: str, config: str = "config.json", metrics: str = "metrics.json") -> DataFrame:
     """Config and metrics of every run folder that holds both, config flattened to dotted names."""
-    configs = spark.read.option("multiLine", True).json(f"{root}/*/config.json")
-    configs = flatten_struct(configs.select(_run_name().alias("run"), F.struct(*configs.columns).alias("config")))
-    metrics = spark.read.schema(schemas.RUN_METRICS).option("multiLine", True).json(f"{root}/*/metrics.json")
-    metrics = metrics.select(_run_name().alias("run"), "*")
-    return configs.join(metrics, "run")
+    configs = spark.read.option("multiLine", True).json(f"{root}/*/{config}")
+    configs = flatten_struct(configs.select(_run_name(config).alias("run"), F.struct(*configs.columns).alias("config")))
+    series = spark.read.schema(schemas.RUN_METRICS).option("multiLine", True).json(f"{root}/*/{metrics}")
+    return configs.join(series.select(_run_name(metrics).alias("run"), "*"), "run")
 
 
 def metric_series(runs: DataFrame) -> DataFrame:

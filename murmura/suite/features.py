@@ -10,10 +10,13 @@ from murmura.operators import labels as L
 from murmura.operators import vectors as V
 from murmura.operators.sampling import split_by_hash
 from murmura.operators.sentiment import lexicon_polarity
+from murmura.plans import answer as A
 from murmura.session import materialize
-from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, sql_words, table
+from murmura.sources.files import to_search_docs
+from murmura.suite.base import BODIES, STOP, bodies, comments, manual_labels, query, sql_words, table
 from murmura.suite.joins import _ENTITIES
 from murmura.suite.lexicon import INTENSIFIERS, NEGATIONS, polarity_table
+from murmura.suite.search import PLAIN, index, requests
 
 
 def _sql_bow(source: str, key: str, column: str, bounds: str) -> str:
@@ -61,78 +64,58 @@ def _features(spark, d):
     return M.assemble(rows.fillna(0, ["comment_score"]))
 
 
-_WIDTH = M.TEXT_WIDTH + 2 * M.SET_WIDTH + 3
-_BINARY = f"{LABELS}, labelled AS (SELECT * FROM manual_labels WHERE label <> 0)"
-_TEST = "('0x' || substr(md5('42:' || comment_id), 1, 8))::BIGINT % 1000 < 200"
-
-
-def _facts(metrics, rows):
-    """Whether every metric lies within 0 and 1, beside the number of rows they were taken over."""
-    values = F.array(*[F.col(c).cast("double") for c, kind in metrics.dtypes if kind == "double"])
-    bounded = metrics.agg(F.bool_and(F.forall(values, lambda v: v.isNull() | ((v >= 0) & (v <= 1)))).alias("bounded"))
-    return bounded.withColumn("n", rows.agg(F.count("*")).scalar())
-
-
 def _halves(df):
     """Rows to learn from and rows to score, by the hash of the id."""
     split = split_by_hash(df, "comment_id", {"test": 0.2, "train": 0.8})
     return split.filter("split = 'train'").drop("split"), split.filter("split = 'test'").drop("split")
 
 
-@query("m9_assemble", f"WITH {COMMENTS} SELECT comment_id, {_WIDTH} AS width FROM comments")
+@query("m9_assemble", None)
 def m9(spark, d):
-    return _features(spark, d).select("comment_id", F.size(V.vector_to_array("features")).alias("width"))
+    """The assembled vectors, text of every entry that is not zero."""
+    values = F.transform(V.vector_to_array("features"), lambda v, k: F.when(v != 0, F.concat(k.cast("string"), F.lit(":"), F.round(v, 6).cast("string"))))
+    return _features(spark, d).select("comment_id", F.array_join(F.array_compact(values), " ").alias("features"))
 
 
-@query("m10_reduce", f"WITH {COMMENTS} SELECT comment_id, 50 AS dims FROM comments")
+@query("m10_reduce", None)
 def m10(spark, d):
     reduced = M.reduce(_features(spark, d), 50)
-    return reduced.select("comment_id", F.size(V.vector_to_array("reduced")).alias("dims"))
+    return reduced.select("comment_id", F.transform(V.vector_to_array("reduced"), lambda v: F.round(v, 6)).alias("reduced"))
 
 
-@query("m11_cluster", "SELECT count(*) AS n, TRUE AS few FROM embeddings")
+@query("m11_cluster", None)
 def m11(spark, d):
     vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    clustered = M.cluster(vectors.withColumn("reduced", M.array_to_vector(F.col("vector").cast("array<double>"))), 3)
-    return clustered.agg(F.count("*").alias("n"), (F.count_distinct("cluster") <= 3).alias("few"))
+    return M.cluster(vectors.withColumn("reduced", M.array_to_vector(F.col("vector").cast("array<double>"))), 3).select("vec_id", "cluster")
 
 
-@query("m11_cluster_metrics", f"WITH {_BINARY} SELECT TRUE AS bounded, count(*) AS n FROM labelled")
+@query("m11_cluster_metrics", None)
 def m11_metrics(spark, d):
     """Clusters, majority labels, weighted metrics."""
     labelled = _features(spark, d).join(manual_labels(spark, d).select("comment_id", "label"), "comment_id").filter("label <> 0")
     clustered = M.cluster(M.reduce(labelled, 50), 3)
-    named = materialize(L.map_clusters(clustered, "cluster", "label").select("label", "predicted"))
-    return _facts(L.weighted_metrics(named, "predicted", "label"), named)
+    return L.weighted_metrics(materialize(L.map_clusters(clustered, "cluster", "label").select("label", "predicted")), "predicted", "label")
 
 
-@query("m13_balanced_regression", f"WITH {_BINARY} SELECT TRUE AS bounded, count(*) AS n FROM labelled WHERE {_TEST}")
+@query("m13_balanced_regression", None)
 def m13(spark, d):
     """Principal components, class weights, and metrics over rows held out of the fit."""
     labelled = _features(spark, d).join(manual_labels(spark, d).select("comment_id", "label"), "comment_id").filter("label <> 0")
     binary = labelled.withColumn("label", tx.recode_label(F.col("label").cast("double"), {1.0: 1.0, -1.0: 0.0}))
     train, test = _halves(materialize(M.reduce(binary, 50).select("comment_id", "label", "reduced")))
-    scored = M.train_balanced_lr(train).transform(test)
-    return _facts(L.weighted_metrics(scored, "prediction", "label"), test)
+    return L.weighted_metrics(M.train_balanced_lr(train).transform(test), "prediction", "label")
 
 
-@query("m2_topics", "SELECT unnest(range(5))::INTEGER AS topic, 20 AS terms, TRUE AS ordered, TRUE AS known")
+@query("m2_topics", None)
 def m2(spark, d):
-    """Per topic: as many terms as asked for, heaviest first, all of them words of the corpus."""
-    found = M.topics(bodies(spark, d), "comment_body")
-    words = bodies(spark, d).select(F.explode(M.feature_tokens(F.col("comment_body"))).alias("term")).distinct().withColumn("seen", F.lit(True))
-    listed = F.array_sort(F.collect_list(F.struct("rank", "weight")))
-    falling = F.col("listed.weight") == F.reverse(F.array_sort("listed.weight"))
-    per_topic = found.join(words, "term", "left").groupBy("topic").agg(F.count("*").cast("int").alias("terms"), listed.alias("listed"), F.count("seen").alias("seen"))
-    return per_topic.select("topic", "terms", falling.alias("ordered"), (F.col("seen") == F.col("terms")).alias("known"))
+    """The strongest terms of each topic."""
+    return M.topics(bodies(spark, d), "comment_body")
 
 
-@query("m3_topic_keywords", "SELECT TRUE AS sized, TRUE AS counted")
+@query("m3_topic_keywords", None)
 def m3(spark, d):
-    """Between one and five topics' worth of keywords, each with its count in the corpus."""
-    found = M.topic_keywords(bodies(spark, d), "comment_body")
-    words = bodies(spark, d).select(F.explode(M.feature_tokens(F.col("comment_body"))).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("n"))
-    return found.join(words, "keyword", "left").agg(F.count("*").between(20, 100).alias("sized"), F.bool_and(F.col("count") == F.col("n")).alias("counted"))
+    """The topics' strongest terms with their counts in the corpus."""
+    return M.topic_keywords(bodies(spark, d), "comment_body")
 
 
 @query(
@@ -147,18 +130,18 @@ def w2(spark, d):
     return M.top_terms(words.groupBy("topic", "term").agg(F.count("*").alias("weight")))
 
 
-@query("m5_embed", f"WITH {BODIES} SELECT comment_id, 64 AS dims FROM bodies")
+@query("m5_embed", None)
 def m5(spark, d):
     tokens = bodies(spark, d).select("comment_id", tx.words(F.col("comment_body")).alias("tokens"))
-    return M.embed(tokens, "tokens").select("comment_id", F.size("vector").alias("dims"))
+    return M.embed(tokens, "tokens").select("comment_id", "vector")
 
 
-@query("m16_embedding_clusters", "SELECT count(DISTINCT vec_id // 4) AS n, TRUE AS few FROM embeddings")
+@query("m16_embedding_clusters", None)
 def m16(spark, d):
     pooled = V.pool_vectors(
         table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 4).alias("doc_id"), F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"))
     )
-    return M.embedding_clusters(pooled).agg(F.count("*").alias("n"), (F.count_distinct("cluster") <= 6).alias("few"))
+    return M.embedding_clusters(pooled).select("doc_id", "cluster")
 
 
 @query(
@@ -174,7 +157,7 @@ def j7(spark, d):
     return stacked.select("doc_id", values[0].cast("bigint").alias("n_chars"), values[1].cast("int").alias("quality"), values[2].cast("int").alias("toxic"))
 
 
-def _trained(spark, d, model):
+def fitted_sentiment(spark, d, model):
     """A classifier fitted on the labelled documents that are not held out, and those that are."""
     texts = bodies(spark, d).join(manual_labels(spark, d).select("comment_id", "label"), "comment_id")
     pairs = texts.select("comment_id", F.col("comment_body").alias("text"), tx.recode_label(F.col("label"), tx.SIGN_TO_CLASS).alias("label"))
@@ -182,15 +165,24 @@ def _trained(spark, d, model):
     return test, M.train_sentiment(train.select("text", "label"), model=model)
 
 
-@query("n3_predict_sentiment", f"WITH {BODIES} SELECT comment_id, TRUE AS known FROM bodies")
+@query("n3_predict_sentiment", None)
 def n3(spark, d):
-    """Every document gets one of the two labels."""
-    _, fitted = _trained(spark, d, "logistic")
+    """Every document's label by the fitted model."""
+    _, fitted = fitted_sentiment(spark, d, "logistic")
     named = M.predict_sentiment(bodies(spark, d).select("comment_id", F.col("comment_body").alias("text")), fitted)
-    return named.select("comment_id", F.col("sentiment").isin("negative", "positive").alias("known"))
+    return named.select("comment_id", "sentiment")
 
 
-@query("n4_train_sentiment", f"WITH {LABELS} SELECT TRUE AS bounded, count(*) AS n FROM manual_labels WHERE {_TEST}")
+@query("n4_train_sentiment", None)
 def n4(spark, d):
-    test, fitted = _trained(spark, d, "perceptron")
-    return _facts(L.weighted_metrics(fitted.transform(test), "prediction", "label"), test)
+    """Metrics of the second classifier over rows held out of the fit."""
+    test, fitted = fitted_sentiment(spark, d, "perceptron")
+    return L.weighted_metrics(fitted.transform(test), "prediction", "label")
+
+
+@query("q15_answers_model", None)
+def q15_model(spark, d):
+    """Answers whose sentiment comes from the classifier fitted on the labelled documents; no SQL fits it, a test holds it against its labels."""
+    _, model = fitted_sentiment(spark, d, "logistic")
+    full = A.answer(index(spark, d), to_search_docs(comments(spark, d)), requests(spark), None, analyzer=PLAIN, model=model)
+    return full.select("query_id", "sentiment", "record_count", F.array_join("comments.sentiment", ",").alias("sentiments"))

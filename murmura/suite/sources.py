@@ -139,23 +139,26 @@ def s11(spark, d):
     return top_n_per_group(comments(spark, d).select("subreddit", "comment_id", "comment_score"), ["subreddit"], ordered, 4000).drop("comment_score")
 
 
+_RUN_USERS = 50
+
+
 @query(
     "s8_read_runs",
-    """WITH picked AS (SELECT event_id % 3 AS k, event_id, value, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS place FROM events),
-sizes AS (SELECT event_id % 3 AS k, count(*) AS n FROM events GROUP BY 1)
-SELECT 'run ' || k AS run, n AS size, CAST(place - 1 AS INTEGER) AS step, value FROM picked JOIN sizes USING (k) WHERE place <= 5 AND k < 2""",
+    f"""WITH e AS (SELECT 'run=' || event_type || ' ' || (user_id // {_RUN_USERS}) AS run, event_id, value FROM events)
+SELECT run, count(*) OVER (PARTITION BY run) AS size, CAST(row_number() OVER (PARTITION BY run ORDER BY event_id) - 1 AS INTEGER) AS step, value FROM e""",
 )
 def s8(spark, d):
-    """Three run folders written from the events, the last without metrics, read back as series of losses."""
-    root, events = scratch(spark), table(spark, d, "events").withColumn("k", F.col("event_id") % 3)
-    for k in range(3):
-        own = events.filter(F.col("k") == k)
-        config = own.agg(F.to_json(F.struct(F.struct(F.count("*").alias("size")).alias("data_config"))).alias("value"))
-        config.write.text(f"{root}/run {k}/config.json")
-        if k < 2:
-            losses = own.orderBy("event_id").limit(5).agg(F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("x"))
-            losses.select(F.to_json(F.struct(F.col("x.value").alias("train_loss"))).alias("value")).write.text(f"{root}/run {k}/metrics.json")
-    found = runs.read_runs(spark, root)
+    """A run folder per event type and stretch of users, all written in one pass, and one without metrics; read back as series of losses."""
+    root, events = scratch(spark), table(spark, d, "events")
+    run = F.concat("event_type", F.lit(" "), F.floor(F.col("user_id") / _RUN_USERS).cast("string"))
+    own = events.groupBy(run.alias("run")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("event_id", "value"))).alias("x"))
+    config = F.to_json(F.struct(F.struct(F.col("n").alias("size")).alias("data_config")))
+    metrics = F.to_json(F.struct(F.col("x.value").alias("train_loss")))
+    documents = F.array(F.struct(F.lit("config.json").alias("document"), config.alias("value")), F.struct(F.lit("metrics.json").alias("document"), metrics.alias("value")))
+    alone = small(spark, run=["without metrics"], document=["config.json"], value=['{"data_config": {"size": 0}}'])
+    written = own.select("run", F.inline(documents)).unionByName(alone)
+    written.repartition("run", "document").write.partitionBy("run", "document").text(root)
+    found = runs.read_runs(spark, root, "document=config.json", "document=metrics.json")
     series = runs.metric_series(found).filter(F.col("metric") == "train_loss").join(found.select("run", F.col("`config.data_config.size`").alias("size")), "run")
     return series.select("run", "size", "step", "value")
 
@@ -274,3 +277,16 @@ def p23(spark, d):
     kind = F.struct(F.col("event_type").alias("name"), F.round("value", 6).alias("value"))
     nested = table(spark, d, "events").select(F.struct(F.col("event_id").alias("id"), kind.alias("kind")).alias("event"), "user_id")
     return files.flatten_struct(nested)
+
+
+@query(
+    "p1_flatten_nested",
+    """SELECT c.conv_id AS post_id, p.post_content, c.turn AS comment_id, c.text AS comment_body
+FROM conversations c JOIN (SELECT conv_id, min_by(text, turn) AS post_content FROM conversations GROUP BY conv_id) p USING (conv_id)""",
+)
+def p1_nested(spark, d):
+    """Posts that hold their comments as an array, one row per comment."""
+    turns = table(spark, d, "conversations")
+    nested = F.collect_list(F.struct(F.col("turn").alias("comment_id"), F.col("text").alias("comment_body")))
+    posts = turns.groupBy(F.col("conv_id").alias("post_id")).agg(F.min_by("text", "turn").alias("post_content"), nested.alias("comments"))
+    return files.flatten_nested_threads(posts)
