@@ -3,8 +3,8 @@
 Text blocks of a page are grouped by their root-to-leaf tag path. A path's ratio
 is its text per node, fused with its punctuation per node: prose has long nodes
 with punctuation, menus have many short ones without. Ratios are smoothed over
-neighbouring blocks in page order, and blocks above a part of their standard
-deviation are content. All blocks of each article that holds some of them (or,
+neighbouring blocks in page order, reduced by the path's share of link text, and
+blocks above a part of their standard deviation are content. All blocks of each article that holds some of them (or,
 without one, of the deepest element that holds most) are the text too, short
 ones included, except what stands in menus, adverts, forms and the like. A form
 around most of the page is no such part.
@@ -21,7 +21,7 @@ import html
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,6 +32,7 @@ from murmura.llm.bytescan import row_blocks
 
 THRESHOLD = 0.5
 HELD_SHARE = 0.8
+LINK_SHARE = 0.5
 
 # Fixed values of HTML: elements without content, with raw content, and that start a new block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +43,7 @@ BLOCK = frozenset(
 )
 # Start tags that end an open element of these names.
 ENDS_OPEN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_LISTS = ("ul", "ol", "dl", "table", "select")
 CONTENT_NODES = frozenset(["article", "main"])
 # Elements that hold a block each, so their parent is the container.
 SINGLE_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody blockquote pre caption figcaption summary legend option".split())
@@ -64,6 +66,8 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s/]|$)", re.IGNORECASE)
+_VALUE_END = re.compile(r"=\s*[^\s\"'>]+$")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -72,67 +76,110 @@ _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 @dataclass(slots=True)
 class Node:
     name: str
-    path: str
+    path: int
     parent: int
+    block: int  # the nearest block element, itself included
     aside: bool
     article: bool
+    link: bool
     own: bool = False  # marked by itself as an aside, by more than being a form
+    soft: bool = False  # marked by a part of a name inside an article: an aside where the block has little text too
 
 
 @dataclass(slots=True)
 class Block:
     node: int
     text: str
+    linked: float  # share of link text
 
 
-def _aside(name: str, attributes: str, in_article: bool) -> bool:
+def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Is an element an aside, and is it one where its blocks have little text?
+
+    A class or id that is one of the words counts anywhere. Words inside longer
+    names count for block elements, in an article only where a block has little text.
+    """
     if name in ASIDE_ELEMENTS or (name == "header" and not in_article):
-        return True
-    if not attributes:
-        return False
-    for key, *values in _ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "")
-        if key.lower() in ("class", "id") and name not in ("html", "body") and any(
-            w.lower() in ASIDE_WORDS and not (in_article and w.lower() in HEADS) for w in _NAME_PART.findall(value)
-        ):
-            return True
-        if key.lower() == "role" and value.lower() in ASIDE_ROLES:
-            return True
-        if key.lower() == "hidden":
-            return True
-    return False
+        return True, False
+    soft = False
+    for key, *values in _ATTRIBUTE.findall(attributes) if "=" in attributes or "hidden" in attributes else ():
+        value, key = next((v for v in values if v), ""), key.lower()
+        if key in ("class", "id") and name not in ("html", "body"):
+            allowed = HEADS if in_article else frozenset()
+            if any(w in ASIDE_WORDS and w not in allowed for w in value.lower().split()):
+                return True, False
+            if name in BLOCK and any(w.lower() in ASIDE_WORDS and w.lower() not in allowed for w in _NAME_PART.findall(value)):
+                if not in_article:
+                    return True, False
+                soft = True
+        if (key == "role" and value.lower() in ASIDE_ROLES) or key == "hidden":
+            return True, False
+    return _HIDDEN.search(attributes) is not None, soft
+
+
+class _Open:
+    """Open elements, with the places of each name, so that closing never searches the stack."""
+
+    def __init__(self) -> None:
+        self.stack = [0]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.frames: list[int] = []  # places of block elements other than paragraphs
+
+    def push(self, node: int, name: str) -> None:
+        self.places[name].append(len(self.stack))
+        if name in BLOCK and name != "p":
+            self.frames.append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, names: Iterable[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places[n]), default=0)
+
+    def cut(self, place: int, nodes: list[Node]) -> None:
+        while len(self.stack) > place:
+            name = nodes[self.stack.pop()].name
+            self.places[name].pop()
+            if self.frames and self.frames[-1] == len(self.stack):
+                self.frames.pop()
+
+    def close(self, names: Iterable[str], barrier: int, nodes: list[Node]) -> None:
+        """End the innermost element of ``names``, and all inside it, if it lies within the barrier."""
+        place = self.last(names)
+        if place > barrier:
+            self.cut(place, nodes)
 
 
 def parse(page: str) -> tuple[list[Node], list[Block]]:
     """Elements of a page, and its text by blocks in page order with white space made one space."""
-    nodes = [Node("", "", -1, False, False)]
+    nodes = [Node("", 0, -1, 0, False, False, False)]
+    paths: dict[tuple[int, str], int] = {}
     blocks: list[Block] = []
-    stack, pieces, at = [0], [], 0
+    open_, pieces, linked, at = _Open(), [], 0, 0
+
+    def add(text: str) -> None:
+        nonlocal linked
+        top = nodes[open_.stack[-1]]
+        if top.aside and not nodes[top.block].aside:
+            pieces.append(" ")  # an aside inside a block's line
+            return
+        pieces.append(text)
+        if top.link:
+            linked += len("".join(text.split()))
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            blocks.append(Block(block_node(), text))
+            blocks.append(Block(nodes[open_.stack[-1]].block, text, min(1.0, linked / max(1, len(text.replace(" ", ""))))))
         pieces.clear()
-
-    def block_node() -> int:
-        return next((n for n in reversed(stack) if nodes[n].name in BLOCK), 0)
-
-    def pop_to(names: set[str] | frozenset[str], stop: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            name = nodes[stack[k]].name
-            if name in names:
-                del stack[k:]
-                return
-            if name in stop:
-                return
+        linked = 0
 
     while at < len(page):
         token = _TOKEN.search(page, at)
         if token is None:
-            pieces.append(page[at:])
+            add(page[at:])
             break
-        pieces.append(page[at : token.start()])
+        if token.start() > at:
+            add(page[at : token.start()])
         at = token.end()
         name = (token["name"] or "").lower()
         if not name:
@@ -140,10 +187,13 @@ def parse(page: str) -> tuple[list[Node], list[Block]]:
         if token["close"]:
             if name in BLOCK:
                 flush()
-            if any(nodes[n].name == name for n in stack):
-                pop_to({name}, frozenset())
+            open_.close((name,), 0, nodes)
             continue
-        if name in RAW and not token["attributes"].endswith("/"):
+        attributes = token["attributes"]
+        ended = attributes.endswith("/") and not _VALUE_END.search(attributes)
+        if name in RAW:
+            if name == "svg" and ended:
+                continue
             end = _RAW_END[name].search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -154,15 +204,18 @@ def parse(page: str) -> tuple[list[Node], list[Block]]:
             continue
         if name in BLOCK:
             flush()
-            pop_to({"p"}, BLOCK - {"p"})
+            open_.close(("p",), open_.frames[-1] if open_.frames else 0, nodes)
             if name in ENDS_OPEN:
-                pop_to(ENDS_OPEN[name], frozenset(["ul", "ol", "dl", "table", "select"]))
-        parent = nodes[stack[-1]]
+                open_.close(ENDS_OPEN[name], open_.last(_LISTS), nodes)
+        above = open_.stack[-1]
+        parent = nodes[above]
         article = parent.article or name in CONTENT_NODES
-        own = _aside(name, token["attributes"], article)
-        nodes.append(Node(name, f"{parent.path}/{name}", stack[-1], parent.aside or own or name == "form", article, own))
-        if not token["attributes"].endswith("/"):
-            stack.append(len(nodes) - 1)
+        own, soft = _marks(name, attributes, article)
+        path = paths.setdefault((parent.path, name), len(paths) + 1)
+        block = len(nodes) if name in BLOCK else parent.block
+        nodes.append(Node(name, path, above, block, parent.aside or own or name == "form", article, parent.link or name == "a", own, parent.soft or soft))
+        if not ended:
+            open_.push(len(nodes) - 1, name)
     flush()
     return nodes, blocks
 
@@ -177,37 +230,60 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def path_ratios(nodes: list[Node], blocks: list[Block]) -> list[float]:
-    """Each block's path ratio: text per node of the path, fused with its punctuation per node."""
-    text, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
+def _path(nodes: list[Node], block: Block) -> tuple[int, bool, bool]:
+    node = nodes[block.node]
+    return node.path, node.aside, node.soft
+
+
+def _weight(length: float, marks: float) -> float:
+    return length * math.log2(2 + marks)
+
+
+def path_ratios(nodes: list[Node], blocks: list[Block]) -> tuple[list[float], list[float]]:
+    """Each block's path ratio (text per node of the path, fused with its punctuation per node), and its path's share of link text."""
+    text, marks, count, linked = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(float)
     for b in blocks:
-        path = (nodes[b.node].path, nodes[b.node].aside)
+        path = _path(nodes, b)
         text[path] += len(b.text)
         marks[path] += len(_PUNCTUATION.findall(b.text))
         count[path] += 1
-    ratio = {p: 0.0 if p[1] else text[p] / count[p] * math.log2(2 + marks[p] / count[p]) for p in text}
-    return [ratio[(nodes[b.node].path, nodes[b.node].aside)] for b in blocks]
+        linked[path] += len(b.text) * b.linked
+    ratio = {p: 0.0 if p[1] else _weight(text[p] / count[p], marks[p] / count[p]) for p in text}
+    shares = [linked[p] / text[p] for p in (_path(nodes, b) for b in blocks)]
+    return [ratio[_path(nodes, b)] for b in blocks], shares
 
 
-def content_nodes(nodes: list[Node], blocks: list[Block], threshold: float = THRESHOLD, held: float = HELD_SHARE) -> tuple[set[int], set[int]]:
+def _held(nodes: list[Node], own: dict[int, int]) -> list[int]:
+    """Per element the sum over itself and all inside it; parents stand before their children."""
+    total = [own.get(n, 0) for n in range(len(nodes))]
+    for n in range(len(nodes) - 1, 0, -1):
+        total[nodes[n].parent] += total[n]
+    return total
+
+
+def content_nodes(nodes: list[Node], blocks: list[Block], threshold: float = THRESHOLD, held: float = HELD_SHARE) -> tuple[set[int], set[int], set[int]]:
     """The elements whose blocks are content (every article that holds blocks above the threshold, or else the deepest
-    element with nearly all of them), and the indices of all blocks above the threshold."""
-    values = _smoothed(path_ratios(nodes, blocks))
-    mean = sum(values) / len(values)
-    limit = threshold * math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
-    weight, accepted = defaultdict(int), set()
-    for k, (b, value) in enumerate(zip(blocks, values, strict=True)):
-        if value < limit or nodes[b.node].aside:
-            continue
-        accepted.add(k)
-        node = b.node
-        while node >= 0:
-            weight[node] += len(b.text)
-            node = nodes[node].parent
-    articles = {n for n in weight if nodes[n].name in CONTENT_NODES}
+    element with nearly all of them), and the indices of the blocks above the threshold, and of those that are never text."""
+    ratios, shares = path_ratios(nodes, blocks)
+    smooth = _smoothed(ratios)
+    mean = sum(smooth) / len(smooth)
+    limit = threshold * math.sqrt(sum((v - mean) ** 2 for v in smooth) / len(smooth))
+    own, accepted, never = defaultdict(int), set(), set()
+    for k, (b, value, share) in enumerate(zip(blocks, smooth, shares, strict=True)):
+        node = nodes[b.node]
+        # Smoothing lifts what stands next to prose; links, and asides by a part of a name, must hold text themselves.
+        if node.aside or (node.soft and _weight(len(b.text), len(_PUNCTUATION.findall(b.text))) < mean):
+            never.add(k)
+        elif share > LINK_SHARE and not node.article:
+            never.add(k)
+        elif value * (1 - share) >= limit:
+            accepted.add(k)
+            own[b.node] += len(b.text)
+    weight = _held(nodes, own)
+    articles = {n for n, node in enumerate(nodes) if node.name in CONTENT_NODES and weight[n]}
     if articles:
-        return articles, accepted
-    return {max((n for n in weight if weight[n] >= held * weight[0] and nodes[n].name in BLOCK - SINGLE_BLOCK), default=0)}, accepted
+        return articles, accepted, never
+    return {max((n for n, node in enumerate(nodes) if weight[n] and weight[n] >= held * weight[0] and node.name in BLOCK - SINGLE_BLOCK), default=0)}, accepted, never
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD, held: float = HELD_SHARE) -> str:
@@ -216,14 +292,11 @@ def main_text(page: str | None, threshold: float = THRESHOLD, held: float = HELD
     if not blocks:
         return ""
     _open_forms(nodes, blocks)
-    chosen, accepted = content_nodes(nodes, blocks, threshold, held)
-
-    def inside(node: int) -> bool:
-        while node > 0 and node not in chosen:
-            node = nodes[node].parent
-        return node in chosen
-
-    return "\n".join(b.text for k, b in enumerate(blocks) if not nodes[b.node].aside and (k in accepted or inside(b.node)))
+    chosen, accepted, never = content_nodes(nodes, blocks, threshold, held)
+    inside = [False] * len(nodes)
+    for n, node in enumerate(nodes):
+        inside[n] = n in chosen or (n > 0 and inside[node.parent])
+    return "\n".join(b.text for k, b in enumerate(blocks) if k not in never and (k in accepted or inside[b.node]))
 
 
 def _open_forms(nodes: list[Node], blocks: list[Block]) -> None:
@@ -234,17 +307,14 @@ def _open_forms(nodes: list[Node], blocks: list[Block]) -> None:
     marked = [False] * len(nodes)
     for n, node in enumerate(nodes):
         marked[n] = node.own or (n > 0 and marked[node.parent])
-    weight = defaultdict(int)
+    own = defaultdict(int)
     for b in blocks:
-        node = b.node if not marked[b.node] else -1
-        while node >= 0:
-            weight[node] += len(b.text)
-            node = nodes[node].parent
+        if not marked[b.node]:
+            own[b.node] += len(b.text)
+    weight = _held(nodes, own)
     frames = {n for n in forms if 2 * weight[n] > weight[0]}
-    if not frames:
-        return
     for n, node in enumerate(nodes):
-        if n:
+        if n and frames:
             node.aside = nodes[node.parent].aside or node.own or (node.name == "form" and n not in frames)
 
 

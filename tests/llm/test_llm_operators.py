@@ -491,6 +491,38 @@ def test_main_text_in_several_places():
     assert pages.main_text(f"<article><div class='entry-header'><h1>Head</h1></div>{p[0]}</article>") == "Head\n" + prose[0]
 
 
+STORY = "<p>" + "A story, told at length, with marks: commas, and more of it. " * 5 + "</p>"
+TOLD = STORY[3:-4].strip()
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article>{STORY}<script src=/js/>var a=1; alert(a)</script><script/>b()</script></article>", TOLD),
+        (f"<article>{STORY}<p>One <span class='advert'>Buy now!</span>two<button>Share</button></p><object>x</object></article>", TOLD + "\nOne two"),
+        (f"<article>{STORY}<p>See <span class=share>Share</span> <span class=related-term>terms</span> <i hidden>x</i></p></article>", TOLD + "\nSee terms"),
+        (f"<article><div class='related-work'>{STORY}</div><div class='notice-of-change'>{STORY}</div><div class=share-links><p>Tweet</p></div></article>", f"{TOLD}\n{TOLD}"),
+        (f"<div><ul><li><a>Home</a><li><a>News</a></ul>{STORY}{STORY}<p>End.</p></div>", f"{TOLD}\n{TOLD}\nEnd."),
+        (f"<article><h1>T</h1>{STORY}<ul><li><a>Source one</a><li>two</ul></article>", f"T\n{TOLD}\nSource one\ntwo"),
+        (f"<article>{STORY}<a href=x/>go</a> on</article>", TOLD + "\ngo on"),
+    ],
+)
+def test_main_text_leaves_asides(page, text):
+    assert pages.main_text(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<span>x", "<div><b>x</i>", "<div>x", "<li><b>x", "<p><a>x</b>", "</div>x", "<table><tr><td>x", '<a title="x>', "<b", "<ul><li>x"])
+def test_pages_of_unclosed_elements(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    text = pages.main_text(page)
+    assert time.process_time() - start < 30
+    # a page of links only has no text
+    assert "<a" in piece or piece == "<b" or text.count("x") == page.count("x")
+
+
 def test_pages_rows(spark):
     table = spark.createDataFrame([(1, None, None, 5), (2, "u", "<p>é</p>", 6), (2, "u", "<p>é</p>", 6)], "page_id bigint, url string, html string, n_chars int")
     assert Counter(map(tuple, pages.extracted(table).collect())) == Counter([(1, None, "", 0), (2, "u", "é", 1), (2, "u", "é", 1)])
