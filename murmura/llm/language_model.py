@@ -43,6 +43,7 @@ from murmura.session import materialize
 
 HOT_WORDS = 512
 WARM_WORDS = 1 << 18
+PART_WORDS = 1 << 16
 ALPHA = 0.1
 HELD_OUT_OF = 10
 
@@ -327,22 +328,23 @@ def learned_spelling(vocabulary: DataFrame) -> Spelling:
 def seated_words(others: DataFrame, spelling: Spelling, d: float, n_words: int, rounds: int = ROUNDS, steps: int = STEPS) -> DataFrame:
     """(hash, n, tables) of the restaurant over all other words: tables averaged over the rounds after the first.
 
-    Words are dealt by hash, so the tables of a part are scaled up to those of all.
+    Words are dealt by their hash to parts of about ``PART_WORDS``, whose tables are scaled up to those of all. A part's
+    words, their order and its seed follow from the words alone, so the seating is the same however the rows were dealt.
     """
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in row_blocks(whole, "word"):
-                found = words(batch.column("word"), SPACED)
-                c = batch.column("n").to_numpy().astype(np.int64)
-                base = 10.0 ** spelling.of(found)
-                rng = np.random.default_rng([SEED, *found.hashes[:2].tolist()])
-                scale = n_words / max(1, len(c))
-                samples = [seated(c, base, STRENGTH, d, steps, rng, scale) for _ in range(1, rounds)]
-                columns = [pa.array(found.hashes.view(np.int64)), pa.array(c), pa.array(np.mean(samples, axis=0))]
-                yield pa.RecordBatch.from_arrays(columns, names=["hash", "n", "tables"])
-
-    return others.select("word", "n").mapInArrow(rows, "hash bigint, n bigint, tables double")
+    def seat(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        found = words(rows.column("word"), SPACED)
+        order = np.argsort(found.hashes)
+        c = rows.column("n").to_numpy().astype(np.int64)[order]
+        base = 10.0 ** spelling.of(found)[order]
+        rng = np.random.default_rng([SEED, key[0].as_py()])
+        scale = n_words / max(1, len(c))
+        samples = [seated(c, base, STRENGTH, d, steps, rng, scale) for _ in range(1, rounds)]
+        return pa.table({"hash": found.hashes[order].view(np.int64), "n": c, "tables": np.mean(samples, axis=0)})
+
+    parts = max(1, -(-n_words // PART_WORDS))
+    dealt = others.select("word", "n", F.pmod(F.xxhash64("word"), F.lit(parts)).alias("part"))
+    return dealt.groupBy("part").applyInArrow(seat, "hash bigint, n bigint, tables double")
 
 
 # --- scoring -----------------------------------------------------------------------

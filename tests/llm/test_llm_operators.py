@@ -446,6 +446,23 @@ def test_language_model_scores(spark, mixed, prose, monkeypatch):
     assert language_model.scores(documents(spark, [])).count() == 0
 
 
+def test_scores_do_not_depend_on_partitions(spark, mixed, prose, monkeypatch):
+    """The same scores from one input part and from many, and under other numbers of shuffle partitions."""
+    monkeypatch.setattr(language_model, "HOT_WORDS", 20)
+    monkeypatch.setattr(language_model, "WARM_WORDS", 60)
+    monkeypatch.setattr(language_model, "PART_WORDS", 50)
+    docs = documents(spark, mixed + [(3_000 + k, prose(60, 3_000 + k), "en", "a") for k in range(40)])
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for shuffles, parts in (("2", 1), ("7", 5)):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+            dealt = docs.repartition(parts, "text") if parts > 1 else docs.coalesce(1)
+            found.append(sorted((r["doc_id"] or -1, r["n_tokens"], r["score"]) for r in language_model.scores(dealt).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(x[:2] == y[:2] and math.isclose(x[2], y[2], rel_tol=1e-9) for x, y in zip(*found, strict=True))
+
+
 # --- lines -------------------------------------------------------------------------
 
 
