@@ -2,11 +2,11 @@
 
 Items are short and documents long, so a banded signature of a whole document
 says nothing about an item in it (their Jaccard similarity is near zero). The
-sketch is therefore taken from the item alone: its smallest shingle hashes, as
-many as the partition of its size needs. An item of q shingles with at least
+sketch is therefore taken from the item alone: its smallest shingle hashes among
+those that the fewest items hold, as many as the partition of its size needs. An item of q shingles with at least
 ``t * q`` of them in a document misses at most ``q - ceil(t * q)``; of one more
 than that many, whichever they are, one is in the document. Looking the item's
-smallest hashes up among *all* hashes of the document finds every candidate, and
+sketch up among *all* hashes of the document finds every candidate, and
 the exact count of shared shingles then decides.
 
 Documents are scanned in place, without a shuffle. Items travel to the tasks in
@@ -81,7 +81,12 @@ class Sketches:
         depth = {p: max(n - needed(threshold, n) + 1 for n in range(2**p, 2 ** (p + 1))) for p in set(partition.tolist())}
         for width in sorted(set(widths.tolist())):
             own = np.flatnonzero(widths == width)
-            parts = [np.sort(hashes[i])[: depth[partition[i]]] for i in own]
+            # Shingles that fewer items hold come first, by hash among equals: what thousands of items share is met last.
+            shingles, times = np.unique(np.concatenate([hashes[i] for i in own]), return_counts=True)
+            parts = []
+            for i in own:
+                rarest = np.lexsort((hashes[i], times[np.searchsorted(shingles, hashes[i])]))
+                parts.append(hashes[i][rarest[: depth[partition[i]]]])
             owner = np.repeat(own, [len(p) for p in parts])
             flat = np.concatenate(parts)
             order = np.argsort(flat, kind="stable")

@@ -143,16 +143,19 @@ class Scanner:
         seen = set()
         for bounds in (new_line, new_paragraph):
             edges = np.concatenate([[0], bounds, [len(line)]])
+            lo = hi = -1
             for hit in hits.tolist():
-                block = int(np.searchsorted(edges, hit, "right")) - 1
-                lo, hi = int(edges[block]), int(edges[block + 1])
+                if hit >= hi:
+                    block = int(np.searchsorted(edges, hit, "right")) - 1
+                    lo, hi = int(edges[block]), int(edges[block + 1])
+                    distinct = np.unique(global_place[lo:hi])
                 for template, place in self.prefix[int(found.hashes[hit])]:
                     if (lo, hi, template) in seen:
                         continue
                     own, least = self.sets[template], self.least[template]
                     if hi - lo < least:
                         continue
-                    following = np.count_nonzero(np.unique(global_place[lo:hi]) > global_place[hit])
+                    following = len(distinct) - int(np.searchsorted(distinct, global_place[hit], "right"))
                     if 1 + min(len(own) - place - 1, following) < least:
                         continue
                     seen.add((lo, hi, template))

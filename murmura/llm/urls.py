@@ -61,15 +61,25 @@ def names(value: Column) -> Column:
     return F.filter(F.split(F.lower(value), "[^\\p{L}]+"), lambda x: x != "")
 
 
-def split_name(name: str, known: dict[str, float], total: float, longest: int = LONGEST_WORD) -> list[str]:
-    """The most probable words of a name; ties go to the division whose last word is longest."""
+def split_name(name: str, known: dict[str, float], total: float) -> list[str]:
+    """The most probable words of a name; ties go to the division whose last word is longest.
+
+    An unknown piece of any length costs its length and one unseen word, so only its best start is kept; known pieces are
+    tried by their lengths.
+    """
     best, back = [0.0] + [-math.inf] * len(name), [0] * (len(name) + 1)
+    lengths, unseen = sorted(set(map(len, known)), reverse=True), math.log10(total)
+    start_of_rest = 0
     for end in range(1, len(name) + 1):
-        for start in range(max(0, end - longest), end):
-            count = known.get(name[start:end])
-            score = math.log10(count / total) if count else -math.log10(total) - (end - start)
-            if best[start] + score > best[end]:
-                best[end], back[end] = best[start] + score, start
+        if best[end - 1] + end - 1 > best[start_of_rest] + start_of_rest:
+            start_of_rest = end - 1
+        choices = [(best[start_of_rest] - unseen - (end - start_of_rest), -start_of_rest)]
+        for width in lengths:
+            count = known.get(name[end - width : end]) if width <= end else None
+            if count:
+                choices.append((best[end - width] + math.log10(count / total), width - end))
+        best[end], start = max(choices)
+        back[end] = -start
     words, end = [], len(name)
     while end:
         words.append(name[back[end] : end])
@@ -84,7 +94,12 @@ def segmented(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     at = chunks.select("name", F.explode(starts).alias("start"))
     widths = F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("name") - F.col("start") + 1))
     pieces = at.select("name", "start", F.explode(widths).alias("width")).select("name", F.expr("substring(name, start, width)").alias("word")).distinct()
-    found = pieces.join(vocabulary, "word").groupBy("name").agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("counts"))
+    short = pieces.join(vocabulary, "word")
+    # Longer words are met by their first letters and then compared whole.
+    heads = at.select("name", "start", F.expr(f"substring(name, start, {LONGEST_WORD})").alias("head")).filter(F.length("head") == LONGEST_WORD)
+    longer = vocabulary.filter(F.length("word") > LONGEST_WORD).withColumn("head", F.substring("word", 1, LONGEST_WORD))
+    long = heads.join(longer, "head").filter("substring(name, start, length(word)) = word").select("name", "word", "n").distinct()
+    found = short.select("name", "word", "n").unionByName(long).groupBy("name").agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("counts"))
     rows = chunks.join(found, "name", "left")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +114,7 @@ def segmented(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def corpus_words(docs: DataFrame) -> DataFrame:
     """(word, n) of all runs of letters, lower-cased, in ``docs``."""
     words = docs.select(F.explode(names(F.coalesce("text", F.lit("")))).alias("word"))
-    return words.filter(F.length("word") <= LONGEST_WORD).groupBy("word").agg(F.count("*").alias("n"))
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 def site_words(sites: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -124,7 +139,8 @@ def trained(words: DataFrame, sites: DataFrame, markers: Sequence[str] = MARKERS
     pages = sites.agg(F.sum("n").alias("n")).first()["n"] or 0
     bad_pages = sites.join(marked, ["host", "path"], "left_semi").agg(F.sum("n").alias("n")).first()["n"] or 0
     if not bad_pages or bad_pages == pages:
-        return counts.select("word", F.lit(0.0).alias("odds")), 0.0, -1.0
+        # Nothing to tell apart: all pages carry a marker, or none does.
+        return counts.select("word", F.lit(0.0).alias("odds")), 0.0, 1.0 if bad_pages else -1.0
     size = smoothing * (seen["words"] + 1)
     odds = lambda bad, good: F.log((bad + smoothing) / (seen["bad"] + size)) - F.log((good + smoothing) / (seen["good"] + size))
     unseen = math.log((seen["good"] + size) / (seen["bad"] + size))

@@ -276,6 +276,53 @@ def test_word_split_is_the_best_of_all():
     assert urls.split_name("cheappills", known, total) == ["cheap", "pills"]
 
 
+def test_long_words_and_tables_of_one_kind(spark):
+    word = "donaudampfschifffahrtsgesellschaft"
+    known = {word: 5, "cheap": 9}
+    assert urls.split_name(f"cheap{word}cheap", known, 100.0) == ["cheap", word, "cheap"]
+    assert urls.split_name("z" * 45 + "cheap", known, 100.0) == ["z" * 45, "cheap"] and urls.split_name("", known, 9.0) == []
+    assert urls.split_name("q" * 100_000, {}, 10.0) == ["q" * 100_000]
+    vocabulary = spark.createDataFrame(list(known.items()), "word string, n bigint")
+    rows = spark.createDataFrame([(f"x{word}cheap",), (word,), (word[:-1],)], "name string")
+    got = {r["name"]: r["words"] for r in urls.segmented(rows, vocabulary).collect()}
+    assert got == {f"x{word}cheap": ["x", word, "cheap"], word: [word], word[:-1]: [word[:-1]]}
+    marked = spark.createDataFrame([(1, "http://casino.a.com/x"), (2, "http://casino.b.com/" + "long" * 500)], "page_id bigint, url string")
+    assert {r["verdict"] for r in urls.judged_sites(marked, vocabulary).collect()} == {"block"}
+    plain = spark.createDataFrame([(1, "http://a.com/x")], "page_id bigint, url string")
+    assert {r["verdict"] for r in urls.judged_sites(plain, vocabulary).collect()} == {"allow"}
+    assert urls.judged_sites(plain.limit(0), vocabulary).count() == 0
+
+
+def test_license_blocks_of_long_lines():
+    import time
+
+    template = licenses.TEMPLATES["mit-text"]
+    text = template + " " + "the software is free " * 100_000
+    scanner = licenses.Scanner({}, licenses.TEMPLATES, {}, licenses.THRESHOLD)
+    start = time.process_time()
+    found = bytescan.words(pa.array([text, template]), bytescan.ALPHANUMERIC)
+    labels = {scanner.names[t] for _, _, t, _ in scanner.blocks(found)}
+    assert "mit-text" in labels and time.process_time() - start < 20
+
+
+def test_items_that_share_a_shingle():
+    """A shingle that all items hold is not what they are looked up by."""
+    import time
+
+    shared = "which of the following statements"
+    items = [f"{shared} a{k} b{k} c{k} d{k}" for k in range(20_000)]
+    found = bytescan.words(pa.array(items), bytescan.ALPHANUMERIC)
+    hashes, at = found.runs(5)
+    owner = found.text_of_word()[at]
+    own = [np.unique(hashes[lo:hi]) for lo, hi in zip(np.searchsorted(owner, range(20_000)), np.searchsorted(owner, range(20_000), "right"), strict=True)]
+    sizes = np.array([len(h) for h in own])
+    block = contamination.Sketches(list(range(20_000)), np.full(20_000, 5), sizes, own, 0.8)
+    text = " x ".join([shared + " nothing"] * 500 + [items[7]])
+    start = time.process_time()
+    assert [(t, i) for t, i, _ in block.contained(bytescan.words(pa.array([text]), bytescan.ALPHANUMERIC))] == [(0, 7)]
+    assert time.process_time() - start < 2
+
+
 def test_classifier_blocks_the_company_of_markers(spark):
     rows = [(k, f"http://casino-jackpot{k % 3}.example.com/a") for k in range(20)]
     rows += [(100 + k, f"http://garden.example.com/{k}") for k in range(60)] + [(200, "http://jackpotjackpot.example.com/b"), (201, "http://garden.example.com/z")]
