@@ -1,28 +1,32 @@
-"""LM scoring with a hierarchical Pitman-Yor model, beside a smoothed unigram score.
-
-Restaurants. The training corpus' most frequent words (at most ``HOT_WORDS``),
-the end of a text, and one dish for any other word are served in a restaurant
-per preceding word (frequent words each, the others together, and the start of
-a text); all of these share one parent, whose base is uniform. Any other word is
-then served by a restaurant over all of them, whose base spells the word byte by
-byte: restaurants per two preceding bytes have a parent per preceding byte, and
-these share one.
-
-Seating. Customers are first seated one after the other, in growing groups, and
-then Gibbs steps take a customer from its table and seat it anew, for all dishes
-at once. Rounds alternate between the context restaurants, in parallel, and the
-parent, which serves their tables. Predictive probabilities are averaged over
-the rounds after the first.
-
-Scale. Counts of words and pairs cover all training texts. Restaurants of
-contexts hold at most (HOT_WORDS + 2) squared counts whatever the corpus, so
-they may be gathered; the vocabulary is never gathered. Words above a count that
-at most ``WARM_WORDS`` words reach are looked up inside the tasks, the rest
-through a join, which gives the same sums.
+"""LM scoring with a hierarchical Pitman-Yor model of word pairs, beside a smoothed unigram score.
+
+Restaurants. Every word of the training corpus, and the start of a text, is the
+context of a restaurant; its dishes are all words and the end of a text. The
+context restaurants share one parent over all words, whose base spells a word
+byte by byte: restaurants per two preceding bytes have a parent per preceding
+byte, and these share one.
+
+Seating. A cell is a dish of a restaurant: its customers, and the tables they
+sit at. A sweep draws the tables of every cell from their conditional given all
+other cells: with c customers and new tables at rate a, t tables have the weight
+a^t S(c, t), S the generalized Stirling numbers of the discount. That is Gibbs
+sampling with the seats of a cell summed out. Restaurants' totals and the
+parent's probabilities are those of the sweep before (less what the cell itself
+sends to its parent), so all cells are drawn at once. Predictive probabilities
+are averaged over the sweeps after the first ``BURN``. Letters, of which there are few, are
+seated one customer at a time (``seated``).
+
+Scale. Cells are rows of a table, counted over all training texts, and nothing
+bounds their number; draws are seeded by the cell itself, so scores do not
+depend on how rows are dealt. Words above a count that at most ``WARM_WORDS``
+words reach, and pairs above one that at most ``WARM_PAIRS`` reach, are looked up
+inside the tasks or by a broadcast of that many rows. All others go through
+joins, which give the same sums; their keys are rare by construction.
 
 Nulls: a null text is empty and has the end as its only token; a null id counts
 as an empty one for the split. Repeated rows are learned and scored each. Empty
 tables give an empty result. Texts are scored whole; extra columns are ignored.
+Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -38,19 +42,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.llm.base import query, table
-from murmura.llm.bytescan import FOLD_BYTES, SPACED, Words, row_blocks, words
+from murmura.llm.bytescan import FOLD_BYTES, SPACED, Words, mix, row_blocks, words
 from murmura.session import materialize
 
-HOT_WORDS = 512
 WARM_WORDS = 1 << 18
-PART_WORDS = 1 << 16
+WARM_PAIRS = 1 << 20
 ALPHA = 0.1
 HELD_OUT_OF = 10
 
 STRENGTH = 1.0
 ROUNDS, STEPS = 3, 8
+SWEEPS, BURN = 4, 2
 SEED = 7
 
+# Share of the end of a text in the base over all dishes; spelled words have the rest.
+END_SHARE = 0.01
+# Customers up to which a cell's tables are drawn from tabulated weights.
+_TABULATED = 64
+# Rate up to which larger cells are the tabulated one and a Poisson number of tables more.
+_LOW_RATE = 6.0
+# Rows drawn at once.
+_DRAWN_ROWS = 1 << 17
+
 # Letters of a word: its bytes, and its end, which also stands before its first byte.
 _SPELLED, _END = 257, 256
 
@@ -67,7 +80,7 @@ def discount(counts_of_one: float, counts_of_two: float) -> float:
     return min(0.95, max(0.05, counts_of_one / (counts_of_one + 2 * counts_of_two))) if counts_of_one else 0.5
 
 
-def first_tables(c: np.ndarray, base: np.ndarray, strength: float, d: float, scale: float, rng: np.random.Generator) -> np.ndarray:
+def first_tables(c: np.ndarray, base: np.ndarray, strength: float, d: float, rng: np.random.Generator) -> np.ndarray:
     """Tables per dish when ``c`` customers come one after the other; past the first 32, in groups of a sixteenth."""
     n, t = np.minimum(c, 1).astype(np.int64), np.minimum(c, 1).astype(np.int64)
     while True:
@@ -75,20 +88,19 @@ def first_tables(c: np.ndarray, base: np.ndarray, strength: float, d: float, sca
         if not len(open_):
             return t
         group = np.minimum(np.maximum(1, np.where(n[open_] < 32, 1, n[open_] // 16)), c[open_] - n[open_])
-        new = (strength + d * scale * t.sum()) * base[open_]
+        new = (strength + d * t.sum()) * base[open_]
         p = new / (new + n[open_] - d * t[open_])
         t[open_] += rng.binomial(group, np.clip(p, 0.0, 1.0))
         n[open_] += group
 
 
-def seated(c: np.ndarray, base: np.ndarray, strength: float, d: float, steps: int, rng: np.random.Generator, scale: float = 1.0) -> np.ndarray:
+def seated(c: np.ndarray, base: np.ndarray, strength: float, d: float, steps: int, rng: np.random.Generator) -> np.ndarray:
     """Tables per dish of a restaurant with ``c`` customers per dish, after Gibbs steps that reseat one customer of each dish.
 
-    ``base`` is the parent's probability of each dish; ``scale`` turns the
-    tables at hand into those of the whole restaurant where they are a fair part.
+    ``base`` is the parent's probability of each dish.
     """
     dishes = len(c)
-    t = first_tables(c, base, strength, d, scale, rng)
+    t = first_tables(c, base, strength, d, rng)
     owner = np.repeat(np.arange(dishes), t)
     # Tables of a dish share its customers: one each, the rest by gamma weights.
     size = np.ones(len(owner), np.int64)
@@ -106,7 +118,7 @@ def seated(c: np.ndarray, base: np.ndarray, strength: float, d: float, steps: in
         owner, size = owner[size > 0], size[size > 0]
         t = np.bincount(owner, minlength=dishes)
         # It sits down at a new table, or at one of its dish as often as that has customers, less the discount.
-        new = (strength + d * scale * t.sum()) * base[movers]
+        new = (strength + d * t.sum()) * base[movers]
         old = c[movers] - 1 - d * t[movers]
         alone = (t[movers] == 0) | (rng.random(len(movers)) * (new + old) < new)
         stay = movers[~alone]
@@ -219,48 +231,62 @@ def _hashes(names: list[str]) -> np.ndarray:
 
 
 @dataclass
-class Classes:
-    """Frequent words by hash. Class numbers: 0 to n - 1 the words, n any other word, n + 1 the end of a text or its start."""
+class Codes:
+    """Numbers of words: frequent ones by their place among the sorted hashes, then one for the start and end of a text; any other word a negative one."""
 
     hashes: np.ndarray
 
     @property
-    def n(self) -> int:
+    def edge(self) -> int:
         return len(self.hashes)
 
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not self.n:
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), self.n - 1)
-        return np.where(self.hashes[at] == hashes, at, self.n)
+    @property
+    def width(self) -> int:
+        return len(self.hashes) + 1
 
-    def pairs(self, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Context and dish of every token, the ends included, and the text of each."""
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        rare = (hashes | np.uint64(1 << 63)).view(np.int64)
+        if not len(self.hashes):
+            return rare
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, rare)
+
+    def seeds(self, codes: np.ndarray) -> np.ndarray:
+        """A number of each word that does not depend on which words are frequent."""
+        frequent = np.append(self.hashes | np.uint64(1 << 63), np.uint64(1))
+        return np.where(codes >= 0, frequent[np.maximum(codes, 0)], codes.view(np.uint64))
+
+    def pairs(self, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Context and dish of every token, the ends included, the text of each, and which are words."""
         texts = len(found.counts)
-        ends = found.bounds[1:] + np.arange(texts)
-        dishes = np.full(len(found.hashes) + texts, self.n + 1)
+        dishes = np.full(len(found.hashes) + texts, self.edge)
         is_word = np.ones(len(dishes), dtype=bool)
-        is_word[ends] = False
+        is_word[found.bounds[1:] + np.arange(texts)] = False
         dishes[is_word] = self.of(found.hashes)
-        contexts = np.concatenate([[self.n + 1], dishes[:-1]]) if len(dishes) else dishes
-        return contexts, dishes, np.repeat(np.arange(texts), found.counts + 1)
+        contexts = np.concatenate([[self.edge], dishes[:-1]]) if len(dishes) else dishes
+        return contexts, dishes, np.repeat(np.arange(texts), found.counts + 1), is_word
 
 
-def pair_counts(train: DataFrame, classes: Classes) -> DataFrame:
-    """(u, w, c): how often class ``w`` follows class ``u``; summed inside the tasks first."""
-    size = classes.n + 2
+def pair_counts(train: DataFrame, codes: Codes) -> DataFrame:
+    """(u, w, c): how often ``w`` follows ``u``; counted a block at a time before the shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
         for whole in batches:
-            for batch in row_blocks(whole, "text"):
-                contexts, dishes, _ = classes.pairs(words(batch.column("text"), SPACED))
-                total += np.bincount(contexts * size + dishes, minlength=size * size)
-        cells = np.flatnonzero(total)
-        columns = [pa.array((cells // size).astype(np.int32)), pa.array((cells % size).astype(np.int32)), pa.array(total[cells])]
-        yield pa.RecordBatch.from_arrays(columns, names=["u", "w", "c"])
+            for batch in row_blocks(whole, "text", 16 << 20):
+                u, w, _, _ = codes.pairs(words(batch.column("text"), SPACED))
+                frequent = (u >= 0) & (w >= 0)
+                both, n = np.unique(u[frequent] * codes.width + w[frequent], return_counts=True)
+                rest = np.stack([u[~frequent], w[~frequent]])
+                rest = rest[:, np.lexsort(rest)]
+                first = np.flatnonzero(np.concatenate([[True], (rest[:, 1:] != rest[:, :-1]).any(0)])) if rest.shape[1] else np.zeros(0, np.int64)
+                columns = [
+                    np.concatenate([both // codes.width, rest[0, first]]),
+                    np.concatenate([both % codes.width, rest[1, first]]),
+                    np.concatenate([n, np.diff(np.append(first, rest.shape[1]))]),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["u", "w", "c"])
 
-    return train.select("text").mapInArrow(rows, "u int, w int, c bigint").groupBy("u", "w").agg(F.sum("c").alias("c"))
+    return train.select("text").mapInArrow(rows, "u bigint, w bigint, c bigint").groupBy("u", "w").agg(F.sum("c").alias("c"))
 
 
 def _spelling(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -325,26 +351,208 @@ def learned_spelling(vocabulary: DataFrame) -> Spelling:
     return Spelling(number, hierarchy(compact, n * n, n, np.tile(np.arange(n), n)))
 
 
-def seated_words(others: DataFrame, spelling: Spelling, d: float, n_words: int, rounds: int = ROUNDS, steps: int = STEPS) -> DataFrame:
-    """(hash, n, tables) of the restaurant over all other words: tables averaged over the rounds after the first.
+# --- seating of cells --------------------------------------------------------------
+
+
+def stirling_log(d: float, most: int = _TABULATED) -> np.ndarray:
+    """log S(c, t) of discount ``d``: S(c + 1, t) = S(c, t - 1) + (c - d t) S(c, t)."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[1, 1] = 0.0
+    t = np.arange(1, most + 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for c in range(1, most):
+            out[c + 1, 1:] = np.logaddexp(out[c, :-1], np.where(t <= c, np.log(np.maximum(c - d * t, 1e-300)) + out[c, 1:], -np.inf))
+    return out
+
 
-    Words are dealt by their hash to parts of about ``PART_WORDS``, whose tables are scaled up to those of all. A part's
-    words, their order and its seed follow from the words alone, so the seating is the same however the rows were dealt.
+def uniforms(seeds: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th number in (0, 1) of each seed."""
+    return (mix(seeds ^ mix(np.full(1, SEED << 32 | k, np.uint64))) >> np.uint64(12)) * 2.0**-52 + 2.0**-53
+
+
+def _poisson(mean: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Poisson draws of small means by inversion."""
+    n, p, left = np.zeros(len(mean)), np.exp(-mean), u.copy()
+    for j in range(1, 1_000):
+        more = left >= p
+        if not more.any():
+            break
+        left -= np.where(more, p, 0)
+        n += more
+        p = np.where(more, p * mean / j, np.inf)
+    return n
+
+
+def many_tables(c: np.ndarray, rate: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and variance of the tables of large cells at a high rate.
+
+    Tables of a cell are a Poisson number of sizes, of which z**size weighs as in the series (1 - (1 - z)**d) / d, given
+    that they sum to c. At the z where the expected sum is c, count and sum are nearly normal; the mean has the saddle
+    point's first correction, half the change of the log spread with the log rate, as far as one table: more is beyond
+    the normal limit.
     """
 
-    def seat(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        found = words(rows.column("word"), SPACED)
-        order = np.argsort(found.hashes)
-        c = rows.column("n").to_numpy().astype(np.int64)[order]
-        base = 10.0 ** spelling.of(found)[order]
-        rng = np.random.default_rng([SEED, key[0].as_py()])
-        scale = n_words / max(1, len(c))
-        samples = [seated(c, base, STRENGTH, d, steps, rng, scale) for _ in range(1, rounds)]
-        return pa.table({"hash": found.hashes[order].view(np.int64), "n": c, "tables": np.mean(samples, axis=0)})
+    def saddle(rate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low, high = np.full(len(c), -700.0), np.zeros(len(c))
+        for _ in range(60):
+            middle = (low + high) / 2
+            with np.errstate(divide="ignore"):
+                above = np.log(rate) + np.log1p(-np.exp(middle)) + (d - 1) * middle > np.log(c)
+            low, high = np.where(above, middle, low), np.where(above, high, middle)
+        x = np.exp((low + high) / 2)
+        return rate * (1 - x**d) / d, c + rate * (1 - x) ** 2 * (1 - d) * x ** (d - 2)
+
+    mean, spread = saddle(rate)
+    step = 0.02
+    change = np.log(saddle(rate * math.exp(step))[1] / saddle(rate * math.exp(-step))[1]) / (2 * step)
+    return mean + np.clip(-change / 2, 0.0, 1.0), np.maximum(mean - c * (c / spread), 0.0)
+
+
+def drawn_tables(c: np.ndarray, rate: np.ndarray, d: float, seeds: np.ndarray, k: int = 0) -> np.ndarray:
+    """Tables of cells with ``c`` customers whose new tables come at ``rate``: t with weight rate^t S(c, t).
+
+    Up to ``_TABULATED`` customers the weights are tabulated. Beyond, with m = _TABULATED and r the product of
+    (1 - d / j) for j from m to c - 1, the recurrence of S at a low rate is that of tables which each keep the weight r
+    while others come independently: the tables of m customers at rate r * rate, and a Poisson number of mean
+    rate / d * (1 - r). At a high rate counts are drawn from their normal limit.
+    """
+    logs, size = stirling_log(d), np.minimum(c, _TABULATED).astype(np.int64)
+    shift = (1 + d) / 2
+    kept = np.where(c > _TABULATED, ((_TABULATED - shift) / (np.maximum(c, _TABULATED) - shift)) ** d, 1.0)
+    log_rate, u = np.log(np.maximum(rate * kept, 1e-300)), uniforms(seeds, 4 * k)
+    out = np.minimum(size, 1)
+    high = (c > _TABULATED) & (rate > _LOW_RATE)
+    size[high] = 0
+    order = np.argsort(size, kind="stable")
+    bounds = np.searchsorted(size[order], np.arange(2, _TABULATED + 2))
+    for m in range(2, _TABULATED + 1):
+        at = order[bounds[m - 2] : bounds[m - 1]]
+        if len(at):
+            weights = logs[m, 1 : m + 1] + np.arange(1, m + 1) * log_rate[at, None]
+            reached = np.cumsum(np.exp(weights - weights.max(1, keepdims=True)), 1)
+            out[at] = np.minimum(1 + (reached < (u[at] * reached[:, -1])[:, None]).sum(1), m)
+    low = np.flatnonzero((c > _TABULATED) & ~high)
+    out[low] += _poisson(rate[low] / d * (1 - kept[low]), uniforms(seeds[low], 4 * k + 1)).astype(np.int64)
+    high = np.flatnonzero(high)
+    mean, variance = many_tables(c[high], rate[high], d)
+    normal = np.sqrt(-2 * np.log(uniforms(seeds[high], 4 * k + 2))) * np.cos(2 * np.pi * uniforms(seeds[high], 4 * k + 3))
+    out[high] = np.rint(mean + np.sqrt(variance) * normal)
+    return np.clip(out, np.minimum(c, 1), c).astype(np.int64)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = _DRAWN_ROWS) -> Iterator[pa.Table]:
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _with_draws(df: DataFrame, kept: list[str], draw) -> DataFrame:
+    """The columns ``kept`` of ``df`` and ``t``, drawn from all its columns."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _gathered(batches):
+            t = draw({name: found.column(name).to_numpy() for name in found.column_names})
+            yield from found.select(kept).append_column("t", pa.array(t)).to_batches()
+
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.mapInArrow(rows, ", ".join([*(f"{name} {kinds[name]}" for name in kept), "t bigint"]))
 
-    parts = max(1, -(-n_words // PART_WORDS))
-    dealt = others.select("word", "n", F.pmod(F.xxhash64("word"), F.lit(parts)).alias("part"))
-    return dealt.groupBy("part").applyInArrow(seat, "hash bigint, n bigint, tables double")
+
+def coded_words(vocabulary: DataFrame, codes: Codes, spelling: Spelling, n_texts: int) -> DataFrame:
+    """(k, n, base): code, count and base probability of every word, and of the end of a text."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = words(batch.column("word"), SPACED)
+            base = (1 - END_SHARE) * 10.0 ** spelling.of(found)
+            yield pa.RecordBatch.from_arrays([pa.array(codes.of(found.hashes)), batch.column("n"), pa.array(base)], names=["k", "n", "base"])
+
+    end = vocabulary.sparkSession.range(1).select(F.lit(codes.edge).cast("bigint").alias("k"), F.lit(n_texts).cast("bigint").alias("n"), F.lit(END_SHARE).alias("base"))
+    return vocabulary.select("word", "n").mapInArrow(rows, "k bigint, n bigint, base double").unionByName(end)
+
+
+def with_words(rows: DataFrame, key: str, of_words: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``of_words`` (k, ...), where k = ``key``; frequent words (k >= 0, at most ``WARM_WORDS`` + 1) are broadcast."""
+    named = of_words.withColumnRenamed("k", key)
+    frequent = rows.filter(F.col(key) >= 0).join(F.broadcast(named.filter(F.col(key) >= 0)), key, how)
+    return frequent.unionByName(rows.filter(F.col(key) < 0).join(named.filter(F.col(key) < 0), key, how))
+
+
+def _sent(cells: DataFrame, t) -> DataFrame:
+    """(k, tables, customers): tables of each restaurant, and of each dish, which are the parent's customers."""
+    sides = F.array(F.struct(F.col("u").alias("k"), t.alias("tables"), F.lit(0).cast("bigint").alias("customers")), F.struct(F.col("w").alias("k"), F.lit(0).cast("bigint").alias("tables"), t.alias("customers")))
+    return cells.select(F.inline(sides)).groupBy("k").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
+
+
+def seated_cells(pairs: DataFrame, coded: DataFrame, codes: Codes) -> tuple[DataFrame, DataFrame, list[float]]:
+    """Seat all cells of materialised ``pairs`` (u, w, c).
+
+    Returns (u, w, c, log10) of all pairs, words (k, n, back_i, parent_i for each averaged sweep i), and the share that
+    the base has in the parent in each of these sweeps.
+    """
+    one = F.lit(1).cast("bigint")
+    shared = pairs.sparkSession.sparkContext.broadcast(codes)
+    by_size = {r["c"]: r["count"] for r in pairs.filter(F.col("c") <= 2).groupBy("c").count().collect()}
+    d = discount(by_size.get(1, 0), by_size.get(2, 0))
+    # A single customer has one table whatever else is drawn.
+    single = materialize(_sent(pairs.filter(F.col("c") == 1), one))
+    cells = pairs.filter(F.col("c") > 1).select("u", "w", "c", one.alias("t"), F.lit(0).cast("bigint").alias("total"))
+    of_words = coded
+    parent_tables, shares = coded.count(), []
+
+    for k in range(SWEEPS):
+        sent = single.unionByName(_sent(cells, F.col("t"))).groupBy("k").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
+        state = materialize(coded.join(sent, "k"))
+        m = state.agg(F.sum("customers").alias("all"), F.count(F.when(F.col("customers") == 1, 1)).alias("one"), F.count(F.when(F.col("customers") == 2, 1)).alias("two")).first()
+        above = discount(m["one"], m["two"])
+        weight = STRENGTH + above * parent_tables
+
+        def seat_parent(x: dict[str, np.ndarray], above: float = above, weight: float = weight, k: int = k) -> np.ndarray:
+            return drawn_tables(x["customers"], weight * x["base"], above, mix(shared.value.seeds(x["k"])), k)
+
+        parent = materialize(_with_draws(state, ["k", "n", "base", "tables", "customers"], seat_parent))
+        parent_tables = parent.agg(F.sum("t")).first()[0] or 0
+        weight, everyone = STRENGTH + above * parent_tables, STRENGTH + (m["all"] or 0)
+        share = weight / everyone
+        probability = (F.col("customers") - above * F.col("t")) / everyone + share * F.col("base")
+
+        def seat(x: dict[str, np.ndarray], k: int = k) -> np.ndarray:
+            # What the parent would serve without this cell's tables, and the other tables of its restaurant.
+            own = x["t"] / np.maximum(x["customers"], 1)
+            without = x["parent"] * (1 - own) + x["rest"] * own
+            return drawn_tables(x["c"], (STRENGTH + d * (x["tables"] - x["t"])) * without, d, mix(mix(shared.value.seeds(x["u"])) + shared.value.seeds(x["w"])), k)
+
+        near = with_words(cells, "u", parent.select("k", "tables"))
+        near = with_words(near, "w", parent.select("k", "customers", probability.alias("parent"), (share * F.col("base")).alias("rest")))
+        drawn = _with_draws(near.withColumn("before", F.col("total")), ["u", "w", "c", "before"], seat)
+        total = F.col("before") + (F.col("t") if k >= BURN else 0)
+        cells = materialize(drawn.select("u", "w", "c", "t", total.alias("total")))
+        if k >= BURN:
+            i = len(shares)
+            shares.append(share)
+            now = single.unionByName(_sent(cells, F.col("t"))).groupBy("k").agg(F.sum("tables").alias("now"))
+            back = (STRENGTH + d * F.col("now")) / (STRENGTH + F.col("n"))
+            sample = parent.join(now, "k").select("k", back.alias(f"back_{i}"), probability.alias(f"parent_{i}"))
+            of_words = materialize(of_words.join(sample, "k"))
+
+    n = len(shares)
+    mean = F.when(F.col("c") == 1, 1.0).otherwise(F.col("total") / n)
+    every = pairs.filter(F.col("c") == 1).withColumn("total", F.lit(0).cast("bigint")).unionByName(cells.select("u", "w", "c", "total"))
+    every = with_words(every, "u", of_words.select("k", "n", *(f"back_{i}" for i in range(n))))
+    every = with_words(every, "w", of_words.select("k", *(f"parent_{i}" for i in range(n))))
+    own = (F.col("c") - d * mean) / (STRENGTH + F.col("n"))
+    return every.select("u", "w", "c", F.log10(own + backed_off([F.col(f"back_{i}") for i in range(n)], [F.col(f"parent_{i}") for i in range(n)])).alias("log10")), of_words, shares
+
+
+def backed_off(back: list[Column], parent: list[Column]) -> Column:
+    """The share of the parent in a probability, averaged over sweeps."""
+    return sum((b * p for b, p in zip(back, parent, strict=True)), F.lit(0.0)) / len(back)
 
 
 # --- scoring -----------------------------------------------------------------------
@@ -352,140 +560,174 @@ def seated_words(others: DataFrame, spelling: Spelling, d: float, n_words: int,
 
 @dataclass
 class Model:
-    """What every task needs: bounded whatever the corpus."""
+    """What every task needs of a trained model: bounded whatever the corpus."""
 
-    classes: Classes
-    class_log10: np.ndarray
-    class_counts: np.ndarray
+    codes: Codes
     spelling: Spelling
-    warm_hashes: np.ndarray
-    warm_counts: np.ndarray
-    warm_tables: np.ndarray
+    counts: np.ndarray
+    back: np.ndarray
+    parent: np.ndarray
+    shares: np.ndarray
+    pairs: np.ndarray
+    pair_log10: np.ndarray
     tokens: int
     distinct: int
-    discount: float
-    other_tokens: int
-    other_tables: float
 
     def base_log10(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ALPHA) / (self.tokens + ALPHA * (self.distinct + 1)))
 
-    def other_log10(self, counts: np.ndarray, tables: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-        """log10 probability of a word among the others: its customers, and the spelling for the rest."""
-        own = counts - self.discount * tables
-        rest = (STRENGTH + self.discount * self.other_tables) * 10.0**spelled
-        return np.log10(np.maximum(own + rest, 1e-300)) - math.log10(STRENGTH + self.other_tokens)
+
+_COLD = "array<struct<u:bigint,w:bigint,times:bigint,other:double>>"
+_SCORES = f"doc_id bigint, row bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, cold {_COLD}, far {_COLD}, rare array<struct<k:bigint,times:bigint>>"
+
+
+def _lists(owner: np.ndarray, texts: int, columns: dict[str, np.ndarray]) -> pa.Array:
+    """One list of structs for each text, from rows in the order of their texts."""
+    items = pa.StructArray.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(texts + 1)).astype(np.int32)), items)
 
 
-_SCORES = "doc_id bigint, row bigint, n_tokens bigint, n_known bigint, base double, score double, cold array<struct<hash:bigint,times:int,spelled:double>>"
+def _once(owner: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One index of each different row, in the order of their texts, and how often it occurs."""
+    if not len(owner):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.lexsort((*columns, owner))
+    same = np.ones(len(order) - 1, dtype=bool)
+    for x in (owner, *columns):
+        same &= x[order[1:]] == x[order[:-1]]
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    return order[first], np.diff(np.append(first, len(order)))
 
 
 def _scored(model: Model):
-    cold_kind = pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int32()), ("spelled", pa.float64())]))
+    """Scores of texts as far as frequent words and pairs go, and lists of the rest.
+
+    ``cold`` holds pairs to be looked up, with the log10 probability they have if never seen; training texts have none
+    such. ``far`` holds pairs with a rare word, with the log10 probability of spelling the second word.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in row_blocks(whole, "text"):
                 found = words(batch.column("text"), SPACED)
                 texts = batch.num_rows
-                contexts, dishes, owner = model.classes.pairs(found)
-                score = np.bincount(owner, model.class_log10[contexts, dishes], texts)
-                own = dishes != model.classes.n
-                base = np.bincount(owner[own], model.base_log10(model.class_counts[dishes[own]]), texts)
-                known = np.bincount(owner[own], model.class_counts[dishes[own]] > 0, texts)
-                other = np.flatnonzero(model.classes.of(found.hashes) == model.classes.n)
-                text = found.text_of_word()[other]
-                hashes, spelled = found.hashes[other], model.spelling.of(found)[other]
-                warm = np.zeros(len(other), dtype=bool)
-                if len(model.warm_hashes):
-                    at = np.minimum(np.searchsorted(model.warm_hashes, hashes), len(model.warm_hashes) - 1)
-                    warm = model.warm_hashes[at] == hashes
-                    at = at[warm]
-                    score += np.bincount(text[warm], model.other_log10(model.warm_counts[at], model.warm_tables[at], spelled[warm]), texts)
-                    base += np.bincount(text[warm], model.base_log10(model.warm_counts[at]), texts)
-                    known += np.bincount(text[warm], minlength=texts)
-                text, hashes, spelled = text[~warm], hashes[~warm], spelled[~warm]
-                order = np.lexsort((hashes, text))
-                text, hashes, spelled = text[order], hashes[order], spelled[order]
-                first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])])) if len(text) else order
-                times = np.diff(np.append(first, len(text))).astype(np.int32)
-                items = pa.StructArray.from_arrays([pa.array(hashes[first].view(np.int64)), pa.array(times), pa.array(spelled[first])], fields=list(cold_kind.value_type))
-                cold = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[first], np.arange(texts + 1)).astype(np.int32)), items)
+                u, w, owner, is_word = model.codes.pairs(found)
+                apart = batch.column("held_out").to_numpy(zero_copy_only=False)
+                frequent = w >= 0
+                base = np.bincount(owner[frequent], model.base_log10(model.counts[w[frequent]]), texts)
+                known = np.bincount(owner[frequent], model.counts[w[frequent]] > 0, texts)
+                rare = np.flatnonzero(~frequent)
+                at, times = _once(owner[rare], w[rare])
+                rare_list = _lists(owner[rare[at]], texts, {"k": w[rare[at]], "times": times})
+
+                score = np.zeros(texts)
+                left = np.ones(len(w), dtype=bool)
+                if len(model.pairs):
+                    both = np.flatnonzero((u >= 0) & frequent)
+                    keys = u[both] * model.codes.width + w[both]
+                    place = np.minimum(np.searchsorted(model.pairs, keys), len(model.pairs) - 1)
+                    hit = model.pairs[place] == keys
+                    score += np.bincount(owner[both[hit]], model.pair_log10[place[hit]], texts)
+                    left[both[hit]] = False
+                spelled = np.full(len(w), np.log10(END_SHARE))
+                spelled[is_word] = math.log10(1 - END_SHARE) + model.spelling.of(found)
+                left = np.flatnonzero(left)
+                at, times = _once(owner[left], u[left], w[left])
+                left = left[at]
+                is_far = apart[owner[left]] & ((u[left] < 0) | (w[left] < 0))
+                near, far = left[~is_far], left[is_far]
+                other = np.full(len(near), np.nan)
+                unseen = np.flatnonzero(apart[owner[near]])
+                with np.errstate(divide="ignore"):
+                    other[unseen] = np.log10((model.back[u[near[unseen]]] * model.parent[w[near[unseen]]]).mean(1))
                 columns = [
                     batch.column("doc_id").cast(pa.int64()),
                     batch.column("row"),
+                    batch.column("held_out"),
                     pa.array((found.counts + 1).astype(np.int64)),
                     pa.array(known.astype(np.int64)),
                     pa.array(base),
                     pa.array(score),
-                    cold,
+                    _lists(owner[near], texts, {"u": u[near], "w": w[near], "times": times[~is_far], "other": other}),
+                    _lists(owner[far], texts, {"u": u[far], "w": w[far], "times": times[is_far], "other": spelled[far]}),
+                    rare_list,
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n_tokens", "n_known", "base", "score", "cold"])
+                names = ["doc_id", "row", "held_out", "n_tokens", "n_known", "base", "score", "cold", "far", "rare"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows
 
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of training texts (text), and its words (hash, n, tables) that are not held in it."""
+def train(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of training texts (text), its pairs (u, w, c, log10) and its words (k, n, back_i, parent_i)."""
     vocabulary = materialize(word_counts(texts))
     n_texts = texts.count()
-    sizes = vocabulary.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words"), F.count(F.when(F.col("n") == 1, 1)).alias("one"), F.count(F.when(F.col("n") == 2, 1)).alias("two")
-    ).first()
-    least_hot = max(2, count_reached_by(vocabulary, HOT_WORDS))
-    hot = vocabulary.filter(F.col("n") >= least_hot).toArrow().to_pandas()
-    hashes = _hashes(hot["word"].tolist())
-    order = np.argsort(hashes)
-    classes = Classes(hashes[order])
-    others = vocabulary.filter(F.col("n") < least_hot)
-    other_words = sizes["words"] - classes.n
-    d = discount(sizes["one"], sizes["two"])
-    spelling = learned_spelling(others)
-    cooked = materialize(seated_words(others, spelling, d, other_words))
-    tables = cooked.agg(F.sum("tables")).first()[0] or 0.0
-    least_warm = count_reached_by(others, WARM_WORDS)
-    warm = cooked.filter(F.col("n") >= least_warm).toArrow()
-    warm_hashes = warm.column("hash").to_numpy().view(np.uint64)
-    by_hash = np.argsort(warm_hashes)
-    hot_counts = hot["n"].to_numpy(np.int64)[order]
-    size = classes.n + 2
+    sizes = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).first()
+    least = max(1, count_reached_by(vocabulary, WARM_WORDS))
+    frequent = vocabulary.filter(F.col("n") >= least).select("word").toArrow().column("word").to_pylist()
+    codes = Codes(np.unique(_hashes(frequent)))
+    spelling = learned_spelling(vocabulary)
+    coded = materialize(coded_words(vocabulary, codes, spelling, n_texts))
+    pairs, of_words, shares = seated_cells(materialize(pair_counts(texts, codes)), coded, codes)
+    pairs = materialize(pairs)
+
+    n = len(shares)
+    known = of_words.filter(F.col("k") >= 0).toArrow().to_pandas()
+    counts, back, parent = np.zeros(codes.width, np.int64), np.ones((codes.width, n)), np.zeros((codes.width, n))
+    counts[known["k"]] = known["n"]
+    back[known["k"]] = known[[f"back_{i}" for i in range(n)]]
+    parent[codes.edge] = np.array(shares) * END_SHARE
+    parent[known["k"]] = known[[f"parent_{i}" for i in range(n)]]
+    least = max(1, count_reached_by(pairs.select(F.col("c").alias("n")), WARM_PAIRS))
+    warm = pairs.filter((F.col("c") >= least) & (F.col("u") >= 0) & (F.col("w") >= 0)).select("u", "w", "log10").toArrow()
+    keys = warm.column("u").to_numpy() * codes.width + warm.column("w").to_numpy()
+    order = np.argsort(keys)
     model = Model(
-        classes=classes,
-        class_log10=hierarchy(pair_counts(texts, classes), size, size, np.zeros(size, np.int64)),
-        class_counts=np.concatenate([hot_counts, [0, n_texts]]),
+        codes=codes,
         spelling=spelling,
-        warm_hashes=warm_hashes[by_hash],
-        warm_counts=warm.column("n").to_numpy()[by_hash],
-        warm_tables=warm.column("tables").to_numpy()[by_hash],
+        counts=counts,
+        back=back,
+        parent=parent,
+        shares=np.array(shares),
+        pairs=keys[order],
+        pair_log10=warm.column("log10").to_numpy()[order],
         tokens=sizes["n"] + n_texts,
         distinct=sizes["words"] + (n_texts > 0),
-        discount=d,
-        other_tokens=sizes["n"] - int(hot_counts.sum()),
-        other_tables=tables,
     )
-    return model, cooked.filter(F.col("n") < least_warm)
+    cold = (F.col("c") < least) | (F.col("u") < 0) | (F.col("w") < 0)
+    return model, pairs.filter(cold).select("u", "w", "log10"), of_words
 
 
 def scores(docs: DataFrame) -> DataFrame:
     """Per document (doc_id, text): both scores in log10, learned from the texts that are not held out."""
     split = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    model, cold_words = train(split.filter(~F.col("held_out")))
+    model, cold_pairs, of_words = train(split.filter(~F.col("held_out")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = split.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    rows = split.select("doc_id", "text", "held_out", F.monotonically_increasing_id().alias("row"))
     first = materialize(rows.mapInArrow(lambda batches: _scored(shared.value)(batches), _SCORES))
-    cold = first.select("row", F.inline("cold")).join(cold_words, "hash", "left")
-    n = F.coalesce("n", F.lit(0))
-    own = n - F.lit(model.discount) * F.coalesce("tables", F.lit(0.0))
-    rest = F.lit(STRENGTH + model.discount * model.other_tables) * F.pow(F.lit(10.0), F.col("spelled"))
-    other = F.log10(F.greatest(own + rest, F.lit(1e-300))) - F.lit(math.log10(STRENGTH + model.other_tokens))
-    base = F.log10((n + ALPHA) / F.lit(model.tokens + ALPHA * (model.distinct + 1)))
-    late = cold.groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("late_known"), F.sum(base * F.col("times")).alias("late_base"), F.sum(other * F.col("times")).alias("late_score")
-    )
-    joined = first.drop("cold").join(late, "row", "left")
+
+    near = first.select("row", F.inline("cold")).join(cold_pairs, ["u", "w"], "left")
+    near = near.select("row", (F.coalesce("log10", "other") * F.col("times")).alias("score"))
+
+    # Pairs of held-out texts with a rare word: the pair, or else its words, or else their spelling.
+    n = len(model.shares)
+    far = first.select("row", F.inline("far")).join(cold_pairs, ["u", "w"], "left")
+    backs, parents = [f"back_{i}" for i in range(n)], [f"parent_{i}" for i in range(n)]
+    far = with_words(with_words(far, "u", of_words.select("k", *backs), "left"), "w", of_words.select("k", *parents), "left")
+    back = [F.coalesce(F.col(x), F.lit(1.0)) for x in backs]
+    by_words = F.log10(backed_off(back, [F.col(x) for x in parents]))
+    by_letters = F.log10(backed_off(back, [F.lit(float(x)) for x in model.shares])) + F.col("other")
+    far = far.select("row", (F.coalesce("log10", by_words, by_letters) * F.col("times")).alias("score"))
+
+    late = near.unionByName(far).groupBy("row").agg(F.sum("score").alias("late_score"))
+    count = F.coalesce("n", F.lit(0))
+    base = F.log10((count + ALPHA) / F.lit(model.tokens + ALPHA * (model.distinct + 1)))
+    rare = first.select("row", F.inline("rare")).join(of_words.filter(F.col("k") < 0).select("k", "n"), "k", "left")
+    rare = rare.groupBy("row").agg(F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("late_known"), F.sum(base * F.col("times")).alias("late_base"))
+    joined = first.drop("cold", "far", "rare").join(late, "row", "left").join(rare, "row", "left")
     return joined.select(
         "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("late_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),

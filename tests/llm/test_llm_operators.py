@@ -465,6 +465,46 @@ def test_seating_agrees_with_exact_tables():
     assert all(abs(seen[k] / 3_000 - w / total) < 0.04 for k, w in weight.items())
 
 
+def test_cells_are_drawn_from_their_conditional():
+    """Mean tables of cells with few and with many customers, against the exact weights by the recurrence."""
+    seeds = np.arange(20_000, dtype=np.uint64) * np.uint64(7_919)
+    for d in (0.2, 0.7):
+        logs = language_model.stirling_log(d, 600)
+        for c, rate in ((1, 0.4), (2, 0.4), (9, 0.02), (64, 3.0), (65, 3.0), (200, 0.5), (600, 5.9), (600, 6.1), (600, 40.0), (600, 0.001), (100, 60.0)):
+            weight = logs[c, 1 : c + 1] + np.arange(1, c + 1) * math.log(rate)
+            share = np.exp(weight - weight.max())
+            share /= share.sum()
+            t = np.arange(1, c + 1)
+            mean = float((share * t).sum())
+            sd = math.sqrt(max(0.0, float((share * t * t).sum()) - mean**2))
+            drawn = language_model.drawn_tables(np.full(len(seeds), c), np.full(len(seeds), rate), d, seeds)
+            assert drawn.min() >= 1 and drawn.max() <= c
+            assert abs(drawn.mean() - mean) < 0.02 * mean + 5 * sd / math.sqrt(len(seeds))
+
+
+def test_seated_cells_make_a_distribution(spark):
+    """What words give after one context sums to one, with the spelling's share for the words that were never seen."""
+    from murmura.llm.language_model import END_SHARE, Codes, seated_cells
+
+    rng = np.random.default_rng(4)
+    cells = Counter(zip(rng.integers(0, 6, 3_000).tolist(), (rng.zipf(1.6, 3_000) % 9).tolist(), strict=True))
+    pairs = spark.createDataFrame([(u, w, c) for (u, w), c in cells.items()], "u bigint, w bigint, c bigint")
+    n = Counter()
+    for (u, _), c in cells.items():
+        n[u] += c
+    words_ = spark.createDataFrame([(k, max(1, n[k]), END_SHARE) for k in range(9)], "k bigint, n bigint, base double")
+    every, of_words, shares = seated_cells(pairs, words_, Codes(np.arange(8, dtype=np.uint64)))
+    found = {(r["u"], r["w"]): 10 ** r["log10"] for r in every.collect()}
+    of = {r["k"]: r for r in of_words.collect()}
+    assert set(found) == set(cells)
+    for u in range(6):
+        back = [of[u][f"back_{i}"] for i in range(len(shares))]
+        served = [w for w in of if (u, w) not in found]
+        unseen = sum(b * of[w][f"parent_{i}"] for w in served for i, b in enumerate(back)) / len(back)
+        beyond = sum(b * s * (1 - END_SHARE * len(of)) for b, s in zip(back, shares, strict=True)) / len(back)
+        assert math.isclose(sum(p for (x, _), p in found.items() if x == u) + unseen + beyond, 1.0, rel_tol=1e-9)
+
+
 def test_language_model_scores(spark, mixed, prose, monkeypatch):
     rows = mixed + [(3_000 + k, prose(80, 3_000 + k), "en", "a") for k in range(60)]
     docs = documents(spark, rows)
@@ -483,10 +523,12 @@ def test_language_model_scores(spark, mixed, prose, monkeypatch):
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in first) == Counter(want)
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in first)
     # a small table in the tasks and a join for the rest give the same scores
+    monkeypatch.setattr(language_model, "WARM_PAIRS", 30)
+    cold = {(r["doc_id"], r["n_tokens"]): r for r in language_model.scores(docs).collect()}
+    assert all(math.isclose(cold[r["doc_id"], r["n_tokens"]]["score"], r["score"], rel_tol=1e-9) for r in first)
     monkeypatch.setattr(language_model, "WARM_WORDS", 50)
-    monkeypatch.setattr(language_model, "HOT_WORDS", 20)
-    cold = {(r["doc_id"], r["n_tokens"]): r["base_score"] for r in language_model.scores(docs).collect()}
-    assert all(math.isclose(cold[r["doc_id"], r["n_tokens"]], r["base_score"], rel_tol=1e-9) for r in first)
+    cold = {(r["doc_id"], r["n_tokens"]): r for r in language_model.scores(docs).collect()}
+    assert all(math.isclose(cold[r["doc_id"], r["n_tokens"]][c], r[c], rel_tol=1e-9) for r in first for c in ("base_score", "score"))
     held = [r for r in first if r["held_out"] and r["n_tokens"] > 40]
     # the words are drawn from 300 alike: about that many choices a token
     assert 10 ** (-sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held)) < 400
@@ -495,9 +537,8 @@ def test_language_model_scores(spark, mixed, prose, monkeypatch):
 
 def test_scores_do_not_depend_on_partitions(spark, mixed, prose, monkeypatch):
     """The same scores from one input part and from many, and under other numbers of shuffle partitions."""
-    monkeypatch.setattr(language_model, "HOT_WORDS", 20)
+    monkeypatch.setattr(language_model, "WARM_PAIRS", 20)
     monkeypatch.setattr(language_model, "WARM_WORDS", 60)
-    monkeypatch.setattr(language_model, "PART_WORDS", 50)
     docs = documents(spark, mixed + [(3_000 + k, prose(60, 3_000 + k), "en", "a") for k in range(40)])
     before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
     try:
