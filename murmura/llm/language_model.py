@@ -13,8 +13,8 @@ a^t S(c, t), S the generalized Stirling numbers of the discount. That is Gibbs
 sampling with the seats of a cell summed out. Restaurants' totals and the
 parent's probabilities are those of the sweep before (less what the cell itself
 sends to its parent), so all cells are drawn at once. Predictive probabilities
-are averaged over the sweeps after the first ``BURN``. Letters, of which there are few, are
-seated one customer at a time (``seated``).
+are averaged over the sweeps after the first ``BURN``. Letters are few: their cells are drawn
+alike on the driver, at most 257 after each two, and their parents seated one customer at a time (``seated``).
 
 Scale. Cells are rows of a table, counted over all training texts, and nothing
 bounds their number; draws are seeded by the cell itself, so scores do not
@@ -142,16 +142,6 @@ def _drawn(weight: np.ndarray, owner: np.ndarray, dishes: np.ndarray, n: int, rn
     return np.clip(at, first, last)
 
 
-def _seater(parents: np.ndarray, above: np.ndarray, d: float, steps: int, k: int):
-    def seat(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng([SEED, k, int(key[0])])
-        own = own.sort_values("w")
-        t = seated(own["c"].to_numpy(), parents[above[int(key[0])], own["w"].to_numpy()], STRENGTH, d, steps, rng)
-        return pd.DataFrame({"u": own["u"], "w": own["w"], "t": t})
-
-    return seat
-
-
 def _predictive(c: np.ndarray, t: np.ndarray, d: float, parent: np.ndarray) -> np.ndarray:
     """Probabilities of the dishes of each restaurant (a row) given its parent's."""
     return (c - d * t + (STRENGTH + d * t.sum(1, keepdims=True)) * parent) / (STRENGTH + c.sum(1, keepdims=True))
@@ -165,24 +155,25 @@ def hierarchy(counts: DataFrame, contexts: int, dishes: int, above: np.ndarray,
     """Averaged log10 probabilities (context, dish) from counts (u, w, c) of at most ``contexts * dishes`` rows.
 
     Restaurant u's parent is restaurant ``above[u]`` of the level between, and
-    those share one parent. Each round seats the context restaurants in
-    parallel, given their parents' probabilities; the tables of each level are
-    the customers of the next.
+    those share one parent. Each round draws the tables of all cells of the
+    context restaurants, given their parents' probabilities; the tables of each
+    level are the customers of the next.
     """
-    counts = materialize(counts)
     rows = counts.toArrow().to_pandas()
-    c = np.zeros((contexts, dishes), np.float32)
-    c[rows["u"], rows["w"]] = rows["c"]
+    at = rows["u"].to_numpy(), rows["w"].to_numpy()
+    cells, seeds = rows["c"].to_numpy(), (at[0].astype(np.uint64) * np.uint64(dishes) + at[1].astype(np.uint64))
+    c, t = np.zeros((contexts, dishes), np.float32), np.zeros((contexts, dishes), np.float32)
+    c[at], t[at] = cells, 1
     d, middle = _discount_of(rows["c"].to_numpy()), int(above.max()) + 1
     parents = np.full((middle, dishes), 1 / dishes)
     total = np.zeros((contexts, dishes), np.float32)
     for k in range(rounds):
-        found = counts.groupBy("u").applyInPandas(_seater(parents, above, d, steps, k), "u int, w int, t bigint").toArrow().to_pandas()
-        t = np.zeros((contexts, dishes), np.float32)
-        t[found["u"], found["w"]] = found["t"]
+        tables = t.sum(1)[at[0]] - t[at]
+        drawn = drawn_tables(cells, (STRENGTH + d * tables) * parents[above[at[0]], at[1]], d, mix(seeds), k)
+        t[at] = drawn
         rng = np.random.default_rng([SEED, k])
         customers = np.zeros((middle, dishes), np.int64)
-        np.add.at(customers, (above[found["u"]], found["w"].to_numpy()), found["t"].to_numpy())
+        np.add.at(customers, (above[at[0]], at[1]), drawn)
         root, between = np.full(dishes, 1 / dishes), _discount_of(customers)
         if middle > 1:
             # The level between: seated given the root of the round before, then the root given its tables.
