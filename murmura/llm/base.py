@@ -68,6 +68,15 @@ def numbered(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     return out.withColumn(rank, F.col("_offset") + F.col("_inside") - 1).drop("_range", "_inside", "_offset")
 
 
+def drop(written: DataFrame) -> None:
+    """Delete the files of a table of ``materialize`` that no later step reads."""
+    spark = written.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in written.inputFiles()}:
+        if "/murmura-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # Rows of two or three numbers that may be broadcast: some tens of megabytes.
 _BROADCAST_ROWS = 1_000_000
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmura.llm.base import query, table
+from murmura.llm.base import drop, query, table
 from murmura.llm.bytescan import FOLD_BYTES, SPACED, Words, mix, row_blocks, words
 from murmura.session import materialize
 
@@ -475,12 +475,22 @@ def with_words(rows: DataFrame, key: str, of_words: DataFrame, how: str = "inner
     return frequent.unionByName(rows.filter(F.col(key) < 0).join(named.filter(F.col(key) < 0), key, how))
 
 
-def _sent(cells: DataFrame, t) -> DataFrame:
+def _sent(cells: DataFrame, t: Column) -> DataFrame:
     """(k, tables, customers): tables of each restaurant, and of each dish, which are the parent's customers."""
-    sides = F.array(F.struct(F.col("u").alias("k"), t.alias("tables"), F.lit(0).cast("bigint").alias("customers")), F.struct(F.col("w").alias("k"), F.lit(0).cast("bigint").alias("tables"), t.alias("customers")))
+    none = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("u").alias("k"), t.alias("tables"), none.alias("customers")), F.struct(F.col("w").alias("k"), none.alias("tables"), t.alias("customers"))
+    )
     return cells.select(F.inline(sides)).groupBy("k").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
 
 
+def _told(of_words: DataFrame, sent: DataFrame) -> DataFrame:
+    """``of_words``, one row a word, with the sums of ``sent`` by one shuffle of both."""
+    own = [c for c in of_words.columns if c != "k"]
+    both = of_words.unionByName(sent, allowMissingColumns=True)
+    return both.groupBy("k").agg(*(F.max(c).alias(c) for c in own), F.coalesce(F.sum("tables"), F.lit(0)).alias("tables"), F.coalesce(F.sum("customers"), F.lit(0)).alias("customers"))
+
+
 def seated_cells(pairs: DataFrame, coded: DataFrame, codes: Codes) -> tuple[DataFrame, DataFrame, list[float]]:
     """Seat all cells of materialised ``pairs`` (u, w, c).
 
@@ -492,14 +502,16 @@ def seated_cells(pairs: DataFrame, coded: DataFrame, codes: Codes) -> tuple[Data
     by_size = {r["c"]: r["count"] for r in pairs.filter(F.col("c") <= 2).groupBy("c").count().collect()}
     d = discount(by_size.get(1, 0), by_size.get(2, 0))
     # A single customer has one table whatever else is drawn.
-    single = materialize(_sent(pairs.filter(F.col("c") == 1), one))
+    single = _told(coded, _sent(pairs.filter(F.col("c") == 1), one)).withColumnsRenamed({"tables": "lone_tables", "customers": "lone_customers"})
     cells = pairs.filter(F.col("c") > 1).select("u", "w", "c", one.alias("t"), F.lit(0).cast("bigint").alias("total"))
-    of_words = coded
-    parent_tables, shares = coded.count(), []
 
+    def after(of_words: DataFrame) -> DataFrame:
+        summed = _told(of_words, _sent(cells, F.col("t")))
+        return summed.withColumns({"tables": F.col("tables") + F.col("lone_tables"), "customers": F.col("customers") + F.col("lone_customers")})
+
+    state = materialize(after(materialize(single)))
+    parent_tables, shares, samples = coded.count(), [], []
     for k in range(SWEEPS):
-        sent = single.unionByName(_sent(cells, F.col("t"))).groupBy("k").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"))
-        state = materialize(coded.join(sent, "k"))
         m = state.agg(F.sum("customers").alias("all"), F.count(F.when(F.col("customers") == 1, 1)).alias("one"), F.count(F.when(F.col("customers") == 2, 1)).alias("two")).first()
         above = discount(m["one"], m["two"])
         weight = STRENGTH + above * parent_tables
@@ -507,10 +519,10 @@ def seated_cells(pairs: DataFrame, coded: DataFrame, codes: Codes) -> tuple[Data
         def seat_parent(x: dict[str, np.ndarray], above: float = above, weight: float = weight, k: int = k) -> np.ndarray:
             return drawn_tables(x["customers"], weight * x["base"], above, mix(shared.value.seeds(x["k"])), k)
 
-        parent = materialize(_with_draws(state, ["k", "n", "base", "tables", "customers"], seat_parent))
+        parent = materialize(_with_draws(state, state.columns, seat_parent))
         parent_tables = parent.agg(F.sum("t")).first()[0] or 0
-        weight, everyone = STRENGTH + above * parent_tables, STRENGTH + (m["all"] or 0)
-        share = weight / everyone
+        everyone = STRENGTH + (m["all"] or 0)
+        share = (STRENGTH + above * parent_tables) / everyone
         probability = (F.col("customers") - above * F.col("t")) / everyone + share * F.col("base")
 
         def seat(x: dict[str, np.ndarray], k: int = k) -> np.ndarray:
@@ -523,22 +535,29 @@ def seated_cells(pairs: DataFrame, coded: DataFrame, codes: Codes) -> tuple[Data
         near = with_words(near, "w", parent.select("k", "customers", probability.alias("parent"), (share * F.col("base")).alias("rest")))
         drawn = _with_draws(near.withColumn("before", F.col("total")), ["u", "w", "c", "before"], seat)
         total = F.col("before") + (F.col("t") if k >= BURN else 0)
-        cells = materialize(drawn.select("u", "w", "c", "t", total.alias("total")))
+        last, cells = cells, materialize(drawn.select("u", "w", "c", "t", total.alias("total")))
+        if k:
+            drop(last)
         if k >= BURN:
-            i = len(shares)
+            samples.append(f"parent_{len(shares)}")
+            parent = parent.withColumn(samples[-1], probability)
             shares.append(share)
-            now = single.unionByName(_sent(cells, F.col("t"))).groupBy("k").agg(F.sum("tables").alias("now"))
-            back = (STRENGTH + d * F.col("now")) / (STRENGTH + F.col("n"))
-            sample = parent.join(now, "k").select("k", back.alias(f"back_{i}"), probability.alias(f"parent_{i}"))
-            of_words = materialize(of_words.join(sample, "k"))
+        earlier, served = state, parent
+        state = after(parent.drop("tables", "customers", "t"))
+        if k >= BURN:
+            state = state.withColumn(f"back_{len(shares) - 1}", (STRENGTH + d * F.col("tables")) / (STRENGTH + F.col("n")))
+        state = materialize(state)
+        drop(earlier)
+        drop(served)
 
     n = len(shares)
     mean = F.when(F.col("c") == 1, 1.0).otherwise(F.col("total") / n)
     every = pairs.filter(F.col("c") == 1).withColumn("total", F.lit(0).cast("bigint")).unionByName(cells.select("u", "w", "c", "total"))
-    every = with_words(every, "u", of_words.select("k", "n", *(f"back_{i}" for i in range(n))))
-    every = with_words(every, "w", of_words.select("k", *(f"parent_{i}" for i in range(n))))
+    backs = [f"back_{i}" for i in range(n)]
+    every = with_words(with_words(every, "u", state.select("k", "n", *backs)), "w", state.select("k", *samples))
     own = (F.col("c") - d * mean) / (STRENGTH + F.col("n"))
-    return every.select("u", "w", "c", F.log10(own + backed_off([F.col(f"back_{i}") for i in range(n)], [F.col(f"parent_{i}") for i in range(n)])).alias("log10")), of_words, shares
+    log10 = F.log10(own + backed_off([F.col(x) for x in backs], [F.col(x) for x in samples]))
+    return every.select("u", "w", "c", log10.alias("log10")), state.select("k", "n", *backs, *samples), shares
 
 
 def backed_off(back: list[Column], parent: list[Column]) -> Column:
