@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from murmura import wordlists as W
 from murmura.functions import text
 from murmura.functions.once import once
-from murmura.operators.scale import top_n_per_group
+from murmura.operators.scale import FREQUENT_KEYS, join_frequent_apart, top_n_per_group
 from murmura.session import materialize
 
 
@@ -55,7 +55,9 @@ def _kept_terms(rows: DataFrame, df: DataFrame, min_df: int, max_df: float) -> D
         .withColumn("n", n)
         .filter((F.col("n") < 2) | ((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n"))))
     )
-    return counts.join(kept, "term").select("id", "term", "tf", "df", "n")
+    kept = materialize(kept)
+    common = kept.orderBy(F.desc("df"), "term").limit(FREQUENT_KEYS)
+    return join_frequent_apart(counts, kept, "term", frequent=common).select("id", "term", "tf", "df", "n")
 
 
 def tfidf(df: DataFrame, column: str, id_col: str, stopwords: Sequence[str] = W.STOPWORDS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmura.operators.scale import running, top_n_per_group
+from murmura.operators.scale import consecutive_ids, join_frequent_apart, running, top_n_per_group
 from murmura.session import materialize
 
 
@@ -23,11 +23,13 @@ def attach_labels(df: DataFrame, labels: DataFrame, key: str = "comment_id", lab
 
 
 def label_index(df: DataFrame, column: str, order: str, out: str = "index") -> DataFrame:
-    """Number categories in the order they first appear by ``order``."""
-    first = df.groupBy(column).agg(F.min(order).alias("_first"))
-    # One row per category; categories are few by nature.
-    ids = first.select(column, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_first", column)) - 1).cast("int").alias(out))
-    return df.join(ids, column)
+    """Number categories in the order they first appear by ``order``, which is numeric. Rows without a category are left out.
+
+    Categories may be as many as the rows, and one of them may hold most: neither goes to one task.
+    """
+    first = materialize(df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(order).alias("_first")))
+    ids = consecutive_ids(first, "_first", [column], out).select(column, F.col(out).cast("int").alias(out))
+    return join_frequent_apart(df, ids, column)
 
 
 def drop_neutral(df: DataFrame, column: str = "sentiment") -> DataFrame:

@@ -145,7 +145,9 @@ def query_terms(queries: DataFrame, analyzer: Analyzer = Analyzer()) -> DataFram
 
 def match_term(index: SearchIndex, terms: DataFrame) -> DataFrame:
     """``(query_id, term, boost, doc_id, tf, length)`` for each term's documents."""
-    hits = index.holding_tokens(terms).join(index.postings, "token")
+    # Written once: few rows where requests are few, so that the postings need not be shuffled.
+    held = broadcast_if_small(materialize(index.holding_tokens(terms)))
+    hits = index.postings.drop("positions").join(held, "token") if "positions" in index.postings.columns else index.postings.join(held, "token")
     return hits.groupBy("query_id", "term", "boost", "doc_id").agg(
         F.sum(F.col("n") * F.col("tf")).alias("tf"), F.max("length").alias("length")
     )

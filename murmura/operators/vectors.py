@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.operators.scale import top_n_per_group
+from murmura.operators.scale import join_frequent_apart, top_n_per_group
 from murmura.operators.sentiment import bounded_rows
+from murmura.session import materialize
 
 # Executors need not have the package installed: the functions travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -106,6 +107,32 @@ def oov_average_context(tokens: DataFrame, dim: int, width: int = 5, key: str =
     return context.withColumn("vector", F.coalesce(known, mean)).drop("_near")
 
 
+def oov_closest(tokens: DataFrame, vectors: DataFrame, dim: int, cutoff: float = 0.8, seed: int = 0) -> DataFrame:
+    """Unknown vectors become that of the closest known word, or the fixed unknown vector where no word is close enough."""
+    missing = tokens.filter(F.col("vector").isNull()).select("token").distinct()
+    found = closest_word(missing, vectors.select("token"), cutoff).select("token", "match")
+    near = found.join(vectors.select(F.col("token").alias("match"), F.col("vector").alias("_near")), "match").select("token", "_near")
+    filled = join_frequent_apart(tokens, near, "token", "left").withColumn("vector", F.coalesce("vector", "_near")).drop("_near")
+    return oov_using_unk(filled, dim, seed)
+
+
+def embed_tokens(tokens: DataFrame, vectors: DataFrame, dim: int, oov: str = "unk", key: str = "doc_id", pos: str = "pos") -> DataFrame:
+    """``tokens (key, pos, token)`` with the ``vector`` of each, from ``vectors (token, vector)``.
+
+    ``oov`` names what words without a vector get: ``unk`` the fixed unknown vector, ``average`` the mean of the text's
+    known ones, ``context`` that of the known ones nearby, ``closest`` the vector of the closest known word.
+    """
+    known = vectors.select("token", F.col("vector").cast("array<double>").alias("vector"))
+    embedded = materialize(join_frequent_apart(tokens, known, "token", "left"))
+    ways = {
+        "unk": lambda: oov_using_unk(embedded, dim),
+        "average": lambda: oov_average(embedded, dim, key),
+        "context": lambda: oov_average_context(embedded, dim, key=key, pos=pos),
+        "closest": lambda: oov_closest(embedded, known, dim),
+    }
+    return ways[oov]()
+
+
 # --- fuzzy vocabulary lookup -----------------------------------------------------
 
 

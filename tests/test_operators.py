@@ -19,7 +19,7 @@ from murmura.operators import sentiment as N
 from murmura.operators import tokenizers as T
 from murmura.operators import vectors as V
 from murmura.operators.analysis import Analyzer, analyze_index
-from murmura.operators.scale import consecutive_ids, running, top_n_per_group
+from murmura.operators.scale import consecutive_ids, frequent_values, join_frequent_apart, running, top_n_per_group
 from murmura.plans import answer as A
 from murmura.sources import files, runs
 
@@ -202,6 +202,34 @@ def test_consecutive_ids(spark):
     assert got == list(range(3, 3003))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_with_frequent_keys_apart(spark, how):
+    key = F.when(F.col("id") % 2 == 0, "the").when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("w"), F.col("id") % 401))
+    left = spark.range(6000).select(key.alias("k"), "id").repartition(7)
+    right = spark.createDataFrame([("the", 1), ("w1", 2), ("w1", 3), ("w400", 4), ("absent", 5)], "k string, v int")
+    plain = rows(left.join(right, "k", how).fillna({"k": "?", "v": -1}))
+    assert rows(join_frequent_apart(left, right, "k", how).fillna({"k": "?", "v": -1})) == plain
+    given = spark.createDataFrame([("w1",), ("w1",), ("unseen",)], "k string")
+    assert rows(join_frequent_apart(left, right, "k", how, given).fillna({"k": "?", "v": -1})) == plain
+    assert "the" in [r[0] for r in frequent_values(left, "k", 5).collect()]
+    empty = left.limit(0)
+    assert join_frequent_apart(empty, right, "k", how).count() == 0
+
+
+def test_frequent_rows_are_not_shuffled(spark):
+    left = spark.range(4000).select(F.when(F.col("id") % 2 == 0, "the").otherwise(F.concat(F.lit("w"), "id")).alias("k"))
+    joined = join_frequent_apart(left, spark.createDataFrame([("the", 1), ("w1", 2)], "k string, v int").hint("merge"), "k", "left")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "strategy=broadcast" in plan
+    assert joined.filter("v = 1").count() == 2000
+
+
+def test_label_index_of_many_categories(spark):
+    df = spark.createDataFrame([("b", 5), ("a", 2), ("b", 1), (None, 0), ("c", 2)], "c string, at int")
+    assert rows(L.label_index(df, "c", "at")) == [("a", 2, 1), ("b", 1, 0), ("b", 5, 0), ("c", 2, 2)]
+    assert L.label_index(df.limit(0), "c", "at").count() == 0
+
+
 # --- vectors -------------------------------------------------------------------------
 
 
@@ -245,6 +273,20 @@ def test_unknown_vectors_without_known_neighbours_are_zero(spark):
     assert got[("d", 0)] == [0.0, 0.0] and got[("e", 1)] == [1.0, 2.0]
 
 
+def test_unknown_words_of_every_kind(spark):
+    tokens = spark.createDataFrame([("d", 0, "broker"), ("d", 1, "brokker"), ("d", 2, "zzz"), ("e", 0, "zzz")], "doc_id string, pos int, token string")
+    vectors = spark.createDataFrame([("broker", [2.0, 4.0]), ("fee", [1.0, 1.0])], "token string, vector array<float>")
+
+    def of(oov):
+        return {(r["doc_id"], r["pos"]): r["vector"] for r in V.embed_tokens(tokens, vectors, 2, oov).collect()}
+
+    fixed = of("unk")[("e", 0)]
+    assert all(0 <= x < 1 for x in fixed) and of("unk")[("d", 1)] == fixed
+    assert of("average") == {("d", 0): [2.0, 4.0], ("d", 1): [2.0, 4.0], ("d", 2): [2.0, 4.0], ("e", 0): [0.0, 0.0]}
+    assert of("context") == of("average")
+    assert of("closest") == {("d", 0): [2.0, 4.0], ("d", 1): [2.0, 4.0], ("d", 2): fixed, ("e", 0): fixed}
+
+
 # --- tokenizers ----------------------------------------------------------------------
 
 
