@@ -146,6 +146,12 @@ def char_ids(c: Column, alphabet: str = ALPHABET) -> Column:
     return F.transform(chars, lambda x: F.call_function("locate", x, F.lit(alphabet)) - 1)
 
 
+def char_one_hot(c: Column, alphabet: str = ALPHABET) -> Column:
+    """One row of ``len(alphabet)`` marks per character; all zero where it is not a member."""
+    places = F.sequence(F.lit(0), F.lit(len(alphabet) - 1))
+    return F.transform(char_ids(c, alphabet), lambda x: F.transform(places, lambda k: (k == x).cast("int")))
+
+
 # --- ingest defaults, dates ---------------------------------------------------
 
 

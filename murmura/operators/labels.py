@@ -185,21 +185,27 @@ def mean_loss(losses: DataFrame, keys: Sequence[str] = ("run", "epoch"), loss: s
 
 
 def early_stop_epoch(
-    series: DataFrame, keys: Sequence[str] = ("run",), epoch: str = "epoch", value: str = "value", patience: int = 10, greater_is_better: bool = True
+    series: DataFrame, keys: Sequence[str] = ("run",), epoch: str = "epoch", value: str = "value", patience: int = 10, greater_is_better: bool = True,
+    min_delta: float = 0.0,
 ) -> DataFrame:
     """First epoch at which the value has been worse than its best ``patience`` times since the best improved.
 
-    Equal values neither reset nor count. Runs that never stop have no row.
+    Without ``min_delta`` equal values neither reset nor count. With it a value that is not a new best counts if it is
+    below the best plus ``min_delta``; where smaller is better, if it is above the best by more than ``min_delta``. Runs
+    that never stop have no row.
     """
     signed = series.withColumn("_v", F.col(value) if greater_is_better else -F.col(value))
     floor = F.lit(0.0) if greater_is_better else F.lit(float("-inf"))
     # Each stage reads its input twice, so its result is written once rather than computed 2, 4, 8 times.
     best = materialize(running(signed, keys, epoch, {"_best": ("max", F.col("_v"))}))
     flagged = materialize(_mark_improvements(best, keys, epoch, floor))
-    worse = running(flagged, keys, epoch, {"_worse": ("sum", F.when(F.col("_v") < F.greatest(F.col("_best"), floor), 1).otherwise(0))})
+    # The margin widens what counts where greater is better and narrows it where smaller is.
+    margin = min_delta if greater_is_better else -min_delta
+    counts = ~F.col("_improved") & (F.col("_v") < F.greatest(F.col("_best"), floor) + F.lit(margin))
+    worse = running(flagged, keys, epoch, {"_worse": ("sum", F.when(counts, 1).otherwise(0))})
     worse = materialize(worse)
     since = running(worse, keys, epoch, {"_base": ("max", F.when(F.col("_improved"), F.col("_worse")).otherwise(0))})
-    stopped = since.filter((F.col("_worse") - F.col("_base") >= patience) & (F.col("_v") < F.greatest(F.col("_best"), floor)))
+    stopped = since.filter((F.col("_worse") - F.col("_base") >= patience) & counts)
     return stopped.groupBy(*keys).agg(F.min(epoch).alias("stop_epoch"))
 
 

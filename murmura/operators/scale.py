@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +24,30 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
 
 
+def bounded_rows(df: DataFrame, limit: int) -> list | None:
+    """The rows when there are at most ``limit``, else None."""
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
+def row_blocks(df: DataFrame, columns: Sequence[str], block: int) -> Iterator[list]:
+    """Distinct rows in lists of at most ``block``, one at a time: whole when they fit, else by hash of ``columns``; a list
+    that is too full is halved by the next hash bit."""
+    whole = bounded_rows(df, block)
+    if whole is not None:
+        yield whole
+        return
+    bits = max(1, (2 * df.count() // block).bit_length())
+    pending = [(part, 1 << bits) for part in range(1 << bits)]
+    while pending:
+        part, of = pending.pop()
+        rows = bounded_rows(df.filter(F.pmod(F.xxhash64(*columns), F.lit(of)) == part), block)
+        if rows is None:
+            pending += [(part, 2 * of), (part + of, 2 * of)]
+        else:
+            yield rows
+
+
 # Keys told apart as frequent, and the counters of the sketch that finds them: its error is 3.5 rows in 16,384, so every
 # key with a thousandth of the rows is among them.
 FREQUENT_KEYS, SKETCH_ITEMS = 1_000, 10_000

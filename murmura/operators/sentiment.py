@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from murmura import wordlists as W
 from murmura.functions import text
 from murmura.functions.once import once
+from murmura.operators.scale import bounded_rows
 
 # Fixed values of the published rule-based model.
 ALPHA = 15.0
@@ -32,12 +33,6 @@ def one_entry_per_word(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy(word).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def bounded_rows(lexicon: DataFrame, limit: int = INLINE_LEXICON) -> list | None:
-    """The lexicon's rows when there are at most ``limit``, else None."""
-    rows = lexicon.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
 def _sentiment_tokens(c: Column) -> Column:
     """Whitespace tokens without outer punctuation, case kept. Two passes over the text beat two per token."""
     opened = F.regexp_replace(c, r"(^|\s)[^\p{L}\p{N}\s]+", "$1")

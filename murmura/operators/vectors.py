@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.operators.scale import join_frequent_apart, top_n_per_group
-from murmura.operators.sentiment import bounded_rows
+from murmura.operators.scale import join_frequent_apart, row_blocks, top_n_per_group
 from murmura.session import materialize
 
 # Executors need not have the package installed: the functions travel with the task.
@@ -277,8 +276,7 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 20, block: int
     )
     source = vectors.filter(F.col("vector").isNotNull()).select("id", "vector")
     asked = queries.filter(F.col("vector").isNotNull()).select("query_id", "vector").distinct()
-    whole = bounded_rows(asked, block)
-    blocks = [whole] if whole is not None else _query_blocks(asked, block)
+    blocks = row_blocks(asked, ["query_id", "vector"], block)
     parts = [source.mapInPandas(_block_topk([(r[0], r[1]) for r in rows], k), schema) for rows in blocks if rows]
     if not parts:
         return source.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))
@@ -288,19 +286,6 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 20, block: int
     return top_n_per_group(found, ["query_id"], [F.desc("cosine"), F.col("id")], k)
 
 
-def _query_blocks(asked: DataFrame, block: int) -> Iterator[list]:
-    """Queries in blocks of at most ``block`` rows, by hash of id and vector; a block that is too full is halved by the next
-    hash bit. Queries are distinct, so rows that share an id part by their vectors."""
-    pending = [(part, 1 << bits) for bits in [max(1, (2 * asked.count() // block).bit_length())] for part in range(1 << bits)]
-    while pending:
-        part, of = pending.pop()
-        rows = bounded_rows(asked.filter(F.pmod(F.xxhash64("query_id", "vector"), F.lit(of)) == part), block)
-        if rows is None:
-            pending += [(part, 2 * of), (part + of, 2 * of)]
-        else:
-            yield rows
-
-
 def semantic_keywords(queries: DataFrame, candidates: DataFrame, vectors: DataFrame, k: int = 20) -> DataFrame:
     """Best ``k`` candidate words of each request by similarity to the request, with their counts.
 

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from murmura import wordlists as W
 from murmura.functions import text as tx
+from murmura.operators.lemmas import DETACHMENTS, lemmatize
 from murmura.operators.labels import drop_neutral, drop_zero_label, keep_binary, label_index
 from murmura.operators.search import since
+from murmura.operators.terms import holding_terms, tag_terms
 from murmura.operators.tokenizers import pad_truncate
 from murmura.plans.ingest import opinion_filter
 from murmura.suite.base import (
@@ -61,6 +63,24 @@ def p12(spark, d):
     return _documents(spark, d).select("doc_id", F.array_join(tx.lemmas(tx.words(F.col("text"))), " ").alias("lemmas"))
 
 
+_CUTS = ", ".join(f"CASE WHEN ends_with(word, '{e}') AND len(word) > {len(e)} THEN substr(word, 1, len(word) - {len(e)}) || '{t}' END" for e, t in DETACHMENTS)
+
+
+@query(
+    "p12_lemmas_by_table",
+    f"""WITH w AS (SELECT doc_id, unnest(t) AS word, generate_subscripts(t, 1) AS pos FROM (SELECT doc_id, {sql_words('text')} AS t FROM documents)),
+v AS (SELECT word, count(*) AS n FROM w GROUP BY word), c AS (SELECT word, unnest([word, {_CUTS}]) AS lemma FROM v),
+best AS (SELECT word, lemma FROM c WHERE lemma IN (SELECT word FROM v WHERE n >= 3) QUALIFY row_number() OVER (PARTITION BY word ORDER BY len(lemma), lemma) = 1)
+SELECT d.doc_id, coalesce(string_agg(coalesce(lemma, w.word), ' ' ORDER BY pos), '') AS lemmas
+FROM documents d LEFT JOIN w ON d.doc_id = w.doc_id LEFT JOIN best ON best.word = w.word GROUP BY d.doc_id""",
+)
+def p12_table(spark, d):
+    """Lemmas known from the texts themselves: words that occur three times or more."""
+    words = _documents(spark, d).select("doc_id", tx.words(F.col("text")).alias("words"))
+    known = words.select(F.explode("words").alias("lemma")).groupBy("lemma").count().filter("count >= 3").select("lemma")
+    return lemmatize(words, "words", known).select("doc_id", F.array_join("words", " ").alias("lemmas"))
+
+
 @query(
     "p13_drop_stopwords",
     f"SELECT doc_id, array_to_string(list_filter({sql_words('text')}, lambda w: w NOT IN {STOP}), ' ') AS words FROM documents",
@@ -103,6 +123,18 @@ def p17(spark, d):
     return _documents(spark, d).select("doc_id", F.array_join(tx.char_ids(name).cast("array<string>"), " ").alias("ids"))
 
 
+@query(
+    "p17_char_one_hot",
+    f"""WITH m AS (SELECT doc_id, list_transform(list_filter(string_split(source || ':' || lang, ''), lambda c: c <> ''),
+  lambda c: instr('{_ALPHABET}', c)) AS places FROM documents)
+SELECT doc_id, array_to_string(list_transform(places, lambda a: repeat('0', greatest(a - 1, 0)) || CASE WHEN a > 0 THEN '1' ELSE '' END
+  || repeat('0', {len(tx.ALPHABET)} - a)), ' ') AS marks FROM m""",
+)
+def p17_one_hot(spark, d):
+    marks = tx.char_one_hot(F.concat_ws(":", "source", "lang"))
+    return _documents(spark, d).select("doc_id", F.array_join(F.transform(marks, lambda m: F.array_join(m.cast("array<string>"), "")), " ").alias("marks"))
+
+
 @query(
     "p18_label_index",
     """WITH firsts AS (SELECT source, min(doc_id) AS f FROM documents GROUP BY source)
@@ -217,6 +249,28 @@ def f4(spark, d):
     return _documents(spark, d).select("doc_id", F.array_join(tags, ",").alias("topics"))
 
 
+@query(
+    "f4_tag_topics_by_table",
+    f"SELECT doc_id, array_to_string(list_sort(list_filter([{_TOPIC_CASES}], lambda t: t IS NOT NULL)), ',') AS topics FROM documents",
+)
+def f4_table(spark, d):
+    """The same terms as a table, of any number."""
+    listed = [(term, name) for name, terms in {**W.TOPICS, **TOPIC_TERMS}.items() for term in terms]
+    tagged = tag_terms(_documents(spark, d), "text", small(spark, term=[t for t, _ in listed], group=[g for _, g in listed]), "topics")
+    return tagged.select("doc_id", F.array_join("topics", ",").alias("topics"))
+
+
+@query(
+    "f2_contains_item_words",
+    f"""WITH terms AS (SELECT DISTINCT lower(w) AS term FROM (SELECT unnest({sql_words('text')}) AS w FROM benchmark) WHERE len(w) >= 9)
+SELECT doc_id FROM documents WHERE EXISTS (SELECT 1 FROM terms WHERE contains(lower(documents.text), term))""",
+)
+def f2_table(spark, d):
+    """Documents that hold a word of nine letters or more of any benchmark item."""
+    word = table(spark, d, "benchmark").select(F.explode(tx.words(F.col("text"))).alias("term")).filter(F.length("term") >= 9)
+    return holding_terms(_documents(spark, d), "text", word).select("doc_id")
+
+
 @query(
     "f5_is_opinionated",
     "SELECT event_id FROM events WHERE (value - 20) / 40 > 0.25 OR (value - 20) / 40 < -0.25",

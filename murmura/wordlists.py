@@ -136,13 +136,15 @@ almost barely hardly kinda less little marginally occasionally partly scarcely s
     ),
 }
 
-# Starter lexicon of our own: word, valence in [-4, 4]. Callers bring their own table for real work.
+# Starter lexicon of our own: words of mild, clear and strong opinion, one, two or three up or down.
+# Callers bring their own table for real work.
 STARTER_LEXICON = {
-    "good": 1.9, "great": 3.1, "best": 3.2, "love": 3.2, "excellent": 2.7, "amazing": 2.8, "reliable": 1.8,
-    "easy": 1.9, "helpful": 1.8, "happy": 2.7, "recommend": 1.5, "satisfied": 1.8, "impressed": 2.1,
-    "bad": -2.5, "terrible": -2.1, "awful": -2.0, "horrible": -2.5, "hate": -2.7, "worst": -3.1, "scam": -2.6,
-    "trash": -2.0, "idiot": -2.3, "worthless": -1.9, "stupid": -2.4, "disgusting": -2.4, "pathetic": -2.7,
-    "disappointed": -2.1, "frustrating": -1.9, "avoid": -1.2, "crash": -1.7,
+    **dict.fromkeys(["recommend", "easy", "helpful", "reliable"], 1.0),
+    **dict.fromkeys(["good", "happy", "satisfied", "impressed"], 2.0),
+    **dict.fromkeys(["great", "best", "love", "excellent", "amazing"], 3.0),
+    **dict.fromkeys(["avoid", "crash", "frustrating", "disappointed"], -1.0),
+    **dict.fromkeys(["bad", "trash", "stupid", "idiot", "worthless"], -2.0),
+    **dict.fromkeys(["terrible", "awful", "horrible", "hate", "worst", "scam", "disgusting", "pathetic"], -3.0),
 }
 
 # Irregular noun plurals of our own choice; regular ones follow suffix rules.

@@ -18,6 +18,8 @@ from murmura.operators import search as S
 from murmura.operators import sentiment as N
 from murmura.operators import tokenizers as T
 from murmura.operators import vectors as V
+from murmura.operators import lemmas as B
+from murmura.operators import terms as K
 from murmura.operators.analysis import Analyzer, analyze_index
 from murmura.operators.scale import consecutive_ids, frequent_values, join_frequent_apart, running, top_n_per_group
 from murmura.plans import answer as A
@@ -165,6 +167,26 @@ def test_early_stop_ties_do_not_count(spark):
     assert rows(L.early_stop_epoch(df, patience=4)) == []
 
 
+@pytest.mark.parametrize("greater", [True, False])
+@pytest.mark.parametrize("delta", [0.0, 0.15])
+def test_early_stop_equals_a_plain_scan(spark, greater, delta):
+    random.seed(5)
+    series = [(run, epoch, round(random.random(), 1)) for run in range(6) for epoch in range(40)]
+    expected = []
+    for run in range(6):
+        best, count = (0.0, 0) if greater else (float("inf"), 0)
+        for _, epoch, value in (s for s in series if s[0] == run):
+            if (value > best) if greater else (value < best):
+                best, count = value, 0
+            elif (value < best + delta) if greater else (value > best + delta):
+                count += 1
+                if count >= 4:
+                    expected.append((run, epoch))
+                    break
+    df = spark.createDataFrame(series, "run int, epoch int, value double")
+    assert rows(L.early_stop_epoch(df, patience=4, greater_is_better=greater, min_delta=delta)) == expected
+
+
 def test_running_matches_a_plain_scan_across_stretches(spark):
     random.seed(1)
     values = [random.randint(-5, 9) for _ in range(200)]
@@ -230,6 +252,37 @@ def test_label_index_of_many_categories(spark):
     assert L.label_index(df.limit(0), "c", "at").count() == 0
 
 
+# --- word tables -----------------------------------------------------------------------
+
+
+def test_lemmas_are_checked_against_the_table(spark):
+    table = spark.createDataFrame([(None, w) for w in ("size", "cache", "box", "lady", "class", "wolf", "man")] + [("feet", "foot"), ("feet", "hoof"), ("men", "me")], "form string, lemma string")
+    df = spark.createDataFrame([(1, "sizes caches boxes ladies class wolves men feet was s".split(), "x"), (2, [], "y"), (3, None, "z"), (1, ["boxes", None, "boxes"], "x")], "id int, t array<string>, _lemma string")
+    got = rows(B.lemmatize(df.filter("id = 1"), "t", table).select("t"))
+    assert got == [(["box", None, "box"],), ("size cache box lady class wolf me foot was s".split(),)]
+    assert {r["id"]: r["t"] for r in B.lemmatize(df, "t", table).filter("id > 1").collect()} == {2: [], 3: None}
+    assert rows(B.lemmatize(df.filter("id = 1"), "t", table.limit(0)).select("id")) == [(1,), (1,)]
+    assert rows(B.lemma_map(spark.createDataFrame([("mans",), ("boxes",)], "word string"), table.select("lemma"))) == [("boxes", "box"), ("mans", "man")]
+
+
+def test_terms_of_a_table(spark):
+    terms = spark.createDataFrame([("Ab", "x"), ("b c", "y"), ("ab", "x"), ("ab", "z"), ("", "all"), (None, "all"), ("q", None), ("É", "e")], "term string, group string")
+    df = spark.createDataFrame([(1, "xAB c"), (2, None), (3, ""), (4, "é"), (5, "q")], "id int, t string")
+    expected = [(1, ["x", "y", "z"]), (2, []), (3, []), (4, ["e"]), (5, [])]
+    assert rows(K.tag_terms(df, "t", terms).select("id", "groups")) == expected
+    assert rows(K.tag_terms(df, "t", terms, block=2).select("id", "groups")) == expected
+    assert rows(K.tag_terms(df, "t", terms.limit(0)).select("id", "groups")) == [(i, []) for i in range(1, 6)]
+    assert rows(K.holding_terms(df, "t", terms).select("id")) == [(1,), (4,), (5,)]
+
+
+def test_many_terms_in_one_pass(spark):
+    terms = spark.range(100_000).select(F.concat(F.lit("t"), F.col("id") * 7919 % 1_000_003, F.lit(".")).alias("term"), (F.col("id") % 5).alias("group"))
+    texts = [(k, " ".join(f"t{(k * 31 + j) * 7919 % 1_000_003}." for j in range(0, k % 4 * 3, 3)) + " t5") for k in range(200)]
+    listed = {r["term"]: str(r["group"]) for r in terms.collect()}
+    held = [(k, sorted({listed[w] for w in t.split() if w in listed})) for k, t in texts]
+    assert rows(K.tag_terms(spark.createDataFrame(texts, "id int, t string"), "t", terms).select("id", "groups")) == held
+
+
 # --- vectors -------------------------------------------------------------------------
 
 
