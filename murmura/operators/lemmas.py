@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmura.operators.scale import join_frequent_apart
+from murmura.operators.lookup import map_tokens
 from murmura.session import materialize
 
 # Endings of plural nouns and what takes their place (the published detachment rules for nouns).
@@ -53,14 +53,8 @@ def lemma_map(words: DataFrame, table: DataFrame) -> DataFrame:
 def lemmatize(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
     """``df`` with the tokens of an array column replaced by their lemmas, in place; unknown words stay as they are.
 
-    A null array stays null, an empty one empty. The rules run once per distinct word, frequent words find their lemma
-    without a shuffle, and only words that change travel to be replaced.
+    A null array stays null, an empty one empty. The rules run once per distinct word, and only words that change travel.
     """
-    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
-    tokens = rows.select("_row", F.posexplode(column).alias("_pos", "word"))
-    changed = materialize(lemma_map(tokens.select("word"), table).filter("word <> lemma"))
-    replaced = join_frequent_apart(tokens, changed, "word", "left").withColumn("word", F.coalesce("lemma", "word"))
-    lists = replaced.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", F.col("word").alias("_word")))).alias("_items"))
-    # Null tokens keep their place.
-    joined = rows.join(lists.select("_row", F.col("_items._word").alias("_lemmas")), "_row", "left")
-    return joined.withColumn(column, F.coalesce("_lemmas", column)).drop("_row", "_lemmas")
+    words = df.select(F.explode(column).alias("word"))
+    changed = materialize(lemma_map(words, table).filter("word <> lemma"))
+    return map_tokens(df, column, changed.select(F.col("word").alias("token"), F.col("lemma").alias("value")), keep=True)

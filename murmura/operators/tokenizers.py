@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmura.functions import text
-from murmura.operators.scale import consecutive_ids, join_frequent_apart
+from murmura.operators.lookup import map_tokens
+from murmura.operators.scale import consecutive_ids
 from murmura.session import materialize
 
 UNK, PAD = "<UNK>", "<PAD>"
@@ -45,15 +46,11 @@ def vocab_from_vectors(vectors: DataFrame) -> DataFrame:
 def encode(df: DataFrame, column: str, id_col: str, vocab: DataFrame) -> DataFrame:
     """``(doc_id, ids)``; tokens that are not in the vocabulary get the unknown id. Texts without tokens get an empty list.
 
-    Texts are tokenized once; rows of frequent tokens take their ids without a shuffle.
+    Texts are tokenized once, and frequent tokens find their ids where the text is.
     """
-    unk = vocab.filter(F.col("token") == UNK).agg(F.max("id")).scalar()
-    texts = materialize(df.select(F.col(id_col).alias("doc_id"), text.tokenize_words(F.lower(column)).alias("tokens")))
-    tokens = texts.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
-    known = join_frequent_apart(tokens, vocab.select("token", "id"), "token", "left").withColumn("id", F.coalesce("id", unk))
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
-    grouped = known.groupBy("doc_id").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return grouped.select("doc_id", F.col("entries.id").alias("ids"))
+    unk = vocab.filter(F.col("token") == UNK).agg(F.max("id")).first()[0]
+    texts = df.select(F.col(id_col).alias("doc_id"), F.coalesce(text.tokenize_words(F.lower(column)), F.array()).alias("ids"))
+    return map_tokens(texts, "ids", vocab.select("token", F.col("id").cast("bigint").alias("value")), default=unk)
 
 
 def pad_truncate(df: DataFrame, ids: str = "ids", batch: str = "batch", pad: int | Column = 0, max_len: int = 512) -> DataFrame:

@@ -12,6 +12,7 @@ from murmura.operators.search import since
 from murmura.operators.terms import holding_terms, tag_terms
 from murmura.operators.tokenizers import pad_truncate
 from murmura.plans.ingest import opinion_filter
+from murmura.session import materialize
 from murmura.suite.base import (
     BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, small, sql_clean, sql_contains_any,
     sql_lemma, sql_lemmas, sql_list, sql_split, sql_tokens, sql_words, table,
@@ -76,7 +77,7 @@ FROM documents d LEFT JOIN w ON d.doc_id = w.doc_id LEFT JOIN best ON best.word
 )
 def p12_table(spark, d):
     """Lemmas known from the texts themselves: words that occur three times or more."""
-    words = _documents(spark, d).select("doc_id", tx.words(F.col("text")).alias("words"))
+    words = materialize(_documents(spark, d).select("doc_id", tx.words(F.col("text")).alias("words")))
     known = words.select(F.explode("words").alias("lemma")).groupBy("lemma").count().filter("count >= 3").select("lemma")
     return lemmatize(words, "words", known).select("doc_id", F.array_join("words", " ").alias("lemmas"))
 
