@@ -13,7 +13,7 @@ from murmura.functions import text
 from murmura.operators.analysis import Analyzer
 from murmura.operators.features import predict_sentiment
 from murmura.operators.labels import fuse_keywords
-from murmura.operators.scale import top_n_per_group
+from murmura.operators.scale import broadcast_if_small, top_n_per_group
 from murmura.operators.search import SearchIndex, search_page
 from murmura.operators.sentiment import lexicon_polarity, majority_sentiment
 from murmura.operators.vectors import semantic_keywords
@@ -21,8 +21,11 @@ from murmura.session import materialize
 
 
 def page_documents(page: DataFrame, docs: DataFrame, field: str = "comment_content", id_col: str = "id") -> DataFrame:
-    """The page with its comment text."""
-    return page.join(docs.select(F.col(id_col).alias("doc_id"), F.col(field).alias("text")), "doc_id")
+    """The page with its comment text: the page's ids are met by the texts, which stay where they are."""
+    page = materialize(page)
+    ids = broadcast_if_small(page.select("doc_id").distinct())
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(field).alias("text")).join(ids, "doc_id", "left_semi")
+    return broadcast_if_small(page).join(texts, "doc_id")
 
 
 def page_words(found: DataFrame) -> DataFrame:

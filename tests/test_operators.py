@@ -648,3 +648,31 @@ def test_topic_words_of_a_page(spark):
     assert {w for q, w in batch if q == "a"} == set(words)
     alone = {(r["query_id"], r["keyword"]) for r in page_topic_keywords(found.filter("query_id = 'a'")).collect()}
     assert alone == {x for x in batch if x[0] == "a"}
+
+
+def test_postings_of_an_index_stay_in_the_rows_of_their_documents(spark):
+    texts = [("a", "cat catcat cat dog"), ("b", None), ("c", "dog  é dog"), ("d", ""), ("a", "dog bird"), (None, "dog"), (None, "dog cat")]
+    df = spark.createDataFrame(texts, "id string, comment_content string")
+    plain = Analyzer(stopwords=(), synonyms=(("cat", "feline"),), stem=False)
+    for docs in (df, df.filter("id <> 'a'")):
+        found = S.build_index(docs, analyzer=plain, attributes=(), filter_words=())
+        items = plain.index_items(docs, "comment_content", "_items").select(F.col("id").alias("doc_id"), F.size("_items").alias("length"), "_items")
+        wanted = S.token_postings(items.select("doc_id", "length", F.inline("_items")))
+        assert sorted(map(str, found.postings.collect())) == sorted(map(str, wanted.select(found.postings.columns).collect()))
+    assert "Exchange" not in found.postings._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grams_of_a_vocabulary_are_counted_in_the_row_of_their_token(spark):
+    words = ["aaaa", "abab", "x", "", "mississippi", "zażółć"]
+    grams = S.vocabulary_grams(spark.createDataFrame([(w,) for w in words], "token string"))
+    wanted = Counter((w[i : i + n], w) for w in words for n in range(2, 16) for i in range(len(w) - n + 1))
+    assert {(r["gram"], r["token"]): r["n"] for r in grams.collect()} == wanted
+    assert "Exchange" not in grams._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_meet_a_page_without_being_shuffled(spark):
+    docs = spark.range(1000).select(F.concat(F.lit("c"), "id").alias("id"), F.repeat(F.lit("w "), 50).alias("comment_content"))
+    page = spark.createDataFrame([("r1", "c5", 1), ("r2", "c5", 1), ("r1", "c9", 2), ("r1", "none", 3)], "query_id string, doc_id string, rank int")
+    found = A.page_documents(page, docs)
+    assert sorted((r["query_id"], r["doc_id"]) for r in found.collect()) == [("r1", "c5"), ("r1", "c9"), ("r2", "c5")]
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
