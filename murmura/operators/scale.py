@@ -48,6 +48,28 @@ def row_blocks(df: DataFrame, columns: Sequence[str], block: int) -> Iterator[li
             yield rows
 
 
+def rows_by_repeat(df: DataFrame, key: str, keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """``(alone, together)``: the rows whose key no other row has, and those that share one, None where no rows do. Null is a key.
+
+    ``keys`` is the ``key`` column of the same rows, where reading it from ``df`` would compute more than that.
+    """
+    counts = (df.select(key) if keys is None else keys).groupBy(key).agg(F.count("*").alias("_rows")).filter("_rows > 1")
+    shared = materialize(counts.select(F.col(key).alias("_shared"), F.lit(True).alias("_again")))
+    if shared.isEmpty():
+        return df, None
+    marked = df.join(broadcast_if_small(shared), F.col(key).eqNullSafe(F.col("_shared")), "left").drop("_shared")
+    return marked.filter(F.col("_again").isNull()).drop("_again"), marked.filter("_again").drop("_again")
+
+
+def deal_out(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Rows dealt to all tasks of the session by ``columns``: for a table that is small on disk and much work a row.
+
+    Where ``df`` is grouped by a column, deal by its hash: Spark drops a second exchange by the same column, and may put tasks together then.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *columns)
+
+
 # Keys told apart as frequent, and the counters of the sketch that finds them: its error is 3.5 rows in 16,384, so every
 # key with a thousandth of the rows is among them.
 FREQUENT_KEYS, SKETCH_ITEMS = 1_000, 10_000

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from murmura.functions import text
 from murmura.operators.lookup import map_tokens
-from murmura.operators.scale import consecutive_ids
+from murmura.operators.scale import consecutive_ids, deal_out, rows_by_repeat
 from murmura.session import materialize
 
 UNK, PAD = "<UNK>", "<PAD>"
@@ -166,7 +166,8 @@ def train_bpe(df: DataFrame, column: str, merges: int | None = None, vocabulary:
     """
     spark = df.sparkSession
     words = word_frequencies(df, column).select("word", "freq", pieces(_spell(F.col("word"))).alias("p"))
-    words = materialize(words.withColumn("old", F.lit(None).cast("array<string>")))
+    # Every pass rewrites the words, which are few bytes: they are dealt to all tasks once and stay in as many files.
+    words = materialize(deal_out(words, F.xxhash64("word")).withColumn("old", F.lit(None).cast("array<string>")))
     pairs = materialize(_adjacent(words, "p").groupBy("left", "right").agg(F.sum("n").alias("n")))
     left_over = merges if merges is not None else 2**31
     if vocabulary is not None:
@@ -203,12 +204,23 @@ def piece_ids(rules: DataFrame, words: DataFrame) -> DataFrame:
 def encode_bpe_ids(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(doc_id, ids)``: the ids of the pieces of each word; a word not seen in training is the unknown id.
 
-    Every distinct word is numbered once, before it meets the texts.
+    Every distinct word is numbered once, before it meets the texts. Frequent words find their ids where the text is, and
+    a text sends each of its others once. Rows that share an id are one text.
     """
+    vocab = materialize(vocab)
     spelled = word_pieces.select("word", F.posexplode("pieces").alias("k", "token")).join(F.broadcast(vocab), "token")
     numbered = spelled.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("k", "id"))).alias("e")).select("word", F.col("e.id").alias("pieces"))
-    unknown = vocab.filter(F.col("token") == UNK).agg(F.max("id")).scalar()
-    return _word_lists(df, column, id_col, numbered, F.array(unknown)).withColumnRenamed("pieces", "ids")
+    unknown = vocab.filter(F.col("token") == UNK).agg(F.max("id")).first()[0]
+    numbered = materialize(numbered)
+    alone, together = rows_by_repeat(df, id_col)
+    texts = alone.select(F.col(id_col).alias("doc_id"), F.split(column, " ").alias("_words"))
+    mapping = numbered.select(F.col("word").alias("token"), F.array_join(F.col("pieces").cast("array<string>"), " ").alias("value"))
+    mapped = map_tokens(texts, "_words", mapping, default=str(unknown))
+    ids = F.coalesce(F.split(F.array_join("_words", " "), " ").cast("array<bigint>"), F.array().cast("array<bigint>"))
+    encoded = mapped.select("doc_id", ids.alias("ids"))
+    if together is None:
+        return encoded
+    return encoded.unionByName(_word_lists(together, column, id_col, numbered, F.array(F.lit(unknown))).withColumnRenamed("pieces", "ids"))
 
 
 def _word_lists(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame, unknown: Column) -> DataFrame:

@@ -676,3 +676,56 @@ def test_texts_meet_a_page_without_being_shuffled(spark):
     found = A.page_documents(page, docs)
     assert sorted((r["query_id"], r["doc_id"]) for r in found.collect()) == [("r1", "c5"), ("r1", "c9"), ("r2", "c5")]
     assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ids_of_pieces_do_not_shuffle_the_words_of_a_text_one_by_one(spark):
+    words = spark.createDataFrame([("low", ["lo", "w"]), ("new", ["n", "ew"]), ("odd", ["zz"])], "word string, pieces array<string>")
+    vocab = spark.createDataFrame([("lo", 0), ("w", 1), ("n", 2), ("ew", 3), (T.UNK, 9)], "token string, id bigint")
+    texts = [(1, "low new low"), (2, None), (3, ""), (4, "odd  other new"), (5, "low"), (5, "new low"), (None, "new")]
+    found = T.encode_bpe_ids(spark.createDataFrame(texts, "id long, t string"), "t", "id", words, vocab)
+    wanted = {1: [0, 1, 2, 3, 0, 1], 2: [], 3: [9], 4: [9, 9, 9, 2, 3], 5: [0, 1, 2, 3, 0, 1], None: [2, 3]}
+    assert {r["doc_id"]: r["ids"] for r in found.collect()} == wanted
+    alone = T.encode_bpe_ids(spark.createDataFrame(texts[:4], "id long, t string"), "t", "id", words, vocab)
+    assert "posexplode" not in alone._jdf.queryExecution().analyzed().toString()
+
+
+def test_words_of_a_training_are_dealt_to_all_tasks(spark):
+    _, pieces = T.train_bpe(spark.range(200).select(F.concat(F.lit("w"), "id").alias("t")), "t", 3)
+    assert len(pieces.inputFiles()) > 1
+
+
+@pytest.mark.parametrize("similarity", ["levenshtein", "ratio"])
+def test_close_words_of_every_length_are_found_by_few_candidates(spark, similarity):
+    draw = random.Random(5)
+    known = ["".join(draw.choice("ab") for _ in range(n)) for n in range(1, 24) for _ in range(6)]
+    changed = [w[:k] + draw.choice("abc") + w[k + draw.randint(0, 1) :] for w in known for k in [draw.randint(0, len(w) - 1)]]
+
+    def score(a, b):
+        if similarity == "ratio":
+            return difflib.SequenceMatcher(None, b, a).ratio()
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = _edit_row(row, i, x, b)
+        return 1 - row[-1] / max(len(a), len(b))
+
+    def limit(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = _edit_row(row, i, x, b)
+        size = max(len(a), len(b)) if similarity == "levenshtein" else len(a) + len(b)
+        return row[-1] <= int(size * 0.2 + 1e-9)
+
+    wanted = {}
+    for a in set(changed):
+        near = [(-round(score(a, b), 9), b) for b in set(known) if a != b and abs(len(a) - len(b)) <= 1 and limit(a, b) and score(a, b) >= 0.8 - 1e-9]
+        if near:
+            wanted[a] = min(near)[1]
+    frames = [spark.createDataFrame([(w,) for w in ws], "token string") for ws in (changed, known)]
+    assert {r["token"]: r["match"] for r in V.closest_word(*frames, similarity=similarity).collect()} == wanted
+
+
+def _edit_row(above, i, x, b):
+    row = [i]
+    for j, y in enumerate(b, 1):
+        row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row
