@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import sys
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.operators.scale import join_frequent_apart, row_blocks, top_n_per_group
+from murmura.operators.scale import deal_out, join_frequent_apart, row_blocks, top_n_per_group
 from murmura.session import materialize
 
 # Executors need not have the package installed: the functions travel with the task.
@@ -24,6 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Query vectors carried by each task at once; more are taken in several passes.
 QUERY_BLOCK = 2_000
+# Edits up to which close words are found by leaving characters out: a word of 14 has 106 such forms.
+SHORTENED = 2
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -158,14 +161,15 @@ def closest_word(oov: DataFrame, vocab: DataFrame, cutoff: float = 0.8, similari
     """``(token, match, similarity)``: the best vocabulary word within one character of length and above ``cutoff``.
 
     ``similarity`` is ``levenshtein`` (1 - edits / longer length) or ``ratio``
-    (matching blocks). Candidates share an exact piece: with at most ``e`` edits
-    one of ``e + 1`` pieces of the vocabulary word survives unchanged, shifted by
-    at most ``e`` places. The block is therefore exact, and far smaller than all
-    words of that length.
+    (matching blocks). Words within ``e`` edits become equal when at most ``e``
+    characters are left out of each: up to ``SHORTENED`` edits candidates share
+    such a shortened form, which few words do whatever the vocabulary. With more
+    they share an exact piece: one of ``e + 1`` pieces of the vocabulary word
+    survives unchanged, shifted by at most ``e`` places. Both are exact.
     """
     slack = 1 - cutoff
-    left = oov.select("token").distinct().withColumn("_n", F.length("token")).filter("_n > 0")
-    right = vocab.select(F.col("token").alias("match")).distinct().withColumn("_m", F.length("match")).filter("_m > 0")
+    left = materialize(oov.select("token").distinct().withColumn("_n", F.length("token")).filter("_n > 0"))
+    right = materialize(vocab.select(F.col("token").alias("match")).distinct().withColumn("_m", F.length("match")).filter("_m > 0"))
 
     def edits(n: Column, m: Column) -> Column:
         size = F.greatest(n, m) if similarity == "levenshtein" else n + m
@@ -175,6 +179,7 @@ def closest_word(oov: DataFrame, vocab: DataFrame, cutoff: float = 0.8, similari
     indexed = (
         right.select("match", "_m", F.explode(F.transform(lengths, lambda d: F.col("_m") + d)).alias("_n"))
         .withColumn("_e", edits(F.col("_n"), F.col("_m")))
+        .filter(F.col("_e") > SHORTENED)
         .select("match", "_m", "_n", F.inline(_segments(F.col("match"), F.least(F.col("_e") + 1, F.col("_m")))))
         .select("match", F.struct("_m", "_n", "i", "piece").alias("_block"))
     )
@@ -205,13 +210,30 @@ def closest_word(oov: DataFrame, vocab: DataFrame, cutoff: float = 0.8, similari
         left.select("token", "_n", F.explode(F.transform(lengths, lambda d: F.col("_n") + d)).alias("_m"))
         .filter("_m > 0")
         .withColumn("_e", edits(F.col("_n"), F.col("_m")))
+        .filter(F.col("_e") > SHORTENED)
         .select("token", "_m", "_n", F.inline(windows(F.col("_e"), F.col("_m"))))
         .filter(F.col("piece").isNotNull())
         .select("token", F.struct("_m", "_n", "i", "piece").alias("_block"))
         .distinct()
     )
+
+    def shortened(words: DataFrame, word: str, size: str) -> DataFrame:
+        """``(word, _form)``: a word without up to as many characters as it may lose against one that is a character longer."""
+        most = F.least(edits(F.col(size), F.col(size) + 1), F.lit(SHORTENED))
+        forms = deal_out(words.select(word, most.alias("_most"))).filter("_most > 0").withColumn("_form", F.col(word))
+        found = [forms]
+        for k in range(1, SHORTENED + 1):
+            cut = F.transform(
+                F.sequence(F.lit(1), F.length("_form")), lambda i: F.concat(F.substring(F.col("_form"), F.lit(1), i - 1), F.substring(F.col("_form"), i + 1, F.length("_form")))
+            )
+            fewer = found[-1].filter((F.col("_most") >= k) & (F.length("_form") > 0))
+            found.append(fewer.select(word, "_most", F.explode(F.array_distinct(cut)).alias("_form")))
+        return reduce(DataFrame.unionByName, found).select(word, "_form")
+
     edit_count = F.levenshtein("token", "match")
-    pairs = probed.join(indexed, "_block").select("token", "match").filter("token <> match")
+    near = shortened(left, "token", "_n").join(shortened(right, "match", "_m"), "_form").select("token", "match")
+    near = near.filter(F.abs(F.length("token") - F.length("match")) <= 1)
+    pairs = probed.join(indexed, "_block").select("token", "match").unionByName(near).filter("token <> match")
     # Close pairs are few; only they need to be told apart from their repeats.
     close = pairs.filter(edit_count <= edits(F.length("token"), F.length("match"))).distinct()
     if similarity == "levenshtein":

@@ -11,6 +11,7 @@ from murmura.operators.features import class_weights
 from murmura.operators.vectors import closest_word, embed_vocab, oov_count
 from murmura.plans.labelling import binary_sets, label_comments, size_report, with_manual_labels
 from murmura.operators.sampling import split_by_hash
+from murmura.session import materialize
 from murmura.suite.base import BODIES, COMMENTS, LABELS, STOP, bodies, comments, manual_labels, query, sql_clean, sql_words, table
 from murmura.suite.lexicon import INTENSIFIERS, NEGATIONS, polarity_table, sql_polarity
 from murmura.suite.search import sql_slot, token_vectors
@@ -82,7 +83,8 @@ QUALIFY row_number() OVER (PARTITION BY token ORDER BY similarity DESC, match) =
 @query("j4_closest_word", _FUZZY)
 def j4(spark, d):
     """Words seen once against words seen five times or more, without accents."""
-    counts = C.word_counts(bodies(spark, d)).groupBy(tx.ascii_fold(F.col("word")).alias("token")).agg(F.sum("n").alias("n"))
+    # Written once: the texts are parsed in one pass, and both lists read the counts.
+    counts = materialize(C.word_counts(bodies(spark, d)).groupBy(tx.ascii_fold(F.col("word")).alias("token")).agg(F.sum("n").alias("n")))
     found = closest_word(counts.filter("n = 1"), counts.filter("n >= 5"))
     return found.withColumn("similarity", F.round("similarity", 6))
 
