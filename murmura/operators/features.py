@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import LDA, KMeans
@@ -20,6 +22,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmura import wordlists as W
 from murmura.functions import text
@@ -65,12 +68,17 @@ def tfidf(df: DataFrame, column: str, id_col: str, stopwords: Sequence[str] = W.
     return _unit_tfidf(bow(df, column, id_col, min_df=1, max_df=1.0, stopwords=stopwords))
 
 
-def _unit_tfidf(counts: DataFrame) -> DataFrame:
+def _normed(counts: DataFrame) -> DataFrame:
+    """``(id, terms, norm)``: the terms of each text with their raw weights, and their length."""
     raw = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
     # A text's terms meet once; its length is then taken in the row.
     texts = counts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("term", raw.alias("raw")))).alias("terms"))
     norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda s, t: s + t["raw"] * t["raw"]))
-    return once(texts, norm=norm).select("id", "norm", F.inline("terms")).select("id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    return once(texts, norm=norm)
+
+
+def _unit_tfidf(counts: DataFrame) -> DataFrame:
+    return _normed(counts).select("id", "norm", F.inline("terms")).select("id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
 
 
 def multi_hot(df: DataFrame, column: str, id_col: str) -> DataFrame:
@@ -96,21 +104,42 @@ def term_weights(df: DataFrame, tokens: str, id_col: str) -> DataFrame:
     return _unit_tfidf(_kept_terms(df.select(F.col(id_col).alias("id"), F.explode(tokens).alias("term")), df, 1, 1.0))
 
 
-def project(weights: DataFrame, width: int, seed: int = 42) -> DataFrame:
-    """``(id, projected)`` from ``(id, term, weight)``: a seeded sparse random projection.
+def term_lists(df: DataFrame, tokens: str, id_col: str) -> DataFrame:
+    """``(id, terms)``: ``term_weights`` with the terms of a text in one row."""
+    normed = _normed(_kept_terms(df.select(F.col(id_col).alias("id"), F.explode(tokens).alias("term")), df, 1, 1.0))
+    return normed.select("id", F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (t["raw"] / F.col("norm")).alias("weight"))).alias("terms"))
+
+
+def _summed(width: int, marks: int):
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def add(hashes: pa.Array, weights: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(weights), 0).to_numpy(zero_copy_only=False)
+        h = hashes.flatten().to_numpy(zero_copy_only=False)
+        x = np.repeat(pc.fill_null(weights.flatten(), 0.0).to_numpy(zero_copy_only=False), marks) * np.where(h < 0, -1.0, 1.0) / marks**0.5
+        slot = np.repeat(np.arange(len(sizes)), sizes * marks) * width + np.mod(h, width)
+        # Sums in a fixed order give the same doubles each time.
+        order = np.argsort(x, kind="stable")
+        sums = np.bincount(slot[order], weights=x[order], minlength=len(sizes) * width)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * width, pa.int32()), pa.array(sums, pa.float64()))
+
+    return add
+
+
+def project_terms(terms: Column, width: int, seed: int = 42) -> Column:
+    """Terms ``array<struct<term, weight>>`` of a row as a vector: a seeded sparse random projection, in the row.
 
     Each term adds its weight to a few dimensions with random signs, all drawn
     from its hash, so every term counts whatever the size of the vocabulary and
     lengths and angles are kept on average.
     """
-    marks = F.array(*[F.xxhash64("term", F.lit(seed), F.lit(k)) for k in range(MARKS_PER_TERM)])
-    drawn = weights.select("id", "weight", F.explode(marks).alias("h"))
-    sign = F.when(F.shiftrightunsigned("h", 63) == 1, -1.0).otherwise(1.0)
-    placed = drawn.select("id", F.pmod("h", F.lit(width)).cast("int").alias("slot"), (F.col("weight") * sign / MARKS_PER_TERM**0.5).alias("x"))
-    # Sums in a fixed order give the same doubles each time.
-    slots = placed.groupBy("id", "slot").agg(F.aggregate(F.array_sort(F.collect_list("x")), F.lit(0.0), lambda s, x: s + x).alias("x"))
-    filled = slots.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("slot", "x"))).alias("m"))
-    return filled.select("id", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.coalesce(F.element_at("m", k), F.lit(0.0))).alias("projected"))
+    hashes = F.flatten(F.transform(terms, lambda t: F.array(*[F.xxhash64(t["term"], F.lit(seed), F.lit(k)) for k in range(MARKS_PER_TERM)])))
+    return _summed(width, MARKS_PER_TERM)(hashes, F.transform(terms, lambda t: t["weight"]))
+
+
+def project(weights: DataFrame, width: int, seed: int = 42) -> DataFrame:
+    """``(id, projected)`` from ``(id, term, weight)``, by ``project_terms``."""
+    texts = weights.groupBy("id").agg(F.collect_list(F.struct("term", "weight")).alias("terms"))
+    return texts.select("id", project_terms(F.col("terms"), width, seed).alias("projected"))
 
 
 def assemble(
@@ -135,15 +164,10 @@ def assemble(
             }
         )
     )
-    marks = tokens.select(F.col("_row").alias("id"), F.explode("_entities").alias("term"), F.lit(1.0).alias("weight"))
-    blocks = {
-        "_community": (term_weights(tokens, "_community", "_row"), SET_WIDTH),
-        "_text": (term_weights(tokens, "_text", "_row"), TEXT_WIDTH),
-        "_entities": (marks, SET_WIDTH),
-    }
-    staged = tokens.drop(*blocks)
-    for name, (weights, width) in blocks.items():
-        block = project(weights, width).select(F.col("id").alias("_row"), F.col("projected").alias(name))
+    marks = F.transform(F.coalesce("_entities", F.array().cast("array<string>")), lambda e: F.struct(e.alias("term"), F.lit(1.0).alias("weight")))
+    staged = tokens.drop("_community", "_text").withColumn("_entities", project_terms(marks, SET_WIDTH))
+    for name, width in (("_community", SET_WIDTH), ("_text", TEXT_WIDTH)):
+        block = term_lists(tokens, name, "_row").select(F.col("id").alias("_row"), project_terms(F.col("terms"), width).alias(name))
         empty = F.array_repeat(F.lit(0.0), width)
         staged = staged.join(block, "_row", "left").withColumn(name, F.coalesce(name, empty))
     numbers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric])

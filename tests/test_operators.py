@@ -729,3 +729,17 @@ def _edit_row(above, i, x, b):
     for j, y in enumerate(b, 1):
         row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
     return row
+
+
+def test_terms_are_projected_in_the_row_of_their_text(spark):
+    texts = [(1, [("a", 0.5), ("b", 0.25), ("ü", -1.0)]), (2, []), (3, None), (4, [("a", 1.0)] * 3)]
+    df = spark.createDataFrame(texts, "id int, terms array<struct<term: string, weight: double>>")
+    marked = df.select("id", F.inline("terms")).select("id", "weight", F.explode(F.array(*[F.xxhash64("term", F.lit(42), F.lit(k)) for k in range(M.MARKS_PER_TERM)])).alias("h"))
+    wanted = {k: [0.0] * 16 for k, _ in texts}
+    for r in sorted(marked.collect(), key=lambda r: r["weight"]):
+        wanted[r["id"]][r["h"] % 16] += (-1 if r["h"] < 0 else 1) * r["weight"] / M.MARKS_PER_TERM**0.5
+    found = df.select("id", M.project_terms(F.col("terms"), 16).alias("v"))
+    assert {r["id"]: r["v"] for r in found.collect()} == {k: pytest.approx(v) for k, v in wanted.items()}
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    grouped = M.project(df.select("id", F.inline("terms")), 16)
+    assert {r["id"]: r["projected"] for r in grouped.collect()} == {k: pytest.approx(wanted[k]) for k in (1, 4)}
