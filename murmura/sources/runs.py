@@ -18,7 +18,10 @@ def _run_name(document: str) -> Column:
 
 def read_runs(spark: SparkSession, root: str, config: str = "config.json", metrics: str = "metrics.json") -> DataFrame:
     """Config and metrics of every run folder that holds both, config flattened to dotted names."""
-    configs = spark.read.option("multiLine", True).json(f"{root}/*/{config}")
+    # Spark infers a schema from small files in one task; their text is read by many.
+    texts = spark.read.text(f"{root}/*/{config}", wholetext=True)
+    inferred = spark.read.option("multiLine", True).json(texts.rdd.map(lambda r: r[0])).schema
+    configs = spark.read.schema(inferred).option("multiLine", True).json(f"{root}/*/{config}")
     configs = flatten_struct(configs.select(_run_name(config).alias("run"), F.struct(*configs.columns).alias("config")))
     series = spark.read.schema(schemas.RUN_METRICS).option("multiLine", True).json(f"{root}/*/{metrics}")
     return configs.join(series.select(_run_name(metrics).alias("run"), "*"), "run")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from murmura import schemas
 from murmura.functions import text as tx
 from murmura.operators.sampling import split_by_hash
-from murmura.operators.scale import top_n_per_group
+from murmura.operators.scale import deal_out, top_n_per_group
 from murmura.operators.tokenizers import build_vocab, text_tokens
 from murmura.sources import files, runs
 from murmura.suite.base import BODIES, COMMENTS, bodies, comments, query, scratch, small, sql_list, sql_tokens, table
@@ -157,7 +157,8 @@ def s8(spark, d):
     documents = F.array(F.struct(F.lit("config.json").alias("document"), config.alias("value")), F.struct(F.lit("metrics.json").alias("document"), metrics.alias("value")))
     alone = small(spark, run=["without metrics"], document=["config.json"], value=['{"data_config": {"size": 0}}'])
     written = own.select("run", F.inline(documents)).unionByName(alone)
-    written.repartition("run", "document").write.partitionBy("run", "document").text(root)
+    # Dealt by number: few bytes a run would be put together for one task, which would write every folder.
+    deal_out(written, "run", "document").write.partitionBy("run", "document").text(root)
     found = runs.read_runs(spark, root, "document=config.json", "document=metrics.json")
     series = runs.metric_series(found).filter(F.col("metric") == "train_loss").join(found.select("run", F.col("`config.data_config.size`").alias("size")), "run")
     return series.select("run", "size", "step", "value")

@@ -754,3 +754,20 @@ def test_grams_of_a_document_meet_where_its_tokens_are(spark):
     found = S.build_postings(df)
     assert {(r["gram"], r["doc_id"]): r["tf"] for r in found.collect()} == wanted
     assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_configs_of_many_runs_are_read_by_many_tasks(spark, tmp_path):
+    for k in range(20):
+        folder = tmp_path / "runs" / f"run {k}"
+        folder.mkdir(parents=True)
+        (folder / "config.json").write_text(json.dumps({"data": {"size": k}, **({"late": 1.5} if k == 19 else {})}, indent=1))
+        (folder / "metrics.json").write_text(json.dumps({"train_loss": [0.5, k]}))
+    tasks = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("runs", "read runs")
+    found = runs.read_runs(spark, str(tmp_path / "runs"))
+    stages = [s for j in tasks.getJobIdsForGroup("runs") for s in tasks.getJobInfo(j).stageIds]
+    assert max(tasks.getStageInfo(s).numTasks for s in stages) > 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {(r["run"], r["config.data.size"], r["config.late"]) for r in found.select("run", "`config.data.size`", "`config.late`").collect()} == {
+        (f"run {k}", k, 1.5 if k == 19 else None) for k in range(20)
+    }
