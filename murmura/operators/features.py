@@ -203,7 +203,15 @@ def embedding_clusters(df: DataFrame, vector: str = "vector", dims: int = 50, k:
 
 def topics(df: DataFrame, column: str, k: int = 5, terms: int = 20, min_df: float = 2.0, max_df: float = 0.95, seed: int = 42, iterations: int = 10) -> DataFrame:
     """``(topic, rank, term, weight)``: the strongest terms of each topic."""
-    tokens = df.select(feature_tokens(F.col(column)).alias("tokens"))
+    return _topics(_tokens(df, column), k, terms, min_df, max_df, seed, iterations)
+
+
+def _tokens(df: DataFrame, column: str) -> DataFrame:
+    # Written once: the texts are parsed in one pass, and all others read their words.
+    return materialize(df.select(feature_tokens(F.col(column)).alias("tokens")))
+
+
+def _topics(tokens: DataFrame, k: int, terms: int, min_df: float, max_df: float, seed: int, iterations: int) -> DataFrame:
     words = tokens.select(F.explode("tokens").alias("t")).agg(F.count_distinct("t")).first()[0]
     counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=max(2, words), minDF=min_df, maxDF=max_df).fit(tokens)
     counted = counter.transform(tokens).select("counts")
@@ -211,7 +219,7 @@ def topics(df: DataFrame, column: str, k: int = 5, terms: int = 20, min_df: floa
     described = model.describeTopics(terms).select(
         "topic", F.inline(F.arrays_zip(F.col("termIndices").alias("i"), F.col("termWeights").alias("weight")))
     )
-    vocabulary = df.sparkSession.createDataFrame(pa.table({"i": list(range(len(counter.vocabulary))), "term": counter.vocabulary}))
+    vocabulary = tokens.sparkSession.createDataFrame(pa.table({"i": list(range(len(counter.vocabulary))), "term": counter.vocabulary}))
     named = described.join(vocabulary, "i").select("topic", "term", "weight")
     return top_terms(named, terms)
 
@@ -223,9 +231,11 @@ def top_terms(weights: DataFrame, k: int = 20) -> DataFrame:
 
 def topic_keywords(df: DataFrame, column: str, k: int = 5, terms: int = 20, seed: int = 42) -> DataFrame:
     """``(keyword, count)``: union of the topics' strongest terms with their counts in the corpus, most frequent first."""
-    strongest = topics(df, column, k, terms, seed=seed).select(F.col("term").alias("keyword")).distinct()
-    counts = df.select(F.explode(feature_tokens(F.col(column))).alias("keyword")).groupBy("keyword").agg(F.count("*").alias("count"))
-    return counts.join(strongest, "keyword", "left_semi").orderBy(F.desc("count"), "keyword")
+    tokens = _tokens(df, column)
+    strongest = _topics(tokens, k, terms, 2.0, 0.95, seed, 10).select(F.col("term").alias("keyword")).distinct()
+    # ``k * terms`` keywords at most: they go to the words, so that no other word is grouped.
+    named = tokens.select(F.explode("tokens").alias("keyword")).join(F.broadcast(strongest), "keyword", "left_semi")
+    return named.groupBy("keyword").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "keyword")
 
 
 # --- classification ----------------------------------------------------------------

@@ -128,3 +128,16 @@ def test_trained_pieces(spark, data):
         assert back == cleaned[r["doc_id"]].replace(" ", "")
 
 
+def test_topics_read_their_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    texts = spark.createDataFrame([(f"fruit apple pear {'plum' if i % 2 else 'fig'} w{i % 7}",) for i in range(200)], "text string").mapInArrow(counted, "text string")
+    got = {r["keyword"]: r["count"] for r in M.topic_keywords(texts, "text", k=2).collect()}
+    # Words of every text stand in more than 95 % of them.
+    assert got == {"plum": 100, "fig": 100} | {f"w{i}": len(range(i, 200, 7)) for i in range(7)}
+    assert read.value == 200
