@@ -551,6 +551,41 @@ def test_scores_do_not_depend_on_partitions(spark, mixed, prose, monkeypatch):
     assert all(x[:2] == y[:2] and math.isclose(x[2], y[2], rel_tol=1e-9) for x, y in zip(*found, strict=True))
 
 
+def test_pairs_of_one_customer_are_not_kept(spark):
+    """Of the pairs, those that occur once are told from the words' counts; a held-out text marks the pairs it needs."""
+    texts = spark.createDataFrame([("a b a b q", False), ("a c r", False), ("a c b a r s", True)], "text string, held_out boolean")
+    codes = language_model.Codes(np.sort(language_model._hashes(["a", "b", "c"])))
+    found = language_model.pair_counts(texts, codes).collect()
+    number = {x: int(codes.of(language_model._hashes([x]))[0]) for x in "abcqrs"} | {None: codes.edge}
+    tokens = [[None, *"ababq", None], [None, *"acr", None]]
+    counts = Counter(p for t in tokens for p in zip(t, t[1:], strict=False))
+    apart = set(zip([None, *"acbars"], [*"acbars", None], strict=True))
+    want = {(number[u], number[w]): (counts[u, w], int((u, w) in apart)) for u, w in {*counts, *apart}}
+    assert {(r["u"], r["w"]): (r["c"], r["held"]) for r in found} == want
+    kept = [r for r in found if r["c"] > 1]
+    cells = spark.createDataFrame([(r["u"], r["w"], r["c"]) for r in kept], "u bigint, w bigint, c bigint")
+    n = Counter(number[w] for t in tokens for w in t[1:])
+    coded = spark.createDataFrame([(k, c) for k, c in n.items()], "k bigint, n bigint")
+    sizes = Counter(counts.values())
+    assert language_model.discount_of_cells(cells, coded) == language_model.discount(sizes[1], sizes[2])
+
+
+def test_places_of_spread_numbers():
+    rng = np.random.default_rng(2)
+    numbers = np.unique(rng.integers(0, 2**64, 3_000, dtype=np.uint64))
+    asked = np.concatenate([numbers, rng.integers(0, 2**64, 3_000, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    at, found = language_model.Places(numbers).of(asked)
+    assert (found == np.isin(asked, numbers)).all()
+    assert (numbers[at[found]] == asked[found]).all()
+
+
+def test_shuffle_files_are_freed_for_a_while(spark):
+    before = spark.conf.get(language_model._FREE_SHUFFLES)
+    with language_model.freed_shuffles(spark):
+        assert spark.conf.get(language_model._FREE_SHUFFLES) == "true"
+    assert spark.conf.get(language_model._FREE_SHUFFLES) == before
+
+
 # --- lines -------------------------------------------------------------------------
 
 
