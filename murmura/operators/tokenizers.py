@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from murmura.functions import text
+from murmura.operators.chunks import apply_chunks, coded, sizes_of
 from murmura.operators.lookup import map_tokens
 from murmura.operators.scale import consecutive_ids, deal_out, rows_by_repeat
-from murmura.session import materialize
+from murmura.session import drop, materialize
+
+# Executors need not have the package installed: the functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 UNK, PAD = "<UNK>", "<PAD>"
 # Most frequent pairs that a training pass looks at.
@@ -179,11 +187,15 @@ def train_bpe(df: DataFrame, column: str, merges: int | None = None, vocabulary:
         if not taken:
             break
         steps += [(len(steps) + k, *pair) for k, pair in enumerate(taken)]
+        former, counted = words, pairs
         words = materialize(_merge_words(words, {(a, b): a + b for a, b, _ in taken}))
         changed = words.filter(F.col("old").isNotNull())
         update = _adjacent(changed, "old", -1).unionByName(_adjacent(changed, "p"))
         counts = pairs.unionByName(update).groupBy("left", "right").agg(F.sum("n").alias("n"))
         pairs = materialize(counts.filter("n > 0"))
+        # Every pass writes all words anew: of the former pass nothing is read again.
+        drop(former, counted)
+    drop(pairs)
     rules = spark.createDataFrame(steps, "step int, left string, right string, n bigint")
     return rules, words.select("word", F.col("p").alias("pieces"))
 
@@ -204,8 +216,8 @@ def piece_ids(rules: DataFrame, words: DataFrame) -> DataFrame:
 def encode_bpe_ids(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(doc_id, ids)``: the ids of the pieces of each word; a word not seen in training is the unknown id.
 
-    Every distinct word is numbered once, before it meets the texts. Frequent words find their ids where the text is, and
-    a text sends each of its others once. Rows that share an id are one text.
+    Every distinct word is numbered once, before it meets the texts. Texts are numbers into the words of their chunk, a
+    chunk sends each of its words once, and the numbers meet the pieces in the chunk. Rows that share an id are one text.
     """
     vocab = materialize(vocab)
     spelled = word_pieces.select("word", F.posexplode("pieces").alias("k", "token")).join(F.broadcast(vocab), "token")
@@ -213,16 +225,34 @@ def encode_bpe_ids(df: DataFrame, column: str, id_col: str, word_pieces: DataFra
     unknown = vocab.filter(F.col("token") == UNK).agg(F.max("id")).first()[0]
     numbered = materialize(numbered)
     alone, together = rows_by_repeat(df, id_col)
-    texts = alone.select(F.col(id_col).alias("doc_id"), F.split(column, " ").alias("_words"))
-    mapping = numbered.select(F.col("word").alias("token"), F.array_join(F.col("pieces").cast("array<string>"), " ").alias("value"))
-    mapped = map_tokens(texts, "_words", mapping, default=str(unknown))
-    ids = F.coalesce(F.split(F.array_join("_words", " "), " ").cast("array<bigint>"), F.array().cast("array<bigint>"))
-    encoded = mapped.select("doc_id", ids.alias("ids"))
+    texts, words = coded(alone.select(F.col(id_col).alias("doc_id"), F.split(column, " ").alias("_ids")), ["_ids"])
+    known = materialize(words.join(numbered.withColumnRenamed("word", "token"), "token").select("_chunk", "_code", "pieces"))
+    schema = Ty.StructType([texts.schema["doc_id"], Ty.StructField("ids", Ty.ArrayType(Ty.LongType()))])
+    encoded = apply_chunks(texts, known, _piece_lists(unknown), schema)
     if together is None:
+        drop(numbered)
         return encoded
     return encoded.unionByName(_word_lists(together, column, id_col, numbered, F.array(F.lit(unknown))).withColumnRenamed("pieces", "ids"))
 
 
+def _piece_lists(unknown: int):
+    """Chunk body: the ids of the pieces of each text's words, the unknown id for a word without any."""
+
+    def encode(texts: pa.Table, known: pa.Table) -> pa.Table:
+        lists = texts["_ids"].combine_chunks()
+        codes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        # The last entry is that of words without pieces.
+        place = np.full(int(codes.max(initial=-1)) + 1, known.num_rows)
+        place[known["_code"].to_numpy()] = np.arange(known.num_rows)
+        kind = pa.list_(pa.int64())
+        pieces = pa.concat_arrays([*known["pieces"].cast(kind).chunks, pa.array([[unknown]], kind)])
+        found = pieces.take(pa.array(place[codes]))
+        ends = np.append(0, np.cumsum(sizes_of(found)))[np.append(0, np.cumsum(sizes_of(lists)))]
+        return pa.table({"doc_id": texts["doc_id"], "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.flatten())})
+
+    return encode
+
+
 def _word_lists(df: DataFrame, column: str, id_col: str, word_pieces: DataFrame, unknown: Column) -> DataFrame:
     """``(doc_id, pieces)``: the lists of a text's words, joined in order. A word that repeats in a text is looked up once."""
     words = F.split(column, " ")

@@ -5,11 +5,13 @@ import json
 import random
 import uuid
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from murmura import schemas
+from murmura import schemas, session
+from murmura.operators import chunks
 from murmura.operators import corpus as C
 from murmura.operators import features as M
 from murmura.operators import labels as L
@@ -771,3 +773,20 @@ def test_configs_of_many_runs_are_read_by_many_tasks(spark, tmp_path):
     assert {(r["run"], r["config.data.size"], r["config.late"]) for r in found.select("run", "`config.data.size`", "`config.late`").collect()} == {
         (f"run {k}", k, 1.5 if k == 19 else None) for k in range(20)
     }
+
+
+def test_chunks_send_each_of_their_words_once(spark, monkeypatch):
+    texts = [(1, ["a", "b", None, "a"]), (2, []), (3, None), (4, ["c"] * 5), (5, ["b", "a"])]
+    coded, words = chunks.coded(spark.createDataFrame(texts, "id int, t array<string>").coalesce(1), ["t"], 4)
+    names = {(r["_chunk"], r["_code"]): (r["token"], r["docs"]) for r in words.collect()}
+    assert sorted(names.values()) == [("a", 1), ("a", 1), ("b", 1), ("b", 1), ("c", 1)]
+    back = {r["id"]: r["t"] and [x if x is None else names[r["_chunk"], x][0] for x in r["t"]] for r in coded.collect()}
+    assert back == dict(texts)
+
+
+def test_a_training_keeps_the_words_of_its_last_pass_only(spark):
+    folder = Path(session.shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("murmura-*"))
+    _, pieces = T.train_bpe(spark.createDataFrame([("low lower lowest newest widest",)], "t string"), "t", 6)
+    left = set(folder.glob("murmura-*")) - before
+    assert len(left) == 1 and pieces.count() == 5
