@@ -27,6 +27,7 @@ from murmura import wordlists as W
 from murmura.functions import text
 from murmura.functions.once import once
 from murmura.operators import skipgram
+from murmura.operators.chunks import apply_chunks, coded, sizes_of, text_counts
 from murmura.operators.scale import FREQUENT_KEYS, join_frequent_apart, top_n_per_group
 from murmura.session import materialize
 
@@ -110,17 +111,20 @@ def term_lists(df: DataFrame, tokens: str, id_col: str) -> DataFrame:
     return normed.select("id", F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (t["raw"] / F.col("norm")).alias("weight"))).alias("terms"))
 
 
+def _sums(slot: np.ndarray, x: np.ndarray, rows: int, width: int) -> pa.Array:
+    """Vectors of ``width`` for each row: the sums of ``x`` by slot. In a fixed order, which gives the same doubles each time."""
+    order = np.argsort(x, kind="stable")
+    sums = np.bincount(slot[order], weights=x[order], minlength=rows * width)
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), pa.array(sums, pa.float64()))
+
+
 def _summed(width: int, marks: int):
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def add(hashes: pa.Array, weights: pa.Array) -> pa.Array:
-        sizes = pc.fill_null(pc.list_value_length(weights), 0).to_numpy(zero_copy_only=False)
+        sizes = sizes_of(weights)
         h = hashes.flatten().to_numpy(zero_copy_only=False)
         x = np.repeat(pc.fill_null(weights.flatten(), 0.0).to_numpy(zero_copy_only=False), marks) * np.where(h < 0, -1.0, 1.0) / marks**0.5
-        slot = np.repeat(np.arange(len(sizes)), sizes * marks) * width + np.mod(h, width)
-        # Sums in a fixed order give the same doubles each time.
-        order = np.argsort(x, kind="stable")
-        sums = np.bincount(slot[order], weights=x[order], minlength=len(sizes) * width)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * width, pa.int32()), pa.array(sums, pa.float64()))
+        return _sums(np.repeat(np.arange(len(sizes)), sizes * marks) * width + np.mod(h, width), x, len(sizes), width)
 
     return add
 
@@ -149,30 +153,61 @@ def assemble(
     entities: str = "entities",
     numeric: Sequence[str] = ("subjectivity", "polarity", "comment_score"),
     out: str = "features",
+    beside: Sequence[str] | None = None,
 ) -> DataFrame:
     """Community TF-IDF, text TF-IDF, numbers and entity marks in one vector, block by block on the same row.
 
-    The blocks of terms are projected to fixed widths. Rows are written out once: each block is another pass over them.
+    The blocks of terms are projected to fixed widths. Terms are numbers into those of a chunk of rows, a chunk sends each
+    of its terms once, and the weights of a text arise in its chunk. ``beside`` are the columns of ``df`` that stay, all
+    of them unless said. The vectors are not stored: who reads them more than once should write them.
     """
-    tokens = materialize(
-        df.withColumns(
-            {
-                "_row": F.monotonically_increasing_id(),
-                "_text": feature_tokens(F.col(column)),
-                "_community": feature_tokens(F.col(community), stopwords=("",)),
-                "_entities": F.array_distinct(entities),
-            }
-        )
+    beside = list(df.columns if beside is None else beside)
+    marks = F.transform(F.coalesce(F.array_distinct(entities), F.array().cast("array<string>")), lambda e: F.struct(e.alias("term"), F.lit(1.0).alias("weight")))
+    blocks = {"_community": SET_WIDTH, "_text": TEXT_WIDTH}
+    rows = df.select(
+        *beside,
+        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric]).alias("_numbers"),
+        project_terms(marks, SET_WIDTH).alias("_entities"),
+        feature_tokens(F.col(community), stopwords=("",)).alias("_community"),
+        feature_tokens(F.col(column)).alias("_text"),
     )
-    marks = F.transform(F.coalesce("_entities", F.array().cast("array<string>")), lambda e: F.struct(e.alias("term"), F.lit(1.0).alias("weight")))
-    staged = tokens.drop("_community", "_text").withColumn("_entities", project_terms(marks, SET_WIDTH))
-    for name, width in (("_community", SET_WIDTH), ("_text", TEXT_WIDTH)):
-        block = term_lists(tokens, name, "_row").select(F.col("id").alias("_row"), project_terms(F.col("terms"), width).alias(name))
-        empty = F.array_repeat(F.lit(0.0), width)
-        staged = staged.join(block, "_row", "left").withColumn(name, F.coalesce(name, empty))
-    numbers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric])
-    whole = F.concat("_community", "_text", numbers, "_entities")
-    return materialize(staged.select(*df.columns, array_to_vector(whole).alias(out)))
+    texts, words = coded(rows, list(blocks))
+    vectors = _projected_chunks(texts, words, blocks)
+    whole = F.concat("_community", "_text", "_numbers", "_entities")
+    return vectors.select(*beside, array_to_vector(whole).alias(out))
+
+
+def _projected_chunks(texts: DataFrame, words: DataFrame, blocks: dict[str, int], seed: int = 42) -> DataFrame:
+    """``texts`` of ``coded`` with the tokens of each column of ``blocks`` as the ``project_terms`` of their ``term_lists``."""
+    n = texts.agg(F.count("*").alias("n")).scalar()
+    width = F.element_at(F.array(*[F.lit(w) for w in blocks.values()]), F.col("_which") + 1)
+    # Where a term adds its weight and with which sign: the numbers are below twice the width.
+    marks = [F.xxhash64("token", F.lit(seed), F.lit(k)) for k in range(MARKS_PER_TERM)]
+    slots = F.array(*[(F.pmod(h, width) * 2 + (h < 0).cast("int")).cast("int") for h in marks])
+    factors = words.groupBy("_which", "token").agg(F.sum("docs").alias("df")).withColumn("n", n)
+    factors = factors.select("_which", "token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("factor"), slots.alias("slots"))
+    # Written once: the shuffles by term go before the chunks are gathered.
+    known = materialize(words.join(factors, ["_which", "token"]).select("_chunk", "_which", "_code", "factor", "slots"))
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(T.DoubleType()) if f.name in blocks else f.dataType) for f in texts.schema if f.name != "_chunk"])
+
+    def project(part: pa.Table, known: pa.Table) -> pa.Table:
+        which = known["_which"].to_numpy()
+        for k, (name, width) in enumerate(blocks.items()):
+            own = known.filter(pa.array(which == k))
+            code = own["_code"].to_numpy()
+            factor, slots = np.zeros(len(code)), np.zeros((len(code), MARKS_PER_TERM), np.int64)
+            factor[code] = own["factor"].to_numpy()
+            slots[code] = own["slots"].combine_chunks().flatten().to_numpy().reshape(-1, MARKS_PER_TERM)
+            text, term, tf = text_counts(part[name].combine_chunks(), len(code))
+            raw = tf * factor[term]
+            norm = np.sqrt(np.bincount(text, weights=raw * raw, minlength=part.num_rows))
+            held = slots[term]
+            x = (raw / norm[text])[:, None] * np.where(held % 2, -1.0, 1.0) / MARKS_PER_TERM**0.5
+            column = _sums((text[:, None] * width + held // 2).ravel(), x.ravel(), part.num_rows, width)
+            part = part.set_column(part.schema.get_field_index(name), name, column)
+        return part.drop_columns(["_chunk"])
+
+    return apply_chunks(texts, known, project, schema)
 
 
 def reduce(df: DataFrame, k: int = 50, features: str = "features", out: str = "reduced") -> DataFrame:

@@ -58,10 +58,15 @@ def m8(spark, d):
 
 
 def _features(spark, d):
+    """The assembled vectors, stored: fits read them many times."""
+    return materialize(_assembled(spark, d))
+
+
+def _assembled(spark, d):
     scored = lexicon_polarity(comments(spark, d), "comment_body", polarity_table(spark), "comment_id", INTENSIFIERS, NEGATIONS)
     named = scored.withColumn("entities", tx.entity_names(F.col("comment_body")))
     rows = named.select("comment_id", "comment_body", "subreddit", "comment_score", "polarity", "subjectivity", "entities")
-    return M.assemble(rows.fillna(0, ["comment_score"]))
+    return M.assemble(rows.fillna(0, ["comment_score"]), beside=[c for c in rows.columns if c != "comment_body"])
 
 
 def _halves(df):
@@ -74,7 +79,7 @@ def _halves(df):
 def m9(spark, d):
     """The assembled vectors, text of every entry that is not zero."""
     values = F.transform(V.vector_to_array("features"), lambda v, k: F.when(v != 0, F.concat(k.cast("string"), F.lit(":"), F.round(v, 6).cast("string"))))
-    return _features(spark, d).select("comment_id", F.array_join(F.array_compact(values), " ").alias("features"))
+    return _assembled(spark, d).select("comment_id", F.array_join(F.array_compact(values), " ").alias("features"))
 
 
 @query("m10_reduce", None)

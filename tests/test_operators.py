@@ -807,3 +807,21 @@ def test_a_row_a_place_stands_for_all_grams_of_a_token(spark, tmp_path):
     assert rows(stored.holding_tokens(asked)) == rows(plain.holding_tokens(asked))
     twice = S.SearchIndex(stored.postings, stored.docs, stored.grams.unionByName(stored.grams), stored.vocabulary, segmented=True)
     assert rows(twice.holding_tokens(asked)) == rows(plain.holding_tokens(asked))
+
+
+def test_assembled_blocks_are_those_of_terms_met_one_by_one(spark, monkeypatch):
+    texts = [(1, "Apple pear apple fig", "s 1", ["A", "B", "A"], 1.0), (2, "pear", "s 2", None, None), (3, None, None, [], 2.0), (4, "of the", "src", ["B"], 3.0), (1, "fig plum", "src", ["C"], 4.0)]
+    df = spark.createDataFrame(texts, "id int, comment_body string, subreddit string, entities array<string>, x double")
+    monkeypatch.setattr(M, "coded", lambda rows, columns: chunks.coded(rows.coalesce(1), columns, 3))
+    found = M.assemble(df, numeric=["x"])
+    assert found.columns == [*df.columns, "features"]
+    keyed = df.withColumn("key", F.concat_ws("|", "id", "comment_body")).withColumn("_text", M.feature_tokens(F.col("comment_body"))).withColumn("_community", M.feature_tokens(F.col("subreddit"), stopwords=("",)))
+    block = lambda name, width: {r["id"]: r["v"] for r in M.term_lists(keyed, name, "key").select("id", M.project_terms(F.col("terms"), width).alias("v")).collect()}
+    text, community = block("_text", M.TEXT_WIDTH), block("_community", M.SET_WIDTH)
+    got = {f"{r['id']}|{r['comment_body']}" if r["comment_body"] else str(r["id"]): r["features"].toArray() for r in found.collect()}
+    assert len(got) == 5
+    for key, v in got.items():
+        assert v[: M.SET_WIDTH] == pytest.approx(community.get(key, [0.0] * M.SET_WIDTH))
+        assert v[M.SET_WIDTH : M.SET_WIDTH + M.TEXT_WIDTH] == pytest.approx(text.get(key, [0.0] * M.TEXT_WIDTH))
+    # A chunk sends a term once, and the texts are not joined with their blocks.
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
