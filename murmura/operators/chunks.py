@@ -71,10 +71,14 @@ def coded(df: DataFrame, columns: Sequence[str], most: int = CHUNK_TOKENS) -> tu
                 for c in columns:
                     column = part.column(c)
                     own = column.flatten().dictionary_encode()
+                    # Numbers follow the words' order, so sums by number add up as sums by word do.
+                    order = pc.sort_indices(own.dictionary).to_numpy()
+                    place = np.empty(len(order), np.int32)
+                    place[order] = np.arange(len(order), dtype=np.int32)
                     offsets = pa.array(np.append(0, np.cumsum(sizes_of(column))), pa.int32())
-                    lists.append(pa.ListArray.from_arrays(offsets, own.indices.cast(pa.int32()), mask=column.is_null()))
-                    words.append(own.dictionary.to_pylist())
-                    docs.append(np.bincount(text_counts(lists[-1], len(own.dictionary))[1], minlength=len(own.dictionary)))
+                    lists.append(pa.ListArray.from_arrays(offsets, pa.array(place, pa.int32()).take(own.indices), mask=column.is_null()))
+                    words.append(own.dictionary.take(pa.array(order)).to_pylist())
+                    docs.append(np.bincount(text_counts(lists[-1], len(order))[1], minlength=len(order)))
                 beside = [part.column(f.name) for f in kept]
                 texts = [*beside, *lists, pa.array(np.full(n, chunk)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(texts, names=schema.names)
